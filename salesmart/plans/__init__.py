@@ -1,5 +1,5 @@
 """Named queries: each pairs a Spark plan with an independent SQL oracle."""
 
-from salesmart.plans import marts  # noqa: F401
+from salesmart.plans import marts, quality
 
-ALL_MODULES = (marts,)
+ALL_MODULES = (marts, quality)
