@@ -108,11 +108,12 @@ def _(d):
     })
 
 
-@query("export_dataset", """SELECT order_id, '[' || string_agg('{"item_id":' || item_id || ',"quantity":' || quantity::DECIMAL(18,1) || '}', ',' ORDER BY item_id, quantity) || ']' AS lines
-    FROM line GROUP BY 1 ORDER BY order_id LIMIT 25000""")
+@query("export_dataset", """SELECT order_channel, '[' || string_agg('{"month":"' || month || '","orders":' || orders || '}', ',' ORDER BY month) || ']' AS series
+    FROM (SELECT strftime(order_date, '%Y-%m') AS month, order_channel, count(*) AS orders FROM done GROUP BY 1, 2) GROUP BY 1 ORDER BY order_channel LIMIT 25000""")
 def _(d):
-    documents = d.lines.groupBy("order_id").agg(F.sort_array(F.collect_list(F.struct("item_id", "quantity"))).alias("lines"))
-    return files.export_dataset({"order_lines": documents}, "order_lines", ["order_id"])
+    # The collected array is one entry per calendar month.
+    series = marts.channel_monthly(d.orders).groupBy("order_channel").agg(F.sort_array(F.collect_list(F.struct("month", "orders"))).alias("series"))
+    return files.export_dataset({"channel_series": series}, "channel_series", ["order_channel"])
 
 
 # ---- quality checks --------------------------------------------------------

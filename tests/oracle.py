@@ -27,6 +27,7 @@ def session(cores: str = "8", partitions: str = "8"):
         SparkSession.builder.master(f"local[{cores}]").appName("salesmart-tests")
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
