@@ -67,7 +67,7 @@ def anomaly_rating_drift(ratings: DataFrame, min_count: int = 10, limit: float =
     z = (F.col("avg_rating") - F.col("mu")) / F.col("sigma")
     drift = m.withColumn("z", z).where(F.abs("z") > limit)
     return _rows(drift, F.when(F.col("z") > 0, "rating_spike").otherwise("rating_drop"), _item(), F.col("period"), F.col("avg_rating"), F.col("z"),
-                 "Mean rating shifted more than 2 standard deviations from the item baseline")
+                 "Mean rating shifted away from the item baseline")
 
 
 def anomaly_identical(ratings: DataFrame, min_count: int = 10, share: float = 0.90) -> DataFrame:
@@ -75,12 +75,12 @@ def anomaly_identical(ratings: DataFrame, min_count: int = 10, share: float = 0.
     return _rows(same, "rating_identical_cluster", _item(), F.col("period"), F.col("top_rating_share"), None, "At least 90% of the ratings share one score")
 
 
-def anomaly_burst(ratings: DataFrame, min_count: int = 10) -> DataFrame:
-    """Rating volume above the item's own Q3 + 3 IQR over periods (few rows per item)."""
+def anomaly_burst(ratings: DataFrame, min_count: int = 10, factor: float = 3.0) -> DataFrame:
+    """Rating volume above the item's own Q3 + factor x IQR over periods (few rows per item)."""
     m = rating_periods(ratings, min_count)
     q = m.groupBy("item_id").agg(F.percentile("rating_count", F.lit(0.25)).alias("q1"), F.percentile("rating_count", F.lit(0.75)).alias("q3"))
-    burst = m.join(q, "item_id").where(F.col("rating_count") > F.col("q3") + 3 * (F.col("q3") - F.col("q1")))
-    return _rows(burst, "rating_volume_burst", _item(), F.col("period"), F.col("rating_count"), None, "Rating volume above the item's Q3 + 3 IQR")
+    burst = m.join(q, "item_id").where(F.col("rating_count") > F.col("q3") + factor * (F.col("q3") - F.col("q1")))
+    return _rows(burst, "rating_volume_burst", _item(), F.col("period"), F.col("rating_count"), None, "Rating volume far above the item's upper quartile")
 
 
 def anomaly_mismatch(ratings: DataFrame, purchases: DataFrame, min_count: int = 10, slack: float = 1.05) -> DataFrame:

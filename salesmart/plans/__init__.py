@@ -1,5 +1,5 @@
 """Named queries: each pairs a Spark plan with an independent SQL oracle."""
 
-from salesmart.plans import analytics, marts, quality
+from salesmart.plans import analytics, marts, quality, reports
 
-ALL_MODULES = (marts, quality, analytics)
+ALL_MODULES = (marts, quality, analytics, reports)

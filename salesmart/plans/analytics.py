@@ -273,6 +273,7 @@ def _(d):
 # ---- anomalies -------------------------------------------------------------
 
 MIN_RATINGS = 3  # per item and day in the bound data
+DRIFT, BURST = 1.2, 1.0  # thresholds that the short bound rating history does reach
 shared_view("zscores", """SELECT outlet_id, order_date, sales, CASE WHEN stddev_samp(sales) OVER (PARTITION BY outlet_id) > 0 THEN
       round((sales - (sum(sales::DECIMAL(18,4)) OVER (PARTITION BY outlet_id))::DOUBLE / count(*) OVER (PARTITION BY outlet_id)) / stddev_samp(sales) OVER (PARTITION BY outlet_id), 6) END AS z_score
     FROM (SELECT outlet_id, order_date, sum(total_amount::DECIMAL(18,4))::DOUBLE AS sales FROM done GROUP BY 1, 2)""")
@@ -284,14 +285,14 @@ shared_view("rating_day", f"""SELECT item_id, period, sum(n)::BIGINT AS rating_c
     FROM (SELECT item_id, review_date::VARCHAR AS period, rating, count(*) AS n FROM rating GROUP BY 1, 2, 3) GROUP BY 1, 2 HAVING sum(n) >= {MIN_RATINGS}""")
 shared_view("rating_base", """SELECT item_id, s1 / n AS mu, CASE WHEN n > 1 THEN sqrt((n * s2 - s1 * s1) / (n * (n - 1))) END AS sigma
     FROM (SELECT item_id, count(*) AS n, sum(rating)::BIGINT AS s1, sum(rating * rating)::BIGINT AS s2 FROM rating GROUP BY 1)""")
-shared_view("a_drift", """SELECT CASE WHEN z > 0 THEN 'rating_spike' ELSE 'rating_drop' END AS anomaly_type, 'item_' || item_id AS entity, period, avg_rating AS value, z AS z_score,
-    'Mean rating shifted more than 2 standard deviations from the item baseline' AS note
-    FROM (SELECT m.*, (avg_rating - mu) / sigma AS z FROM rating_day m JOIN rating_base b ON m.item_id = b.item_id WHERE sigma > 0) WHERE abs(z) > 2""")
+shared_view("a_drift", f"""SELECT CASE WHEN z > 0 THEN 'rating_spike' ELSE 'rating_drop' END AS anomaly_type, 'item_' || item_id AS entity, period, avg_rating AS value, z AS z_score,
+    'Mean rating shifted away from the item baseline' AS note
+    FROM (SELECT m.*, (avg_rating - mu) / sigma AS z FROM rating_day m JOIN rating_base b ON m.item_id = b.item_id WHERE sigma > 0) WHERE abs(z) > {DRIFT}""")
 shared_view("a_same", """SELECT 'rating_identical_cluster' AS anomaly_type, 'item_' || item_id AS entity, period, top_rating_share AS value, NULL::DOUBLE AS z_score,
     'At least 90% of the ratings share one score' AS note FROM rating_day WHERE top_rating_share >= 0.9""")
-shared_view("a_burst", """SELECT 'rating_volume_burst' AS anomaly_type, 'item_' || m.item_id AS entity, period, rating_count::DOUBLE AS value, NULL::DOUBLE AS z_score,
-    'Rating volume above the item''s Q3 + 3 IQR' AS note FROM rating_day m JOIN (SELECT item_id, quantile_cont(rating_count, 0.25) AS q1, quantile_cont(rating_count, 0.75) AS q3 FROM rating_day GROUP BY 1) q
-    ON m.item_id = q.item_id WHERE rating_count > q3 + 3 * (q3 - q1)""")
+shared_view("a_burst", f"""SELECT 'rating_volume_burst' AS anomaly_type, 'item_' || m.item_id AS entity, period, rating_count::DOUBLE AS value, NULL::DOUBLE AS z_score,
+    'Rating volume far above the item''s upper quartile' AS note FROM rating_day m JOIN (SELECT item_id, quantile_cont(rating_count, 0.25) AS q1, quantile_cont(rating_count, 0.75) AS q3 FROM rating_day GROUP BY 1) q
+    ON m.item_id = q.item_id WHERE rating_count > q3 + {BURST} * (q3 - q1)""")
 shared_view("a_mismatch", """SELECT 'rating_purchase_mismatch' AS anomaly_type, 'item_' || m.item_id AS entity, m.period, rating_count / n AS value, NULL::DOUBLE AS z_score,
     'More ratings than completed purchases in the same period' AS note FROM rating_day m JOIN (SELECT item_id, order_date::VARCHAR AS period, count(DISTINCT order_id) AS n FROM purchase GROUP BY 1, 2) p
     ON m.item_id = p.item_id AND m.period = p.period WHERE rating_count > n * 1.05""")
@@ -307,9 +308,9 @@ def detectors(d):
         "anomaly_daily_sales": anomaly.anomaly_daily_sales(d.outlet_orders),
         "anomaly_order_total": anomaly.anomaly_order_total(
             d.table("events").select("event_id", "value", F.col("ts").cast("date").alias("day")), "event_id", "value", "day", "event"),
-        "anomaly_rating_drift": anomaly.anomaly_rating_drift(d.ratings, MIN_RATINGS),
+        "anomaly_rating_drift": anomaly.anomaly_rating_drift(d.ratings, MIN_RATINGS, DRIFT),
         "anomaly_identical": anomaly.anomaly_identical(d.ratings, MIN_RATINGS),
-        "anomaly_burst": anomaly.anomaly_burst(d.ratings, MIN_RATINGS),
+        "anomaly_burst": anomaly.anomaly_burst(d.ratings, MIN_RATINGS, BURST),
         "anomaly_mismatch": anomaly.anomaly_mismatch(d.ratings, d.purchases, MIN_RATINGS),
     }
 

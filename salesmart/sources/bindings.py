@@ -85,11 +85,23 @@ class Dataset:
             F.date_add(start, (30 + F.col("s_suppkey") % 60).cast("int")).alias("end_date"),
         )
 
+    def between(self, first: str, last: str) -> "Dataset":
+        """The same data limited to orders of a date range; the filter reaches the scan."""
+        limited = Dataset(self.spark, self.path)
+        limited._range = (first, last)
+        return limited
+
+    _range: tuple[str, str] | None = None
+
     @cached_property
     def orders(self) -> DataFrame:
         """Orders without the columns that need a join."""
         status = F.col("o_orderstatus")
-        return self.table("orders").select(
+        raw = self.table("orders")
+        if self._range:
+            first, last = self._range
+            raw = raw.where(f"o_orderdate >= timestamp_ntz'{first} 00:00:00' and o_orderdate < timestamp_ntz'{last} 00:00:00' + interval 1 day")
+        return raw.select(
             F.col("o_orderkey").alias("order_id"),
             F.col("o_custkey").alias("customer_id"),
             F.col("o_orderdate").cast("date").alias("order_date"),
