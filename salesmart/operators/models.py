@@ -38,12 +38,15 @@ def label_high_value(split: DataFrame, share: float = 0.90) -> DataFrame:
     return split.withColumn("threshold", cut).withColumn("is_high_value", (F.col("total_amount") >= F.col("threshold")).cast("long"))
 
 
-def estimator(task: Task, family: str, trees: int = 150, seed: int = 42) -> Pipeline:
-    """Pipeline of a model family: random forest, boosted trees, or scaled logistic regression."""
+def estimator(task: Task, family: str, n_train: int, trees: int = 150, seed: int = 42) -> Pipeline:
+    """Pipeline of a model family: random forest, boosted trees, or scaled logistic regression.
+
+    The logistic penalty 1/n equals a unit L2 penalty on the summed loss.
+    """
     if family == "logistic":
         raw = VectorAssembler(inputCols=task.features, outputCol="raw")
         scale = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True)
-        stages = [raw, scale, LogisticRegression(labelCol="label", maxIter=100)]
+        stages = [raw, scale, LogisticRegression(labelCol="label", maxIter=100, regParam=1.0 / max(n_train, 1))]
     else:
         learner = {
             "forest": lambda: RandomForestClassifier(labelCol="label", numTrees=trees, seed=seed),
@@ -56,10 +59,11 @@ def estimator(task: Task, family: str, trees: int = 150, seed: int = 42) -> Pipe
 def train(task: Task, split: DataFrame, family: str, trees: int = 150) -> PipelineModel:
     """Fit on the training side. Text labels are indexed first and decoded after the classifier."""
     rows = split.where("side = 'train'")
+    n_train = rows.count()
     if not task.multiclass:
-        return estimator(task, family, trees).fit(rows.withColumn("label", F.col(task.label).cast("double")))
+        return estimator(task, family, n_train, trees).fit(rows.withColumn("label", F.col(task.label).cast("double")))
     indexer = StringIndexer(inputCol=task.label, outputCol="label", handleInvalid="error").fit(rows)
-    fitted = estimator(task, family, trees).fit(indexer.transform(rows))
+    fitted = estimator(task, family, n_train, trees).fit(indexer.transform(rows))
     decoder = IndexToString(inputCol="prediction", outputCol="predicted_class", labels=indexer.labels)
     return PipelineModel(stages=[*fitted.stages, decoder])
 
