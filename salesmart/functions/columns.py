@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,4)"
-PRICE = "decimal(18,8)"
+# Decimal digits kept by exact sums of money and of unit prices.
+MONEY = 4
+PRICE = 8
 
 
 def col(c: str | Column) -> Column:
@@ -18,14 +19,41 @@ def is_completed(status: str | Column = "order_status") -> Column:
     return F.upper(F.trim(col(status))) == "COMPLETED"
 
 
-def exact_sum(c: str | Column, scale: str = MONEY) -> Column:
-    """Order-independent sum: added as decimals, returned as double."""
-    return F.sum(col(c).cast(scale)).cast("double")
+def _halves(c: str | Column, digits: int) -> tuple[Column, Column]:
+    """Value as whole units of 10^-digits, cut into a high and a low part."""
+    units = F.floor(col(c).cast("double") * float(10**digits) + 0.5)
+    return F.shiftright(units, 20), units.bitwiseAND(F.lit((1 << 20) - 1))
 
 
-def exact_avg(c: str | Column, scale: str = MONEY) -> Column:
+def _joined(high: Column, low: Column, digits: int) -> Column:
+    return (high.cast("double") * float(1 << 20) + low.cast("double")) / float(10**digits)
+
+
+def exact_sum(c: str | Column, digits: int = MONEY) -> Column:
+    """Sum that does not depend on row order.
+
+    Doubles would add up differently for every partitioning, and decimals cost
+    several times more. Two long sums are exact, stay in generated code and cannot
+    overflow at any realistic row count.
+    """
+    high, low = _halves(c, digits)
+    return _joined(F.sum(high), F.sum(low), digits)
+
+
+def exact_sum_over(c: str | Column, window, digits: int = MONEY) -> Column:
+    high, low = _halves(c, digits)
+    return _joined(F.sum(high).over(window), F.sum(low).over(window), digits)
+
+
+def exact_avg(c: str | Column, digits: int = MONEY) -> Column:
     """Order-independent mean (NULL on no rows)."""
-    return exact_sum(c, scale) / F.count(col(c))
+    return exact_sum(c, digits) / F.count(col(c))
+
+
+def on_grid(c: str | Column, digits: int = MONEY) -> Column:
+    """Nearest multiple of 10^-digits."""
+    scale = float(10**digits)
+    return F.floor(col(c) * scale + 0.5).cast("double") / scale
 
 
 def zero(c: str | Column) -> Column:

@@ -25,7 +25,7 @@ def daily_zscore(orders: DataFrame) -> DataFrame:
     daily = completed(orders).groupBy("outlet_id", "order_date").agg(c.exact_sum("total_amount").alias("sales"))
     own = Window.partitionBy("outlet_id")
     sigma = F.stddev_samp("sales").over(own)
-    mean = F.sum(F.col("sales").cast(c.MONEY)).over(own).cast("double") / F.count("sales").over(own)
+    mean = c.exact_sum_over("sales", own) / F.count("sales").over(own)
     return daily.withColumn("z_score", F.when(sigma > 0, F.round((F.col("sales") - mean) / sigma, 6)))
 
 

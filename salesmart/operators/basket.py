@@ -10,6 +10,8 @@ stay bounded however large the data or a single order gets.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -88,7 +90,16 @@ def market_basket(bought: DataFrame, floor: int = 30, share: float = 0.001, k: i
 
 
 def frequent_itemsets(bought: DataFrame, min_support: float) -> DataFrame:
-    """Frequent itemsets over all orders with MLlib's distributed FP-growth."""
-    baskets = bought.groupBy("order_id").agg(F.collect_list("item").alias("items"))
-    sets = FPGrowth(itemsCol="items", minSupport=min_support).fit(baskets).freqItemsets
+    """Frequent itemsets over all orders with MLlib's distributed FP-growth.
+
+    Items below the support cannot occur in a frequent set, so they go first; the
+    support is then restated for the remaining baskets as the same order count.
+    """
+    orders = bought.select("order_id").distinct().count()
+    min_count = math.ceil(min_support * orders)
+    frequent = bought.groupBy("item").agg(F.count("*").alias("n")).where(F.col("n") >= min_count).select("item")
+    kept = bought.join(frequent, "item", "left_semi").groupBy("order_id").agg(F.collect_list("item").alias("items"))
+    baskets = materialize(kept, "frequent-baskets")
+    share = (min_count - 0.5) / max(baskets.count(), 1)
+    sets = FPGrowth(itemsCol="items", minSupport=share).fit(baskets).freqItemsets
     return sets.select(F.sort_array("items").alias("items"), "freq")

@@ -15,7 +15,8 @@ from salesmart.functions.quantiles import with_quantiles
 
 
 def completed(orders: DataFrame) -> DataFrame:
-    return orders.where(c.is_completed())
+    """Completed orders. The derived flag, where present, is a filter the scan can take."""
+    return orders.where("is_completed") if "is_completed" in orders.columns else orders.where(c.is_completed())
 
 
 def orders_enriched(orders, outlets, locations, customers, promotions, only_completed: bool = True) -> DataFrame:
@@ -65,7 +66,7 @@ def line_economics(lines: DataFrame, items: DataFrame) -> DataFrame:
 
 def lines_integrated(lines, items, orders, outlets, locations) -> DataFrame:
     """Line economics with order, outlet and area attributes; every line is kept."""
-    o = orders.select("order_id", "customer_id", "outlet_id", "order_date", "order_status", c.is_completed().alias("is_completed"),
+    o = orders.select("order_id", "customer_id", "outlet_id", "order_date", "order_status", "is_completed",
                       (F.col("promotion_id") != "").alias("is_promo_order"))
     places = outlets.join(locations, "location_id", "left").select("outlet_id", "outlet_name", "outlet_type", "city_area")
     return line_economics(lines, items).join(o, "order_id", "left").join(places, "outlet_id", "left")

@@ -25,9 +25,9 @@ def order_features(orders: DataFrame, lines: DataFrame) -> DataFrame:
     orders is split by adaptive execution instead of filling one window.
     """
     o = completed(orders)
-    history = o.groupBy("customer_id").agg(F.count("*").alias("_n"), F.sum(F.col("total_amount").cast(c.MONEY)).alias("_s"))
+    history = o.groupBy("customer_id").agg(F.count("*").alias("_n"), exact_sum("total_amount").alias("_s"))
     df = o.join(order_basket_agg(lines, orders), "order_id", "left").join(history, "customer_id")
-    rest = (F.col("_s") - F.col("total_amount").cast(c.MONEY)).cast("double")
+    rest = c.on_grid(F.col("_s") - F.col("total_amount"))
     coded = category_codes(category_codes(df, "order_channel", "channel_code"), "payment_method", "payment_code")
     flag = lambda p: F.when(p, 1).otherwise(0).cast("long")
     return coded.select(
@@ -69,7 +69,7 @@ def ml_split(frame: DataFrame, key: str, test_percent: int = 20, seed: int = 42,
 
     The hash is independent of the label, so each class is cut in the same proportion.
     """
-    rows = frame.join(held_out.select(key), key, "left_anti") if held_out is not None else frame
+    rows = frame.join(held_out.select(key).distinct(), key, "left_anti") if held_out is not None else frame
     return rows.withColumn("side", F.when(hash_bucket(key, seed) < test_percent, "test").otherwise("train"))
 
 

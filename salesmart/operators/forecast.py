@@ -26,7 +26,7 @@ def trailing_mean(column: str, days: int):
     The series has one row per calendar day, so its unpartitioned window is small.
     """
     w = Window.orderBy("date").rowsBetween(-days, -1)
-    return F.sum(F.col(column).cast(c.MONEY)).over(w).cast("double") / F.count(column).over(w)
+    return c.exact_sum_over(column, w) / F.count(column).over(w)
 
 
 def trailing_means(series: DataFrame) -> DataFrame:

@@ -78,7 +78,7 @@ def relationship_problems(lines, orders, items, promotions, ratings) -> DataFram
     one = F.lit(1).cast("long").alias("n")
     stranger = rated.where("owner <> customer_id").select(F.lit("ratings"), F.lit("customer differs from order"), one)
     early = rated.where("review_date < order_date").select(F.lit("ratings"), F.lit("rated before the order"), one)
-    absent = rated.join(lines.select("order_id", "item_id"), ["order_id", "item_id"], "left_anti").select(F.lit("ratings"), F.lit("item not in the order"), one)
+    absent = rated.join(lines.select("order_id", "item_id").distinct(), ["order_id", "item_id"], "left_anti").select(F.lit("ratings"), F.lit("item not in the order"), one)
     reversed_ = promotions.where("end_date < start_date").select(F.lit("promotions"), F.lit("end before start"), one)
     found = reduce(DataFrame.union, [foreign, inactive, scoped, stranger, early, absent, reversed_])
     return found.groupBy("entity", "problem").agg(F.sum("n").alias("rows"))
@@ -99,7 +99,7 @@ def upsert_snapshot(base: DataFrame, batch: DataFrame, key: str) -> DataFrame:
 
 def guarded_delete(requested: DataFrame, key: str, references: list[DataFrame]) -> DataFrame:
     """Each requested key with ``deleted`` or, if any child refers to it, ``restricted``."""
-    used = reduce(DataFrame.union, [r.select(key) for r in references])
+    used = reduce(DataFrame.union, [r.select(key) for r in references]).distinct()
     held = requested.join(used, key, "left_semi").withColumn("outcome", F.lit("restricted"))
     free = requested.join(used, key, "left_anti").withColumn("outcome", F.lit("deleted"))
     return held.unionByName(free)

@@ -74,7 +74,7 @@ def price_elasticity(lines: DataFrame, orders: DataFrame, min_months: int = 4) -
     monthly = sold.groupBy("item_id", c.month_key("order_date").alias("month")).agg(
         exact_sum("quantity").alias("units"), exact_avg("unit_price", c.PRICE).alias("price")).where("units > 0 and price > 0")
     fit = monthly.groupBy("item_id").agg(
-        F.count("*").alias("months_observed"), exact_avg("price", "decimal(22,10)").alias("average_price"), exact_sum("units").alias("total_units"),
+        F.count("*").alias("months_observed"), exact_avg("price", 10).alias("average_price"), exact_sum("units").alias("total_units"),
         F.regr_slope(F.ln("units"), F.ln("price")).alias("slope"), F.stddev_pop(F.ln("price")).alias("spread"))
     usable = fit.where((F.col("months_observed") >= min_months) & (F.col("spread") >= 1e-9))
     return usable.select("item_id", "months_observed", "average_price", "total_units", F.round("slope", 3).alias("price_elasticity"),
@@ -88,7 +88,7 @@ def slow_movers(lines, orders, items, start: str, cutoff: str, days: int = 60, k
     late = day.between(F.date_sub(last_day, days), last_day)
     early = ~late & day.between(first_day, F.date_add(first_day, days))
     sold = lines.select("order_id", "item_id", "quantity").join(completed(orders).select("order_id", "order_date"), "order_id")
-    units = lambda p: F.sum(F.when(p, F.col("quantity").cast(c.MONEY)).otherwise(0)).cast("double")
+    units = lambda p: exact_sum(F.when(p, F.col("quantity")).otherwise(0.0))
     per_item = sold.groupBy("item_id").agg(units(early).alias("first_60d"), units(late).alias("last_60d"), units(~early & ~late).alias("mid"))
     frame = materialize(per_item.where("first_60d > 0").withColumn("both", F.col("first_60d") + F.col("last_60d")), "slow-movers")
     q = with_quantiles(frame, [("low_total", "both", 0.10), ("low_recent", "last_60d", 0.10)])

@@ -11,13 +11,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.functions import columns as c
-from salesmart.functions.columns import exact_avg, exact_sum, zero, zero_int
+from salesmart.functions.columns import exact_avg, exact_sum, exact_sum_over, on_grid, zero, zero_int
 from salesmart.functions.quantiles import with_quantiles
 from salesmart.operators.enrich import completed
 from salesmart.storage import materialize
 
-DEC = c.MONEY
-
 
 def completed_item_sums(lines: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
     """Per item over completed orders: units, lines, revenue, cost, profit.
@@ -26,32 +24,30 @@ def completed_item_sums(lines: DataFrame, orders: DataFrame, items: DataFrame) -
     """
     sold = lines.join(completed(orders).select("order_id"), "order_id")
     sums = sold.groupBy("item_id").agg(
-        F.sum(F.col("quantity").cast(DEC)).alias("u"),
+        exact_sum("quantity").alias("units_sold"),
         F.count("*").alias("order_lines"),
-        F.sum((F.col("quantity") * F.col("unit_price")).cast(DEC)).alias("g"),
-        F.sum(F.col("line_discount").cast(DEC)).alias("d"),
-        F.sum(F.col("net_revenue").cast(DEC)).alias("n"),
+        exact_sum(F.col("quantity") * F.col("unit_price")).alias("revenue"),
+        exact_sum("line_discount").alias("d"),
+        exact_sum("net_revenue").alias("net_revenue"),
         exact_avg("unit_price", c.PRICE).alias("average_selling_price"),
     )
-    cost = F.col("u").cast("decimal(24,4)") * F.col("cost_price").cast("decimal(12,4)")
+    cost = on_grid(F.col("units_sold") * F.col("cost_price"))
     return sums.join(items, "item_id").select(
-        *items.columns, F.col("u").cast("double").alias("units_sold"), "order_lines", F.col("g").cast("double").alias("revenue"),
-        F.col("n").cast("double").alias("net_revenue"),
-        cost.cast("double").alias("estimated_cost"), (F.col("g") - F.col("d") - cost).cast("double").alias("estimated_profit"),
-        "average_selling_price")
+        *items.columns, "units_sold", "order_lines", "revenue", "net_revenue", cost.alias("estimated_cost"),
+        on_grid(F.col("revenue") - F.col("d") - cost).alias("estimated_profit"), "average_selling_price")
 
 
 def order_line_sums(lines: DataFrame, items: DataFrame | None = None) -> DataFrame:
     """Per order: line count, units, gross, net (and cost, profit when ``items`` is given)."""
     rows = lines
     measures = [
-        F.count("*").alias("n_lines"), F.sum(F.col("quantity").cast(DEC)).alias("units"),
-        F.sum((F.col("quantity") * F.col("unit_price")).cast(DEC)).alias("gross"), F.sum(F.col("net_revenue").cast(DEC)).alias("net"),
+        F.count("*").alias("n_lines"), exact_sum("quantity").alias("units"),
+        exact_sum(F.col("quantity") * F.col("unit_price")).alias("gross"), exact_sum("net_revenue").alias("net"),
     ]
     if items is not None:
         rows = lines.join(items.select("item_id", "cost_price"), "item_id")
         cost = F.col("quantity") * F.col("cost_price")
-        measures.append(F.sum((F.col("quantity") * F.col("unit_price") - F.col("line_discount") - cost).cast(DEC)).alias("profit"))
+        measures.append(exact_sum(F.col("quantity") * F.col("unit_price") - F.col("line_discount") - cost).alias("profit"))
     return rows.groupBy("order_id").agg(*measures)
 
 
@@ -60,23 +56,23 @@ def monthly_revenue(lines, orders, outlets, locations) -> DataFrame:
     per_order = order_line_sums(lines).select("order_id", "net")
     by_outlet = (
         completed(orders).join(per_order, "order_id")
-        .groupBy(c.month_key("order_date").alias("month"), "outlet_id").agg(F.count("*").alias("n"), F.sum("net").alias("r"))
+        .groupBy(c.month_key("order_date").alias("month"), "outlet_id").agg(F.count("*").alias("n"), exact_sum("net").alias("r"))
     )
     places = outlets.join(locations, "location_id").select("outlet_id", "city_area")
     return by_outlet.join(places, "outlet_id").groupBy("month", "city_area").agg(
-        F.sum("n").alias("orders"), F.sum("r").cast("double").alias("revenue"))
+        F.sum("n").alias("orders"), exact_sum("r").alias("revenue"))
 
 
 def category_revenue_share(lines, orders, items, categories) -> DataFrame:
     """Net revenue by category and its share of the total."""
     per_item = (
-        lines.join(completed(orders).select("order_id"), "order_id").groupBy("item_id").agg(F.sum(F.col("net_revenue").cast(DEC)).alias("r"))
+        lines.join(completed(orders).select("order_id"), "order_id").groupBy("item_id").agg(exact_sum("net_revenue").alias("r"))
     )
     by_category = (
-        per_item.join(items.select("item_id", "category_name"), "item_id").groupBy("category_name").agg(F.sum("r").cast("double").alias("revenue"))
+        per_item.join(items.select("item_id", "category_name"), "item_id").groupBy("category_name").agg(exact_sum("r").alias("revenue"))
         .join(categories, "category_name")
     )
-    total = F.sum(F.col("revenue").cast(DEC)).over(Window.partitionBy()).cast("double")
+    total = exact_sum_over("revenue", Window.partitionBy())
     return by_category.select("category_id", "category_name", "revenue", (F.col("revenue") / total).alias("share"))
 
 
@@ -101,10 +97,10 @@ def peak_hours_per_day(orders) -> DataFrame:
 
 
 def location_ranking(orders, outlets, locations) -> DataFrame:
-    by_outlet = completed(orders).groupBy("outlet_id").agg(F.count("*").alias("n"), F.sum(F.col("total_amount").cast(DEC)).alias("r"))
+    by_outlet = completed(orders).groupBy("outlet_id").agg(F.count("*").alias("n"), exact_sum("total_amount").alias("r"))
     return (
         by_outlet.join(outlets.select("outlet_id", "location_id"), "outlet_id").join(locations, "location_id")
-        .groupBy("location_id", "city_area").agg(F.sum("n").alias("orders"), F.sum("r").cast("double").alias("revenue"))
+        .groupBy("location_id", "city_area").agg(F.sum("n").alias("orders"), exact_sum("r").alias("revenue"))
         .withColumn("avg_order_value", F.col("revenue") / F.col("orders"))
     )
 
@@ -116,8 +112,8 @@ def customer_order_sums(orders: DataFrame, lines: DataFrame, items: DataFrame) -
         F.count("*").alias("total_orders"), exact_sum("total_amount").alias("total_spend"), exact_avg("total_amount").alias("average_order_value"),
         exact_sum("discount_amount").alias("total_discount_received"), F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("last_order_date"), F.sum(F.when(F.col("promotion_id") != "", 1).otherwise(0)).alias("promo_orders"),
-        F.sum("units").cast("double").alias("total_items_purchased"), F.sum("gross").cast("double").alias("estimated_revenue"),
-        F.sum("profit").cast("double").alias("estimated_profit"))
+        exact_sum("units").alias("total_items_purchased"), exact_sum("gross").alias("estimated_revenue"),
+        exact_sum("profit").alias("estimated_profit"))
 
 
 def customer_analytics(customers, orders, lines, items) -> DataFrame:
@@ -163,8 +159,8 @@ def outlet_performance(orders, lines, items, outlets, locations) -> DataFrame:
     facts = completed(orders).join(order_line_sums(lines, items), "order_id", "left")
     sums = facts.groupBy("outlet_id").agg(
         F.count("*").alias("total_orders"), exact_sum("total_amount").alias("total_sales"), exact_avg("total_amount").alias("average_order_value"),
-        exact_sum("discount_amount").alias("total_discount"), F.sum("units").cast("double").alias("units_sold"),
-        F.sum("profit").cast("double").alias("estimated_profit"))
+        exact_sum("discount_amount").alias("total_discount"), exact_sum("units").alias("units_sold"),
+        exact_sum("profit").alias("estimated_profit"))
     doubles = ["total_sales", "average_order_value", "total_discount", "units_sold", "estimated_profit"]
     return outlets.join(sums, "outlet_id", "left").join(locations, "location_id", "left").withColumns(
         {d: zero(d) for d in doubles} | {"total_orders": zero_int("total_orders")})
@@ -187,7 +183,7 @@ def monthly_sales(orders) -> DataFrame:
 
 def share_of_total(df: DataFrame, column: str, name: str) -> DataFrame:
     """Percent of the whole set; ``df`` is an aggregate with few rows."""
-    total = F.sum(F.col(column).cast(DEC)).over(Window.partitionBy()).cast("double")
+    total = exact_sum_over(column, Window.partitionBy())
     return df.withColumn(name, F.when(total != 0, F.col(column) / total * 100).otherwise(F.lit(0.0)))
 
 
@@ -240,12 +236,12 @@ def promotion_usage(promotions, orders) -> DataFrame:
 
 def location_channel(orders, outlets, locations) -> DataFrame:
     by_outlet = completed(orders).groupBy("outlet_id", "order_channel").agg(
-        F.count("*").alias("n"), F.sum(F.col("total_amount").cast(DEC)).alias("s"),
+        F.count("*").alias("n"), exact_sum("total_amount").alias("s"),
         F.sum(F.when(c.is_weekend("order_date"), 1).otherwise(0)).alias("w"))
     places = outlets.join(locations, "location_id").select("outlet_id", "location_id", "city_area")
     out = by_outlet.join(places, "outlet_id").groupBy("city_area", "location_id", "order_channel").agg(
-        F.sum("n").alias("total_orders"), F.sum("s").cast("double").alias("total_sales"), F.sum("w").alias("weekend_orders"))
-    total = F.greatest(F.sum(F.col("total_sales").cast(DEC)).over(Window.partitionBy()).cast("double"), F.lit(1.0))
+        F.sum("n").alias("total_orders"), exact_sum("s").alias("total_sales"), F.sum("w").alias("weekend_orders"))
+    total = F.greatest(exact_sum_over("total_sales", Window.partitionBy()), F.lit(1.0))
     return (
         out.withColumn("average_order_value", F.col("total_sales") / F.col("total_orders"))
         .withColumn("weekend_order_share", c.safe_ratio("weekend_orders", "total_orders"))
@@ -273,7 +269,7 @@ def customer_category_mix(lines, orders, items) -> DataFrame:
 
 def weekend_share(lines, orders) -> DataFrame:
     """Share of a customer's completed orders with lines that fall on a weekend."""
-    has_lines = completed(orders).join(lines.select("order_id"), "order_id", "left_semi")
+    has_lines = completed(orders).join(lines.select("order_id").distinct(), "order_id", "left_semi")
     weekend = F.when(c.is_weekend("order_date"), 1).otherwise(0)
     return has_lines.groupBy("customer_id").agg((F.sum(weekend) / F.count("*")).alias("weekend_order_share"))
 
@@ -285,12 +281,12 @@ def item_behaviour(lines, orders) -> DataFrame:
     orders; distinct customers then come from (item, customer) partial rows.
     """
     o = completed(orders).select("order_id", "customer_id", (F.col("promotion_id") != "").alias("promo"), c.is_weekend("order_date").alias("weekend"))
-    per_order = lines.groupBy("item_id", "order_id").agg(F.count("*").alias("n"), F.sum(F.col("unit_price").cast(c.PRICE)).alias("p"))
+    per_order = lines.groupBy("item_id", "order_id").agg(F.count("*").alias("n"), exact_sum("unit_price", c.PRICE).alias("p"))
     per_customer = per_order.join(o, "order_id").groupBy("item_id", "customer_id").agg(
-        F.sum("n").alias("n"), F.sum("p").alias("p"), F.count("*").alias("orders"),
+        F.sum("n").alias("n"), exact_sum("p", c.PRICE).alias("p"), F.count("*").alias("orders"),
         F.sum(F.when(F.col("promo"), F.col("n")).otherwise(0)).alias("promo"), F.sum(F.when(F.col("weekend"), F.col("n")).otherwise(0)).alias("weekend"))
     return per_customer.groupBy("item_id").agg(
-        (F.sum("p").cast("double") / F.sum("n")).alias("avg_unit_price"), (F.sum("promo") / F.sum("n")).alias("promo_dependency"),
+        (exact_sum("p", c.PRICE) / F.sum("n")).alias("avg_unit_price"), (F.sum("promo") / F.sum("n")).alias("promo_dependency"),
         (F.sum("weekend") / F.sum("n")).alias("weekend_order_share"), F.count("*").alias("unique_customers"), F.sum("orders").alias("order_line_count"))
 
 
@@ -303,26 +299,25 @@ def payment_mix(orders, unlabelled: str = "Unspecified") -> DataFrame:
 def payment_pivot(orders, methods: list[str], unlabelled: str = "Unspecified") -> DataFrame:
     """Month by payment method; the method list is given, so no extra pass finds it."""
     method = F.coalesce(c.blank_to_null("payment_method"), F.lit(unlabelled))
-    rows = completed(orders).select(c.month_key("order_date").alias("month"), method.alias("method"), F.col("total_amount").cast(DEC).alias("a"))
-    pivoted = rows.groupBy("month").pivot("method", [*methods, unlabelled]).agg(F.sum("a"))
-    return pivoted.select("month", *[zero(F.col(f"`{m}`").cast("double")).alias(m.lower()) for m in [*methods, unlabelled]])
+    rows = completed(orders).select(c.month_key("order_date").alias("month"), method.alias("method"), F.col("total_amount").alias("a"))
+    pivoted = rows.groupBy("month").pivot("method", [*methods, unlabelled]).agg(exact_sum("a"))
+    return pivoted.select("month", *[zero(F.col(f"`{m}`")).alias(m.lower()) for m in [*methods, unlabelled]])
 
 
 def channel_refunds(orders) -> DataFrame:
     """Completed totals per channel next to the refunded amount, one scan."""
     done = c.is_completed()
-    amount = F.col("total_amount").cast(DEC)
     refunded = F.upper(F.trim("order_status")) == "REFUNDED"
     sums = orders.groupBy(F.col("order_channel").alias("channel")).agg(
-        F.count(F.when(done, 1)).alias("orders"), F.coalesce(F.sum(F.when(done, amount)).cast("double"), F.lit(0.0)).alias("revenue"),
-        F.coalesce(F.sum(F.when(refunded, amount)).cast("double"), F.lit(0.0)).alias("refunds"))
+        F.count(F.when(done, 1)).alias("orders"), zero(exact_sum(F.when(done, F.col("total_amount")))).alias("revenue"),
+        zero(exact_sum(F.when(refunded, F.col("total_amount")))).alias("refunds"))
     return sums.where("orders > 0").withColumn("avg_order_value", c.safe_ratio("revenue", "orders"))
 
 
 def outlet_type_totals(orders, outlets) -> DataFrame:
-    by_outlet = completed(orders).groupBy("outlet_id").agg(F.count("*").alias("n"), F.sum(F.col("total_amount").cast(DEC)).alias("r"))
+    by_outlet = completed(orders).groupBy("outlet_id").agg(F.count("*").alias("n"), exact_sum("total_amount").alias("r"))
     return by_outlet.join(outlets.select("outlet_id", "outlet_type"), "outlet_id").groupBy("outlet_type").agg(
-        F.sum("n").alias("orders"), F.sum("r").cast("double").alias("revenue"))
+        F.sum("n").alias("orders"), exact_sum("r").alias("revenue"))
 
 
 def area_month_matrix(monthly: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesmart.functions.columns import exact_sum
 from salesmart.functions.quantiles import exact_quantiles
 from salesmart.functions.ranking import running_total
 from salesmart.operators.features import CHURN_FEATURES, ITEM_FEATURES, ORDER_FEATURES, ml_split
@@ -153,10 +154,10 @@ def dual_summary(compared: DataFrame, task: str) -> DataFrame:
     hit = lambda p: F.count(F.when(p, 1))
     classes = compared.groupBy(F.col("actual").cast("string").alias("k")).agg(F.count("*").alias("n")).agg(
         F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct("k", "n")))))).scalar()
-    gap = F.abs(F.col("prob_a") - F.col("prob_b")).cast("decimal(20,12)")
+    gap = F.abs(F.col("prob_a") - F.col("prob_b"))
     sums = compared.agg(
         F.count("*").alias("cases"), hit(F.col("match")).alias("matching_cases"), hit(F.col("pred_a") == F.col("actual")).alias("_a"),
-        hit(F.col("pred_b") == F.col("actual")).alias("_b"), F.sum(gap).cast("double").alias("_g"))
+        hit(F.col("pred_b") == F.col("actual")).alias("_b"), exact_sum(gap, 12).alias("_g"))
     n = F.col("cases")
     return sums.select(
         F.lit(task).alias("task"), "cases", "matching_cases", (n - F.col("matching_cases")).alias("disagreeing_cases"),

@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from salesmart.functions import columns as c
 from salesmart.operators.enrich import completed
 
-DEC = c.MONEY
-
 
 def daily_control(orders: DataFrame, first: str, last: str) -> DataFrame:
     """Running count and sales of promotion-free orders per outlet over a dense calendar.
@@ -17,12 +15,12 @@ def daily_control(orders: DataFrame, first: str, last: str) -> DataFrame:
     The window sees one row per outlet and day, whatever the number of orders.
     """
     control = completed(orders).where("promotion_id = ''").groupBy("outlet_id", F.col("order_date").alias("day")).agg(
-        F.count("*").alias("n"), F.sum(F.col("total_amount").cast(DEC)).alias("s"))
+        F.count("*").alias("n"), c.exact_sum("total_amount").alias("s"))
     calendar = control.select("outlet_id").distinct().withColumn("day", F.explode(F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))))
     run = Window.partitionBy("outlet_id").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
     dense = calendar.join(control, ["outlet_id", "day"], "left")
     return dense.select("outlet_id", "day", F.sum(F.coalesce("n", F.lit(0))).over(run).alias("run_n"),
-                        F.sum(F.coalesce(F.col("s"), F.lit(0).cast("decimal(28,4)"))).over(run).alias("run_s"))
+                        c.exact_sum_over(c.zero("s"), run).alias("run_s"))
 
 
 def promo_effectiveness(promotions: DataFrame, orders: DataFrame, first: str, last: str) -> DataFrame:
@@ -33,22 +31,21 @@ def promo_effectiveness(promotions: DataFrame, orders: DataFrame, first: str, la
     promotions are kept, also those nobody used.
     """
     own = completed(orders).where("promotion_id <> ''").groupBy(F.col("promotion_id").cast("long").alias("promotion_id"), "outlet_id", "order_date").agg(
-        F.count("*").alias("n"), F.sum(F.col("total_amount").cast(DEC)).alias("s"), F.sum(F.col("discount_amount").cast(DEC)).alias("x"))
+        F.count("*").alias("n"), c.exact_sum("total_amount").alias("s"), c.exact_sum("discount_amount").alias("x"))
     in_window = own.join(promotions.select("promotion_id", "outlet_id", "start_date", "end_date"), ["promotion_id", "outlet_id"]).where(
         F.col("order_date").between(F.col("start_date"), F.col("end_date")))
     used = in_window.groupBy("promotion_id").agg(
-        F.sum("n").alias("promo_orders"), F.sum("s").cast("double").alias("promo_sales"), F.sum("x").cast("double").alias("promo_discount_spent"))
+        F.sum("n").alias("promo_orders"), c.exact_sum("s").alias("promo_sales"), c.exact_sum("x").alias("promo_discount_spent"))
 
     running = daily_control(orders, first, last)
     end = running.select("outlet_id", F.col("day").alias("to_day"), F.col("run_n").alias("to_n"), F.col("run_s").alias("to_s"))
     start = running.select("outlet_id", F.col("day").alias("from_day"), F.col("run_n").alias("from_n"), F.col("run_s").alias("from_s"))
     bounds = promotions.withColumn("to_day", F.least("end_date", F.lit(last).cast("date"))).withColumn(
         "from_day", F.least(F.date_sub("start_date", 1), F.lit(last).cast("date")))
-    nothing = F.lit(0).cast("decimal(38,4)")
     both = (
         bounds.join(end, ["outlet_id", "to_day"], "left").join(start, ["outlet_id", "from_day"], "left").join(used, "promotion_id", "left")
         .withColumn("control_orders", F.coalesce("to_n", F.lit(0)) - F.coalesce("from_n", F.lit(0)))
-        .withColumn("control_sales", (F.coalesce(F.col("to_s"), nothing) - F.coalesce(F.col("from_s"), nothing)).cast("double"))
+        .withColumn("control_sales", c.on_grid(c.zero("to_s") - c.zero("from_s")))
         .withColumn("promo_orders", c.zero_int("promo_orders")).withColumn("promo_discount_spent", c.zero("promo_discount_spent"))
         .withColumn("promo_avg_order_value", c.safe_ratio("promo_sales", "promo_orders"))
         .withColumn("control_avg_order_value", c.safe_ratio("control_sales", "control_orders"))
@@ -71,5 +68,5 @@ def promo_stats(effects: DataFrame) -> DataFrame:
     group = F.explode(F.array(F.lit("all"), F.when(F.col("promotion_trap"), "traps").otherwise("healthy")))
     return effects.withColumn("subset", group).groupBy("subset").agg(
         F.count("*").alias("promotions"), F.count(F.when(F.col("promotion_trap"), 1)).alias("traps"),
-        c.exact_avg("aov_lift_percentage", "decimal(30,8)").alias("avg_lift"),
-        c.exact_sum("incremental_revenue_estimate", "decimal(30,6)").alias("total_incremental"), c.exact_sum("promo_discount_spent").alias("total_discount_spend"))
+        c.exact_avg("aov_lift_percentage", 8).alias("avg_lift"),
+        c.exact_sum("incremental_revenue_estimate", 6).alias("total_incremental"), c.exact_sum("promo_discount_spent").alias("total_discount_spend"))

@@ -98,7 +98,7 @@ def check_owner_match(ratings: DataFrame, orders: DataFrame) -> DataFrame:
 
 def check_pair_membership(ratings: DataFrame, lines: DataFrame) -> DataFrame:
     """Ratings of an item the order does not contain."""
-    orphan = ratings.join(lines.select("order_id", "item_id"), ["order_id", "item_id"], "left_anti")
+    orphan = ratings.join(lines.select("order_id", "item_id").distinct(), ["order_id", "item_id"], "left_anti")
     return _single(orphan, "ratings", "fk_item_in_order", F.count("*"))
 
 

@@ -28,8 +28,7 @@ def kpi_overview(orders: DataFrame, outlets: DataFrame, day: str) -> DataFrame:
     today = F.lit(day).cast("date")
     rows = orders.where(F.col("order_date").between(F.date_sub(today, 1), today)).join(outlets.select("outlet_id", "location_id"), "outlet_id")
     now, done = F.col("order_date") == today, c.is_completed()
-    amount = F.col("total_amount").cast(c.MONEY)
-    money = lambda p: F.coalesce(F.sum(F.when(p, amount)).cast("double"), F.lit(0.0))
+    money = lambda p: c.zero(exact_sum(F.when(p, F.col("total_amount"))))
     sums = rows.agg(
         money(now & done).alias("revenue_v"), money(~now & done).alias("revenue_p"),
         F.count(F.when(now, 1)).cast("double").alias("orders_v"), F.count(F.when(~now, 1)).cast("double").alias("orders_p"),
@@ -126,12 +125,12 @@ def dish_ranking(lines, orders, items, search: str = "", include_all: bool = Fal
     """Items ranked by net revenue; ``search`` keeps the rank among all items."""
     o = (orders if include_all else completed(orders)).select("order_id")
     per_order = lines.join(o, "order_id").groupBy("item_id", "order_id").agg(
-        F.sum(F.col("quantity").cast(c.MONEY)).alias("u"), F.sum(F.col("net_revenue").cast(c.MONEY)).alias("r"))
+        exact_sum("quantity").alias("u"), exact_sum("net_revenue").alias("r"))
     sums = per_order.groupBy("item_id").agg(
-        F.sum("u").cast("double").alias("units"), F.sum("r").cast("double").alias("revenue"), F.count("*").alias("orders"))
+        exact_sum("u").alias("units"), exact_sum("r").alias("revenue"), F.count("*").alias("orders"))
     named = sums.join(items.select("item_id", "item_name", "category_name", "cost_price"), "item_id")
-    cost = F.col("units").cast(c.MONEY) * F.col("cost_price").cast("decimal(12,4)")
-    stored = materialize(named.withColumn("contribution", (F.col("revenue").cast(c.MONEY) - cost).cast("double")).drop("cost_price"), "dishes")
+    contribution = c.on_grid(F.col("revenue") - c.on_grid(F.col("units") * F.col("cost_price")))
+    stored = materialize(named.withColumn("contribution", contribution).drop("cost_price"), "dishes")
     ranked = global_rank(stored, "revenue", "item_id")
     if search:
         text = search.lower()
@@ -148,13 +147,13 @@ def revenue_series(orders: DataFrame, day: str) -> DataFrame:
     """Day, 7-day and 30-day revenue against the previous equal window, one scan."""
     end = F.lit(day).cast("date")
     age = F.datediff(end, "order_date")
-    rows = completed(orders).where(age.between(0, 59)).select(age.alias("age"), F.col("total_amount").cast(c.MONEY).alias("a"))
+    rows = completed(orders).where(age.between(0, 59)).select(age.alias("age"), F.col("total_amount").alias("a"))
     spans = {"today": 1, "week": 7, "month": 30}
     aggs = []
     for n, days in spans.items():
         now, before = F.col("age") < days, F.col("age").between(days, 2 * days - 1)
-        aggs += [F.coalesce(F.sum(F.when(now, F.col("a"))).cast("double"), F.lit(0.0)).alias(f"{n}_v"),
-                 F.coalesce(F.sum(F.when(before, F.col("a"))).cast("double"), F.lit(0.0)).alias(f"{n}_p"), F.count(F.when(now, 1)).alias(f"{n}_n")]
+        aggs += [c.zero(exact_sum(F.when(now, F.col("a")))).alias(f"{n}_v"),
+                 c.zero(exact_sum(F.when(before, F.col("a")))).alias(f"{n}_p"), F.count(F.when(now, 1)).alias(f"{n}_n")]
     return long_rows(rows.agg(*aggs), list(spans), lambda n: [
         F.lit(n).alias("range"), F.col(f"{n}_v").alias("total"), F.col(f"{n}_p").alias("prev_total"), F.col(f"{n}_n").alias("orders"),
         c.trend_percent(f"{n}_v", f"{n}_p").alias("trend_pct")])

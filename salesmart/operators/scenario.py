@@ -67,7 +67,7 @@ def what_if_class(classes: DataFrame, elasticity: DataFrame) -> DataFrame:
     e = classes.join(elasticity.select("item_id", "price_elasticity"), "item_id", "left").withColumn("e", F.coalesce("price_elasticity", F.lit(-1.0)))
     sums = e.groupBy("business_class").agg(
         F.count("*").alias("affected_items"), exact_sum("revenue").alias("baseline_revenue"), exact_sum("estimated_profit").alias("baseline_profit"),
-        exact_sum("estimated_cost").alias("cost"), exact_sum("units_sold").alias("units"), exact_avg("e", "decimal(18,3)").alias("mean_e"))
+        exact_sum("estimated_cost").alias("cost"), exact_sum("units_sold").alias("units"), exact_avg("e", 3).alias("mean_e"))
     table = F.array(*[F.struct(F.lit(n).alias("scenario"), F.lit(s).alias("scope"), F.lit(p).alias("price_change_percentage")) for n, s, p in CLASS_SCENARIOS])
     runs = sums.where("units <> 0").select("*", F.inline(table)).where("scope = business_class")
     factor = 1 + F.col("price_change_percentage") / 100.0

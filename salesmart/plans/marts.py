@@ -111,12 +111,12 @@ def _(d):
 
 @query("semi_join_customers", "SELECT * FROM cust WHERE customer_id IN (SELECT customer_id FROM done)")
 def _(d):
-    return d.customers.join(enrich.completed(d.orders).select("customer_id"), "customer_id", "left_semi")
+    return d.customers.join(enrich.completed(d.orders).select("customer_id").distinct(), "customer_id", "left_semi")
 
 
 @query("anti_join_holdout", "SELECT * FROM cust WHERE customer_id NOT IN (SELECT customer_id FROM purchase_user)")
 def _(d):
-    held_out = d.table("events").where("event_type = 'purchase'").select(F.col("user_id").alias("customer_id"))
+    held_out = d.table("events").where("event_type = 'purchase'").select(F.col("user_id").alias("customer_id")).distinct()
     return d.customers.join(held_out, "customer_id", "left_anti")
 
 
@@ -149,7 +149,7 @@ def _(d):
 
 
 @query("backfill_labels", """
-    SELECT o.order_id, o.customer_id, o.order_date, o.order_hour, o.order_status, o.order_channel, o.total_amount, o.outlet_id,
+    SELECT o.order_id, o.customer_id, o.order_date, o.order_hour, o.order_status, o.is_completed, o.order_channel, o.total_amount, o.outlet_id,
       coalesce(nullif(trim(o.payment_method), ''), nullif(trim(k.preferred_channel), ''), 'Unspecified') AS payment_method
     FROM ord o LEFT JOIN cust k ON o.customer_id = k.customer_id""")
 def _(d):
@@ -169,7 +169,7 @@ def _(d):
 # ---- derived columns -------------------------------------------------------
 
 
-@query("completed_orders", "SELECT order_id, customer_id, order_date, order_hour, order_status, order_channel, total_amount FROM done")
+@query("completed_orders", "SELECT order_id, customer_id, order_date, order_hour, order_status, is_completed, order_channel, total_amount FROM done")
 def _(d):
     return enrich.completed(d.orders)
 
@@ -209,14 +209,14 @@ def _(d):
                                  c.safe_ratio("total_amount", "discount_amount").alias("spend_per_discount"))
 
 
-@query("high_value_flag", """SELECT order_id, customer_id, order_date, order_hour, order_status, order_channel, total_amount,
+@query("high_value_flag", """SELECT order_id, customer_id, order_date, order_hour, order_status, is_completed, order_channel, total_amount,
     total_amount >= (SELECT quantile_cont(total_amount, 0.9) FROM ord) AS is_high_value_order FROM ord""")
 def _(d):
     return enrich.high_value_flag(d.orders)
 
 
 @query("category_codes", """WITH v AS (SELECT order_id, coalesce(nullif(trim(payment_method), ''), 'Unknown') AS p FROM ord)
-    SELECT o.order_id, o.customer_id, o.order_date, o.order_hour, o.order_status, o.order_channel, o.total_amount, o.outlet_id, o.payment_method,
+    SELECT o.order_id, o.customer_id, o.order_date, o.order_hour, o.order_status, o.is_completed, o.order_channel, o.total_amount, o.outlet_id, o.payment_method,
       c.code AS payment_code
     FROM ord o JOIN v ON o.order_id = v.order_id JOIN (SELECT p, row_number() OVER (ORDER BY p) - 1 AS code FROM (SELECT DISTINCT p FROM v)) c ON v.p = c.p""")
 def _(d):

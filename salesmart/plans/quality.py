@@ -40,7 +40,7 @@ def _(d):
     return files.schema_drift(d.spark, inferred.schema, contracts.schema("customers"), "customers")
 
 
-ORDER_MONTHS = """SELECT order_id, customer_id, order_date, order_hour, order_status, order_channel, total_amount,
+ORDER_MONTHS = """SELECT order_id, customer_id, order_date, order_hour, order_status, is_completed, order_channel, total_amount,
     strftime(order_date, '%Y-%m') AS order_month FROM ord"""
 
 

@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from salesmart.functions.columns import on_grid
 from salesmart.operators import anomaly, cleaning, customers, items, marts, reporting, scenario
 from salesmart.plans.analytics import effects, item_frame
 from salesmart.plans.registry import query, shared_view
@@ -260,5 +261,5 @@ def _(d):
 def _(d):
     base = marts.completed_item_sums(d.lines, d.orders, d.items)
     revenue = base.select("item_id", F.col("net_revenue").alias("revenue"), F.col("units_sold").alias("units"),
-                          (F.col("net_revenue").cast("decimal(18,4)") - F.col("estimated_cost").cast("decimal(18,4)")).cast("double").alias("contribution"))
+                          on_grid(F.col("net_revenue") - F.col("estimated_cost")).alias("contribution"))
     return scenario.what_if_item(revenue, items.loss_risk(d.losses, d.lines, d.orders), 10.0)

@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from salesmart.functions.columns import month_key
+from salesmart.functions.columns import PRICE, exact_sum, month_key
 
 # The analysis window of the bound data and the day dashboards read.
 PERIOD_START = "1995-01-01"
@@ -107,6 +107,7 @@ class Dataset:
             F.col("o_orderdate").cast("date").alias("order_date"),
             F.pmod(F.col("o_orderkey"), F.lit(24)).cast("int").alias("order_hour"),
             F.when(status == "F", "Completed").when(status == "O", "Cancelled").otherwise("Refunded").alias("order_status"),
+            (status == "F").alias("is_completed"),
             F.col("o_orderpriority").alias("order_channel"),
             F.col("o_totalprice").alias("total_amount"),
         )
@@ -197,11 +198,11 @@ class Dataset:
     @cached_property
     def prices(self) -> DataFrame:
         """Mean unit price by brand and month with the previous month's price."""
-        per_item = self.lines.select("item_id", month_key("ship_date").alias("month"), F.col("unit_price").cast("decimal(18,8)").alias("p")).groupBy(
-            "item_id", "month").agg(F.sum("p").alias("s"), F.count("p").alias("n"))
+        per_item = self.lines.select("item_id", month_key("ship_date").alias("month"), "unit_price").groupBy(
+            "item_id", "month").agg(exact_sum("unit_price", PRICE).alias("s"), F.count("*").alias("n"))
         monthly = (
             per_item.join(self.items.select("item_id", "brand"), "item_id")
-            .groupBy("brand", "month").agg((F.sum("s").cast("double") / F.sum("n")).alias("new_price"))
+            .groupBy("brand", "month").agg((exact_sum("s", PRICE) / F.sum("n")).alias("new_price"))
         )
         by_brand = Window.partitionBy("brand").orderBy("month")
         return monthly.withColumn("old_price", F.lag("new_price").over(by_brand))
@@ -259,7 +260,7 @@ ORACLE_VIEWS = {
         (DATE '1995-01-01' + ((s_suppkey * 53) % 2300 + 30 + s_suppkey % 60)::INT)::DATE AS end_date FROM supplier""",
     "ord": """SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderdate::DATE AS order_date,
         (o_orderkey % 24)::INT AS order_hour,
-        CASE o_orderstatus WHEN 'F' THEN 'Completed' WHEN 'O' THEN 'Cancelled' ELSE 'Refunded' END AS order_status,
+        CASE o_orderstatus WHEN 'F' THEN 'Completed' WHEN 'O' THEN 'Cancelled' ELSE 'Refunded' END AS order_status, o_orderstatus = 'F' AS is_completed,
         o_orderpriority AS order_channel, o_totalprice AS total_amount, c_nationkey::BIGINT AS outlet_id,
         CASE WHEN o_orderkey % 101 = 0 THEN '' ELSE c_mktsegment END AS payment_method
         FROM orders JOIN customer ON o_custkey = c_custkey""",

@@ -16,7 +16,7 @@ def windowed(events: DataFrame, width: str, slide: str | None = None, delay: str
     """Events and value per type and (tumbling or sliding) window."""
     span = F.window("ts", width, slide) if slide else F.window("ts", width)
     sums = events.withWatermark("ts", delay).groupBy(span.alias("w"), "event_type").agg(
-        F.count("*").alias("events"), F.sum(F.col("value").cast(c.MONEY)).cast("double").alias("total_value"))
+        F.count("*").alias("events"), c.exact_sum("value").alias("total_value"))
     return sums.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "event_type", "events", "total_value")
 
 
@@ -27,7 +27,7 @@ def stream_windows(events: DataFrame, width: str, slide: str | None = None) -> D
 def sessions(events: DataFrame, gap: str = "30 minutes", delay: str = "1 hour") -> DataFrame:
     """Activity sessions per user."""
     s = events.withWatermark("ts", delay).groupBy("user_id", F.session_window("ts", gap).alias("w")).agg(
-        F.count("*").alias("events"), F.sum(F.col("value").cast(c.MONEY)).cast("double").alias("total_value"))
+        F.count("*").alias("events"), c.exact_sum("value").alias("total_value"))
     return s.select("user_id", F.col("w.start").cast("timestamp_ntz").alias("session_start"), F.col("w.end").cast("timestamp_ntz").alias("session_end"), "events", "total_value")
 
 
@@ -60,8 +60,8 @@ def stream_quarantine(events: DataFrame, rules: list[tuple[str, Column]]) -> tup
 
 def baseline(events: DataFrame) -> DataFrame:
     """Mean and deviation per event type from exact power sums, the static side of the alerts."""
-    v = F.col("value").cast("decimal(12,2)")
-    s = events.groupBy("event_type").agg(F.count("*").alias("n"), F.sum(v).cast("double").alias("s1"), F.sum((v * v).cast("decimal(24,4)")).cast("double").alias("s2"))
+    v = F.col("value")
+    s = events.groupBy("event_type").agg(F.count("*").alias("n"), c.exact_sum(v, 2).alias("s1"), c.exact_sum(v * v, 4).alias("s2"))
     variance = (F.col("s2") - F.col("s1") * F.col("s1") / F.col("n")) / (F.col("n") - 1)
     return s.select("event_type", (F.col("s1") / F.col("n")).alias("mu"), F.sqrt(variance).alias("sigma"))
 
