@@ -77,6 +77,20 @@ def month_key(date: str | Column) -> Column:
     return F.date_format(col(date), "yyyy-MM")
 
 
+def month_start(date: str | Column) -> Column:
+    """First day of the month: the cheap grouping key; format it after the aggregation."""
+    return F.trunc(col(date), "month")
+
+
+# Weekday names, Monday first.
+WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
+
+
+def weekday_name(number: str | Column) -> Column:
+    """Name of a 0-based weekday number."""
+    return F.element_at(F.array(*[F.lit(n) for n in WEEKDAYS]), col(number) + 1)
+
+
 def is_weekend(date: str | Column) -> Column:
     return F.weekday(col(date)) >= 5
 

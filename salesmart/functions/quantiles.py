@@ -1,8 +1,8 @@
 """Exact interpolated quantiles without collecting a column into one task.
 
 The built-in ``percentile`` keeps every distinct value of a group in one buffer,
-which is fine for small groups but not for a column with 10^11 rows. Here an
-approximate sketch first brackets each wanted rank; a second pass counts the rows
+which is fine for a table of checked small size but not for a column with 10^11
+rows. Beyond that size an approximate sketch first brackets each wanted rank; a second pass counts the rows
 below the bracket (one row per map task after partial aggregation) and keeps the
 distinct values only inside it, so the final ordering sees a sliver of the data.
 """
@@ -15,10 +15,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ACCURACY = 20_000
+SMALL_BYTES = 32 << 20
 
 
-def exact_quantiles(df: DataFrame, column: str, probs: dict[str, float], accuracy: int = ACCURACY) -> DataFrame:
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's size estimate: the file size for a stored table, an upper bound for filters on it."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def exact_quantiles(
+    df: DataFrame, column: str, probs: dict[str, float], accuracy: int = ACCURACY, small_bytes: int = SMALL_BYTES
+) -> DataFrame:
     """One row with a column per entry of ``probs`` (name -> probability)."""
+    if estimated_bytes(df.select(column)) <= small_bytes:
+        return df.agg(*[F.percentile(column, F.lit(float(p))).alias(n) for n, p in probs.items()])
+    return bracketed_quantiles(df, column, probs, accuracy)
+
+
+def bracketed_quantiles(df: DataFrame, column: str, probs: dict[str, float], accuracy: int = ACCURACY) -> DataFrame:
+    """The distributed form, two passes over ``df``."""
     names = list(probs)
     margin = 2.0 / accuracy
     low = [max(0.0, probs[n] - margin) for n in names]
@@ -79,6 +94,10 @@ def with_quantiles(df: DataFrame, specs: Sequence[tuple[str, str, float]]) -> Da
     by_column: dict[str, dict[str, float]] = {}
     for name, column, p in specs:
         by_column.setdefault(column, {})[name] = p
+    if estimated_bytes(df) <= SMALL_BYTES:
+        row = df.agg(*[F.percentile(column, F.lit(float(p))).alias(n) for n, column, p in specs])
+        names = [n for n, _, _ in specs]
+        return df.withColumn("_q", row.select(F.struct("*")).scalar()).select(*df.columns, *[F.col(f"_q.{n}").alias(n) for n in names])
     out = df
     for column, probs in by_column.items():
         row = exact_quantiles(df, column, probs).select(F.struct("*"))

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from salesmart.functions.quantiles import SMALL_BYTES, estimated_bytes
+
 BUCKETS = 100
 
 
@@ -37,14 +39,18 @@ def with_buckets(df: DataFrame, value: str, key: str | None, buckets: int = BUCK
 def running_total(df: DataFrame, value: str, key: str | None, amounts: dict[str, str], buckets: int = BUCKETS) -> DataFrame:
     """Sums of ``amounts`` (new name -> column) over all rows before this one in descending ``value``.
 
-    ``df`` is read several times: pass a stored table.
+    ``df`` is read several times: pass a stored table. One of checked small size is
+    ordered directly.
     """
+    order = [F.desc(value)] + ([F.col(key)] if key else [])
+    if buckets == BUCKETS and estimated_bytes(df) <= SMALL_BYTES:
+        all_before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return df.select(*df.columns, *[F.coalesce(F.sum(col).over(all_before), F.lit(0)).alias(n) for n, col in amounts.items()])
     b = with_buckets(df, value, key, buckets)
     totals = b.groupBy("_b", "_s").agg(*[F.sum(col).alias(f"_t_{n}") for n, col in amounts.items()])
     before = Window.orderBy("_b", "_s").rowsBetween(Window.unboundedPreceding, -1)
     # At most 2 x buckets values plus buckets x buckets tie groups, whatever the data.
     offsets = totals.select("_b", "_s", *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in amounts])
-    order = [F.desc(value)] + ([F.col(key)] if key else [])
     inside = Window.partitionBy("_b", "_s").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     joined = b.join(F.broadcast(offsets), ["_b", "_s"])
     return joined.select(*df.columns, *[(F.col(f"_o_{n}") + F.coalesce(F.sum(col).over(inside), F.lit(0))).alias(n) for n, col in amounts.items()])

@@ -9,19 +9,22 @@ from salesmart.functions import columns as c
 from salesmart.functions.columns import exact_avg, exact_sum, zero, zero_int
 from salesmart.functions.quantiles import with_quantiles
 from salesmart.operators.enrich import completed
-from salesmart.operators.marts import item_behaviour, item_performance, loss_by_item
+from salesmart.operators.marts import item_sales, loss_by_item, with_cost
 from salesmart.storage import materialize
 
 
 def item_frame(lines, orders, items, ratings, losses) -> DataFrame:
-    """Sales, rating, loss and behaviour measures per sold item, zeros where absent."""
+    """Sales, rating, loss and behaviour measures per sold item, zeros where absent.
+
+    Sales and behaviour come from one pass over the lines.
+    """
+    sales = with_cost(item_sales(lines, orders), items).drop("d").withColumn("profit_margin_percentage", c.safe_percent("estimated_profit", "revenue"))
     scores = ratings.groupBy("item_id").agg(F.count("rating").alias("rating_count"), (F.sum("rating") / F.count("rating")).alias("average_rating"))
     wasted = loss_by_item(losses).select("item_id", "quantity_wasted")
-    df = item_performance(lines, orders, items).join(scores, "item_id", "left").join(wasted, "item_id", "left").join(
-        item_behaviour(lines, orders), "item_id", "left")
-    filled = df.withColumns({n: zero(n) for n in ("average_rating", "quantity_wasted", "avg_unit_price", "promo_dependency", "weekend_order_share")}
-                            | {n: zero_int(n) for n in ("rating_count", "unique_customers", "order_line_count")})
-    return filled.withColumn("wastage_ratio", F.col("quantity_wasted") / F.greatest(F.col("units_sold") + F.col("quantity_wasted"), F.lit(1.0)))
+    df = sales.join(scores, "item_id", "left").join(wasted, "item_id", "left")
+    filled = df.withColumns({n: zero(n) for n in ("average_rating", "quantity_wasted")} | {"rating_count": zero_int("rating_count")})
+    return filled.withColumn("average_selling_price", F.col("avg_unit_price")).withColumn(
+        "wastage_ratio", F.col("quantity_wasted") / F.greatest(F.col("units_sold") + F.col("quantity_wasted"), F.lit(1.0)))
 
 
 def item_business_class(frame: DataFrame) -> DataFrame:
@@ -71,7 +74,7 @@ def loss_risk(losses: DataFrame, lines: DataFrame, orders: DataFrame, per_item_t
 def price_elasticity(lines: DataFrame, orders: DataFrame, min_months: int = 4) -> DataFrame:
     """Slope of ln(units) on ln(mean price) over months, per item."""
     sold = lines.select("order_id", "item_id", "quantity", "unit_price").join(completed(orders).select("order_id", "order_date"), "order_id")
-    monthly = sold.groupBy("item_id", c.month_key("order_date").alias("month")).agg(
+    monthly = sold.groupBy("item_id", c.month_start("order_date").alias("month")).agg(
         exact_sum("quantity").alias("units"), exact_avg("unit_price", c.PRICE).alias("price")).where("units > 0 and price > 0")
     fit = monthly.groupBy("item_id").agg(
         F.count("*").alias("months_observed"), exact_avg("price", 10).alias("average_price"), exact_sum("units").alias("total_units"),

@@ -31,10 +31,15 @@ def completed_item_sums(lines: DataFrame, orders: DataFrame, items: DataFrame) -
         exact_sum("net_revenue").alias("net_revenue"),
         exact_avg("unit_price", c.PRICE).alias("average_selling_price"),
     )
+    return with_cost(sums, items).drop("d")
+
+
+def with_cost(sums: DataFrame, items: DataFrame) -> DataFrame:
+    """Item attributes, cost and profit for per-item ``units_sold``, ``revenue`` and discount ``d``."""
     cost = on_grid(F.col("units_sold") * F.col("cost_price"))
+    measures = [n for n in sums.columns if n != "item_id"]
     return sums.join(items, "item_id").select(
-        *items.columns, "units_sold", "order_lines", "revenue", "net_revenue", cost.alias("estimated_cost"),
-        on_grid(F.col("revenue") - F.col("d") - cost).alias("estimated_profit"), "average_selling_price")
+        *items.columns, *measures, cost.alias("estimated_cost"), on_grid(F.col("revenue") - F.col("d") - cost).alias("estimated_profit"))
 
 
 def order_line_sums(lines: DataFrame, items: DataFrame | None = None) -> DataFrame:
@@ -56,10 +61,10 @@ def monthly_revenue(lines, orders, outlets, locations) -> DataFrame:
     per_order = order_line_sums(lines).select("order_id", "net")
     by_outlet = (
         completed(orders).join(per_order, "order_id")
-        .groupBy(c.month_key("order_date").alias("month"), "outlet_id").agg(F.count("*").alias("n"), exact_sum("net").alias("r"))
+        .groupBy(c.month_start("order_date").alias("m"), "outlet_id").agg(F.count("*").alias("n"), exact_sum("net").alias("r"))
     )
     places = outlets.join(locations, "location_id").select("outlet_id", "city_area")
-    return by_outlet.join(places, "outlet_id").groupBy("month", "city_area").agg(
+    return by_outlet.join(places, "outlet_id").groupBy(c.month_key("m").alias("month"), "city_area").agg(
         F.sum("n").alias("orders"), exact_sum("r").alias("revenue"))
 
 
@@ -77,8 +82,9 @@ def category_revenue_share(lines, orders, items, categories) -> DataFrame:
 
 
 def channel_monthly(orders) -> DataFrame:
-    return completed(orders).groupBy(c.month_key("order_date").alias("month"), "order_channel").agg(
+    by_month = completed(orders).groupBy(c.month_start("order_date").alias("m"), "order_channel").agg(
         F.count("*").alias("orders"), exact_sum("total_amount").alias("revenue"))
+    return by_month.select(c.month_key("m").alias("month"), "order_channel", "orders", "revenue")
 
 
 def peak_hours(orders) -> DataFrame:
@@ -178,7 +184,8 @@ def daily_sales(orders) -> DataFrame:
 
 
 def monthly_sales(orders) -> DataFrame:
-    return completed(orders).groupBy(c.month_key("order_date").alias("month")).agg(*sales_measures())
+    by_month = completed(orders).groupBy(c.month_start("order_date").alias("month")).agg(*sales_measures())
+    return by_month.withColumn("month", c.month_key("month"))
 
 
 def share_of_total(df: DataFrame, column: str, name: str) -> DataFrame:
@@ -191,14 +198,15 @@ def channel_analysis(orders) -> DataFrame:
     return share_of_total(completed(orders).groupBy("order_channel").agg(*sales_measures()), "total_sales", "sales_percentage")
 
 
-def with_period(orders) -> DataFrame:
-    return completed(orders).select(
-        F.date_format("order_date", "EEEE").alias("day_of_week"), c.is_weekend("order_date").alias("is_weekend"),
-        c.day_part("order_hour").alias("time_period"), "order_channel", "total_amount")
+def by_period(orders, *keys: str) -> DataFrame:
+    """Sales per weekday, day part and ``keys``; the weekday is named after the aggregation."""
+    cells = completed(orders).groupBy(F.weekday("order_date").alias("_d"), c.day_part("order_hour").alias("time_period"), *keys).agg(*sales_measures(False))
+    return cells.select(c.weekday_name("_d").alias("day_of_week"), (F.col("_d") >= 5).alias("is_weekend"), "time_period", *keys,
+                        "total_orders", "total_sales", "average_order_value")
 
 
 def time_pattern(orders) -> DataFrame:
-    return with_period(orders).groupBy("day_of_week", "is_weekend", "time_period").agg(*sales_measures(False))
+    return by_period(orders)
 
 
 def peak_period(orders) -> DataFrame:
@@ -206,8 +214,7 @@ def peak_period(orders) -> DataFrame:
 
     At most weekdays x parts x channels cells, so the built-in exact percentile fits one task.
     """
-    cells = with_period(orders).groupBy("day_of_week", "is_weekend", "time_period", "order_channel").agg(*sales_measures(False))
-    shared = share_of_total(cells, "total_orders", "order_share_percentage")
+    shared = share_of_total(by_period(orders, "order_channel"), "total_orders", "order_share_percentage")
     cut = F.percentile("total_orders", F.lit(0.75)).over(Window.partitionBy())
     return shared.withColumn("is_peak_cell", F.col("total_orders") >= cut)
 
@@ -274,20 +281,31 @@ def weekend_share(lines, orders) -> DataFrame:
     return has_lines.groupBy("customer_id").agg((F.sum(weekend) / F.count("*")).alias("weekend_order_share"))
 
 
-def item_behaviour(lines, orders) -> DataFrame:
-    """Per item: mean price, promo and weekend shares per line, distinct customers and orders.
+def item_sales(lines, orders) -> DataFrame:
+    """Per item over completed orders: sales sums, per-line shares, distinct customers and orders.
 
-    Line measures are first summed per (item, order), which also gives the distinct
-    orders; distinct customers then come from (item, customer) partial rows.
+    One chain of groupings replaces distinct counts: rows of an (item, order) fold where
+    the join on order_id has just placed them, then (item, customer) rows, then items.
     """
     o = completed(orders).select("order_id", "customer_id", (F.col("promotion_id") != "").alias("promo"), c.is_weekend("order_date").alias("weekend"))
-    per_order = lines.groupBy("item_id", "order_id").agg(F.count("*").alias("n"), exact_sum("unit_price", c.PRICE).alias("p"))
-    per_customer = per_order.join(o, "order_id").groupBy("item_id", "customer_id").agg(
-        F.sum("n").alias("n"), exact_sum("p", c.PRICE).alias("p"), F.count("*").alias("orders"),
+    gross = F.col("quantity") * F.col("unit_price")
+    sums = {"p": ("unit_price", c.PRICE), "u": ("quantity", 4), "d": ("line_discount", 4), "net": ("net_revenue", 4)}
+    per_order = lines.join(o, "order_id").groupBy("order_id", "item_id", "customer_id", "promo", "weekend").agg(
+        F.count("*").alias("n"), exact_sum(gross).alias("g"), *[exact_sum(col, digits).alias(n) for n, (col, digits) in sums.items()])
+    again = [exact_sum(n, digits).alias(n) for n, digits in (("g", 4), *((n, s[1]) for n, s in sums.items()))]
+    per_customer = per_order.groupBy("item_id", "customer_id").agg(
+        F.sum("n").alias("n"), F.count("*").alias("orders"), *again,
         F.sum(F.when(F.col("promo"), F.col("n")).otherwise(0)).alias("promo"), F.sum(F.when(F.col("weekend"), F.col("n")).otherwise(0)).alias("weekend"))
+    lines_n = F.sum("n")
     return per_customer.groupBy("item_id").agg(
-        (exact_sum("p", c.PRICE) / F.sum("n")).alias("avg_unit_price"), (F.sum("promo") / F.sum("n")).alias("promo_dependency"),
-        (F.sum("weekend") / F.sum("n")).alias("weekend_order_share"), F.count("*").alias("unique_customers"), F.sum("orders").alias("order_line_count"))
+        lines_n.alias("order_lines"), exact_sum("u").alias("units_sold"), exact_sum("g").alias("revenue"), exact_sum("d").alias("d"),
+        exact_sum("net").alias("net_revenue"), (exact_sum("p", c.PRICE) / lines_n).alias("avg_unit_price"), (F.sum("promo") / lines_n).alias("promo_dependency"),
+        (F.sum("weekend") / lines_n).alias("weekend_order_share"), F.count("*").alias("unique_customers"), F.sum("orders").alias("order_line_count"))
+
+
+def item_behaviour(lines, orders) -> DataFrame:
+    """Per item: mean price, promo and weekend shares per line, distinct customers and orders."""
+    return item_sales(lines, orders).select("item_id", "avg_unit_price", "promo_dependency", "weekend_order_share", "unique_customers", "order_line_count")
 
 
 def payment_mix(orders, unlabelled: str = "Unspecified") -> DataFrame:
@@ -299,9 +317,9 @@ def payment_mix(orders, unlabelled: str = "Unspecified") -> DataFrame:
 def payment_pivot(orders, methods: list[str], unlabelled: str = "Unspecified") -> DataFrame:
     """Month by payment method; the method list is given, so no extra pass finds it."""
     method = F.coalesce(c.blank_to_null("payment_method"), F.lit(unlabelled))
-    rows = completed(orders).select(c.month_key("order_date").alias("month"), method.alias("method"), F.col("total_amount").alias("a"))
+    rows = completed(orders).select(c.month_start("order_date").alias("month"), method.alias("method"), F.col("total_amount").alias("a"))
     pivoted = rows.groupBy("month").pivot("method", [*methods, unlabelled]).agg(exact_sum("a"))
-    return pivoted.select("month", *[zero(F.col(f"`{m}`")).alias(m.lower()) for m in [*methods, unlabelled]])
+    return pivoted.select(c.month_key("month").alias("month"), *[zero(F.col(f"`{m}`")).alias(m.lower()) for m in [*methods, unlabelled]])
 
 
 def channel_refunds(orders) -> DataFrame:

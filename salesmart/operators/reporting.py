@@ -177,7 +177,8 @@ def revenue_daily(orders: DataFrame, day: str, days: int = 30) -> DataFrame:
 
 def month_trend(orders: DataFrame) -> DataFrame:
     """Revenue per month against the month before (calendar-sized window)."""
-    m = completed(orders).groupBy(c.month_key("order_date").alias("month")).agg(exact_sum("total_amount").alias("value"), F.count("*").alias("orders"))
+    by_month = completed(orders).groupBy(c.month_start("order_date").alias("month")).agg(exact_sum("total_amount").alias("value"), F.count("*").alias("orders"))
+    m = by_month.withColumn("month", c.month_key("month"))
     previous = m.withColumn("prev", F.lag("value").over(Window.orderBy("month")))
     return previous.withColumn("trend_pct", c.trend_percent("value", "prev"))
 

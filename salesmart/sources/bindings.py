@@ -10,8 +10,9 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from salesmart.functions.columns import PRICE, exact_sum, month_key
+from salesmart.functions.columns import PRICE, exact_avg, exact_sum, month_key, month_start
 
 # The analysis window of the bound data and the day dashboards read.
 PERIOD_START = "1995-01-01"
@@ -19,15 +20,27 @@ PERIOD_END = "2001-08-01"
 AS_OF = "2000-06-30"
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class Dataset:
     """Canonical entities of one data folder, all lazy."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        """A given table. Its schema is inferred once per process, not once per query."""
+        if name not in self._tables:
+            path = f"{self.path}/{name}.parquet"
+            reader = self.spark.read
+            if path in _SCHEMAS:
+                reader = reader.schema(_SCHEMAS[path])
+            self._tables[name] = reader.parquet(path)
+            _SCHEMAS[path] = self._tables[name].schema
+        return self._tables[name]
 
     @cached_property
     def locations(self) -> DataFrame:
@@ -183,29 +196,22 @@ class Dataset:
     @cached_property
     def stock(self) -> DataFrame:
         """Inventory by brand and month."""
-        moved = self.lines.select("item_id", "quantity", "flag", month_key("ship_date").alias("month"))
-        per_item = moved.groupBy("item_id", "month").agg(
-            F.sum(F.when(F.col("flag") == "N", F.col("quantity")).otherwise(0.0)).alias("received"),
-            F.sum(F.when(F.col("flag") == "A", F.col("quantity")).otherwise(0.0)).alias("sold"),
-        )
+        moved = self.lines.select("item_id", "quantity", "flag", month_start("ship_date").alias("month"))
+        quantity = lambda flag: exact_sum(F.when(F.col("flag") == flag, F.col("quantity")).otherwise(0.0))
         return (
-            per_item.join(self.items.select("item_id", "brand"), "item_id")
-            .groupBy("brand", "month").agg(F.sum("received").alias("received"), F.sum("sold").alias("sold"))
-            .select("brand", "month", F.lit(100.0).alias("opening"), "received", "sold",
+            moved.join(self.items.select("item_id", "brand"), "item_id")
+            .groupBy("brand", "month").agg(quantity("N").alias("received"), quantity("A").alias("sold"))
+            .select("brand", month_key("month").alias("month"), F.lit(100.0).alias("opening"), "received", "sold",
                     (100.0 + F.col("received") - F.col("sold")).alias("closing"), F.lit(100.0).alias("reorder_level"))
         )
 
     @cached_property
     def prices(self) -> DataFrame:
         """Mean unit price by brand and month with the previous month's price."""
-        per_item = self.lines.select("item_id", month_key("ship_date").alias("month"), "unit_price").groupBy(
-            "item_id", "month").agg(exact_sum("unit_price", PRICE).alias("s"), F.count("*").alias("n"))
-        monthly = (
-            per_item.join(self.items.select("item_id", "brand"), "item_id")
-            .groupBy("brand", "month").agg((exact_sum("s", PRICE) / F.sum("n")).alias("new_price"))
-        )
+        sold = self.lines.select("item_id", "unit_price", month_start("ship_date").alias("month")).join(self.items.select("item_id", "brand"), "item_id")
+        monthly = sold.groupBy("brand", "month").agg(exact_avg("unit_price", PRICE).alias("new_price"))
         by_brand = Window.partitionBy("brand").orderBy("month")
-        return monthly.withColumn("old_price", F.lag("new_price").over(by_brand))
+        return monthly.select("brand", month_key("month").alias("month"), "new_price", F.lag("new_price").over(by_brand).alias("old_price"))
 
     @cached_property
     def ratings(self) -> DataFrame:
