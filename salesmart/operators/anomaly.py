@@ -43,7 +43,7 @@ def anomaly_order_total(rows: DataFrame, key: str, value: str, date: str, prefix
     return _rows(high, f"{prefix}_outlier", F.concat(F.lit(f"{prefix}_"), F.col(key)), F.col(date), F.col(value), None, "Value above Q3 + 3 IQR")
 
 
-def rating_periods(ratings: DataFrame, min_count: int, period: str = "review_date") -> DataFrame:
+def rating_periods(ratings: DataFrame, min_count: int = 10, period: str = "review_date") -> DataFrame:
     """Per item and period: count, mean and the share of the most frequent score."""
     by_score = ratings.groupBy("item_id", F.col(period).cast("string").alias("period"), "rating").agg(F.count("*").alias("n"))
     return by_score.groupBy("item_id", "period").agg(
@@ -62,32 +62,31 @@ def _item(prefix: str = "item_"):
     return F.concat(F.lit(prefix), F.col("item_id"))
 
 
-def anomaly_rating_drift(ratings: DataFrame, min_count: int = 10, limit: float = 2.0) -> DataFrame:
-    m = rating_periods(ratings, min_count).join(rating_baseline(ratings), "item_id").where("sigma > 0")
+def anomaly_rating_drift(periods: DataFrame, baseline: DataFrame, limit: float = 2.0) -> DataFrame:
+    m = periods.join(baseline, "item_id").where("sigma > 0")
     z = (F.col("avg_rating") - F.col("mu")) / F.col("sigma")
     drift = m.withColumn("z", z).where(F.abs("z") > limit)
     return _rows(drift, F.when(F.col("z") > 0, "rating_spike").otherwise("rating_drop"), _item(), F.col("period"), F.col("avg_rating"), F.col("z"),
                  "Mean rating shifted away from the item baseline")
 
 
-def anomaly_identical(ratings: DataFrame, min_count: int = 10, share: float = 0.90) -> DataFrame:
-    same = rating_periods(ratings, min_count).where(F.col("top_rating_share") >= share)
+def anomaly_identical(periods: DataFrame, share: float = 0.90) -> DataFrame:
+    same = periods.where(F.col("top_rating_share") >= share)
     return _rows(same, "rating_identical_cluster", _item(), F.col("period"), F.col("top_rating_share"), None, "At least 90% of the ratings share one score")
 
 
-def anomaly_burst(ratings: DataFrame, min_count: int = 10, factor: float = 3.0) -> DataFrame:
+def anomaly_burst(periods: DataFrame, factor: float = 3.0) -> DataFrame:
     """Rating volume above the item's own Q3 + factor x IQR over periods (few rows per item)."""
-    m = rating_periods(ratings, min_count)
-    q = m.groupBy("item_id").agg(F.percentile("rating_count", F.lit(0.25)).alias("q1"), F.percentile("rating_count", F.lit(0.75)).alias("q3"))
-    burst = m.join(q, "item_id").where(F.col("rating_count") > F.col("q3") + factor * (F.col("q3") - F.col("q1")))
+    q = periods.groupBy("item_id").agg(F.percentile("rating_count", F.lit(0.25)).alias("q1"), F.percentile("rating_count", F.lit(0.75)).alias("q3"))
+    burst = periods.join(q, "item_id").where(F.col("rating_count") > F.col("q3") + factor * (F.col("q3") - F.col("q1")))
     return _rows(burst, "rating_volume_burst", _item(), F.col("period"), F.col("rating_count"), None, "Rating volume far above the item's upper quartile")
 
 
-def anomaly_mismatch(ratings: DataFrame, purchases: DataFrame, min_count: int = 10, slack: float = 1.05) -> DataFrame:
+def anomaly_mismatch(periods: DataFrame, purchases: DataFrame, slack: float = 1.05) -> DataFrame:
     """More ratings than purchase orders of the same item and period."""
     bought = purchases.groupBy("item_id", F.col("order_date").cast("string").alias("period"), "order_id").agg(F.lit(1).alias("one")).groupBy(
         "item_id", "period").agg(F.count("*").alias("purchase_orders"))
-    m = rating_periods(ratings, min_count).join(bought, ["item_id", "period"]).where(F.col("rating_count") > F.col("purchase_orders") * slack)
+    m = periods.join(bought, ["item_id", "period"]).where(F.col("rating_count") > F.col("purchase_orders") * slack)
     return _rows(m, "rating_purchase_mismatch", _item(), F.col("period"), F.col("rating_count") / F.col("purchase_orders"), None,
                  "More ratings than completed purchases in the same period")
 

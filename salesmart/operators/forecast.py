@@ -10,14 +10,18 @@ from pyspark.sql import functions as F
 
 from salesmart.functions import columns as c
 from salesmart.operators.enrich import completed, daily_calendar
+from salesmart.storage import materialize
 
 DOW = [f"dow_{i}" for i in range(7)]
 
 
 def daily_series(orders: DataFrame, start: str, end: str) -> DataFrame:
-    """Completed sales per day of the period, zero on days without orders."""
+    """Completed sales per day of the period, zero on days without orders.
+
+    Stored: it has one row per day, and the forecast reads it several times.
+    """
     daily = completed(orders).groupBy(F.col("order_date").alias("date")).agg(c.exact_sum("total_amount").alias("actual_sales"), F.count("*").alias("actual_orders"))
-    return daily_calendar(daily, "date", ["actual_sales", "actual_orders"], start, end)
+    return materialize(daily_calendar(daily, "date", ["actual_sales", "actual_orders"], start, end), "daily-series")
 
 
 def trailing_mean(column: str, days: int):

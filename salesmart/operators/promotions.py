@@ -7,20 +7,25 @@ from pyspark.sql import functions as F
 
 from salesmart.functions import columns as c
 from salesmart.operators.enrich import completed
+from salesmart.storage import materialize
 
 
-def daily_control(orders: DataFrame, first: str, last: str) -> DataFrame:
+def daily_outlet_sales(orders: DataFrame) -> DataFrame:
+    """Completed orders, sales and discount per outlet, day and promotion ('' for none), stored once."""
+    return materialize(completed(orders).groupBy("outlet_id", "order_date", "promotion_id").agg(
+        F.count("*").alias("n"), c.exact_sum("total_amount").alias("s"), c.exact_sum("discount_amount").alias("x")), "outlet-days")
+
+
+def running_control(daily: DataFrame, first: str, last: str) -> DataFrame:
     """Running count and sales of promotion-free orders per outlet over a dense calendar.
 
     The window sees one row per outlet and day, whatever the number of orders.
     """
-    control = completed(orders).where("promotion_id = ''").groupBy("outlet_id", F.col("order_date").alias("day")).agg(
-        F.count("*").alias("n"), c.exact_sum("total_amount").alias("s"))
+    control = daily.where("promotion_id = ''").select("outlet_id", F.col("order_date").alias("day"), "n", "s")
     calendar = control.select("outlet_id").distinct().withColumn("day", F.explode(F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))))
     run = Window.partitionBy("outlet_id").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
     dense = calendar.join(control, ["outlet_id", "day"], "left")
-    return dense.select("outlet_id", "day", F.sum(F.coalesce("n", F.lit(0))).over(run).alias("run_n"),
-                        c.exact_sum_over(c.zero("s"), run).alias("run_s"))
+    return dense.select("outlet_id", "day", F.sum(F.coalesce("n", F.lit(0))).over(run).alias("run_n"), c.exact_sum_over(c.zero("s"), run).alias("run_s"))
 
 
 def promo_effectiveness(promotions: DataFrame, orders: DataFrame, first: str, last: str) -> DataFrame:
@@ -30,14 +35,14 @@ def promo_effectiveness(promotions: DataFrame, orders: DataFrame, first: str, la
     promotion costs two lookups instead of a range join with every order. All
     promotions are kept, also those nobody used.
     """
-    own = completed(orders).where("promotion_id <> ''").groupBy(F.col("promotion_id").cast("long").alias("promotion_id"), "outlet_id", "order_date").agg(
-        F.count("*").alias("n"), c.exact_sum("total_amount").alias("s"), c.exact_sum("discount_amount").alias("x"))
+    daily = daily_outlet_sales(orders)
+    own = daily.where("promotion_id <> ''").withColumn("promotion_id", F.col("promotion_id").cast("long"))
     in_window = own.join(promotions.select("promotion_id", "outlet_id", "start_date", "end_date"), ["promotion_id", "outlet_id"]).where(
         F.col("order_date").between(F.col("start_date"), F.col("end_date")))
     used = in_window.groupBy("promotion_id").agg(
         F.sum("n").alias("promo_orders"), c.exact_sum("s").alias("promo_sales"), c.exact_sum("x").alias("promo_discount_spent"))
 
-    running = daily_control(orders, first, last)
+    running = running_control(daily, first, last)
     end = running.select("outlet_id", F.col("day").alias("to_day"), F.col("run_n").alias("to_n"), F.col("run_s").alias("to_s"))
     start = running.select("outlet_id", F.col("day").alias("from_day"), F.col("run_n").alias("from_n"), F.col("run_s").alias("from_s"))
     bounds = promotions.withColumn("to_day", F.least("end_date", F.lit(last).cast("date"))).withColumn(

@@ -8,6 +8,7 @@ from salesmart.functions import columns as c
 from salesmart.operators import anomaly, basket, customers, forecast, items, promotions
 from salesmart.plans.registry import query, shared_view
 from salesmart.sources.bindings import PERIOD_END, PERIOD_START
+from salesmart.storage import materialize
 
 # ---- baskets ---------------------------------------------------------------
 
@@ -304,20 +305,30 @@ def _(d):
 
 
 def detectors(d):
+    """Detector name -> function giving its rows; the per-period rating frame is stored once."""
+    periods = {}
+
+    def rated():
+        if not periods:
+            periods["df"] = materialize(anomaly.rating_periods(d.ratings, MIN_RATINGS), "rating-periods")
+        return periods["df"]
+
+    def event_values():
+        return d.table("events").select("event_id", "value", F.col("ts").cast("date").alias("day"))
+
     return {
-        "anomaly_daily_sales": anomaly.anomaly_daily_sales(d.outlet_orders),
-        "anomaly_order_total": anomaly.anomaly_order_total(
-            d.table("events").select("event_id", "value", F.col("ts").cast("date").alias("day")), "event_id", "value", "day", "event"),
-        "anomaly_rating_drift": anomaly.anomaly_rating_drift(d.ratings, MIN_RATINGS, DRIFT),
-        "anomaly_identical": anomaly.anomaly_identical(d.ratings, MIN_RATINGS),
-        "anomaly_burst": anomaly.anomaly_burst(d.ratings, MIN_RATINGS, BURST),
-        "anomaly_mismatch": anomaly.anomaly_mismatch(d.ratings, d.purchases, MIN_RATINGS),
+        "anomaly_daily_sales": lambda: anomaly.anomaly_daily_sales(d.outlet_orders),
+        "anomaly_order_total": lambda: anomaly.anomaly_order_total(event_values(), "event_id", "value", "day", "event"),
+        "anomaly_rating_drift": lambda: anomaly.anomaly_rating_drift(rated(), anomaly.rating_baseline(d.ratings), DRIFT),
+        "anomaly_identical": lambda: anomaly.anomaly_identical(rated()),
+        "anomaly_burst": lambda: anomaly.anomaly_burst(rated(), BURST),
+        "anomaly_mismatch": lambda: anomaly.anomaly_mismatch(rated(), d.purchases),
     }
 
 
 for _name, _view in (("anomaly_daily_sales", "a_daily"), ("anomaly_order_total", "a_total"), ("anomaly_rating_drift", "a_drift"), ("anomaly_identical", "a_same"),
                      ("anomaly_burst", "a_burst"), ("anomaly_mismatch", "a_mismatch")):
-    query(_name, f"SELECT * FROM {_view}")(lambda d, n=_name: detectors(d)[n])
+    query(_name, f"SELECT * FROM {_view}")(lambda d, n=_name: detectors(d)[n]())
 
 
 shared_view("feed", " UNION ALL ".join(f"SELECT * FROM {v}" for v in ("a_daily", "a_total", "a_drift", "a_same", "a_burst", "a_mismatch")))
@@ -325,4 +336,4 @@ shared_view("feed", " UNION ALL ".join(f"SELECT * FROM {v}" for v in ("a_daily",
 
 @query("anomaly_feed", "SELECT *, CASE WHEN anomaly_type LIKE 'rating%' THEN 'rating' ELSE 'sales' END AS family FROM feed")
 def _(d):
-    return anomaly.anomaly_feed(list(detectors(d).values()))
+    return anomaly.anomaly_feed([detect() for detect in detectors(d).values()])
