@@ -7,7 +7,7 @@ aggregates are broadcast explicitly.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.functions import columns as c
@@ -156,9 +156,9 @@ def high_value_flag(orders: DataFrame, share: float = 0.90) -> DataFrame:
 def category_codes(rows: DataFrame, column: str, name: str, missing: str = "Unknown") -> DataFrame:
     """0-based code of the sorted distinct values, blanks coded as ``missing``.
 
-    Codes are numbered over the distinct values only (a handful), then joined back.
+    For enumerations: the distinct values form one small array, and each row looks
+    itself up there. A join on the value would shuffle all rows to a few hot keys.
     """
     value = F.coalesce(c.blank_to_null(column), F.lit(missing))
-    keyed = rows.withColumn("_value", value)
-    codes = keyed.select("_value").distinct().withColumn(name, (F.row_number().over(Window.orderBy("_value")) - 1).cast("long"))
-    return keyed.join(codes, "_value").drop("_value")
+    values = rows.groupBy(value.alias("v")).agg(F.lit(1).alias("one")).agg(F.array_sort(F.collect_list("v")))
+    return rows.withColumn(name, (F.array_position(values.scalar(), value) - 1).cast("long"))

@@ -11,7 +11,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.functions.columns import exact_sum
 from salesmart.functions.quantiles import exact_quantiles
 from salesmart.functions.ranking import running_total
 from salesmart.operators.features import CHURN_FEATURES, ITEM_FEATURES, ORDER_FEATURES, ml_split
@@ -157,12 +156,12 @@ def dual_summary(compared: DataFrame, task: str) -> DataFrame:
     gap = F.abs(F.col("prob_a") - F.col("prob_b"))
     sums = compared.agg(
         F.count("*").alias("cases"), hit(F.col("match")).alias("matching_cases"), hit(F.col("pred_a") == F.col("actual")).alias("_a"),
-        hit(F.col("pred_b") == F.col("actual")).alias("_b"), exact_sum(gap, 12).alias("_g"))
+        hit(F.col("pred_b") == F.col("actual")).alias("_b"), F.avg(gap).alias("_g"))
     n = F.col("cases")
     return sums.select(
         F.lit(task).alias("task"), "cases", "matching_cases", (n - F.col("matching_cases")).alias("disagreeing_cases"),
         (F.col("matching_cases") * 100.0 / n).alias("agreement_percentage"), (F.col("_a") / n).alias("accuracy_a"), (F.col("_b") / n).alias("accuracy_b"),
-        (F.col("_g") / n).alias("mean_abs_probability_gap"), classes.alias("class_distribution"))
+        F.round("_g", 9).alias("mean_abs_probability_gap"), classes.alias("class_distribution"))
 
 
 # ---- versioned storage -----------------------------------------------------

@@ -144,7 +144,7 @@ shared_view("elastic", """SELECT item_id, months_observed, average_price, total_
       SELECT item_id, count(*) AS months_observed, sum(price::DECIMAL(22,10))::DOUBLE / count(*) AS average_price, sum(units::DECIMAL(18,4))::DOUBLE AS total_units,
         regr_slope(ln(units), ln(price)) AS slope, stddev_pop(ln(price)) AS spread
       FROM (SELECT item_id, strftime(order_date, '%Y-%m') AS month, sum(quantity::DECIMAL(18,4))::DOUBLE AS units,
-          sum(unit_price::DECIMAL(18,8))::DOUBLE / count(*) AS price FROM dline GROUP BY 1, 2) GROUP BY 1)
+          sum(unit_price::DECIMAL(18,7))::DOUBLE / count(*) AS price FROM dline GROUP BY 1, 2) GROUP BY 1)
     WHERE months_observed >= 4 AND spread >= 1e-9""")
 
 

@@ -319,7 +319,7 @@ shared_view("item_perf", """
       FROM item i JOIN (SELECT l.item_id, sum(quantity::DECIMAL(18,4))::DOUBLE AS units_sold, count(*) AS order_lines,
           sum((quantity * unit_price)::DECIMAL(18,4)) AS g, sum((quantity * unit_price)::DECIMAL(18,4))::DOUBLE AS revenue,
           sum(line_discount::DECIMAL(18,4)) AS d, sum(net_revenue::DECIMAL(18,4))::DOUBLE AS net_revenue,
-          sum((quantity * cost_price)::DECIMAL(18,4)) AS cost, sum(unit_price::DECIMAL(18,8))::DOUBLE / count(*) AS average_selling_price
+          sum((quantity * cost_price)::DECIMAL(18,4)) AS cost, sum(unit_price::DECIMAL(18,7))::DOUBLE / count(*) AS average_selling_price
         FROM dline l JOIN item x ON l.item_id = x.item_id GROUP BY 1) s ON i.item_id = s.item_id)""")
 
 
@@ -427,12 +427,12 @@ def _(d):
 
 
 shared_view("basket_agg", """SELECT order_id, count(*) AS basket_size, sum(quantity::DECIMAL(18,4))::DOUBLE AS basket_quantity,
-    sum(unit_price::DECIMAL(18,8))::DOUBLE / count(*) AS avg_unit_price FROM dline GROUP BY 1""")
+    sum(unit_price::DECIMAL(18,7))::DOUBLE / count(*) AS avg_unit_price FROM dline GROUP BY 1""")
 shared_view("category_mix", """SELECT customer_id, max(q) / sum(q) AS top_category_share, count(*) AS unique_categories
     FROM (SELECT l.customer_id, i.category_name, sum(l.quantity) AS q FROM dline l JOIN item i ON l.item_id = i.item_id GROUP BY 1, 2) GROUP BY 1""")
 shared_view("weekend_mix", """SELECT customer_id, sum(CASE WHEN isodow(order_date) >= 6 THEN 1 ELSE 0 END) / count(*) AS weekend_order_share
     FROM (SELECT DISTINCT customer_id, order_id, order_date FROM dline) GROUP BY 1""")
-shared_view("behaviour", """SELECT l.item_id, sum(unit_price::DECIMAL(18,8))::DOUBLE / count(*) AS avg_unit_price,
+shared_view("behaviour", """SELECT l.item_id, sum(unit_price::DECIMAL(18,7))::DOUBLE / count(*) AS avg_unit_price,
     sum(CASE WHEN promotion_id <> '' THEN 1 ELSE 0 END) / count(*) AS promo_dependency, sum(CASE WHEN isodow(o.order_date) >= 6 THEN 1 ELSE 0 END) / count(*) AS weekend_order_share,
     count(DISTINCT o.customer_id) AS unique_customers, count(DISTINCT o.order_id) AS order_line_count
     FROM line l JOIN donep o ON l.order_id = o.order_id GROUP BY 1""")

@@ -221,7 +221,7 @@ def _(d):
 
 @query("dual_summary", """SELECT 'high_value_order' AS task, count(*) AS cases, count(*) FILTER (match) AS matching_cases, count(*) FILTER (NOT match) AS disagreeing_cases,
     count(*) FILTER (match) * 100.0::DOUBLE / count(*) AS agreement_percentage, count(*) FILTER (pred_a = actual) / count(*) AS accuracy_a, count(*) FILTER (pred_b = actual) / count(*) AS accuracy_b,
-    sum(abs(prob_a - prob_b)::DECIMAL(20,12))::DOUBLE / count(*) AS mean_abs_probability_gap,
+    round(avg(abs(prob_a - prob_b)), 9) AS mean_abs_probability_gap,
     '{"0":' || count(*) FILTER (actual = 0) || ',"1":' || count(*) FILTER (actual = 1) || '}' AS class_distribution FROM compared""")
 def _(d):
     return models.dual_summary(models.dual_compare(aligned(d)), "high_value_order")

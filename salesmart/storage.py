@@ -33,6 +33,12 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/salesmart/{label}-{uuid.uuid4().hex}"
 
 
+def write_table(df: DataFrame, label: str) -> str:
+    path = new_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return path
+
+
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` once as Parquet and return the stored table.
 
@@ -40,7 +46,4 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     input): the heavy lineage runs once, later passes read only the columns they
     need, and a lost executor costs a re-read instead of a re-computation.
     """
-    spark = df.sparkSession
-    path = new_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(write_table(df, label))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from salesmart.functions import columns as c
 from salesmart.operators.cleaning import REASON, mark
 from salesmart.storage import new_path
-from salesmart.streaming.runs import run_append, run_batches, run_update
+from salesmart.streaming.runs import run_append, run_batches, run_update, setting
 
 
 def windowed(events: DataFrame, width: str, slide: str | None = None, delay: str = "1 hour") -> DataFrame:
@@ -32,8 +32,13 @@ def sessions(events: DataFrame, gap: str = "30 minutes", delay: str = "1 hour")
 
 
 def stream_sessions(events: DataFrame) -> DataFrame:
-    """Sessions closed by the watermark; open ones stay in state for the next run."""
-    return run_append(sessions(events), "sessions")[0]
+    """Sessions closed by the watermark; open ones stay in state for the next run.
+
+    Rows of a batch merge into sessions before the shuffle, so a very active user
+    arrives as a few partial sessions.
+    """
+    with setting(events.sparkSession, "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true"):
+        return run_append(sessions(events), "sessions")[0]
 
 
 def dedup(events: DataFrame, keys: list[str], delay: str = "1 hour") -> DataFrame:
@@ -79,7 +84,11 @@ def stream_score(rows: DataFrame, model: PipelineModel, key: str) -> DataFrame:
 
 
 def stream_late(events: DataFrame, keys: list[str]) -> tuple[DataFrame, int]:
-    """De-duplicated events and the number of rows the watermark dropped."""
-    out, query = run_append(dedup(events, keys), "late")
+    """De-duplicated events and the number of rows the watermark dropped.
+
+    The progress of every batch is kept, not only of the last hundred.
+    """
+    with setting(events.sparkSession, "spark.sql.streaming.numRecentProgressUpdates", str(1 << 20)):
+        out, query = run_append(dedup(events, keys), "late")
     dropped = sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
     return out, dropped

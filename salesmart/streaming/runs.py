@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,20 @@ def read_files(spark: SparkSession, path: str, schema: T.StructType, max_files:
     return reader.parquet(path)
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for the duration of one run."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def run_append(stream: DataFrame, label: str) -> tuple[DataFrame, StreamingQuery]:
     """Drain the available input into a Parquet table (append mode) and return it."""
     spark = stream.sparkSession
