@@ -88,7 +88,7 @@ def clean_orders(raw: DataFrame, customers: DataFrame, start: str, end: str) ->
         ("Duplicate order_id", ~F.col("is_first")),
         ("Unknown customer_id", ~F.col("has_customer")),
         ("order_date outside analysis period", ~F.col("order_date").between(start, end)),
-        ("Missing required order key or negative financial value", F.col("order_id").isNull() | (F.col("total_amount") < 0)),
+        ("No order key or negative amount", F.col("order_id").isNull() | (F.col("total_amount") < 0)),
     ]
     return Split("orders", materialize(mark(flagged, rules).drop("is_first", "has_customer"), "clean-orders"))
 

@@ -281,31 +281,34 @@ def weekend_share(lines, orders) -> DataFrame:
     return has_lines.groupBy("customer_id").agg((F.sum(weekend) / F.count("*")).alias("weekend_order_share"))
 
 
-def item_sales(lines, orders) -> DataFrame:
+def item_reach(lines, orders) -> DataFrame:
+    """Distinct completed orders and customers per item, from keys only.
+
+    Repeated (order, item) rows fold where the join on order_id has placed them; then
+    (item, customer) rows, then items: no distinct expansion and no measures on the way.
+    """
+    pairs = lines.select("order_id", "item_id").join(completed(orders).select("order_id", "customer_id"), "order_id").distinct()
+    per_customer = pairs.groupBy("item_id", "customer_id").agg(F.count("*").alias("n"))
+    return per_customer.groupBy("item_id").agg(F.count("*").alias("unique_customers"), F.sum("n").alias("order_line_count"))
+
+
+def item_sales(lines, orders, order_keys=None) -> DataFrame:
     """Per item over completed orders: sales sums, per-line shares, distinct customers and orders.
 
-    One chain of groupings replaces distinct counts: rows of an (item, order) fold where
-    the join on order_id has just placed them, then (item, customer) rows, then items.
+    ``order_keys`` may be a leaner frame of the same orders for the distinct counts.
     """
-    o = completed(orders).select("order_id", "customer_id", (F.col("promotion_id") != "").alias("promo"), c.is_weekend("order_date").alias("weekend"))
-    gross = F.col("quantity") * F.col("unit_price")
-    sums = {"p": ("unit_price", c.PRICE), "u": ("quantity", 4), "d": ("line_discount", 4), "net": ("net_revenue", 4)}
-    per_order = lines.join(o, "order_id").groupBy("order_id", "item_id", "customer_id", "promo", "weekend").agg(
-        F.count("*").alias("n"), exact_sum(gross).alias("g"), *[exact_sum(col, digits).alias(n) for n, (col, digits) in sums.items()])
-    again = [exact_sum(n, digits).alias(n) for n, digits in (("g", 4), *((n, s[1]) for n, s in sums.items()))]
-    per_customer = per_order.groupBy("item_id", "customer_id").agg(
-        F.sum("n").alias("n"), F.count("*").alias("orders"), *again,
-        F.sum(F.when(F.col("promo"), F.col("n")).otherwise(0)).alias("promo"), F.sum(F.when(F.col("weekend"), F.col("n")).otherwise(0)).alias("weekend"))
-    lines_n = F.sum("n")
-    return per_customer.groupBy("item_id").agg(
-        lines_n.alias("order_lines"), exact_sum("u").alias("units_sold"), exact_sum("g").alias("revenue"), exact_sum("d").alias("d"),
-        exact_sum("net").alias("net_revenue"), (exact_sum("p", c.PRICE) / lines_n).alias("avg_unit_price"), (F.sum("promo") / lines_n).alias("promo_dependency"),
-        (F.sum("weekend") / lines_n).alias("weekend_order_share"), F.count("*").alias("unique_customers"), F.sum("orders").alias("order_line_count"))
-
-
-def item_behaviour(lines, orders) -> DataFrame:
+    o = completed(orders).select("order_id", (F.col("promotion_id") != "").alias("promo"), c.is_weekend("order_date").alias("weekend"))
+    ones = lambda flag: F.sum(F.when(F.col(flag), 1).otherwise(0))
+    sums = lines.join(o, "order_id").groupBy("item_id").agg(
+        F.count("*").alias("order_lines"), exact_sum("quantity").alias("units_sold"), exact_sum(F.col("quantity") * F.col("unit_price")).alias("revenue"),
+        exact_sum("line_discount").alias("d"), exact_sum("net_revenue").alias("net_revenue"), exact_avg("unit_price", c.PRICE).alias("avg_unit_price"),
+        (ones("promo") / F.count("*")).alias("promo_dependency"), (ones("weekend") / F.count("*")).alias("weekend_order_share"))
+    return sums.join(item_reach(lines, orders if order_keys is None else order_keys), "item_id")
+
+
+def item_behaviour(lines, orders, order_keys=None) -> DataFrame:
     """Per item: mean price, promo and weekend shares per line, distinct customers and orders."""
-    return item_sales(lines, orders).select("item_id", "avg_unit_price", "promo_dependency", "weekend_order_share", "unique_customers", "order_line_count")
+    return item_sales(lines, orders, order_keys).select("item_id", "avg_unit_price", "promo_dependency", "weekend_order_share", "unique_customers", "order_line_count")
 
 
 def payment_mix(orders, unlabelled: str = "Unspecified") -> DataFrame:

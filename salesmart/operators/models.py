@@ -143,7 +143,7 @@ def dual_compare(aligned: DataFrame) -> DataFrame:
     """Match flag and, for disagreements, a rule-based explanation."""
     gap = F.abs(F.col("prob_a") - F.col("prob_b"))
     why = (
-        F.when(F.abs(F.col("prob_b") - 0.5) < 0.2, "borderline probability").when(gap < 0.15, "probabilities are close").otherwise("models weigh the features differently")
+        F.when(F.abs(F.col("prob_b") - 0.5) < 0.2, "probability near one half").when(gap < 0.15, "probabilities are close").otherwise("models weigh the features differently")
     )
     return aligned.withColumn("match", F.col("pred_a").eqNullSafe(F.col("pred_b"))).withColumn("explanation", F.when(F.col("match"), "").otherwise(why))
 

@@ -68,6 +68,7 @@ def order_search(text: str, columns: list[str], prefix: str = "ord") -> Column:
     """Literal, case-insensitive text search, or an order reference such as ``ORD-0012``, ``#12``, ``no. 12``, ``12``."""
     wanted = text.strip().lower()
     found = reduce(lambda a, b: a | b, [F.coalesce(F.lower(n).contains(wanted), F.lit(False)) for n in columns])
+    # Fixed value: the accepted spellings of an order reference.
     reference = re.fullmatch(rf"(?:{re.escape(prefix)}[-_\s]*|#|no\.?\s*)?0*(\d+)", wanted)
     if reference:
         return found | (F.col("order_id") == int(reference.group(1)))

@@ -104,7 +104,7 @@ shared_view("item_class", """SELECT * EXCLUDE (um, pm, mm), CASE WHEN units_sold
 
 
 def item_frame(d):
-    return items.item_frame(d.lines, d.promo_orders, d.items, d.ratings, d.losses)
+    return items.item_frame(d.lines, d.promo_orders, d.items, d.ratings, d.losses, d.orders)
 
 
 @query("item_features", "SELECT * FROM item_measures")

@@ -455,7 +455,7 @@ def _(d):
 
 @query("item_behaviour", "SELECT * FROM behaviour")
 def _(d):
-    return marts.item_behaviour(d.lines, d.promo_orders)
+    return marts.item_behaviour(d.lines, d.promo_orders, d.orders)
 
 
 METHODS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]

@@ -148,6 +148,24 @@ def _(d):
     return models.model_catalog(d.spark, root)
 
 
+@query("model_catalog")
+def _(d):
+    """Versions of two tasks side by side, the newest of each active."""
+    root = new_path(d.spark, "models")
+    for task, split, family in ((CHURN_TASK, churn_split(d), "logistic"), (ITEM_TASK, item_split(d), "logistic")):
+        model, scored = run(task, split, family)
+        models.save_model(d.spark, root, task, family, model, models.evaluate(scored, task))
+    return models.model_catalog(d.spark, root)
+
+
+@query("model_class_comparison")
+def _(d):
+    """Item class against the predictions of two model families, with match and explanation."""
+    split = item_split(d)
+    a, b = (materialize(run(ITEM_TASK, split, family, 50)[1], "scored") for family in ("forest", "logistic"))
+    return models.dual_compare(models.align(a.select("item_id", "actual"), a, b, "item_id"))
+
+
 @query("model_reload_check")
 def _(d):
     """A reloaded model must reproduce its stored predictions; the result counts differences."""
@@ -200,7 +218,7 @@ def _(d):
 
 shared_view("aligned", """SELECT a.order_id, a.actual, a.predicted AS pred_a, a.probability AS prob_a, b.predicted AS pred_b, b.probability AS prob_b
     FROM scored_a a JOIN scored_b b ON a.order_id = b.order_id""")
-shared_view("compared", """SELECT *, pred_a = pred_b AS match, CASE WHEN pred_a = pred_b THEN '' WHEN abs(prob_b - 0.5) < 0.2 THEN 'borderline probability'
+shared_view("compared", """SELECT *, pred_a = pred_b AS match, CASE WHEN pred_a = pred_b THEN '' WHEN abs(prob_b - 0.5) < 0.2 THEN 'probability near one half'
     WHEN abs(prob_a - prob_b) < 0.15 THEN 'probabilities are close' ELSE 'models weigh the features differently' END AS explanation FROM aligned""")
 
 

@@ -344,7 +344,7 @@ def _(d):
 shared_view("marked_orders", f"""SELECT *, CASE WHEN copy_no > 0 THEN 'Duplicate order_id'
       WHEN customer_id NOT IN (SELECT customer_id FROM cust) THEN 'Unknown customer_id'
       WHEN NOT order_date BETWEEN '{PERIOD_START}' AND '{PERIOD_END}' THEN 'order_date outside analysis period'
-      WHEN total_amount < 0 THEN 'Missing required order key or negative financial value' END AS quarantine_reason
+      WHEN total_amount < 0 THEN 'No order key or negative amount' END AS quarantine_reason
     FROM (SELECT order_id, customer_id, copy_no, CASE WHEN try_strptime(order_date, '%Y-%m-%d') IS NULL THEN '' ELSE order_date END AS order_date,
       coalesce(trim(order_status), '') AS order_status, coalesce(trim(order_channel), '') AS order_channel, try_cast(total_amount AS DOUBLE) AS total_amount FROM dirty)""")
 shared_view("good_orders", "SELECT * FROM marked_orders WHERE quarantine_reason IS NULL")
