@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from salesmart.functions.quantiles import SMALL_BYTES, estimated_bytes
 
 BUCKETS = 100
+MOST_BUCKETS = 400
+BUCKET_BYTES = 128 << 20
 
 
 def _cuts(df: DataFrame, column: str, buckets: int):
@@ -36,17 +38,18 @@ def with_buckets(df: DataFrame, value: str, key: str | None, buckets: int = BUCK
     return out.withColumn("_s", F.when(on_cut, below).otherwise(0)).drop("_cuts", "_keys")
 
 
-def running_total(df: DataFrame, value: str, key: str | None, amounts: dict[str, str], buckets: int = BUCKETS) -> DataFrame:
+def running_total(df: DataFrame, value: str, key: str | None, amounts: dict[str, str], buckets: int | None = None) -> DataFrame:
     """Sums of ``amounts`` (new name -> column) over all rows before this one in descending ``value``.
 
     ``df`` is read several times: pass a stored table. One of checked small size is
     ordered directly.
     """
     order = [F.desc(value)] + ([F.col(key)] if key else [])
-    if buckets == BUCKETS and estimated_bytes(df) <= SMALL_BYTES:
+    size = estimated_bytes(df)
+    if buckets is None and size <= SMALL_BYTES:
         all_before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         return df.select(*df.columns, *[F.coalesce(F.sum(col).over(all_before), F.lit(0)).alias(n) for n, col in amounts.items()])
-    b = with_buckets(df, value, key, buckets)
+    b = with_buckets(df, value, key, buckets or min(MOST_BUCKETS, max(BUCKETS, size // BUCKET_BYTES)))
     totals = b.groupBy("_b", "_s").agg(*[F.sum(col).alias(f"_t_{n}") for n, col in amounts.items()])
     before = Window.orderBy("_b", "_s").rowsBetween(Window.unboundedPreceding, -1)
     # At most 2 x buckets values plus buckets x buckets tie groups, whatever the data.
@@ -56,7 +59,7 @@ def running_total(df: DataFrame, value: str, key: str | None, amounts: dict[str,
     return joined.select(*df.columns, *[(F.col(f"_o_{n}") + F.coalesce(F.sum(col).over(inside), F.lit(0))).alias(n) for n, col in amounts.items()])
 
 
-def global_rank(df: DataFrame, value: str, key: str, name: str = "rank", buckets: int = BUCKETS) -> DataFrame:
+def global_rank(df: DataFrame, value: str, key: str, name: str = "rank", buckets: int | None = None) -> DataFrame:
     """1-based position by descending ``value``, ties by ascending ``key`` (unique)."""
     counted = df.withColumn("_one", F.lit(1))
     ranked = running_total(counted, value, key, {name: "_one"}, buckets)

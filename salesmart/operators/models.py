@@ -116,12 +116,25 @@ def evaluate(scored: DataFrame, task: Task) -> DataFrame:
     return m.select(F.lit(task.name).alias("task"), "cases", "accuracy", "f1", "macro_f1", auc.alias("roc_auc"))
 
 
-def ensemble(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+def _mean_label(both: DataFrame) -> DataFrame:
     """Mean of two positive probabilities; label 1 from one half on."""
+    mean = both.withColumn("probability_ensemble", (F.col("probability_a") + F.col("probability_b")) / 2)
+    return mean.withColumn("ensemble_label", F.when(F.col("probability_ensemble") >= 0.5, 1).otherwise(0).cast("long"))
+
+
+def ensemble(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """Ensemble of two stored prediction tables."""
     pa = a.select(key, F.col("probability").alias("probability_a"))
     pb = b.select(key, F.col("probability").alias("probability_b"))
-    both = pa.join(pb, key).withColumn("probability_ensemble", (F.col("probability_a") + F.col("probability_b")) / 2)
-    return both.withColumn("ensemble_label", F.when(F.col("probability_ensemble") >= 0.5, 1).otherwise(0).cast("long"))
+    return _mean_label(pa.join(pb, key))
+
+
+def ensemble_score(a: PipelineModel, b: PipelineModel, rows: DataFrame, task: Task) -> DataFrame:
+    """Score with both models in one pass over the rows: no join, no shuffle."""
+    inputs = [task.key, *task.features]
+    first = a.transform(rows.select(inputs)).select(*inputs, positive_probability().alias("probability_a"))
+    both = b.transform(first).select(task.key, "probability_a", positive_probability().alias("probability_b"))
+    return _mean_label(both)
 
 
 def ensemble_classes(a: DataFrame, b: DataFrame, key: str, labels: list[str]) -> DataFrame:

@@ -122,9 +122,14 @@ def _(d):
 @query("ensemble_score")
 def _(d):
     split = churn_split(d)
-    _, a = run(CHURN_TASK, split, "logistic")
-    _, b = run(CHURN_TASK, split, "forest", 50)
-    return models.ensemble(a, b, "customer_id")
+    a, b = models.train(CHURN_TASK, split, "logistic"), models.train(CHURN_TASK, split, "forest", 50)
+    return models.ensemble_score(a, b, split.where("side = 'test'"), CHURN_TASK)
+
+
+@query("ensemble_tables", """SELECT a.order_id, a.probability AS probability_a, b.probability AS probability_b, (a.probability + b.probability) / 2 AS probability_ensemble,
+    ((a.probability + b.probability) / 2 >= 0.5)::BIGINT AS ensemble_label FROM scored_a a JOIN scored_b b ON a.order_id = b.order_id""")
+def _(d):
+    return models.ensemble(*rule_scores(d), "order_id")
 
 
 @query("ensemble_class_score")

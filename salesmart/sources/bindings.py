@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from salesmart.functions.columns import PRICE, exact_avg, exact_sum, month_key, month_start
+from salesmart.sources.files import path_exists
 from salesmart.storage import write_table
 
 # The analysis window of the bound data and the day dashboards read.
@@ -47,7 +48,7 @@ class Dataset:
     def _stored(self, label: str, df: DataFrame) -> DataFrame:
         """A small derived table, written once per application and data folder."""
         key = (self.spark.sparkContext.applicationId, self.path, label)
-        if key not in _DERIVED:
+        if key not in _DERIVED or not path_exists(self.spark, _DERIVED[key][0]):
             _DERIVED[key] = write_table(df, label), df.schema
         path, schema = _DERIVED[key]
         return self.spark.read.schema(schema).parquet(path)

@@ -156,6 +156,27 @@ def test_auc_and_f1_against_hand_values(spark):
     assert got["macro_f1"] == pytest.approx((0.5 + 4 / 6) / 2)
 
 
+def test_both_ensemble_forms_agree(spark):
+    task = models.Task("t", "k", ["x", "y"], "label")
+    rows_ = spark.range(300).select(F.col("id").alias("k"), (F.col("id") % 11).cast("double").alias("x"), (F.col("id") % 7).cast("double").alias("y"),
+                                    F.when(F.col("id") % 11 > 5, 1).otherwise(0).alias("label"), F.lit("train").alias("side"))
+    a, b = models.train(task, rows_, "logistic"), models.train(task, rows_, "forest", 5)
+    one_pass = models.ensemble_score(a, b, rows_, task)
+    joined = models.ensemble(models.score(a, rows_, task), models.score(b, rows_, task), "k")
+    assert rows(one_pass) == rows(joined)
+    assert "Exchange" not in one_pass._jdf.queryExecution().executedPlan().toString()
+
+
+def test_loss_trend_per_item_and_for_the_chain(spark):
+    losses = spark.sql("""select * from values (1L, 'a', 1L, 1.0D, 10.0D, date'2024-01-05'), (1L, 'a', 1L, 1.0D, 30.0D, date'2024-05-05'),
+        (2L, 'b', 1L, 1.0D, 30.0D, date'2024-01-05'), (2L, 'b', 1L, 1.0D, 1.0D, date'2024-05-05') t(item_id, item_name, outlet_id, quantity_wasted, estimated_cost, loss_date)""")
+    lines = spark.sql("select 1L as order_id, 1L as item_id, 100.0D as quantity")
+    orders = spark.sql("select 1L as order_id, 'Completed' as order_status")
+    assert {r["trend_flag"] for r in items.loss_risk(losses, lines, orders).collect()} == {"decreasing"}
+    per_item = {r["item_id"]: (r["trend_flag"], r["risk_level"]) for r in items.loss_risk(losses, lines, orders, per_item_trend=True).collect()}
+    assert per_item == {1: ("increasing", "Low"), 2: ("decreasing", "High")}
+
+
 def test_class_ensemble_takes_the_best_mean(spark):
     a = spark.createDataFrame([(1, [0.6, 0.4]), (2, [0.2, 0.8])], "item_id long, classes array<double>")
     b = spark.createDataFrame([(1, [0.1, 0.9]), (2, [0.7, 0.3])], "item_id long, classes array<double>")
