@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.functions import columns as c
-from salesmart.storage import materialize
+from salesmart.storage import concurrently, materialize
 
 REASON = "quarantine_reason"
 
@@ -138,8 +138,9 @@ def clean_items(raw: DataFrame, outlets: DataFrame) -> Split:
 
 def clean_all(d, start: str, end: str) -> dict[str, Split]:
     """Clean the tables parents first; children are checked against cleaned parents."""
-    out = {"items": clean_items(d.items, d.outlets), "promotions": clean_promotions(d.promotions, d.outlets)}
-    out["orders"] = clean_orders(d.dirty_orders, d.customers, start, end)
+    items, promotions, orders, customers, outlets = d.items, d.promotions, d.dirty_orders, d.customers, d.outlets
+    out = concurrently(items=lambda: clean_items(items, outlets), promotions=lambda: clean_promotions(promotions, outlets),
+                       orders=lambda: clean_orders(orders, customers, start, end))
     out["lines"] = clean_lines(d.lines, out["orders"].good, out["items"].good)
     out["ratings"] = clean_ratings(d.ratings, out["orders"].good, out["lines"].good)
     return out

@@ -11,6 +11,7 @@ from salesmart.operators import anomaly, cleaning, customers, items, marts, repo
 from salesmart.plans.analytics import effects, item_frame
 from salesmart.plans.registry import query, shared_view
 from salesmart.sources.bindings import AS_OF, PERIOD_END, PERIOD_START
+from salesmart.storage import concurrently
 
 
 def days_before(n: int) -> str:
@@ -227,12 +228,18 @@ def _top(view, where, order, k):
       day_of_week || ' ' || time_period || ' ' || order_channel, floor(order_share_percentage)::BIGINT || '% of all orders', average_order_value
       FROM {_top('peak_cells', 'TRUE', 'total_orders DESC, day_of_week, time_period, order_channel', 1)}""")
 def _(d):
-    segments = marts.customer_value_segment(marts.customer_analytics(d.customers, d.promo_orders, d.lines, d.items))
+    orders, lines, item_rows, losses, ratings = d.promo_orders, d.lines, d.items, d.losses, d.ratings
+    parts = concurrently(
+        classes=lambda: items.item_business_class(item_frame(d)),
+        effects=lambda: effects(d),
+        segments=lambda: marts.customer_value_segment(marts.customer_analytics(d.customers, orders, lines, item_rows)),
+        slow=lambda: items.slow_movers(lines, d.orders, item_rows, PERIOD_START, PERIOD_END),
+    )
     quiet = customers.churn_candidates(d.customers, d.orders, PERIOD_END).where("days_since >= 180").select("customer_id")
-    at_risk = segments.where("customer_value_segment in ('High Value', 'Frequent')").join(quiet, "customer_id")
+    at_risk = parts["segments"].where("customer_value_segment in ('High Value', 'Frequent')").join(quiet, "customer_id")
     return scenario.recommendations(
-        items.item_business_class(item_frame(d)), effects(d), items.loss_risk(d.losses, d.lines, d.orders),
-        items.slow_movers(d.lines, d.orders, d.items, PERIOD_START, PERIOD_END), marts.peak_period(d.orders), at_risk, marts.rating_by_item(d.ratings, d.items))
+        parts["classes"], parts["effects"], items.loss_risk(losses, lines, d.orders), parts["slow"], marts.peak_period(d.orders), at_risk,
+        marts.rating_by_item(ratings, item_rows))
 
 
 @query("what_if_class", """SELECT scenario, scope, price_change_percentage, affected_items, baseline_revenue, baseline_profit, elasticity, new_revenue_estimate, new_profit_estimate,

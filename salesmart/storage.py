@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +35,13 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/salesmart/{label}-{uuid.uuid4().hex}"
 
 
+def concurrently(**jobs: Callable[[], object]) -> dict[str, object]:
+    """Run independent builders at the same time, so that their Spark jobs share the cluster."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = {name: pool.submit(job) for name, job in jobs.items()}
+        return {name: future.result() for name, future in running.items()}
+
+
 def write_table(df: DataFrame, label: str) -> str:
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
