@@ -5,10 +5,10 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import lines, packing, topk
+from salesmart.llm import html, langid, lines, packing, topk, toxicity
 from salesmart.llm.shared import table
 
 SPACES = "chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
@@ -59,9 +59,32 @@ FROM j GROUP BY doc_id
 """
 
 
+def remainder(modulus: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), remainder(3) != 1)
+    return toxicity.score(docs, model, cut=0.7).select("doc_id", (remainder(3) == 1).alias("held_out"), "score", "predicted")
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs, remainder(4) != 2)
+    return langid.identify(docs, model).select("doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op6_toxicity": op6_toxicity,
     "op7_line_dedup": op7_line_dedup,
+    "op8_language_id": op8_language_id,
+    "op10_html_extraction": op10_html_extraction,
 }
 SQL: dict[str, str] = {"op1_exact_top_k": OP1_SQL, "op7_line_dedup": OP7_SQL}
