@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import html, langid, lines, packing, topk, toxicity
+from salesmart.llm import html, langid, lines, packing, substring, topk, toxicity
 from salesmart.llm.shared import table
 
 SPACES = "chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
@@ -59,6 +59,23 @@ FROM j GROUP BY doc_id
 """
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring.dedup_substrings(table(spark, sf_dir, "documents"), size=20)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+OP4_SQL = f"""
+WITH w AS (SELECT doc_id, {WORDS.format("coalesce(text, '')")} AS words FROM documents),
+p AS (SELECT doc_id, i, array_to_string(words[i:i + 19], ' ') AS win FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM w WHERE len(words) >= 20)),
+r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) > 1 AS again FROM p),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS place FROM r WHERE again),
+k AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM w),
+j AS (SELECT k.*, g.place IS NOT NULL AS gone FROM k LEFT JOIN g USING (doc_id, place)),
+s AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY place) FILTER (NOT gone) AS kept FROM j GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN s USING (doc_id)
+"""
+
+
 def remainder(modulus: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
 
@@ -82,9 +99,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_substring_dedup": op4_substring_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_line_dedup": op7_line_dedup,
     "op8_language_id": op8_language_id,
     "op10_html_extraction": op10_html_extraction,
 }
-SQL: dict[str, str] = {"op1_exact_top_k": OP1_SQL, "op7_line_dedup": OP7_SQL}
+SQL: dict[str, str] = {"op1_exact_top_k": OP1_SQL, "op4_substring_dedup": OP4_SQL, "op7_line_dedup": OP7_SQL}
