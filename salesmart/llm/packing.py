@@ -10,6 +10,8 @@ pieces take their slots by joining on these two columns.
 from __future__ import annotations
 
 import bisect
+import os
+import re
 import zlib
 from collections import defaultdict
 
@@ -26,6 +28,10 @@ PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigin
 #: A special token of the vocabulary that separates words while they are encoded together.
 BREAK, BREAK_ID = "<|endoftext|>", 49407
 
+#: Letters and then ASCII marks: the vocabulary's rule cuts between them, and lower case is taken letter by letter
+#: (words with a capital sigma or dotted I, whose lower case depends on their place or length, are left whole).
+LETTERS_THEN_MARKS = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)")
+
 
 class WordEncoder:
     """Token ids of texts for a vocabulary whose tokens never span white space.
@@ -34,32 +40,44 @@ class WordEncoder:
     its ids are remembered (for a bounded number of stretches) as little-endian bytes.
     """
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 800_000):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known, self.most = Tokenizer.from_file(path), {}, most
 
-    def _encode(self, words: list[str]) -> list[np.ndarray]:
-        ids = np.array(self.tokenizer.encode(f" {BREAK} ".join(words), add_special_tokens=False).ids, "<u4")
-        ends = np.flatnonzero(ids == BREAK_ID)
-        return [part[1:] if k else part for k, part in enumerate(np.split(ids, ends))]
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn_plain(self, words: list[str], together: int = 1000) -> None:
+        for start in range(0, len(words), together):
+            some = words[start : start + together]
+            (ids,) = self._ids([f" {BREAK} ".join(some)])
+            ends = [-4, *(4 * np.flatnonzero(ids == BREAK_ID)).tolist(), 4 * len(ids)]
+            data = ids.tobytes()
+            self.known.update((w, data[a + 4 : b]) for w, a, b in zip(some, ends[:-1], ends[1:], strict=True))
 
     def learn(self, words: set[str]) -> None:
-        if len(self.known) > self.most:
+        if len(self.known) + len(words) > self.most:
             self.known.clear()
-        plain = [w for w in words if w not in self.known and BREAK not in w]
-        for start in range(0, len(plain), 2000):
-            some = plain[start : start + 2000]
-            self.known.update((w, x.tobytes()) for w, x in zip(some, self._encode(some), strict=True))
+        known, plain, odd, joined = self.known, set(), [], []
         for w in words:
-            if BREAK in w and w not in self.known:
-                self.known[w] = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
+            if BREAK in w:
+                odd.append(w)
+            elif (m := LETTERS_THEN_MARKS.fullmatch(w)) and not ("\u03a3" in w or "\u0130" in w):
+                joined.append((w, core := m[1].lower(), marks := m[2]))
+                plain.update(x for x in (core, marks) if x not in known)
+            else:
+                plain.add(w)
+        self._learn_plain(list(plain))
+        known.update((w, known[core] + known[marks]) for w, core, marks in joined)
+        known.update((w, ids.tobytes()) for w, ids in zip(odd, self._ids(odd), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        missing = {w for words in split for w in words if w not in self.known}
-        if missing:
-            self.learn({w for words in split for w in words} if len(self.known) > self.most else missing)
+        met = set().union(*split)
+        missing = {w for w in met if w not in self.known}
+        self.learn(missing if len(self.known) + len(missing) <= self.most else met)
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
 
