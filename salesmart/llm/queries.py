@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import html, langid, lines, packing, substring, topk, toxicity
+from salesmart.llm import html, jaccard, langid, lines, packing, substring, topk, toxicity
 from salesmart.llm.shared import table
 
 SPACES = "chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
@@ -39,6 +39,21 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+OP2_SQL = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {WORDS.format(f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')")} AS words FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM w UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) c USING (doc_id)
+"""
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary(), capacity=4096, end_id=1)
 
@@ -98,6 +113,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_top_k": op1_exact_top_k,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_substring_dedup": op4_substring_dedup,
     "op6_toxicity": op6_toxicity,
@@ -105,4 +121,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op10_html_extraction": op10_html_extraction,
 }
-SQL: dict[str, str] = {"op1_exact_top_k": OP1_SQL, "op4_substring_dedup": OP4_SQL, "op7_line_dedup": OP7_SQL}
+SQL: dict[str, str] = {"op1_exact_top_k": OP1_SQL, "op2_jaccard_join": OP2_SQL, "op4_substring_dedup": OP4_SQL, "op7_line_dedup": OP7_SQL}
