@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.llm.convnet import ConvNet
-from salesmart.llm.shared import slices
+from salesmart.llm.shared import hash_sample, slices
 
 UNKNOWN = "und"
 
@@ -38,7 +38,7 @@ def windows_of(text: str, window: int) -> np.ndarray:
 
 
 def training_windows(docs: DataFrame, chosen: Column, most_docs: int, window: int, each: int) -> list:
-    """(lang, windows as bytes) of up to ``most_docs`` labelled documents in hash order, ``each`` windows at most of one."""
+    """(lang, windows as bytes) of about ``most_docs`` labelled documents of the smallest id hashes, ``each`` windows at most of one."""
 
     def run(batches):
         for batch in slices(batches):
@@ -50,14 +50,15 @@ def training_windows(docs: DataFrame, chosen: Column, most_docs: int, window: in
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.string(), pa.binary(), pa.int64()), strict=True)], names=["lang", "windows", "order"])
 
-    able = docs.filter(chosen & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text", F.xxhash64("doc_id").alias("order"))
-    return able.mapInArrow(run, "lang string, windows binary, order bigint").orderBy("order", "windows").limit(most_docs).collect()
+    able = docs.filter(chosen & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    picked = hash_sample(able, "doc_id", most_docs).select("lang", "text", F.xxhash64("doc_id").alias("order"))
+    return sorted(picked.mapInArrow(run, "lang string, windows binary, order bigint").collect(), key=lambda r: (r["order"], bytes(r["windows"])))
 
 
 def train(docs: DataFrame, chosen: Column, most_docs: int = 3000, window: int = 256, each: int = 3, epochs: int = 4) -> LanguageModel | None:
     """A model of the documents in ``chosen``; None when none has a text and a language.
 
-    ``most_docs`` bounds the labelled sample: the documents of the smallest id hashes.
+    The labelled sample is bounded: ``most_docs`` documents are expected in it, those of the smallest id hashes.
     """
     sample = training_windows(docs, chosen, most_docs, window, each)
     if not sample:

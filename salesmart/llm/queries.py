@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import html, jaccard, langid, lines, packing, substring, topk, toxicity
+from salesmart.llm import decontaminate, html, jaccard, langid, lines, packing, quality, substring, topk, toxicity
 from salesmart.llm.shared import table
 
 SPACES = "chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
@@ -95,6 +95,11 @@ def remainder(modulus: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), cut=0.5)
+    return judged.select(F.col("doc.doc_id").alias("doc_id"), "evidence", "host_share", "path_share", "p_good", F.col("keep").cast("int").alias("predicted"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), remainder(3) != 1)
@@ -107,6 +112,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model).select("doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
@@ -116,9 +125,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_jaccard_join": op2_jaccard_join,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_quality": op5_quality,
     "op6_toxicity": op6_toxicity,
     "op7_line_dedup": op7_line_dedup,
     "op8_language_id": op8_language_id,
+    "op9_decontamination": op9_decontamination,
     "op10_html_extraction": op10_html_extraction,
 }
 SQL: dict[str, str] = {"op1_exact_top_k": OP1_SQL, "op2_jaccard_join": OP2_SQL, "op4_substring_dedup": OP4_SQL, "op7_line_dedup": OP7_SQL}

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Words are runs of anything but the six ASCII white-space characters.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -19,6 +20,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def hash_sample(df: DataFrame, key: str, most: int) -> DataFrame:
+    """All rows when there are up to ``most``, else those of the smallest hashes of ``key``, ``most`` as expected.
+
+    The cut follows from a count, so no task sends more than its share to the driver.
+    """
+    rows = df.count()
+    if rows <= most:
+        return df
+    return df.filter(F.xxhash64(key) < -(2**63) + int(2**64 * most / rows))
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """The same rows in small pieces, so that few texts are Python objects at once."""
     for batch in batches:
