@@ -256,13 +256,14 @@ def apart_pairs(met: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def near_components(docs: DataFrame) -> DataFrame:
-    """``doc_id, row, n_shingles, component_id`` for every row of ``docs``.
+    """``doc_id, row, n_shingles, component_id, first`` for every row of ``docs``.
 
     Texts are lower-cased (A-Z) and cut into words at ASCII white space. The set of a text
     holds its distinct 5-word shingles, or its whole sequence if it has fewer words. Rows of
     equal sets link, and sets of Jaccard similarity 0.8 or more; ``component_id`` is the
     smallest id that links reach. A text that is null or has no words links with nothing.
-    ``row`` is the hash of the text; rows without an id give their component no id.
+    ``row`` is the hash of the text; rows without an id give their component no id. ``first``
+    marks the smallest id of a component, and rows that link with nothing.
     """
     dealt = offered(docs).repartition("token").sortWithinPartitions("token", "cls")
     both = materialize(meetings(dealt), "meetings")
@@ -272,9 +273,27 @@ def near_components(docs: DataFrame) -> DataFrame:
     placed = members.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     known = F.when(F.col("doc") != NO_ID, F.col("doc"))
     placed = materialize(placed.select("row", "n", "root", known.alias("doc_id")), "placed")
-    least = placed.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    found = placed.join(least, "root", "left")
-    return found.select("doc_id", "row", F.col("n").cast("bigint").alias("n_shingles"), F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
+    found = placed.join(placed.filter("root IS NOT NULL").groupBy("root").agg(first), "root", "left")
+    alone = F.col("root").isNull()
+    return found.select(
+        "doc_id", "row", F.col("n").cast("bigint").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"),
+        (alone | (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("row") == F.col("first.row")))).alias("first"),
+    )
+
+
+def without_near_copies(docs: DataFrame) -> DataFrame:
+    """The documents, as given, without those that are not ``first`` in their component; repeated rows stay once."""
+    judged = materialize(near_components(docs), "near-copies")
+    gone = judged.filter("NOT first").select(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).distinct()
+    if gone.count() <= BROADCAST_ROWS:
+        gone = F.broadcast(gone)
+    here = docs.withColumn("_here", F.xxhash64("text"))
+    kept = here.join(gone, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_here") == F.col("_row")), "left_anti")
+    repeated = judged.filter("first AND n_shingles > 0").groupBy("doc_id", "row").agg(F.count("*").alias("n")).filter("n > 1")
+    if not repeated.isEmpty():
+        kept = kept.dropDuplicates(["doc_id", "_here"])
+    return kept.drop("_here")
 
 
 def class_roots(docs: DataFrame, members: DataFrame, met: DataFrame) -> DataFrame:

@@ -2,27 +2,20 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from salesmart.llm import decontaminate, html, jaccard, langid, lines, packing, quality, substring, topk, toxicity
-from salesmart.llm.shared import table
+from salesmart.llm.shared import table, vocabulary
 
 SPACES = "chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
 
-def vocabulary() -> str:
-    """``SALESMART_VOCABULARY``, or the installed public file."""
-    import public_tokenizers
-
-    return os.environ.get("SALESMART_VOCABULARY") or public_tokenizers.path("word_bpe_49k.json")
-
-
 def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     found = topk.exact_top_k(vectors.filter(F.col("id") % 100 == 0), vectors, k=10)
@@ -131,5 +124,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_decontamination": op9_decontamination,
     "op10_html_extraction": op10_html_extraction,
+    "pipeline": corpus_pipeline.run,
 }
 SQL: dict[str, str] = {"op1_exact_top_k": OP1_SQL, "op2_jaccard_join": OP2_SQL, "op4_substring_dedup": OP4_SQL, "op7_line_dedup": OP7_SQL}
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
