@@ -15,8 +15,9 @@ of bit sketches first, as it never exceeds the symmetric difference, then the se
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute
 import xxhash
@@ -35,6 +36,8 @@ SHARE = (80, 100)
 BROADCAST_ROWS = 1_000_000
 #: Classes of one meeting place that are compared in one task at a time.
 CELL = 1500
+#: Meeting places of at most so many classes have their pairs listed before sketches are looked at.
+SMALL = 32
 ROWS = "token bigint, cls bigint, n int, row bigint"
 
 
@@ -85,8 +88,8 @@ def block_tokens(hashes: np.ndarray) -> np.ndarray:
 
 
 def bit_sketch(hashes: np.ndarray) -> bytes:
-    """One bit a shingle, flipped at its hash; 8 bits a shingle at least, a power of two in all."""
-    bits = 1 << max(9, (8 * len(hashes) - 1).bit_length())
+    """Every shingle flips the bit at its hash; two bits a shingle at least, a power of two in all."""
+    bits = 1 << max(9, (2 * len(hashes) - 1).bit_length())
     odd = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -218,41 +221,102 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
+def by_group(batches, keys: int) -> Iterator[list[np.ndarray]]:
+    """Columns of the rows of each group; rows are sorted by their first ``keys`` columns."""
+    held: list[list[np.ndarray]] = []
+    for batch in batches:
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        if not len(columns[0]):
+            continue
+        if held and any(columns[k][0] != held[-1][k][-1] for k in range(keys)):
+            yield [np.concatenate(c) for c in zip(*held, strict=True)]
+            held = []
+        cut = np.zeros(len(columns[0]) - 1, bool)
+        for k in range(keys):
+            cut |= columns[k][1:] != columns[k][:-1]
+        edges = [0, *(np.flatnonzero(cut) + 1).tolist(), len(columns[0])]
+        for x, y in zip(edges[:-1], edges[1:], strict=True):
+            part = [c[x:y] for c in columns]
+            if y < edges[-1]:
+                yield [np.concatenate(c) for c in zip(*held, part, strict=True)] if held else part
+                held = []
+            else:
+                held.append(part)
+    if held:
+        yield [np.concatenate(c) for c in zip(*held, strict=True)]
+
+
+def pair_batches(found: Iterator[tuple[list[int], list[int]]]) -> Iterator[pa.RecordBatch]:
+    """The pairs (smaller first), leaving out most of those a task finds again."""
+    seen: set[tuple[int, int]] = set()
+    fresh: list[tuple[int, int]] = []
+    for left, right in found:
+        for pair in zip(left, right, strict=True):
+            pair = pair if pair[0] < pair[1] else pair[::-1]
+            if pair not in seen:
+                seen.add(pair)
+                fresh.append(pair)
+        if len(fresh) >= 50_000:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*fresh, strict=True)], names=["a", "b"])
+            fresh = []
+        if len(seen) >= 500_000:
+            seen.clear()
+    if fresh:
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*fresh, strict=True)], names=["a", "b"])
+
+
+def close_pairs(cls: np.ndarray, root: np.ndarray, n: np.ndarray, part: np.ndarray, sketches: np.ndarray) -> Iterator[tuple[list[int], list[int]]]:
+    """Pairs of one cell that are in different components, and neither their sizes nor their sketches rule out."""
+    order = np.lexsort((cls, n))
+    cls, root, n, part = cls[order], root[order], n[order], part[order]
+    views = [np.frombuffer(sketches[k], np.uint64) for k in order]
+    least = min(map(len, views))
+    folded = np.stack([np.bitwise_xor.reduce(v.reshape(-1, least), 0) for v in views])
+    for k in range(len(n) - 1):
+        other = np.arange(k + 1, np.searchsorted(n, n[k] * SHARE[1] // SHARE[0], side="right"))
+        other = other[(root[other] != root[k]) & (part[other] != part[k])]
+        if len(other):
+            apart = np.bitwise_count(folded[other] ^ folded[k]).sum(1)
+            other = other[apart <= (n[other] + n[k]) * (SHARE[1] - SHARE[0]) // (SHARE[1] + SHARE[0])]
+            yield [int(cls[k])] * len(other), cls[other].tolist()
+
+
 def apart_pairs(met: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
-    """``a, b``: classes that meet in a block, are in different components, and may link by their sketches."""
+    """``a, b``: classes that meet in a block and are in different components.
+
+    Pairs of small meeting places come as they are. A large one is split into parts, and
+    every two parts meet in a cell of their own, where sizes and sketches sift the pairs.
+    """
     rooted = met.select("token", "cls").join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    mixed_tokens = rooted.groupBy("token").agg(F.count("*").alias("rows"), F.min("root").alias("least"), F.max("root").alias("most")).filter("least < most").select("token", "rows")
-    rows = materialize(rooted.join(mixed_tokens, "token"), "mixed")
-    if rows.isEmpty():
-        return rows.select(F.col("cls").alias("a"), F.col("cls").alias("b"))
-    # A place of many rows is split into parts; every two parts meet in a cell of their own.
+    sizes = rooted.groupBy("token").agg(F.count("*").alias("rows"), F.min("root").alias("least"), F.max("root").alias("most"))
+    rows = materialize(rooted.join(sizes.filter("least < most").select("token", "rows"), "token"), "mixed")
+
+    def small(batches):
+        def pairs():
+            for _, cls, root in by_group(batches, 1):
+                cls, root = cls.tolist(), root.tolist()
+                for k in range(1, len(cls)):
+                    others = [c for c, r in zip(cls[:k], root[:k], strict=True) if r != root[k]]
+                    yield [cls[k]] * len(others), others
+
+        yield from pair_batches(pairs())
+
+    def large(batches):
+        def pairs():
+            for _, i, j, cls, root, part, n, sketches in by_group(batches, 3):
+                # In a cell of one part with itself all rows differ in place, else only rows of the two parts meet.
+                yield from close_pairs(cls, root, n, np.arange(len(cls)) if i[0] == j[0] else part, sketches)
+
+        yield from pair_batches(pairs())
+
+    few = rows.filter(F.col("rows") <= SMALL).select("token", "cls", "root").repartition("token").sortWithinPartitions("token")
     parts = F.ceil(F.col("rows") / CELL).cast("int")
     part = F.pmod(F.xxhash64("cls", "token"), parts).cast("int")
     cells = F.transform(F.sequence(F.lit(0), parts - 1), lambda k: F.struct(F.least(k, part).alias("i"), F.greatest(k, part).alias("j")))
-    dealt = rows.withColumn("part", part).withColumn("cell", F.explode(cells)).join(sets.select("cls", "n", "sketch"), "cls")
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["n", "cls"], ignore_index=True)
-        n, root, part = (group[c].to_numpy() for c in ("n", "root", "part"))
-        least = min(map(len, group["sketch"])) // 8
-        folded = np.stack([np.bitwise_xor.reduce(np.frombuffer(s, np.uint64).reshape(-1, least), 0) for s in group["sketch"]])
-        diagonal = group["i"].iat[0] == group["j"].iat[0]
-        left, right = [], []
-        for k in range(len(n) - 1):
-            end = np.searchsorted(n, n[k] * SHARE[1] // SHARE[0], side="right")
-            other = np.arange(k + 1, end)
-            other = other[(root[other] != root[k]) & (diagonal | (part[other] != part[k]))]
-            if len(other):
-                apart = np.bitwise_count(folded[other] ^ folded[k]).sum(1)
-                other = other[apart <= (n[other] + n[k]) * (SHARE[1] - SHARE[0]) // (SHARE[1] + SHARE[0])]
-                left.append(np.full(len(other), k))
-                right.append(other)
-        x, y = (np.concatenate(c) if c else np.empty(0, int) for c in (left, right))
-        a, b = group["cls"].to_numpy()[x], group["cls"].to_numpy()[y]
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-    columns = ["token", F.col("cell.i").alias("i"), F.col("cell.j").alias("j"), "cls", "root", "part", "n", "sketch"]
-    return dealt.select(*columns).groupBy("token", "i", "j").applyInPandas(run, "a bigint, b bigint").distinct()
+    many = rows.filter(F.col("rows") > SMALL).withColumn("part", part).withColumn("cell", F.explode(cells)).join(sets.select("cls", "n", "sketch"), "cls")
+    many = many.select("token", "cell.i", "cell.j", "cls", "root", "part", "n", "sketch").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    schema = "a bigint, b bigint"
+    return few.mapInArrow(small, schema).union(many.mapInArrow(large, schema)).distinct()
 
 
 def near_components(docs: DataFrame) -> DataFrame:
@@ -306,7 +370,7 @@ def class_roots(docs: DataFrame, members: DataFrame, met: DataFrame) -> DataFram
     best = near.withColumn("place", F.row_number().over(Window.partitionBy("cls").orderBy("apart", "a", "b"))).filter("place <= 2")
     first = materialize(linked(best.select("a", "b").distinct(), sets), "links")
     roots = components(first)
-    second = materialize(linked(apart_pairs(met, roots, sets), sets), "links")
+    second = materialize(linked(near_by_sketch(apart_pairs(met, roots, sets), sets), sets), "links")
     if second.isEmpty():
         return roots
     return components(first.union(second))
