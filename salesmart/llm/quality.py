@@ -99,6 +99,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = 20_000) -> QualityMode
             if x:
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], names=["quality", "x"])
 
+    docs = docs.select("doc_id", "text")
     rows = docs.join(small, docs["doc_id"] == small["_id"]).select("_quality", "text").mapInArrow(run, "quality int, x array<double>").collect()
     rows.sort(key=lambda r: (r["x"], r["quality"]))
     y = np.array([r["quality"] for r in rows], float)
