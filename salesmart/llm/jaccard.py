@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.llm.components import components
-from salesmart.llm.shared import WORD, WordHashes, gram_hashes, mixed, signed, slices
+from salesmart.llm.shared import TextHashes, gram_hashes, mixed, signed, slices
 from salesmart.storage import materialize
 
 NO_ID = -(2**63)
@@ -41,9 +41,9 @@ SMALL = 32
 ROWS = "token bigint, cls bigint, n int, row bigint"
 
 
-def shingles(text: str | None, known: WordHashes, size: int = SIZE) -> np.ndarray:
+def shingles(text: str | None, known: TextHashes, size: int = SIZE) -> np.ndarray:
     """Sorted distinct hashes of the shingles; fewer words than ``size`` are one shingle."""
-    words = known.of(WORD.findall((text or "").encode("utf-8").lower().decode("utf-8")))
+    words = known.of((text or "").encode("utf-8").lower())
     if not len(words):
         return words
     return np.unique(gram_hashes(words, min(size, len(words))) + np.uint64(len(words) if len(words) < size else 0))
@@ -68,22 +68,34 @@ def band_edges(n: int) -> tuple[int, int, int]:
         number, low = number + 1, high
 
 
+PLACES = mixed(np.arange(1, 1 << 14).astype(np.uint64))
+
+
+def places(blocks: int) -> np.ndarray:
+    """A hash of each block's place."""
+    return PLACES[:blocks] if blocks <= len(PLACES) else mixed(np.arange(1, blocks + 1).astype(np.uint64))
+
+
 def block_tokens(hashes: np.ndarray) -> np.ndarray:
     """The blocks that a class offers: in the join of its own band, and in that of the band below."""
     n = len(hashes)
     band, low, high = band_edges(n)
+    upper, scrambled = hashes >> np.uint64(32), mixed(hashes)
     out = []
     for group, first_above, offered in ((band, high, most_apart(n + n * SHARE[1] // SHARE[0]) + 1), (band - 1, low, most_apart(n + low - 1) + 1)):
         if group < 0:
             continue
         largest = first_above - 1
         blocks = (most_apart(largest + largest * SHARE[1] // SHARE[0]) + 1) * 5 // 4 + 1
-        where = (hashes >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)
+        where = (upper * np.uint64(blocks) >> np.uint64(32)).astype(np.int64)
         content = np.zeros(blocks, np.uint64)
-        np.bitwise_xor.at(content, where, mixed(hashes))
-        full = np.minimum(np.bincount(where.astype(np.int64), minlength=blocks), 4)
-        tokens = mixed(mixed(content ^ mixed(np.arange(blocks).astype(np.uint64) + np.uint64(1))) + np.uint64(group))
-        out.append(tokens[np.lexsort((tokens, -full))[: min(offered, blocks)]])
+        np.bitwise_xor.at(content, where, scrambled)
+        full = np.minimum(np.bincount(where, minlength=blocks), 4)
+        tokens = mixed(content ^ places(blocks) ^ mixed(np.array([group + 1], np.uint64)))
+        if offered < blocks:
+            first = (4 - full).astype(np.uint64) << np.uint64(61) | tokens >> np.uint64(3)
+            tokens = tokens[np.argpartition(first, offered)[:offered]]
+        out.append(tokens)
     return np.concatenate(out)
 
 
@@ -109,7 +121,7 @@ def offered(docs: DataFrame) -> DataFrame:
     """Block tokens of every class a task meets (row null), and one row per document with its id as token."""
 
     def run(batches):
-        known, seen = WordHashes(), set()
+        known, seen = TextHashes(), set()
         for batch in slices(batches):
             tokens, owners, lengths, heads = [], [], [], []
             for doc, row, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -178,7 +190,7 @@ def sets_of(docs: DataFrame, members: DataFrame, met: DataFrame) -> DataFrame:
         wanted = F.broadcast(wanted)
 
     def run(batches):
-        known = WordHashes()
+        known = TextHashes()
         for batch in slices(batches):
             rows = [(cls, len(h), bit_sketch(h), h.tobytes()) for cls, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for h in [shingles(text, known)]]
             if rows:
@@ -353,7 +365,8 @@ def without_near_copies(docs: DataFrame) -> DataFrame:
     if gone.count() <= BROADCAST_ROWS:
         gone = F.broadcast(gone)
     here = docs.withColumn("_here", F.xxhash64("text"))
-    kept = here.join(gone, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_here") == F.col("_row")), "left_anti")
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_here") == F.col("_row"))
+    kept = here.join(gone, same, "left_anti")
     repeated = judged.filter("first AND n_shingles > 0").groupBy("doc_id", "row").agg(F.count("*").alias("n")).filter("n > 1")
     if not repeated.isEmpty():
         kept = kept.dropDuplicates(["doc_id", "_here"])

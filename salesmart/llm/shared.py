@@ -60,10 +60,58 @@ class WordHashes(dict):
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit values (splitmix finaliser)."""
     x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
+
+
+BASE = 0x9E3779B97F4A7C15 | 3
+BLANK = re.compile(rb"[\x20\x09-\x0D]")
+IS_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+BYTE_VALUES = mixed(np.arange(1, 257).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """1, base, base^2, ... (mod 2^64)."""
+    steps = np.full(n, base, np.uint64)
+    steps[:1] = 1
+    return np.multiply.accumulate(steps)
+
+
+class TextHashes:
+    """64-bit hashes of the words of a text, all at once: differences of running polynomial sums over its bytes.
+
+    Long texts are taken in pieces that end at white space, so memory follows ``most`` or the longest word.
+    """
+
+    def __init__(self, most: int = 1 << 18):
+        self.most = most
+        self.up, self.down = powers(BASE, most), powers(pow(BASE, -1, 2**64), most)
+
+    def _of_piece(self, data: np.ndarray) -> np.ndarray:
+        if len(data) > len(self.up):
+            up, down = powers(BASE, len(data)), powers(pow(BASE, -1, 2**64), len(data))
+        else:
+            up, down = self.up, self.down
+        solid = np.zeros(len(data) + 2, np.int8)
+        solid[1:-1] = ~IS_BLANK[data]
+        edges = np.flatnonzero(solid[1:] != solid[:-1])
+        starts, ends = edges[::2], edges[1::2]
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(BYTE_VALUES[data] * up[: len(data)], out=sums[1:])
+        return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+    def of(self, data: bytes) -> np.ndarray:
+        out, at = [], 0
+        while at < len(data):
+            end = at + self.most
+            cut = BLANK.search(data, end) if end < len(data) else None
+            end = cut.start() if cut else len(data)
+            out.append(self._of_piece(np.frombuffer(data, np.uint8, end - at, at)))
+            at = end
+        return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
 def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.shared import WORD, WordHashes, gram_hashes, mixed, signed, slices
+from salesmart.llm.shared import WORD, TextHashes, gram_hashes, mixed, signed, slices
 from salesmart.storage import materialize
 
 #: Below every id: rows without an id form one document that comes first.
@@ -126,12 +126,12 @@ def hot_anchors(docs: DataFrame, size: int) -> np.ndarray:
     """Anchors with more than ``SHARE`` of all phrases, counted by each task among its distinct phrases."""
 
     def run(batches):
-        known = WordHashes()
+        known = TextHashes()
         counts: list[np.ndarray] = []
         phrases = 0
         for batch in slices(batches):
             for text in batch.column(0).to_pylist():
-                hashes = known.of(WORD.findall(text or ""))
+                hashes = known.of((text or "").encode("utf-8"))
                 if len(hashes) >= size:
                     least = anchors_of(hashes, size)
                     counts.append(least[np.concatenate([[True], least[1:] != least[:-1]])])
@@ -156,10 +156,10 @@ def hot_anchors(docs: DataFrame, size: int) -> np.ndarray:
 
 def phrases(docs: DataFrame, size: int, hot: np.ndarray) -> DataFrame:
     def run(batches):
-        known, chunk = WordHashes(), Chunk()
+        known, chunk = TextHashes(), Chunk()
         for batch in slices(batches):
             for doc, row, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                chunk.add(doc, row, known.of(WORD.findall(text or "")), size, hot)
+                chunk.add(doc, row, known.of((text or "").encode("utf-8")), size, hot)
                 if chunk.words >= CHUNK_WORDS:
                     if (rows := chunk.rows()) is not None:
                         yield from slices([rows], 100_000)
