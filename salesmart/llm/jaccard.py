@@ -359,7 +359,7 @@ def near_components(docs: DataFrame) -> DataFrame:
 
 
 def without_near_copies(docs: DataFrame) -> DataFrame:
-    """The documents, as given, without those that are not ``first`` in their component; repeated rows stay once."""
+    """The documents, as given, without those that are not ``first`` in their component; repeated rows stay once, but all that are empty stay."""
     judged = materialize(near_components(docs), "near-copies")
     gone = judged.filter("NOT first").select(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).distinct()
     if gone.count() <= BROADCAST_ROWS:
@@ -369,7 +369,8 @@ def without_near_copies(docs: DataFrame) -> DataFrame:
     kept = here.join(gone, same, "left_anti")
     repeated = judged.filter("first AND n_shingles > 0").groupBy("doc_id", "row").agg(F.count("*").alias("n")).filter("n > 1")
     if not repeated.isEmpty():
-        kept = kept.dropDuplicates(["doc_id", "_here"])
+        twice = repeated.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"))
+        kept = kept.join(twice, same, "left_anti").unionByName(kept.join(twice, same, "left_semi").dropDuplicates(["doc_id", "_here"]))
     return kept.drop("_here")
 
 
