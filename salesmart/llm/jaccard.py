@@ -8,7 +8,8 @@ sizes documents meet through equal blocks (pigeonhole). Of its blocks a document
 only as many as the bound asks for, fullest first, an order that both sides share.
 
 Equal shingle sets form one class, classes are the nodes of the join. In each meeting
-place every class is first paired with one common partner. Whatever these pairs leave
+place every class is first paired with one common partner. In large places the closest
+pairs between components follow, fewer than there are classes. Whatever these leave
 in different components is compared in full, in blocks of bounded size: Hamming distance
 of bit sketches first, as it never exceeds the symmetric difference, then the sets.
 """
@@ -277,8 +278,8 @@ def pair_batches(found: Iterator[tuple[list[int], list[int]]]) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*fresh, strict=True)], names=["a", "b"])
 
 
-def close_pairs(cls: np.ndarray, root: np.ndarray, n: np.ndarray, part: np.ndarray, sketches: np.ndarray) -> Iterator[tuple[list[int], list[int]]]:
-    """Pairs of one cell that are in different components, and neither their sizes nor their sketches rule out."""
+def close_pairs(cls: np.ndarray, root: np.ndarray, n: np.ndarray, part: np.ndarray, sketches: np.ndarray) -> Iterator[tuple[list[int], list[int], list[int]]]:
+    """Pairs of one cell, with the distance of their sketches, that are in different components, and neither their sizes nor their sketches rule out."""
     order = np.lexsort((cls, n))
     cls, root, n, part = cls[order], root[order], n[order], part[order]
     views = [np.frombuffer(sketches[k], np.uint64) for k in order]
@@ -289,15 +290,38 @@ def close_pairs(cls: np.ndarray, root: np.ndarray, n: np.ndarray, part: np.ndarr
         other = other[(root[other] != root[k]) & (part[other] != part[k])]
         if len(other):
             apart = np.bitwise_count(folded[other] ^ folded[k]).sum(1)
-            other = other[apart <= (n[other] + n[k]) * (SHARE[1] - SHARE[0]) // (SHARE[1] + SHARE[0])]
-            yield [int(cls[k])] * len(other), cls[other].tolist()
+            near = apart <= (n[other] + n[k]) * (SHARE[1] - SHARE[0]) // (SHARE[1] + SHARE[0])
+            other, apart = other[near], apart[near]
+            yield [int(cls[k])] * len(other), cls[other].tolist(), apart.tolist()
 
 
-def apart_pairs(met: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
+def forest(found: Iterator[tuple[list[int], list[int], list[int]]], roots: dict[int, int]) -> tuple[list[int], list[int]]:
+    """Of the (a, b, apart) pairs of one cell the closest ones that would join all components that any pair joins."""
+    above: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while x in above:
+            above[x] = x = above.get(above[x], above[x])
+        return x
+
+    columns = [np.concatenate([np.array(x, np.int64) for x in c]) for c in zip(*found, strict=True)]
+    left, right = [], []
+    for k in np.lexsort((columns[1], columns[0], columns[2])) if columns else ():
+        a, b = int(columns[0][k]), int(columns[1][k])
+        x, y = top(roots[a]), top(roots[b])
+        if x != y:
+            above[x] = y
+            left.append(a)
+            right.append(b)
+    return left, right
+
+
+def apart_pairs(met: DataFrame, roots: DataFrame, sets: DataFrame, closest: bool = False) -> DataFrame:
     """``a, b``: classes that meet in a block and are in different components.
 
     Pairs of small meeting places come as they are. A large one is split into parts, and
     every two parts meet in a cell of their own, where sizes and sketches sift the pairs.
+    With ``closest`` only large places answer, each cell with fewer pairs than it has rows.
     """
     rooted = met.select("token", "cls").join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     sizes = rooted.groupBy("token").agg(F.count("*").alias("rows"), F.min("root").alias("least"), F.max("root").alias("most"))
@@ -317,7 +341,11 @@ def apart_pairs(met: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
         def pairs():
             for _, i, j, cls, root, part, n, sketches in by_group(batches, 3):
                 # In a cell of one part with itself all rows differ in place, else only rows of the two parts meet.
-                yield from close_pairs(cls, root, n, np.arange(len(cls)) if i[0] == j[0] else part, sketches)
+                found = close_pairs(cls, root, n, np.arange(len(cls)) if i[0] == j[0] else part, sketches)
+                if closest:
+                    yield forest(found, dict(zip(cls.tolist(), root.tolist(), strict=True)))
+                else:
+                    yield from ((a, b) for a, b, _ in found)
 
         yield from pair_batches(pairs())
 
@@ -328,6 +356,8 @@ def apart_pairs(met: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
     many = rows.filter(F.col("rows") > SMALL).withColumn("part", part).withColumn("cell", F.explode(cells)).join(sets.select("cls", "n", "sketch"), "cls")
     many = many.select("token", "cell.i", "cell.j", "cls", "root", "part", "n", "sketch").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
     schema = "a bigint, b bigint"
+    if closest:
+        return many.mapInArrow(large, schema).distinct()
     return few.mapInArrow(small, schema).union(many.mapInArrow(large, schema)).distinct()
 
 
@@ -384,6 +414,10 @@ def class_roots(docs: DataFrame, members: DataFrame, met: DataFrame) -> DataFram
     best = near.withColumn("place", F.row_number().over(Window.partitionBy("cls").orderBy("apart", "a", "b"))).filter("place <= 2")
     first = materialize(linked(best.select("a", "b").distinct(), sets), "links")
     roots = components(first)
+    closest = materialize(linked(near_by_sketch(apart_pairs(met, roots, sets, closest=True), sets), sets), "links")
+    if not closest.isEmpty():
+        first = first.union(closest)
+        roots = components(first)
     second = materialize(linked(near_by_sketch(apart_pairs(met, roots, sets), sets), sets), "links")
     if second.isEmpty():
         return roots
