@@ -66,7 +66,7 @@ def with_frequencies(pairs: DataFrame, bought: DataFrame) -> DataFrame:
 def top_item_combos(bought: DataFrame, min_orders: int = 100, k: int = 25) -> DataFrame:
     """Best pairs by lift within their outlet."""
     full = with_frequencies(pair_counts(bought, min_orders), bought)
-    expected = F.col("n_a") * F.col("n_b")
+    expected = F.col("n_a").cast("double") * F.col("n_b")
     together = F.col("pair_orders") * F.lit(1.0)
     return full.select(
         "item_a", "item_b", "outlet_id", F.col("pair_orders").alias("orders_with_combo"),
@@ -84,7 +84,7 @@ def market_basket(bought: DataFrame, floor: int = 30, share: float = 0.001, k: i
         full.withColumn("support", F.col("pair_orders") / n).withColumn("p_a", F.col("n_a") / n).withColumn("p_b", F.col("n_b") / n)
         .withColumn("confidence_a_to_b", F.col("support") / F.col("p_a")).withColumn("confidence_b_to_a", F.col("support") / F.col("p_b"))
         .withColumn("lift", F.col("confidence_a_to_b") / F.col("p_b"))
-        .withColumn("chain_lift", F.col("pair_orders") * total / (F.col("n_a") * F.col("n_b")))
+        .withColumn("chain_lift", F.col("pair_orders").cast("double") * total / (F.col("n_a").cast("double") * F.col("n_b")))
         .drop("n_a", "n_b").orderBy(F.desc("lift"), "outlet_id", "item_a", "item_b").limit(k)
     )
 

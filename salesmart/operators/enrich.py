@@ -107,7 +107,7 @@ def promo_window_join(orders: DataFrame, promotions: DataFrame) -> DataFrame:
     instead of a range filter over all pairs of an outlet: a busy outlet spreads
     over its days and only true matches are produced.
     """
-    days = promotions.select("promotion_id", "discount_percentage", "outlet_id", F.explode(F.sequence("start_date", "end_date")).alias("order_date"))
+    days = promotions.where("start_date <= end_date").select("promotion_id", "discount_percentage", "outlet_id", F.explode(F.sequence("start_date", "end_date")).alias("order_date"))
     o = completed(orders).select("order_id", "outlet_id", "order_date", "total_amount")
     return o.join(days, ["outlet_id", "order_date"])
 

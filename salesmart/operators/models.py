@@ -98,14 +98,14 @@ def roc_auc(scored: DataFrame) -> DataFrame:
     """Exact area under the ROC curve with ties counted half.
 
     Scores are reduced to distinct values; the running number of negatives above
-    each value comes from bucketed totals, not from one global sort.
+    each value comes from bucketed totals, not from one global sort. Null with one class only.
     """
     per_value = materialize(scored.groupBy("probability").agg(
         F.sum("actual").alias("pos"), F.sum(1 - F.col("actual")).alias("neg")), "scores")
     above = running_total(per_value, "probability", None, {"neg_above": "neg"})
-    total_pos, total_neg = F.sum("pos"), F.sum("neg")
-    wins = F.sum(F.col("pos") * (F.col("neg_above") + F.col("neg") / 2))
-    return above.agg((1 - wins / (total_pos * total_neg)).alias("roc_auc"))
+    total_pos, total_neg = F.sum("pos").cast("double"), F.sum("neg").cast("double")
+    wins = F.sum(F.col("pos").cast("double") * (F.col("neg_above") + F.col("neg") / 2))
+    return above.agg((1 - F.try_divide(wins, total_pos * total_neg)).alias("roc_auc"))
 
 
 def evaluate(scored: DataFrame, task: Task) -> DataFrame:

@@ -155,7 +155,7 @@ class Dataset:
         Stored, since it has at most outlets x calendar days rows however many promotions
         there are: its real size then lets Spark broadcast it and leave the orders in place.
         """
-        days = self.promotions.select("promotion_id", "outlet_id", F.explode(F.sequence("start_date", "end_date")).alias("order_date"))
+        days = self.promotions.where("start_date <= end_date").select("promotion_id", "outlet_id", F.explode(F.sequence("start_date", "end_date")).alias("order_date"))
         lowest = days.groupBy("outlet_id", "order_date").agg(F.min("promotion_id").alias("active_id"))
         percent = self.promotions.select(F.col("promotion_id").alias("active_id"), F.col("discount_percentage").alias("active_pct"))
         return self._stored("active-promotions", lowest.join(percent, "active_id"))

@@ -64,6 +64,19 @@ def test_rank_with_a_third_of_the_rows_on_one_value(spark):
     assert bucketed == direct and sorted(direct.values()) == list(range(1, 3001))
 
 
+@pytest.mark.parametrize("values", [[], [None, None], [5.0, None, 3.0, 4.0], [float("nan"), None, 1.0, float("nan"), 1.0, float("inf")], [2.0] * 40, [None] * 20 + [1.0] * 20])
+@pytest.mark.parametrize("buckets", [2, 9])
+def test_rank_of_nulls_nans_and_ties(spark, values, buckets):
+    df = spark.createDataFrame(list(enumerate(values)), "id long, v double")
+    want = {i: n + 1 for n, (i, _) in enumerate(sorted(enumerate(values), key=lambda r: (r[1] is None, r[1] == r[1], -(r[1] or 0) if r[1] == r[1] else 0, r[0])))}
+    assert {r["id"]: r["rank"] for r in ranking.global_rank(df, "v", "id", buckets=buckets).collect()} == want
+
+
+def test_rank_keeps_a_null_key(spark):
+    df = spark.createDataFrame([(2, None), (None, None), (1, None), (3, 1.0)], "id long, v double")
+    assert {r["id"]: r["rank"] for r in ranking.global_rank(df, "v", "id").collect()} == {3: 1, None: 2, 1: 3, 2: 4}
+
+
 def test_exact_sum_does_not_depend_on_partitioning(spark):
     rng = random.Random(3)
     values = [round(rng.uniform(-1e6, 1e6), 4) for _ in range(5000)]

@@ -42,7 +42,7 @@ def cluster(spark, monkeypatch):
     for k, v in CLUSTER.items():
         spark.conf.set(k, v)
     monkeypatch.setattr(quantiles, "SMALL_BYTES", -1)
-    monkeypatch.setattr(ranking, "SMALL_BYTES", -1)
+    monkeypatch.setattr(ranking, "BUCKET_ROWS", 100)
     monkeypatch.setattr(quantiles.exact_quantiles, "__defaults__", (quantiles.ACCURACY, -1))
     yield
     for k, v in before.items():
