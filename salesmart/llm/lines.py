@@ -97,7 +97,7 @@ class LineRuns:
 
     def _merged(self, names: list[str]) -> DataFrame:
         # Read as plain files: Spark 4.1 groups a union of bucketed tables within buckets of one table only.
-        every = self.spark.read.parquet(*[self.paths[n] for n in names])
+        every = self.spark.read.schema(self.spark.table(names[0]).schema).parquet(*[self.paths[n] for n in names])
         return every.groupBy("hi", "lo").agg(F.sum("n_docs").alias("n_docs"), F.max("doc").alias("doc"))
 
     def _drop(self, names: list[str]) -> None:
