@@ -1,11 +1,12 @@
 """Benchmark decontamination by template canonicalisation, in DataFrame functions only.
 
-Numbers, names and units become typed placeholders, so a question keeps its template
-when its figures and names are exchanged. Windows of template tokens are hash-joined
-with those of the benchmark: the benchmark offers every window, a document every
-``stride``-th, so any shared run of ``size + stride - 1`` tokens is met. Each meeting
-fixes an alignment; the documents that have one are compared with the item token by
-token, and the values in the slots must map one to one.
+Numbers, names and units become typed placeholders, adjacent numbers or names one of
+them, so a question keeps its template when its figures and names are exchanged. Windows
+of template tokens are hash-joined with those of the benchmark: the benchmark offers
+every window, a document every ``stride``-th, so any shared run of ``size + stride - 1``
+tokens is met. Each meeting fixes a shift between document and item. Around it they are
+compared token by token, at this shift alone and at several shifts in order, as words
+that were added or dropped move what follows; the values in the slots must map one to one.
 """
 
 from __future__ import annotations
@@ -15,9 +16,9 @@ from pyspark.sql import functions as F
 
 from salesmart.storage import materialize
 
-# Marks inside canonical texts: a name, a number, a unit, a separator inside a number.
-NAME, NUMBER, UNIT, INNER = "\u0002", "\u0003", "\u0004", "\u0005"
-TOKEN = r"\p{L}\p{N}\x{2}-\x{5}"
+# Marks inside canonical texts: a name, a number, a unit, a separator inside a number, one between joined numbers, one between joined names.
+NAME, NUMBER, UNIT, INNER, BOTH, NAMES = "\u0002", "\u0003", "\u0004", "\u0005", "\u0006", "\u0007"
+TOKEN = r"\p{L}\p{N}\x{2}-\x{7}"
 #: Units of measure, as fixed values.
 UNITS = (
     "mm cm m km in inch inches ft foot feet yd yard yards mi mile miles mg g kg gram grams kilogram kilograms oz ounce ounces lb lbs pound pounds ton tons "
@@ -26,13 +27,21 @@ UNITS = (
 )
 
 
+#: Shifts this far from a met one are tried without a window of their own.
+NEAR = 8
+#: Tokens a further shift has to add at least, less one half.
+TURN = 1.5
+
+
 def marked(text: Column) -> Column:
-    """``text`` with names and units marked by a leading sign, and numbers in one piece."""
+    """``text`` with names and units marked by a leading sign, and numbers and adjacent names or numbers in one piece."""
     x = F.coalesce(text, F.lit(""))
-    x = F.regexp_replace(x, r"[\x{2}-\x{5}]", " ")
+    x = F.regexp_replace(x, r"[\x{2}-\x{7}]", " ")
     x = F.regexp_replace(x, r"[.,:/](?<=\p{Nd}[.,:/])(?=\p{Nd})", INNER)
     x = F.regexp_replace(x, r"\p{Lu}(?<=[\p{L}\p{N},;] \p{Lu})\p{Ll}\p{L}*", NAME + "$0")
-    return F.regexp_replace(x, rf"(\p{{Nd}})[ -]?(?i:({'|'.join(UNITS.split())}))(?![\p{{L}}\p{{N}}])", f"$1 {UNIT}$2")
+    x = F.regexp_replace(x, rf"(\p{{Nd}})[ -]?(?i:({'|'.join(UNITS.split())}))(?![\p{{L}}\p{{N}}])", f"$1 {UNIT}$2")
+    x = F.regexp_replace(x, rf"({NAME}[\p{{L}}\p{{N}}{INNER}]*)[^{TOKEN}]+(?={NAME})", f"$1{NAMES}")
+    return F.regexp_replace(x, rf"(\p{{Nd}}(?<![{TOKEN}]\p{{Nd}})[\p{{L}}\p{{N}}{INNER}]*)[^{TOKEN}]+(?=\p{{Nd}})", f"$1{BOTH}")
 
 
 def tokens(text: Column) -> Column:
@@ -41,8 +50,8 @@ def tokens(text: Column) -> Column:
 
 def template(text: Column) -> Column:
     """Template tokens: placeholders, and other words in lower case."""
-    x = F.regexp_replace(marked(text), rf"([{NAME}{UNIT}])[\p{{L}}\p{{N}}{INNER}]*", "$1")
-    x = F.regexp_replace(x, rf"\p{{Nd}}(?<![{TOKEN}]\p{{Nd}})[\p{{L}}\p{{N}}{INNER}]*", NUMBER)
+    x = F.regexp_replace(marked(text), rf"([{NAME}{UNIT}])[\p{{L}}\p{{N}}{NAME}{INNER}{NAMES}]*", "$1")
+    x = F.regexp_replace(x, rf"\p{{Nd}}(?<![{TOKEN}]\p{{Nd}})[\p{{L}}\p{{N}}{INNER}{BOTH}]*", NUMBER)
     return tokens(F.lower(x))
 
 
@@ -59,18 +68,19 @@ def window_hashes(words: Column, size: int, stride: int) -> Column:
 
 
 def benchmark_windows(items: DataFrame, size: int) -> DataFrame:
-    """``hash, item_id, at`` of every window of every item that holds a word besides placeholders."""
+    """``hash, item_id, at, n`` of every window of every item that holds a word besides placeholders."""
     words = items.select("item_id", template(F.col("text")).alias("words"))
-    spread = words.select("item_id", "words", F.posexplode(window_hashes(F.col("words"), size, 1)).alias("at", "hash"))
+    spread = words.select("item_id", "words", F.size("words").alias("n"), F.posexplode(window_hashes(F.col("words"), size, 1)).alias("at", "hash"))
     plain = F.exists(F.slice("words", F.col("at") + 1, size), lambda w: ~w.isin(NAME, NUMBER, UNIT))
-    return materialize(spread.filter(plain).select("hash", "item_id", "at").distinct(), "benchmark-windows")
+    return materialize(spread.filter(plain).select("hash", "item_id", "at", "n").distinct(), "benchmark-windows")
 
 
 def alignments(docs: DataFrame, windows: DataFrame, size: int, stride: int) -> DataFrame:
-    """``_key, _item, _shift``: documents, items and the shift at which a window of both agrees."""
+    """``_key, _met``: documents with the items, their lengths and the shifts at which a window of both agrees."""
     spread = docs.select(key_of(docs), template(F.col("text")).alias("words")).select("_key", F.posexplode(window_hashes(F.col("words"), size, stride)).alias("place", "hash"))
-    met = spread.join(windows, "hash")
-    return materialize(met.select("_key", F.col("item_id").alias("_item"), (F.col("place") * stride - F.col("at")).alias("_shift")).distinct(), "alignments")
+    met = spread.join(windows, "hash").withColumn("shift", F.col("place") * stride - F.col("at"))
+    each = met.groupBy("_key", "item_id", "n").agg(F.collect_set("shift").alias("shifts"))
+    return materialize(each.groupBy("_key").agg(F.collect_list(F.struct("item_id", "n", "shifts")).alias("_met")), "alignments")
 
 
 def key_of(docs: DataFrame) -> Column:
@@ -78,26 +88,71 @@ def key_of(docs: DataFrame) -> Column:
     return F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), "text").alias("_key")
 
 
+def stretches(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``doc_id, _item, _held, _base, _lanes``: the tokens of a document around a met shift, and the shifts to try there."""
+    rows = docs.select(key_of(docs), F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(found, "_key")
+    rows = rows.select("doc_id", "_met", tokens(marked(F.col("text"))).alias("_words")).select("doc_id", "_words", F.explode("_met").alias("m"))
+    rows = rows.select("doc_id", "_words", F.col("m.item_id").alias("_item"), F.col("m.n").alias("n"), F.col("m.shifts").alias("shifts"), F.explode("m.shifts").alias("shift"))
+    reach = F.greatest("n", F.lit(NEAR))
+    start = F.greatest(F.col("shift") - reach, F.lit(0))
+    lanes = F.array_union(F.filter("shifts", lambda s: F.abs(s - F.col("shift")) <= F.col("n")), F.sequence(F.col("shift") - NEAR, F.col("shift") + NEAR))
+    held = F.slice("_words", start + 1, F.greatest(F.col("shift") + reach + F.col("n") - start, F.lit(0)))
+    return rows.select("doc_id", "_item", held.alias("_held"), (F.col("shift") - start).alias("_base"), F.transform(F.array_sort(lanes), lambda s: s - start).alias("_lanes"))
+
+
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def in_order(lanes: Column, asked: Column, held: Column) -> Column:
+    """Places ``q, d`` of agreeing tokens, rising in both, where the shifts ``lanes`` take turns; a turn costs ``TURN`` tokens."""
+
+    def step(state: Column, i: Column) -> Column:
+        def lane(own: Column, shift: Column) -> Column:
+            turned = F.struct((state["best"]["score"] - TURN).alias("score"), state["best"]["last"].alias("last"), state["best"]["pairs"].alias("pairs"))
+            place = i + shift
+
+            def on(before: Column) -> Column:
+                agree = (place > before["last"]) & F.coalesce(F.get(asked, i) == F.get(held, place), F.lit(False))
+                pair = F.array(F.struct(i.alias("q"), place.alias("d")))
+                more = F.struct((before["score"] + 1).alias("score"), place.alias("last"), F.concat(before["pairs"], pair).alias("pairs"))
+                return F.when(agree, more).otherwise(before)
+
+            return let(F.when(turned["score"] > own["score"], turned).otherwise(own), on)
+
+        return let(F.zip_with(state["all"], lanes, lane), lambda new: F.struct(F.array_max(new).alias("best"), new.alias("all")))
+
+    nothing = F.expr("named_struct('score', 0D, 'last', -1, 'pairs', cast(array() as array<struct<q:int,d:int>>))")
+    start = F.struct(nothing.alias("best"), F.transform(lanes, lambda _: nothing).alias("all"))
+    return F.aggregate(F.sequence(F.lit(0), F.size(asked) - 1), start, step, lambda end: end["best"]["pairs"])
+
+
 def matches(docs: DataFrame, items: DataFrame, size: int = 8, stride: int = 4, coverage: float = 0.6) -> DataFrame:
     """``doc_id, item_id, coverage, n_slots, n_changed`` of documents that hold a benchmark item.
 
-    A document holds an item when, at one alignment, at least the share ``coverage`` of the
-    item's template tokens agree and the slots are consistent: equal values of the item stand
-    for equal values of the document and the other way round. ``n_changed`` counts slots with
-    another value (0: verbatim). Of several alignments the fullest counts. Items of fewer than
-    ``size + stride - 1`` tokens match nothing; null and empty texts hold nothing; null ids are
+    A document holds an item when at least the share ``coverage`` of the item's template
+    tokens agree with tokens of the document and the slots are consistent: equal values of
+    the item stand for equal values of the document and the other way round. Agreeing tokens
+    are counted at one shift, and at several in order: those met at most an item's length
+    from the first, and all within ``NEAR`` of it. ``n_changed`` counts slots with
+    another value (0: verbatim). Of several alignments the fullest counts. An item is met
+    where ``size + stride - 1`` tokens in a row agree; items of fewer
+    tokens match nothing; null and empty texts hold nothing; null ids are
     kept; repeated rows are answered once.
     """
     items = items.select(F.col("item_id").cast("bigint"), "text").filter("item_id IS NOT NULL")
     found = alignments(docs, benchmark_windows(items, size), size, stride)
-    asked = items.select(F.col("item_id").alias("_item"), tokens(marked(F.col("text"))).alias("_asked"))
-    rows = docs.select(key_of(docs), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    rows = rows.join(found, "_key").join(asked, "_item").select("doc_id", "_item", "_shift", "_asked", tokens(marked(F.col("text"))).alias("_held"))
-    lead, start = F.greatest(-F.col("_shift"), F.lit(0)), F.greatest(F.col("_shift"), F.lit(0))
+    asked = items.select(F.col("item_id").alias("_item"), tokens(marked(F.col("text"))).alias("_asked")).filter(F.size("_asked") >= size + stride - 1)
+    rows = stretches(docs, found).join(asked, "_item")
+    # Stored, so that no token is made again inside the comparisons.
+    rows = materialize(rows.select("*", F.transform("_asked", as_template).alias("_q"), F.transform("_held", as_template).alias("_d")).distinct(), "stretches")
+    single, several = (in_order(lanes, F.col("_q"), F.col("_d")) for lanes in (F.array("_base"), F.col("_lanes")))
     n = F.size("_asked")
-    pairs = F.arrays_zip(F.slice("_asked", lead + 1, n - lead).alias("q"), F.slice("_held", start + 1, n - lead).alias("d"))
-    rows = rows.filter(n >= size + stride - 1).withColumn("_pairs", F.filter(pairs, lambda p: as_template(p["q"]) == as_template(p["d"])))
-    slots = F.transform(F.filter("_pairs", lambda p: as_template(p["q"]).isin(NAME, NUMBER, UNIT)), lambda p: F.struct(F.lower(p["q"]).alias("q"), F.lower(p["d"]).alias("d")))
+    rows = rows.withColumn("_one", single).withColumn("_ways", F.when(F.size("_one") == n, F.array("_one")).otherwise(F.array("_one", several)))
+    rows = rows.select("doc_id", "_item", "_asked", "_q", "_held", F.explode("_ways").alias("_pairs"))
+    slot = lambda p: F.struct(F.lower(F.get("_asked", p["q"])).alias("q"), F.lower(F.get("_held", p["d"])).alias("d"))
+    slots = F.transform(F.filter("_pairs", lambda p: F.get("_q", p["q"]).isin(NAME, NUMBER, UNIT)), slot)
     rows = rows.withColumn("_slots", slots).withColumn("coverage", F.size("_pairs") / n)
     kinds = F.size(F.array_distinct("_slots"))
     one_to_one = (kinds == F.size(F.array_distinct("_slots.q"))) & (kinds == F.size(F.array_distinct("_slots.d")))
