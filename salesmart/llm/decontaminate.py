@@ -61,24 +61,38 @@ def as_template(token: Column) -> Column:
     return F.when(first.isin(NAME, UNIT), first).when(first.rlike(r"\p{Nd}"), NUMBER).otherwise(F.lower(token))
 
 
-def window_hashes(words: Column, size: int, stride: int) -> Column:
+def window_hashes(words: Column, size: int | Column, stride: int) -> Column:
     """Hash of the ``size`` tokens from each ``stride``-th place; empty for short texts."""
     starts = F.sequence(F.lit(0), F.size(words) - size, F.lit(stride))
     return F.when(F.size(words) >= size, F.transform(starts, lambda i: F.xxhash64(F.array_join(F.slice(words, i + 1, size), " "))))
 
 
 def benchmark_windows(items: DataFrame, size: int) -> DataFrame:
-    """``hash, item_id, at, n`` of every window of every item that holds a word besides placeholders."""
-    words = items.select("item_id", template(F.col("text")).alias("words"))
-    spread = words.select("item_id", "words", F.size("words").alias("n"), F.posexplode(window_hashes(F.col("words"), size, 1)).alias("at", "hash"))
-    plain = F.exists(F.slice("words", F.col("at") + 1, size), lambda w: ~w.isin(NAME, NUMBER, UNIT))
-    return materialize(spread.filter(plain).select("hash", "item_id", "at", "n").distinct(), "benchmark-windows")
+    """``hash, item_id, at, n, size`` of every window of every item that holds a word besides placeholders; a short item is one window."""
+    words = items.select("item_id", template(F.col("text")).alias("words")).withColumn("n", F.size("words")).filter("n > 0")
+    words = words.withColumn("size", F.least("n", F.lit(size)))
+    spread = words.select("item_id", "words", "n", "size", F.posexplode(window_hashes(F.col("words"), F.col("size"), 1)).alias("at", "hash"))
+    plain = F.exists(F.slice("words", F.col("at") + 1, F.col("size")), lambda w: ~w.isin(NAME, NUMBER, UNIT))
+    return materialize(spread.filter(plain).select("hash", "item_id", "at", "n", "size").distinct(), "benchmark-windows")
+
+
+def strides(windows: DataFrame, size: int, stride: int) -> dict[int, int]:
+    """Window size -> stride in documents: 1 where an item is too short for the guarantee of ``stride``."""
+    kinds = windows.select(F.when(F.col("n") < size + stride - 1, F.col("size")).alias("short")).distinct().collect()  # at most ``size`` + 1 rows
+    return {size: stride} | {r["short"]: 1 for r in kinds if r["short"]}
 
 
 def alignments(docs: DataFrame, windows: DataFrame, size: int, stride: int) -> DataFrame:
     """``_key, _met``: documents with the items, their lengths and the shifts at which a window of both agrees."""
-    spread = docs.select(key_of(docs), template(F.col("text")).alias("words")).select("_key", F.posexplode(window_hashes(F.col("words"), size, stride)).alias("place", "hash"))
-    met = spread.join(windows, "hash").withColumn("shift", F.col("place") * stride - F.col("at"))
+    words = docs.select(key_of(docs), template(F.col("text")).alias("words"))
+
+    def placed(size: int, stride: int) -> Column:
+        return F.transform(window_hashes(F.col("words"), size, stride), lambda h, i: F.struct(F.lit(size).alias("size"), (i * stride).alias("place"), h.alias("hash")))
+
+    hashes = [placed(*kind) for kind in strides(windows, size, stride).items()]
+    none = F.expr("cast(array() as array<struct<size:int,place:int,hash:bigint>>)")
+    spread = words.select("_key", F.explode(F.concat(*(F.coalesce(h, none) for h in hashes))).alias("w")).select("_key", "w.*")
+    met = spread.join(windows, ["hash", "size"]).withColumn("shift", F.col("place") - F.col("at"))
     each = met.groupBy("_key", "item_id", "n").agg(F.collect_set("shift").alias("shifts"))
     return materialize(each.groupBy("_key").agg(F.collect_list(F.struct("item_id", "n", "shifts")).alias("_met")), "alignments")
 
@@ -137,13 +151,13 @@ def matches(docs: DataFrame, items: DataFrame, size: int = 8, stride: int = 4, c
     are counted at one shift, and at several in order: those met at most an item's length
     from the first, and all within ``NEAR`` of it. ``n_changed`` counts slots with
     another value (0: verbatim). Of several alignments the fullest counts. An item is met
-    where ``size + stride - 1`` tokens in a row agree; items of fewer
-    tokens match nothing; null and empty texts hold nothing; null ids are
-    kept; repeated rows are answered once.
+    where ``size + stride - 1`` tokens in a row agree, one of fewer tokens where ``size`` do,
+    and one of less than ``size`` tokens where all do; items of placeholders alone match
+    nothing. Null and empty texts hold nothing; null ids are kept; repeated rows are answered once.
     """
     items = items.select(F.col("item_id").cast("bigint"), "text").filter("item_id IS NOT NULL")
     found = alignments(docs, benchmark_windows(items, size), size, stride)
-    asked = items.select(F.col("item_id").alias("_item"), tokens(marked(F.col("text"))).alias("_asked")).filter(F.size("_asked") >= size + stride - 1)
+    asked = items.select(F.col("item_id").alias("_item"), tokens(marked(F.col("text"))).alias("_asked"))
     rows = stretches(docs, found).join(asked, "_item")
     # Stored, so that no token is made again inside the comparisons.
     rows = materialize(rows.select("*", F.transform("_asked", as_template).alias("_q"), F.transform("_held", as_template).alias("_d")).distinct(), "stretches")

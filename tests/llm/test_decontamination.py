@@ -25,3 +25,10 @@ def test_changes_of_another_token_count(spark, documents):
     n = 25  # template tokens
     # Halves in the wrong order (7) do not add up.
     assert got == {(1, 1): (1.0, 1), (2, 1): (1.0, 1), (3, 1): (1.0, 0), (4, 1): ((n - 1) / n, 0), (5, 1): (1.0, 0)}
+
+
+def test_short_items(spark, documents):
+    items = [(n, " ".join(f"w{n}x{k}" for k in range(n))) for n in range(1, 13)] + [(20, "what makes 5 plus 7"), (21, "12 km"), (22, ""), (23, "?!")]
+    rows = [(100 * n + pad, "zz " * pad + text + " zz" * 9) for n, text in items for pad in range(4)] + [(5, "tell me what makes 3 plus 9 please"), (6, "w9x0 w9x1 w9x2 w9x4 w9x5 w9x6 w9x7 w9x8")]
+    got = held(spark, documents, items, rows)
+    assert got == {(100 * n + pad, n): (1.0, 0) for n in [*range(1, 13), 20] for pad in range(4)} | {(5, 20): (1.0, 2)}
