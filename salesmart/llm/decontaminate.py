@@ -7,6 +7,8 @@ every window, a document every ``stride``-th, so any shared run of ``size + stri
 tokens is met. Each meeting fixes a shift between document and item. Around it they are
 compared token by token, at this shift alone and at several shifts in order, as words
 that were added or dropped move what follows; the values in the slots must map one to one.
+Names are told by their capitals, so a re-cased copy loses them: all of it is also done on
+a plain form, where names are words without case.
 """
 
 from __future__ import annotations
@@ -37,26 +39,44 @@ def marked(text: Column) -> Column:
     """``text`` with names and units marked by a leading sign, and numbers and adjacent names or numbers in one piece."""
     x = F.coalesce(text, F.lit(""))
     x = F.regexp_replace(x, r"[\x{2}-\x{7}]", " ")
+    x = F.regexp_replace(x, r"(?U)(?: +[^\S ]|[^\S ]|  )\s*", " ")
     x = F.regexp_replace(x, r"[.,:/](?<=\p{Nd}[.,:/])(?=\p{Nd})", INNER)
-    x = F.regexp_replace(x, r"\p{Lu}(?<=[\p{L}\p{N},;] \p{Lu})\p{Ll}\p{L}*", NAME + "$0")
     x = F.regexp_replace(x, rf"(\p{{Nd}})[ -]?(?i:({'|'.join(UNITS.split())}))(?![\p{{L}}\p{{N}}])", f"$1 {UNIT}$2")
+    x = F.regexp_replace(x, r"\p{Lu}(?<=[\p{L}\p{N},;] \p{Lu})\p{Ll}\p{L}*", NAME + "$0")
     x = F.regexp_replace(x, rf"({NAME}[\p{{L}}\p{{N}}{INNER}]*)[^{TOKEN}]+(?={NAME})", f"$1{NAMES}")
     return F.regexp_replace(x, rf"(\p{{Nd}}(?<![{TOKEN}]\p{{Nd}})[\p{{L}}\p{{N}}{INNER}]*)[^{TOKEN}]+(?=\p{{Nd}})", f"$1{BOTH}")
 
 
+def plain(mark: Column) -> Column:
+    """A marked text without its names, and without case."""
+    # Upper before lower makes ß and ss equal; side by side, the optimizer would drop the upper.
+    return F.lower(F.translate(F.upper(mark), NAMES + NAME, " "))
+
+
 def tokens(text: Column) -> Column:
     return F.array_remove(F.split(text, f"[^{TOKEN}]+"), "")
 
 
-def template(text: Column) -> Column:
-    """Template tokens: placeholders, and other words in lower case."""
-    x = F.regexp_replace(marked(text), rf"([{NAME}{UNIT}])[\p{{L}}\p{{N}}{NAME}{INNER}{NAMES}]*", "$1")
-    x = F.regexp_replace(x, rf"\p{{Nd}}(?<![{TOKEN}]\p{{Nd}})[\p{{L}}\p{{N}}{INNER}{BOTH}]*", NUMBER)
-    return tokens(F.lower(x))
+def values(mark: Column) -> list[Column]:
+    """Tokens of a marked text, in either form."""
+    return [tokens(mark), tokens(plain(mark))]
+
+
+def typed(mark: Column) -> Column:
+    """A marked text with placeholders for numbers and units."""
+    x = F.regexp_replace(mark, rf"{UNIT}[\p{{L}}\p{{N}}{INNER}]*", UNIT)
+    return F.regexp_replace(x, rf"\p{{Nd}}(?<![{TOKEN}]\p{{Nd}})[\p{{L}}\p{{N}}{INNER}{BOTH}]*", NUMBER)
+
+
+def templates(texts: DataFrame, key: Column) -> DataFrame:
+    """``key``, and ``words0`` with template tokens (placeholders, and other words in lower case) and ``words1`` with those of the plain form."""
+    rows = texts.select(key, typed(marked(F.col("text"))).alias("_typed"))
+    names = F.regexp_replace("_typed", rf"{NAME}[\p{{L}}\p{{N}}{NAME}{INNER}{NAMES}]*", NAME)
+    return rows.select(rows.columns[0], tokens(F.lower(names)).alias("words0"), tokens(plain(F.col("_typed"))).alias("words1"))
 
 
 def as_template(token: Column) -> Column:
-    """The template token of one marked token; agrees with :func:`template`."""
+    """The template token of one of :func:`values`; agrees with :func:`templates`."""
     first = F.substring(token, 1, 1)
     return F.when(first.isin(NAME, UNIT), first).when(first.rlike(r"\p{Nd}"), NUMBER).otherwise(F.lower(token))
 
@@ -68,12 +88,12 @@ def window_hashes(words: Column, size: int | Column, stride: int) -> Column:
 
 
 def benchmark_windows(items: DataFrame, size: int) -> DataFrame:
-    """``hash, item_id, at, n, size`` of every window of every item that holds a word besides placeholders; a short item is one window."""
-    words = items.select("item_id", template(F.col("text")).alias("words")).withColumn("n", F.size("words")).filter("n > 0")
+    """``hash, form, item_id, at, n, size`` of every window of every item that holds a word besides placeholders; a short item is one window."""
+    words = templates(items, F.col("item_id")).select("item_id", F.posexplode(F.array("words0", "words1")).alias("form", "words")).withColumn("n", F.size("words")).filter("n > 0")
     words = words.withColumn("size", F.least("n", F.lit(size)))
-    spread = words.select("item_id", "words", "n", "size", F.posexplode(window_hashes(F.col("words"), F.col("size"), 1)).alias("at", "hash"))
-    plain = F.exists(F.slice("words", F.col("at") + 1, F.col("size")), lambda w: ~w.isin(NAME, NUMBER, UNIT))
-    return materialize(spread.filter(plain).select("hash", "item_id", "at", "n", "size").distinct(), "benchmark-windows")
+    spread = words.select("form", "item_id", "words", "n", "size", F.posexplode(window_hashes(F.col("words"), F.col("size"), 1)).alias("at", "hash"))
+    worded = F.exists(F.slice("words", F.col("at") + 1, F.col("size")), lambda w: ~w.isin(NAME, NUMBER, UNIT))
+    return materialize(spread.filter(worded).select("hash", "form", "item_id", "at", "n", "size").distinct(), "benchmark-windows")
 
 
 def strides(windows: DataFrame, size: int, stride: int) -> dict[int, int]:
@@ -83,18 +103,18 @@ def strides(windows: DataFrame, size: int, stride: int) -> dict[int, int]:
 
 
 def alignments(docs: DataFrame, windows: DataFrame, size: int, stride: int) -> DataFrame:
-    """``_key, _met``: documents with the items, their lengths and the shifts at which a window of both agrees."""
-    words = docs.select(key_of(docs), template(F.col("text")).alias("words"))
+    """``_key, _met``: documents with the items, forms, lengths and the shifts at which a window of both agrees."""
+    words = templates(docs, key_of(docs))
 
-    def placed(size: int, stride: int) -> Column:
-        return F.transform(window_hashes(F.col("words"), size, stride), lambda h, i: F.struct(F.lit(size).alias("size"), (i * stride).alias("place"), h.alias("hash")))
+    def placed(form: int, size: int, stride: int) -> Column:
+        return F.transform(window_hashes(F.col(f"words{form}"), size, stride), lambda h, i: F.struct(F.lit(form).alias("form"), F.lit(size).alias("size"), (i * stride).alias("place"), h.alias("hash")))
 
-    hashes = [placed(*kind) for kind in strides(windows, size, stride).items()]
-    none = F.expr("cast(array() as array<struct<size:int,place:int,hash:bigint>>)")
+    hashes = [placed(form, *kind) for kind in strides(windows, size, stride).items() for form in (0, 1)]
+    none = F.expr("cast(array() as array<struct<form:int,size:int,place:int,hash:bigint>>)")
     spread = words.select("_key", F.explode(F.concat(*(F.coalesce(h, none) for h in hashes))).alias("w")).select("_key", "w.*")
-    met = spread.join(windows, ["hash", "size"]).withColumn("shift", F.col("place") - F.col("at"))
-    each = met.groupBy("_key", "item_id", "n").agg(F.collect_set("shift").alias("shifts"))
-    return materialize(each.groupBy("_key").agg(F.collect_list(F.struct("item_id", "n", "shifts")).alias("_met")), "alignments")
+    met = spread.join(windows, ["hash", "form", "size"]).withColumn("shift", F.col("place") - F.col("at"))
+    each = met.groupBy("_key", "item_id", "form", "n").agg(F.collect_set("shift").alias("shifts"))
+    return materialize(each.groupBy("_key").agg(F.collect_list(F.struct("item_id", "form", "n", "shifts")).alias("_met")), "alignments")
 
 
 def key_of(docs: DataFrame) -> Column:
@@ -103,15 +123,16 @@ def key_of(docs: DataFrame) -> Column:
 
 
 def stretches(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``doc_id, _item, _held, _base, _lanes``: the tokens of a document around a met shift, and the shifts to try there."""
+    """``doc_id, _item, _form, _held, _base, _lanes``: the tokens of a document around a met shift, and the shifts to try there."""
     rows = docs.select(key_of(docs), F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(found, "_key")
-    rows = rows.select("doc_id", "_met", tokens(marked(F.col("text"))).alias("_words")).select("doc_id", "_words", F.explode("_met").alias("m"))
-    rows = rows.select("doc_id", "_words", F.col("m.item_id").alias("_item"), F.col("m.n").alias("n"), F.col("m.shifts").alias("shifts"), F.explode("m.shifts").alias("shift"))
+    rows = rows.select("doc_id", "_met", marked(F.col("text")).alias("_mark")).select("doc_id", "_met", F.array(*values(F.col("_mark"))).alias("_both"))
+    rows = rows.select("doc_id", "_both", F.explode("_met").alias("m")).select("doc_id", "m", F.get("_both", F.col("m.form")).alias("_words"))
+    rows = rows.select("doc_id", "_words", F.col("m.item_id").alias("_item"), F.col("m.form").alias("_form"), F.col("m.n").alias("n"), F.col("m.shifts").alias("shifts"), F.explode("m.shifts").alias("shift"))
     reach = F.greatest("n", F.lit(NEAR))
     start = F.greatest(F.col("shift") - reach, F.lit(0))
     lanes = F.array_union(F.filter("shifts", lambda s: F.abs(s - F.col("shift")) <= F.col("n")), F.sequence(F.col("shift") - NEAR, F.col("shift") + NEAR))
     held = F.slice("_words", start + 1, F.greatest(F.col("shift") + reach + F.col("n") - start, F.lit(0)))
-    return rows.select("doc_id", "_item", held.alias("_held"), (F.col("shift") - start).alias("_base"), F.transform(F.array_sort(lanes), lambda s: s - start).alias("_lanes"))
+    return rows.select("doc_id", "_item", "_form", held.alias("_held"), (F.col("shift") - start).alias("_base"), F.transform(F.array_sort(lanes), lambda s: s - start).alias("_lanes"))
 
 
 def let(value: Column, use) -> Column:
@@ -149,7 +170,8 @@ def matches(docs: DataFrame, items: DataFrame, size: int = 8, stride: int = 4, c
     tokens agree with tokens of the document and the slots are consistent: equal values of
     the item stand for equal values of the document and the other way round. Agreeing tokens
     are counted at one shift, and at several in order: those met at most an item's length
-    from the first, and all within ``NEAR`` of it. ``n_changed`` counts slots with
+    from the first, and all within ``NEAR`` of it; with names as placeholders, or as words
+    without case, whichever agrees in more. ``n_changed`` counts slots with
     another value (0: verbatim). Of several alignments the fullest counts. An item is met
     where ``size + stride - 1`` tokens in a row agree, one of fewer tokens where ``size`` do,
     and one of less than ``size`` tokens where all do; items of placeholders alone match
@@ -157,8 +179,9 @@ def matches(docs: DataFrame, items: DataFrame, size: int = 8, stride: int = 4, c
     """
     items = items.select(F.col("item_id").cast("bigint"), "text").filter("item_id IS NOT NULL")
     found = alignments(docs, benchmark_windows(items, size), size, stride)
-    asked = items.select(F.col("item_id").alias("_item"), tokens(marked(F.col("text"))).alias("_asked"))
-    rows = stretches(docs, found).join(asked, "_item")
+    asked = items.select(F.col("item_id").alias("_item"), marked(F.col("text")).alias("_mark"))
+    asked = asked.select("_item", F.posexplode(F.array(*values(F.col("_mark")))).alias("_form", "_asked")).distinct()
+    rows = stretches(docs, found).join(asked, ["_item", "_form"])
     # Stored, so that no token is made again inside the comparisons.
     rows = materialize(rows.select("*", F.transform("_asked", as_template).alias("_q"), F.transform("_held", as_template).alias("_d")).distinct(), "stretches")
     single, several = (in_order(lanes, F.col("_q"), F.col("_d")) for lanes in (F.array("_base"), F.col("_lanes")))

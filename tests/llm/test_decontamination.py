@@ -32,3 +32,13 @@ def test_short_items(spark, documents):
     rows = [(100 * n + pad, "zz " * pad + text + " zz" * 9) for n, text in items for pad in range(4)] + [(5, "tell me what makes 3 plus 9 please"), (6, "w9x0 w9x1 w9x2 w9x4 w9x5 w9x6 w9x7 w9x8")]
     got = held(spark, documents, items, rows)
     assert got == {(100 * n + pad, n): (1.0, 0) for n in [*range(1, 13), 20] for pad in range(4)} | {(5, 20): (1.0, 2)}
+
+
+def test_recased_and_rewrapped_copies(spark, documents):
+    item = "wenn der Bauer Schmidt mit der Kuh zum Markt in die große Stadt geht und seine Frau mit dem Esel zur Mühle am Fluss reitet, wer ist früher am Ziel"
+    lines = item.replace(" der ", " der\n").replace(" mit ", "  mit\t\u00a0").replace("Frau", "\r\nFrau")
+    rows = [(1, item.upper()), (2, item.lower()), (3, item.replace(" ", "  ")), (4, item.replace(" ", "\n")), (5, lines), (6, "vorher " * 9 + item.title() + " danach"), (7, item)]
+    got = held(spark, documents, [(1, item)], rows)
+    assert got == {(i, 1): (1.0, 0) for i in range(1, 8)}
+    kept = decontaminate.clean(documents(rows + [(8, "der Bauer Schmidt geht heute mit der Kuh nach Hause")]), spark.createDataFrame([(1, item)], "item_id bigint, text string"))
+    assert [r["doc_id"] for r in kept.collect()] == [8]
