@@ -5,7 +5,8 @@ element, each with its text and the number of tags met on the way. The text-to-t
 ratio of the lines is smoothed with a Gaussian and split at a two-means threshold
 into content and the rest. Regions (article, main, section, div, body) that hold
 content lines are selected whole, so their short lines stay. Regions that markup
-itself names as page furniture never count; when the page marks an article or main
+itself names as page furniture never count, nor do forms, unless one holds an article or
+main element or most of the page's text; when the page marks an article or main
 element that has text, the selection is made inside it.
 """
 
@@ -41,7 +42,7 @@ class Lines(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.regions: list[tuple[int, bool]] = [(-1, False)]  # parent region, inside an article or main element
+        self.regions: list[tuple[int, bool, str]] = [(-1, False, "")]  # parent region, inside an article or main element, tag
         self.stack: list[tuple[str, int]] = [("", 0)]
         self.open: dict[str, int] = {}
         self.lines: list[list] = []
@@ -82,14 +83,21 @@ class Lines(HTMLParser):
             named = dict(attrs)
             style = (named.get("style") or "").replace(" ", "").lower()
             marked = f"{named.get('class') or ''} {named.get('id') or ''}"
-            if tag in FURNITURE or "hidden" in named or "display:none" in style or (named.get("role") or "").lower() in ROLES or tag not in ("html", "body") and NAMES.search(marked):
+            if tag in FURNITURE and tag != "form" or "hidden" in named or "display:none" in style or (named.get("role") or "").lower() in ROLES or tag not in ("html", "body") and NAMES.search(marked):
                 region = -1
-            elif tag in REGIONS:
-                self.regions.append((region, self.regions[region][1] or tag in ("article", "main")))
+            elif tag in REGIONS or tag == "form":
+                self.regions.append((region, self.regions[region][1] or tag in ("article", "main"), tag))
                 region = len(self.regions) - 1
         self.stack.append((tag, region))
         self.open[tag] = self.open.get(tag, 0) + 1
 
+    def parse_html_declaration(self, i):
+        try:
+            return super().parse_html_declaration(i)
+        except AssertionError:  # "<![" and no known keyword: a bogus comment, up to ">" or the end
+            end = self.rawdata.find(">", i)
+            return len(self.rawdata) if end < 0 else end + 1
+
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID:
@@ -131,12 +139,38 @@ def threshold(values: np.ndarray) -> float:
     return (low + high) / 2
 
 
+def without_forms(lines: list[tuple[int, str, int]], regions: list[tuple[int, bool, str]]) -> list[tuple[int, str, int]]:
+    """The lines outside forms, and those in forms that hold an article or main element or most of the text."""
+    if all(tag != "form" for _, _, tag in regions):
+        return lines
+    around: dict[int, list[int]] = {}
+    held: dict[int, int] = {}
+    whole: set[int] = set()
+    for region, text, _ in lines:
+        if region not in around:
+            forms, up, article = [], region, False
+            while up >= 0:
+                article = article or regions[up][2] in ("article", "main")
+                if regions[up][2] == "form":
+                    forms.append(up)
+                    if article:
+                        whole.add(up)
+                up = regions[up][0]
+            around[region] = forms
+        for form in around[region]:
+            held[form] = held.get(form, 0) + len(text)
+    total = sum(len(text) for _, text, _ in lines)
+    whole.update(form for form, n in held.items() if 2 * n > total)
+    return [x for x in lines if whole.issuperset(around[x[0]])]
+
+
 def main_text(html: str | None, sigma: float = 1.0) -> str:
     """The main text; blocks are joined by one space, white space runs become one space."""
     parser = Lines()
     parser.feed(html or "")
     parser.close()
     lines = [(region, text, tags) for region, parts, tags in parser.lines if (text := " ".join("".join(parts).split()))]
+    lines = without_forms(lines, parser.regions)
     if any(parser.regions[region][1] for region, _, _ in lines):
         lines = [x for x in lines if parser.regions[x[0]][1]]
     if not lines:
