@@ -1,12 +1,15 @@
-"""Substring deduplication by relative Lempel-Ziv factoring against an indexed reference.
+"""Substring deduplication by hashed windows that are grouped under anchor words.
 
-Every document is cut into phrases at anchor words: the 10-word grams with the
+This is not the Lempel-Ziv factoring its first version was named for: no longest match
+is sought and no factor extended. What has to be removed is every window of 20 words
+that starts earlier in the corpus too, and one lookup per window says just that, whatever
+factors a parse would choose.
+
+Every document is cut into phrases at anchor words: the grams of ``GRAM`` words with the
 smallest hash among their neighbours, so equal passages are cut alike. A phrase holds
-the consecutive 20-word windows that share an anchor. The reference is the corpus
-itself, kept as blocks of phrases dealt out by anchor; each block lists its phrases in
-corpus order. A document is factored greedily: a phrase that its block already holds
-whole extends the current factor; where a phrase breaks off (a factor boundary) its
-windows are looked up one by one. Adjoining factors join up to spans of repeated words.
+the consecutive 20-word windows that share an anchor. Phrases are dealt out by anchor and
+sorted in corpus order; under each anchor the hash of every window is looked up among
+those before. Adjoining repeated windows join up to spans of repeated words.
 
 Phrases that a task meets again whole are settled there, before the shuffle, so copies
 send one row per task. Anchors that hold an outstanding share of all phrases (a common
