@@ -10,8 +10,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle  # noqa: E402
 
-DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -20,11 +18,11 @@ def spark():
 
 @pytest.fixture(scope="session")
 def con():
-    return oracle.connect(DATA)
+    return oracle.connect(oracle.DATA)
 
 
 @pytest.fixture(scope="session")
 def data(spark):
     from salesmart.sources.bindings import Dataset
 
-    return Dataset(spark, DATA)
+    return Dataset(spark, oracle.DATA)

@@ -2,7 +2,7 @@
 
 import oracle
 import pytest
-from conftest import DATA
+from oracle import DATA
 
 from salesmart.plans.registry import oracle_queries, spark_queries
 

@@ -4,7 +4,7 @@ split, distributed quantiles and ranks instead of their small-table forms."""
 import duckdb
 import oracle
 import pytest
-from conftest import DATA
+from oracle import DATA
 
 from salesmart.functions import quantiles, ranking
 from salesmart.plans.registry import oracle_queries, spark_queries
