@@ -32,11 +32,16 @@ def hash_sample(df: DataFrame, key: str, most: int) -> DataFrame:
     return df.filter(F.xxhash64(key) < -(2**63) + int(2**64 * most / rows))
 
 
-def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """The same rows in small pieces, so that few texts are Python objects at once."""
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 256, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in pieces of up to ``rows`` rows and ``size`` bytes (or one row), so that few texts are Python objects at once."""
     for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
+        start = 0
+        while start < batch.num_rows:
+            n = min(rows, batch.num_rows - start)
+            while n > 1 and batch.slice(start, n).nbytes > size:
+                n //= 2
+            yield batch.slice(start, n)
+            start += n
 
 
 class WordHashes(dict):
@@ -129,8 +134,16 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def vocabulary() -> str:
-    """``SALESMART_VOCABULARY``, or the installed public file."""
+def tokenizer_file(name: str) -> str:
+    """A vocabulary file of the folder ``SALESMART_TOKENIZERS`` names, or of the installed public ones."""
+    folder = os.environ.get("SALESMART_TOKENIZERS")
+    if folder:
+        return os.path.join(folder, name)
     import public_tokenizers
 
-    return os.environ.get("SALESMART_VOCABULARY") or public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
+
+
+def vocabulary() -> str:
+    """``SALESMART_VOCABULARY``, or the installed public file."""
+    return os.environ.get("SALESMART_VOCABULARY") or tokenizer_file("word_bpe_49k.json")
