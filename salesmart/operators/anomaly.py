@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.functions import columns as c
-from salesmart.functions.quantiles import exact_quantiles
+from salesmart.functions.quantiles import find_quantiles
 from salesmart.operators.enrich import completed
 
 COLUMNS = ["anomaly_type", "entity", "period", "value", "z_score", "note"]
@@ -35,26 +35,32 @@ def anomaly_daily_sales(orders: DataFrame, limit: float = 3.0) -> DataFrame:
                  "Daily sales more than 3 standard deviations from the outlet mean")
 
 
-def anomaly_order_total(rows: DataFrame, key: str, value: str, date: str, prefix: str, k: int = 200) -> DataFrame:
-    """Values above Q3 + 3 IQR; the report lists the first ``k`` by key."""
-    q = exact_quantiles(rows, value, {"q1": 0.25, "q3": 0.75})
-    upper = q.select(F.col("q3") + 3 * (F.col("q3") - F.col("q1"))).scalar()
-    high = rows.where(F.col(value) > upper).orderBy(key).limit(k)
+def anomaly_order_total(rows: DataFrame, key: str, value: str, date: str, prefix: str) -> DataFrame:
+    """All values above Q3 + 3 IQR. ``rows`` is read several times: pass a table."""
+    q = find_quantiles(rows, [("q1", value, 0.25), ("q3", value, 0.75)])
+    upper = None if q["q1"] is None else q["q3"] + 3 * (q["q3"] - q["q1"])
+    high = rows.where(F.col(value) > F.lit(upper).cast("double"))
     return _rows(high, f"{prefix}_outlier", F.concat(F.lit(f"{prefix}_"), F.col(key)), F.col(date), F.col(value), None, "Value above Q3 + 3 IQR")
 
 
-def rating_periods(ratings: DataFrame, min_count: int = 10, period: str = "review_date") -> DataFrame:
+def period_of(date: str, period: str) -> Column:
+    """``month`` as yyyy-MM, ``day`` as yyyy-MM-dd."""
+    return F.date_format(date, {"month": "yyyy-MM", "day": "yyyy-MM-dd"}[period]).alias("period")
+
+
+def rating_periods(ratings: DataFrame, min_count: int = 10, period: str = "month") -> DataFrame:
     """Per item and period: count, mean and the share of the most frequent score."""
-    by_score = ratings.groupBy("item_id", F.col(period).cast("string").alias("period"), "rating").agg(F.count("*").alias("n"))
+    by_score = ratings.groupBy("item_id", period_of("review_date", period), "rating").agg(F.count("*").alias("n"))
     return by_score.groupBy("item_id", "period").agg(
         F.sum("n").alias("rating_count"), (F.sum(F.col("rating") * F.col("n")) / F.sum("n")).alias("avg_rating"),
         (F.max("n") / F.sum("n")).alias("top_rating_share")).where(F.col("rating_count") >= min_count)
 
 
 def rating_baseline(ratings: DataFrame) -> DataFrame:
-    """Mean and sample deviation of single scores per item, from integer power sums."""
+    """Mean and sample deviation of single scores per item, from integer power sums (products of sums as wide decimals)."""
     s = ratings.groupBy("item_id").agg(F.count("rating").alias("n"), F.sum("rating").alias("s1"), F.sum(F.col("rating") * F.col("rating")).alias("s2"))
-    variance = (F.col("n") * F.col("s2") - F.col("s1") * F.col("s1")) / (F.col("n") * (F.col("n") - 1))
+    n, s1, s2 = (F.col(c).cast("decimal(19,0)") for c in ("n", "s1", "s2"))
+    variance = (n * s2 - s1 * s1).cast("double") / (n * (n - 1)).cast("double")
     return s.select("item_id", (F.col("s1") / F.col("n")).alias("mu"), F.when(F.col("n") > 1, F.sqrt(variance)).alias("sigma"))
 
 
@@ -82,9 +88,9 @@ def anomaly_burst(periods: DataFrame, factor: float = 3.0) -> DataFrame:
     return _rows(burst, "rating_volume_burst", _item(), F.col("period"), F.col("rating_count"), None, "Rating volume far above the item's upper quartile")
 
 
-def anomaly_mismatch(periods: DataFrame, purchases: DataFrame, slack: float = 1.05) -> DataFrame:
+def anomaly_mismatch(periods: DataFrame, purchases: DataFrame, slack: float = 1.05, period: str = "month") -> DataFrame:
     """More ratings than purchase orders of the same item and period."""
-    bought = purchases.groupBy("item_id", F.col("order_date").cast("string").alias("period"), "order_id").agg(F.lit(1).alias("one")).groupBy(
+    bought = purchases.groupBy("item_id", period_of("order_date", period), "order_id").agg(F.lit(1).alias("one")).groupBy(
         "item_id", "period").agg(F.count("*").alias("purchase_orders"))
     m = periods.join(bought, ["item_id", "period"]).where(F.col("rating_count") > F.col("purchase_orders") * slack)
     return _rows(m, "rating_purchase_mismatch", _item(), F.col("period"), F.col("rating_count") / F.col("purchase_orders"), None,

@@ -273,30 +273,38 @@ def _(d):
 
 # ---- anomalies -------------------------------------------------------------
 
-MIN_RATINGS = 3  # per item and day in the bound data
-DRIFT, BURST = 1.2, 1.0  # thresholds that the short bound rating history does reach
+MIN_RATINGS, DRIFT, BURST = 10, 2.0, 3.0  # per item and month
+DAY_RATINGS, DAY_DRIFT, DAY_BURST = 3, 1.2, 1.0  # per item and day, where the short bound rating history does reach the limits
 shared_view("zscores", """SELECT outlet_id, order_date, sales, CASE WHEN stddev_samp(sales) OVER (PARTITION BY outlet_id) > 0 THEN
       round((sales - (sum(sales::DECIMAL(18,4)) OVER (PARTITION BY outlet_id))::DOUBLE / count(*) OVER (PARTITION BY outlet_id)) / stddev_samp(sales) OVER (PARTITION BY outlet_id), 6) END AS z_score
     FROM (SELECT outlet_id, order_date, sum(total_amount::DECIMAL(18,4))::DOUBLE AS sales FROM done GROUP BY 1, 2)""")
 shared_view("a_daily", """SELECT 'daily_sales_spike_or_drop' AS anomaly_type, 'outlet_' || outlet_id AS entity, order_date::VARCHAR AS period, sales AS value, z_score,
     'Daily sales more than 3 standard deviations from the outlet mean' AS note FROM zscores WHERE abs(z_score) > 3""")
-shared_view("a_total", """SELECT 'event_outlier' AS anomaly_type, 'event_' || event_id AS entity, ts::DATE::VARCHAR AS period, value, NULL::DOUBLE AS z_score, 'Value above Q3 + 3 IQR' AS note
-    FROM events WHERE value > (SELECT quantile_cont(value, 0.75) + 3 * (quantile_cont(value, 0.75) - quantile_cont(value, 0.25)) FROM events) ORDER BY event_id LIMIT 200""")
-shared_view("rating_day", f"""SELECT item_id, period, sum(n)::BIGINT AS rating_count, sum(rating * n) / sum(n) AS avg_rating, max(n) / sum(n) AS top_rating_share
-    FROM (SELECT item_id, review_date::VARCHAR AS period, rating, count(*) AS n FROM rating GROUP BY 1, 2, 3) GROUP BY 1, 2 HAVING sum(n) >= {MIN_RATINGS}""")
+
+
+def value_outliers(kind: str, key: str, value: str, date: str, table: str) -> str:
+    return f"""SELECT '{kind}_outlier' AS anomaly_type, '{kind}_' || {key} AS entity, {date}::DATE::VARCHAR AS period, {value} AS value, NULL::DOUBLE AS z_score, 'Value above Q3 + 3 IQR' AS note
+    FROM {table} WHERE {value} > (SELECT quantile_cont({value}, 0.75) + 3 * (quantile_cont({value}, 0.75) - quantile_cont({value}, 0.25)) FROM {table})"""
+
+
+shared_view("a_total", value_outliers("order", "order_id", "total_amount", "order_date", "ord"))
+shared_view("a_event", value_outliers("event", "event_id", "value", "ts", "events"))
 shared_view("rating_base", """SELECT item_id, s1 / n AS mu, CASE WHEN n > 1 THEN sqrt((n * s2 - s1 * s1) / (n * (n - 1))) END AS sigma
     FROM (SELECT item_id, count(*) AS n, sum(rating)::BIGINT AS s1, sum(rating * rating)::BIGINT AS s2 FROM rating GROUP BY 1)""")
-shared_view("a_drift", f"""SELECT CASE WHEN z > 0 THEN 'rating_spike' ELSE 'rating_drop' END AS anomaly_type, 'item_' || item_id AS entity, period, avg_rating AS value, z AS z_score,
-    'Mean rating shifted away from the item baseline' AS note
-    FROM (SELECT m.*, (avg_rating - mu) / sigma AS z FROM rating_day m JOIN rating_base b ON m.item_id = b.item_id WHERE sigma > 0) WHERE abs(z) > {DRIFT}""")
-shared_view("a_same", """SELECT 'rating_identical_cluster' AS anomaly_type, 'item_' || item_id AS entity, period, top_rating_share AS value, NULL::DOUBLE AS z_score,
-    'At least 90% of the ratings share one score' AS note FROM rating_day WHERE top_rating_share >= 0.9""")
-shared_view("a_burst", f"""SELECT 'rating_volume_burst' AS anomaly_type, 'item_' || m.item_id AS entity, period, rating_count::DOUBLE AS value, NULL::DOUBLE AS z_score,
-    'Rating volume far above the item''s upper quartile' AS note FROM rating_day m JOIN (SELECT item_id, quantile_cont(rating_count, 0.25) AS q1, quantile_cont(rating_count, 0.75) AS q3 FROM rating_day GROUP BY 1) q
-    ON m.item_id = q.item_id WHERE rating_count > q3 + {BURST} * (q3 - q1)""")
-shared_view("a_mismatch", """SELECT 'rating_purchase_mismatch' AS anomaly_type, 'item_' || m.item_id AS entity, m.period, rating_count / n AS value, NULL::DOUBLE AS z_score,
-    'More ratings than completed purchases in the same period' AS note FROM rating_day m JOIN (SELECT item_id, order_date::VARCHAR AS period, count(DISTINCT order_id) AS n FROM purchase GROUP BY 1, 2) p
-    ON m.item_id = p.item_id AND m.period = p.period WHERE rating_count > n * 1.05""")
+for _of, _period, _least, _drift, _burst in (("month", "strftime({}, '%Y-%m')", MIN_RATINGS, DRIFT, BURST), ("day", "{}::VARCHAR", DAY_RATINGS, DAY_DRIFT, DAY_BURST)):
+    shared_view(f"rating_{_of}", f"""SELECT item_id, period, sum(n)::BIGINT AS rating_count, sum(rating * n) / sum(n) AS avg_rating, max(n) / sum(n) AS top_rating_share
+        FROM (SELECT item_id, {_period.format("review_date")} AS period, rating, count(*) AS n FROM rating GROUP BY 1, 2, 3) GROUP BY 1, 2 HAVING sum(n) >= {_least}""")
+    shared_view(f"a_drift_{_of}", f"""SELECT CASE WHEN z > 0 THEN 'rating_spike' ELSE 'rating_drop' END AS anomaly_type, 'item_' || item_id AS entity, period, avg_rating AS value, z AS z_score,
+        'Mean rating shifted away from the item baseline' AS note
+        FROM (SELECT m.*, (avg_rating - mu) / sigma AS z FROM rating_{_of} m JOIN rating_base b ON m.item_id = b.item_id WHERE sigma > 0) WHERE abs(z) > {_drift}""")
+    shared_view(f"a_same_{_of}", f"""SELECT 'rating_identical_cluster' AS anomaly_type, 'item_' || item_id AS entity, period, top_rating_share AS value, NULL::DOUBLE AS z_score,
+        'At least 90% of the ratings share one score' AS note FROM rating_{_of} WHERE top_rating_share >= 0.9""")
+    shared_view(f"a_burst_{_of}", f"""SELECT 'rating_volume_burst' AS anomaly_type, 'item_' || m.item_id AS entity, period, rating_count::DOUBLE AS value, NULL::DOUBLE AS z_score,
+        'Rating volume far above the item''s upper quartile' AS note FROM rating_{_of} m JOIN (SELECT item_id, quantile_cont(rating_count, 0.25) AS q1, quantile_cont(rating_count, 0.75) AS q3 FROM rating_{_of} GROUP BY 1) q
+        ON m.item_id = q.item_id WHERE rating_count > q3 + {_burst} * (q3 - q1)""")
+    shared_view(f"a_mismatch_{_of}", f"""SELECT 'rating_purchase_mismatch' AS anomaly_type, 'item_' || m.item_id AS entity, m.period, rating_count / n AS value, NULL::DOUBLE AS z_score,
+        'More ratings than completed purchases in the same period' AS note FROM rating_{_of} m JOIN (SELECT item_id, {_period.format("order_date")} AS period, count(DISTINCT order_id) AS n FROM purchase GROUP BY 1, 2) p
+        ON m.item_id = p.item_id AND m.period = p.period WHERE rating_count > n * 1.05""")
 
 
 @query("daily_zscore", "SELECT * FROM zscores")
@@ -304,36 +312,47 @@ def _(d):
     return anomaly.daily_zscore(d.outlet_orders)
 
 
-def detectors(d):
-    """Detector name -> function giving its rows; the per-period rating frame is stored once."""
-    periods = {}
+def rating_detectors(d, period, least, drift, burst):
+    """Name -> function giving its rows; the frame of items and periods is stored once."""
+    held = {}
 
     def rated():
-        if not periods:
-            periods["df"] = materialize(anomaly.rating_periods(d.ratings, MIN_RATINGS), "rating-periods")
-        return periods["df"]
+        if not held:
+            held["df"] = materialize(anomaly.rating_periods(d.ratings, least, period), "rating-periods")
+        return held["df"]
+
+    return {
+        "anomaly_rating_drift": lambda: anomaly.anomaly_rating_drift(rated(), anomaly.rating_baseline(d.ratings), drift),
+        "anomaly_identical": lambda: anomaly.anomaly_identical(rated()),
+        "anomaly_burst": lambda: anomaly.anomaly_burst(rated(), burst),
+        "anomaly_mismatch": lambda: anomaly.anomaly_mismatch(rated(), d.purchases, period=period),
+    }
 
-    def event_values():
-        return d.table("events").select("event_id", "value", F.col("ts").cast("date").alias("day"))
 
+def detectors(d):
     return {
         "anomaly_daily_sales": lambda: anomaly.anomaly_daily_sales(d.outlet_orders),
-        "anomaly_order_total": lambda: anomaly.anomaly_order_total(event_values(), "event_id", "value", "day", "event"),
-        "anomaly_rating_drift": lambda: anomaly.anomaly_rating_drift(rated(), anomaly.rating_baseline(d.ratings), DRIFT),
-        "anomaly_identical": lambda: anomaly.anomaly_identical(rated()),
-        "anomaly_burst": lambda: anomaly.anomaly_burst(rated(), BURST),
-        "anomaly_mismatch": lambda: anomaly.anomaly_mismatch(rated(), d.purchases),
+        "anomaly_order_total": lambda: anomaly.anomaly_order_total(d.orders, "order_id", "total_amount", "order_date", "order"),
+        **rating_detectors(d, "month", MIN_RATINGS, DRIFT, BURST),
     }
 
 
-for _name, _view in (("anomaly_daily_sales", "a_daily"), ("anomaly_order_total", "a_total"), ("anomaly_rating_drift", "a_drift"), ("anomaly_identical", "a_same"),
-                     ("anomaly_burst", "a_burst"), ("anomaly_mismatch", "a_mismatch")):
-    query(_name, f"SELECT * FROM {_view}")(lambda d, n=_name: detectors(d)[n]())
+def event_values(d):
+    return d.table("events").select("event_id", "value", F.col("ts").cast("date").alias("day"))
+
 
+for _name, _view in (("anomaly_daily_sales", "a_daily"), ("anomaly_order_total", "a_total"), ("anomaly_rating_drift", "a_drift_month"), ("anomaly_identical", "a_same_month"),
+                     ("anomaly_burst", "a_burst_month"), ("anomaly_mismatch", "a_mismatch_month")):
+    query(_name, f"SELECT * FROM {_view}")(lambda d, n=_name: detectors(d)[n]())
+for _name, _view in (("anomaly_rating_drift", "a_drift_day"), ("anomaly_identical", "a_same_day"), ("anomaly_burst", "a_burst_day"), ("anomaly_mismatch", "a_mismatch_day")):
+    query(f"{_name}_by_day", f"SELECT * FROM {_view}")(lambda d, n=_name: rating_detectors(d, "day", DAY_RATINGS, DAY_DRIFT, DAY_BURST)[n]())
+query("anomaly_event_value", "SELECT * FROM a_event")(lambda d: anomaly.anomaly_order_total(event_values(d), "event_id", "value", "day", "event"))
 
-shared_view("feed", " UNION ALL ".join(f"SELECT * FROM {v}" for v in ("a_daily", "a_total", "a_drift", "a_same", "a_burst", "a_mismatch")))
+shared_view("feed", " UNION ALL ".join(f"SELECT * FROM {v}" for v in ("a_daily", "a_total", "a_event", "a_drift_month", "a_same_month", "a_burst_month", "a_mismatch_month", "a_drift_day", "a_same_day", "a_burst_day", "a_mismatch_day")))
 
 
 @query("anomaly_feed", "SELECT *, CASE WHEN anomaly_type LIKE 'rating%' THEN 'rating' ELSE 'sales' END AS family FROM feed")
 def _(d):
-    return anomaly.anomaly_feed([detect() for detect in detectors(d).values()])
+    by_day = rating_detectors(d, "day", DAY_RATINGS, DAY_DRIFT, DAY_BURST)
+    events = anomaly.anomaly_order_total(event_values(d), "event_id", "value", "day", "event")
+    return anomaly.anomaly_feed([*(detect() for detect in (detectors(d) | {f"{n}_by_day": f for n, f in by_day.items()}).values()), events])

@@ -17,33 +17,58 @@ def doubles(spark, values):
 PROBS = {"a": 0.0, "b": 0.1, "c": 0.25, "d": 0.5, "e": 0.9, "f": 1.0}
 
 
-@pytest.mark.parametrize("values", [
-    [5.0], [1, 2], [3, 3, 3, 3], [1, 1, 1, 1, 9], list(range(1000)), [None, 2, None, 8], [7] * 500 + list(range(500)),
-])
-def test_bracketed_quantiles_equal_linear_interpolation(spark, values):
-    got = quantiles.bracketed_quantiles(doubles(spark, values), "x", PROBS).first()
-    present = [v for v in values if v is not None]
-    for name, p in PROBS.items():
-        assert got[name] == pytest.approx(float(np.quantile(present, p)), rel=1e-12)
+NAN, INF = float("nan"), float("inf")
+COLUMNS = [
+    [5.0], [1, 2], [3, 3, 3, 3], [1, 1, 1, 1, 9], list(range(1000)), [None, 2, None, 8], [7] * 500 + list(range(500)), [-INF, -INF, 0.5, 3, INF],
+    [-0.0, 0.0, 0.0, -0.0, 1.0], [-INF] * 40 + [k / 7 for k in range(200)] + [INF] * 30, [2.5] * 300 + [k * 0.1 for k in range(90)] + [9.75] * 300, [NAN, 1, 2, NAN, 3],
+]
 
 
-def test_bracket_really_narrows_and_stays_exact(spark):
-    df = spark.range(300_000).select(((F.col("id") * 7919) % 300_007).cast("double").alias("x"))
-    got = quantiles.bracketed_quantiles(df, "x", {"m": 0.5, "p": 0.9}, accuracy=200).first()
-    values = (np.arange(300_000) * 7919) % 300_007
-    assert got["m"] == np.quantile(values, 0.5)
-    assert got["p"] == pytest.approx(np.quantile(values, 0.9), rel=1e-12)
+def ordered(values):
+    """Values in Spark's order: NaN behind all others, nulls left out."""
+    return sorted((v for v in values if v is not None), key=lambda v: (v != v, v))
 
 
-def test_small_and_bracketed_paths_agree(spark):
-    df = doubles(spark, [random.Random(1).choice([1.5, 2.5, i / 7]) for i in range(2000)])
-    a = quantiles.exact_quantiles(df, "x", PROBS, small_bytes=1 << 40).first()
-    b = quantiles.exact_quantiles(df, "x", PROBS, small_bytes=-1).first()
-    assert a == pytest.approx(tuple(b))
+def interpolated(values, p):
+    s = ordered(values)
+    at = p * (len(s) - 1)
+    low, part = int(at), at - int(at)
+    return s[low] if not part or s[low] == s[low + 1] else s[low] * (1 - part) + s[low + 1] * part
 
 
-def test_quantile_of_nothing_is_null(spark):
-    assert quantiles.bracketed_quantiles(doubles(spark, [None, None]), "x", {"q": 0.5}).first()["q"] is None
+@pytest.mark.parametrize("accuracy, fits", [(quantiles.ACCURACY, quantiles.FITS), (20, 8), (8, 1)])
+@pytest.mark.parametrize("values", COLUMNS)
+def test_quantiles_equal_linear_interpolation(spark, values, accuracy, fits):
+    got = quantiles.exact_quantiles(doubles(spark, values), "x", PROBS, accuracy, fits).first()
+    for name, p in PROBS.items():
+        want = interpolated(values, p)
+        assert got[name] == want or (got[name] != got[name] and want != want), (name, got[name], want)
+        if all(v is None or abs(v) < INF for v in values):
+            assert got[name] == pytest.approx(float(np.quantile([v for v in values if v is not None], p)), rel=1e-12)
+
+
+@pytest.mark.parametrize("accuracy, fits, least", [(20_000, 50_000, 1), (100, 500, 2), (20, 10, 3)])
+def test_rounds_are_repeated_until_the_rest_fits(spark, accuracy, fits, least):
+    values = (np.arange(60_000) * 7919) % 60_013
+    df = spark.range(60_000).select(((F.col("id") * 7919) % 60_013).cast("double").alias("x"))
+    target = quantiles.Target("x", 30_000, inside=60_000)
+    rounds = quantiles.select_ranks(df, [target], quantiles._sketch(df, [target], accuracy), accuracy, fits)
+    assert target.value == np.sort(values)[30_000] and rounds >= least
+
+
+@pytest.mark.parametrize("bracket", [(-5.0, -1.0), (100.0, 100.0), (59_990.0, 1e9), (-1.0, 1e9)])
+def test_a_bracket_that_misses_is_left(spark, bracket):
+    df = spark.range(60_000).select(F.col("id").cast("double").alias("x"))
+    target = quantiles.Target("x", 1234, inside=60_000)
+    quantiles.select_ranks(df, [target], [bracket], 100, 50)
+    assert target.value == 1234.0
+
+
+def test_several_columns_at_once_and_nothing(spark):
+    df = spark.createDataFrame([(float(k), float(k % 3), None) for k in range(100)], "a double, b double, c double")
+    got = quantiles.with_quantiles(df, [("m", "a", 0.5), ("t", "b", 0.9), ("n", "c", 0.5)]).select("m", "t", "n").distinct().collect()
+    assert [tuple(r) for r in got] == [(49.5, 2.0, None)]
+    assert quantiles.exact_quantiles(df.limit(0), "a", {"q": 0.5}).first()["q"] is None
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

@@ -41,9 +41,10 @@ def cluster(spark, monkeypatch):
     before = {k: spark.conf.get(k, None) for k in CLUSTER}
     for k, v in CLUSTER.items():
         spark.conf.set(k, v)
-    monkeypatch.setattr(quantiles, "SMALL_BYTES", -1)
     monkeypatch.setattr(ranking, "BUCKET_ROWS", 100)
-    monkeypatch.setattr(quantiles.exact_quantiles, "__defaults__", (quantiles.ACCURACY, -1))
+    monkeypatch.setattr(quantiles.find_quantiles, "__defaults__", (50, 20))
+    monkeypatch.setattr(quantiles.exact_quantiles, "__defaults__", (50, 20))
+    monkeypatch.setattr(quantiles.with_quantiles, "__defaults__", (50, 20))
     yield
     for k, v in before.items():
         if v is None:
