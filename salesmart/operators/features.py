@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from salesmart.functions import columns as c
 from salesmart.functions.columns import exact_sum, zero, zero_int
+from salesmart.functions.selection import first_share, hash_order
 from salesmart.operators.enrich import category_codes, completed
 from salesmart.operators.marts import customer_category_mix, customer_order_sums, order_basket_agg, weekend_share
+from salesmart.storage import materialize
 
 # Feature lists of the three model tasks.
 ORDER_FEATURES = ["order_hour", "day_of_week_code", "order_month", "is_weekend", "is_promo_order", "channel_code", "payment_code", "basket_size",
@@ -58,19 +60,17 @@ def churn_features(behaviour: DataFrame, cutoff: str, min_window: int = 180, qui
     return seen.withColumn("churned", F.when(F.col("recency_days") > quiet_days, 1).otherwise(0).cast("long"))
 
 
-def hash_bucket(key: str, seed: int = 42, buckets: int = 100):
-    """Stable bucket of a key: the same row lands on the same side in every run and on every cluster."""
-    digest = F.substring(F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(seed).cast("string"))), 1, 8)
-    return (F.conv(digest, 16, 10).cast("long") % buckets).cast("long")
+def ml_split(frame: DataFrame, key: str, test_percent: int = 20, seed: int = 42, held_out: DataFrame | None = None, label: str | None = None) -> DataFrame:
+    """Add ``side`` (train/test) after removing held-out cases.
 
-
-def ml_split(frame: DataFrame, key: str, test_percent: int = 20, seed: int = 42, held_out: DataFrame | None = None) -> DataFrame:
-    """Add ``side`` (train/test) by key hash after removing held-out cases.
-
-    The hash is independent of the label, so each class is cut in the same proportion.
+    Of each class of ``label`` (of all rows without one), ``test_percent`` in a hundred rows, to the
+    nearest row, are the test side: those with the smallest key hashes. The same rows land on the same side
+    in every run and on every cluster, and rows of one key and class stay together.
     """
     rows = frame.join(held_out.select(key).distinct(), key, "left_anti") if held_out is not None else frame
-    return rows.withColumn("side", F.when(hash_bucket(key, seed) < test_percent, "test").otherwise("train"))
+    stored = materialize(rows, "split-rows")
+    test = first_share(stored, label, hash_order(key, seed), test_percent)
+    return stored.withColumn("side", F.when(test, "test").otherwise("train"))
 
 
 def validate_scores(batch: DataFrame, features: list[str], max_batch: int | None = None) -> DataFrame:

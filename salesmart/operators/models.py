@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.functions.quantiles import exact_quantiles
+from salesmart.functions.quantiles import find_quantiles
 from salesmart.functions.ranking import running_total
 from salesmart.operators.features import CHURN_FEATURES, ITEM_FEATURES, ORDER_FEATURES, ml_split
 from salesmart.sources.files import path_exists
@@ -33,9 +33,9 @@ ITEM_TASK = Task("item_class", "item_id", ITEM_FEATURES, "business_class", multi
 
 
 def label_high_value(split: DataFrame, share: float = 0.90) -> DataFrame:
-    """Label orders by the value quantile of the training side only."""
-    cut = exact_quantiles(split.where("side = 'train'"), "total_amount", {"q": share}).scalar()
-    return split.withColumn("threshold", cut).withColumn("is_high_value", (F.col("total_amount") >= F.col("threshold")).cast("long"))
+    """Label orders by the value quantile of the training side only. ``split`` is read several times: pass a stored table."""
+    cut = find_quantiles(split.where("side = 'train'"), [("q", "total_amount", share)])["q"]
+    return split.withColumn("threshold", F.lit(cut).cast("double")).withColumn("is_high_value", (F.col("total_amount") >= F.col("threshold")).cast("long"))
 
 
 def estimator(task: Task, family: str, n_train: int, trees: int = 150, seed: int = 42) -> Pipeline:
@@ -224,6 +224,11 @@ def churn_risk(model: PipelineModel, behaviour: DataFrame) -> DataFrame:
     return p.select("customer_id", risk.alias("churn_risk"), "churn_probability", "recency_days", "total_orders", "total_spend", "average_order_value")
 
 
-def prepared_split(frame: DataFrame, key: str, held_out: DataFrame | None = None) -> DataFrame:
-    """Stored train/test frame; the fixed layout keeps seeded training repeatable."""
-    return materialize(ml_split(frame, key, held_out=held_out).repartition(key).sortWithinPartitions(key), "split")
+def prepared_split(frame: DataFrame, key: str, held_out: DataFrame | None = None, label: str | None = None) -> DataFrame:
+    """Stored train/test frame without the held-out cases; the fixed layout keeps seeded training repeatable."""
+    return materialize(ml_split(frame, key, held_out=held_out, label=label).repartition(key).sortWithinPartitions(key), "split")
+
+
+def held_out_cases(frame: DataFrame, key: str, held_out: DataFrame) -> DataFrame:
+    """The rows of ``frame`` that no training may see: what two models are compared on."""
+    return frame.join(held_out.select(key).distinct(), key, "left_semi")

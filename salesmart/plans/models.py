@@ -54,29 +54,36 @@ def _(d):
     return churn_frame(d).withColumns({n: F.round(n, 9) for n in ("f_log_orders", "f_log_spend")})
 
 
-BUCKET = "('0x' || substr(md5(customer_id || ':42'), 1, 8))::BIGINT % 100"
+shared_view("split_x", """SELECT customer_id, churned, ('0x' || substr(md5(customer_id || ':42'), 1, 15))::BIGINT AS place FROM churn_x
+    WHERE customer_id NOT IN (SELECT customer_id FROM purchase_user)""")
 
 
-@query("ml_split", f"""SELECT customer_id, churned, CASE WHEN {BUCKET} < 20 THEN 'test' ELSE 'train' END AS side FROM churn_x
-    WHERE customer_id NOT IN (SELECT customer_id FROM purchase_user)""")
+@query("ml_split", """SELECT customer_id, churned, CASE WHEN row_number() OVER (PARTITION BY churned ORDER BY place) <= (count(*) OVER (PARTITION BY churned) * 20 + 50) // 100
+    THEN 'test' ELSE 'train' END AS side FROM split_x""")
 def _(d):
-    held_out = d.table("events").where("event_type = 'purchase'").select(F.col("user_id").alias("customer_id"))
-    return features.ml_split(churn_frame(d), "customer_id", held_out=held_out).select("customer_id", "churned", "side")
+    return features.ml_split(churn_frame(d), "customer_id", held_out=buyers(d), label="churned").select("customer_id", "churned", "side")
 
 
 # ---- models ----------------------------------------------------------------
 
 
+def buyers(d):
+    """Held-out cases: customers, orders and items that the purchase events name. No training sees them."""
+    bought = d.table("events").where("event_type = 'purchase'")
+    return bought.select(F.col("user_id").alias("customer_id"), F.col("event_id").alias("order_id"), (F.col("user_id") % 25).alias("item_id"))
+
+
 def order_split(d):
-    return materialize(models.label_high_value(models.prepared_split(order_frame(d), "order_id")), "labelled")
+    """Orders have their label from the training side, so they are not cut by class."""
+    return materialize(models.label_high_value(models.prepared_split(order_frame(d), "order_id", buyers(d))), "labelled")
 
 
-def churn_split(d):
-    return models.prepared_split(churn_frame(d), "customer_id")
+def churn_split(d, frame=None):
+    return models.prepared_split(churn_frame(d) if frame is None else frame, "customer_id", buyers(d), "churned")
 
 
 def item_split(d):
-    return models.prepared_split(items.item_business_class(item_frame(d)), "item_id")
+    return models.prepared_split(items.item_business_class(item_frame(d)), "item_id", buyers(d), "business_class")
 
 
 def run(task, split, family, trees=150):
@@ -111,10 +118,10 @@ def _(d):
 
 @query("model_comparison")
 def _(d):
-    split = churn_split(d)
-    _, a = run(CHURN_TASK, split, "logistic")
-    _, b = run(CHURN_TASK, split, "boosted")
-    a, b = materialize(a, "scored"), materialize(b, "scored")
+    """Two families on the held-out cases, which neither has seen."""
+    frame = materialize(churn_frame(d), "churn-frame")
+    split, held = churn_split(d, frame), models.held_out_cases(frame, "customer_id", buyers(d))
+    a, b = (materialize(models.score(models.train(CHURN_TASK, split, family), held, CHURN_TASK), "scored") for family in ("logistic", "boosted"))
     cases = a.select("customer_id", "actual")
     return models.dual_summary(models.dual_compare(models.align(cases, a, b, "customer_id")), "customer_churn")
 
@@ -185,7 +192,7 @@ def _(d):
 @query("churn_risk")
 def _(d):
     active = materialize(behaviour(d), "behaviour")
-    split = models.prepared_split(features.churn_features(active, PERIOD_END), "customer_id")
+    split = churn_split(d, features.churn_features(active, PERIOD_END))
     return models.churn_risk(models.train(CHURN_TASK, split, "logistic"), active)
 
 

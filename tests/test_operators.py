@@ -144,7 +144,24 @@ def test_split_is_stable_and_excludes_held_out(spark):
     a = features.ml_split(frame, "k", held_out=spark.range(100).withColumnRenamed("id", "k"))
     b = features.ml_split(frame.repartition(7), "k", held_out=spark.range(100).withColumnRenamed("id", "k"))
     assert a.count() == 1900 and rows(a) == rows(b)
-    assert 0.15 < a.where("side = 'test'").count() / 1900 < 0.25
+    assert a.where("side = 'test'").count() == 380
+
+
+@pytest.mark.parametrize("percent", [0, 1, 20, 50, 100])
+def test_each_class_is_cut_to_the_nearest_row(spark, percent):
+    sizes = {None: 7, "big": 4000, "one": 1, "two": 2, "mid": 333}
+    frame = spark.createDataFrame([(f"{c}-{k}", c) for c, n in sizes.items() for k in range(n)], "k string, c string")
+    side = features.ml_split(frame, "k", percent, label="c")
+    test = {r["c"]: r["n"] for r in side.where("side = 'test'").groupBy("c").agg(F.count("*").alias("n")).collect()}
+    assert {c: test.get(c, 0) for c in sizes} == {c: (n * percent + 50) // 100 for c, n in sizes.items()}
+    again = features.ml_split(frame.repartition(5), "k", percent, label="c")
+    assert side.exceptAll(again).isEmpty()
+
+
+def test_rows_of_one_key_stay_together(spark):
+    frame = spark.range(500).select((F.col("id") % 40).alias("k"), (F.col("id") % 2).alias("c"))
+    sides = features.ml_split(frame, "k", label="c").groupBy("k", "c").agg(F.count_distinct("side").alias("n"))
+    assert sides.where("n > 1").isEmpty()
 
 
 def test_auc_and_f1_against_hand_values(spark):
