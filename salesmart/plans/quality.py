@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.functions import columns as c
-from salesmart.operators import cleaning, enrich, marts, quality
+from salesmart.operators import checks, cleaning, enrich, marts, quality
 from salesmart.plans.registry import query, shared_view
 from salesmart.sources import contracts, files
 from salesmart.sources.bindings import PERIOD_END, PERIOD_START
@@ -119,33 +119,82 @@ def _(d):
 # ---- quality checks --------------------------------------------------------
 
 
-@query("profile_table", """SELECT 'dirty_orders' AS dataset, count(*) AS rows, 7 AS columns, sum((order_channel IS NULL)::INT + (order_date IS NULL)::INT
-    + (total_amount IS NULL)::INT)::BIGINT AS missing_cells FROM dirty
-    UNION ALL SELECT 'lines', count(*), 10, 0 FROM line""")
+#: The twelve tables as delivered, and the views the oracle reads for them.
+RAW_VIEWS = {"locations": "dirtyl", "outlets": "dirtyo", "categories": "cat", "items": "item", "customers": "dirtyc", "promotions": "promo", "orders": "dirty",
+             "lines": "line", "ratings": "rating", "losses": "loss", "stock": "stock", "prices": "price"}
+GOOD_VIEWS = {n: f"good_{n}" for n in RAW_VIEWS}
+#: Columns of delivered tables that differ from the contract's.
+RAW_COLUMNS = {
+    "outlets": ["outlet_id", "outlet_name", "location_id", "outlet_type", "copy_no"],
+    "customers": ["customer_id", "customer_name", "outlet_id", "preferred_channel", "registration_date", "copy_no"],
+    "orders": ["order_id", "customer_id", "order_date", "order_status", "total_amount", "order_channel", "copy_no"],
+}
+NUMBERS = ("BIGINT", "INT", "DOUBLE")
+
+
+def columns_of(table: str) -> list[str]:
+    return RAW_COLUMNS.get(table) or contracts.typed_columns(table, *NUMBERS, "STRING", "DATE")
+
+
+def row_checks_sql(table: str) -> dict[str, str]:
+    """Check -> condition under which a row fails, as DuckDB reads it."""
+    columns = columns_of(table)
+    out = {}
+    for n in contracts.typed_columns(table, *NUMBERS):
+        out[f"invalid_number_{n}"] = f"trim({n}::VARCHAR) <> '' AND try_cast({n}::VARCHAR AS DOUBLE) IS NULL"
+    for n in contracts.typed_columns(table, "DATE"):
+        out[f"invalid_date_{n}"] = f"trim({n}::VARCHAR) <> '' AND try_strptime({n}::VARCHAR, '%Y-%m-%d') IS NULL"
+    for n in contracts.NON_NEGATIVE.get(table, []):
+        out[f"negative_{n}"] = f"try_cast({n}::VARCHAR AS DOUBLE) < 0"
+    out = {check: p for check, p in out.items() if any(check.endswith(f"_{n}") and check.split("_", 1 if check.startswith("negative") else 2)[-1] == n for n in columns)}
+    for n in contracts.PERIOD_DATES.get(table, []):
+        out[f"{n}_outside_period"] = f"NOT coalesce({n}::VARCHAR BETWEEN '{PERIOD_START}' AND '{PERIOD_END}', false)"
+    out |= contracts.ROW_RULES.get(table, {})
+    out["pk_null"] = " OR ".join(f"{k} IS NULL" for k in contracts.PRIMARY_KEYS[table])
+    return out
+
+
+def checks_sql(views: dict[str, str]) -> str:
+    """Every check of every table: row checks from one scan each, repeated rows by DISTINCT, keys by NOT EXISTS."""
+    parts = []
+    for table, view in views.items():
+        missing = " + ".join(f"({n} IS NULL)::BIGINT" for n in columns_of(table))
+        rules = {"missing_cells": f"coalesce(sum({missing}), 0)"} | {check: f"count(*) FILTER ({p})" for check, p in row_checks_sql(table).items()}
+        sets = {"pk_duplicate": contracts.PRIMARY_KEYS[table], "duplicate_rows": columns_of(table)}
+        if table in contracts.BUSINESS_LINE:
+            sets["duplicate_business_line"] = contracts.BUSINESS_LINE[table]
+        rules |= {check: f"count(*) - (SELECT count(*) FROM (SELECT DISTINCT {', '.join(columns)} FROM {view}))" for check, columns in sets.items()}
+        names, counts = ", ".join(f"'{n}'" for n in rules), ", ".join(f"({x})::BIGINT" for x in rules.values())
+        parts.append(f"SELECT '{table}' AS dataset, unnest([{names}]) AS \"check\", unnest(counts) AS failures FROM (SELECT [{counts}] AS counts FROM {view})")
+        for check, columns, parent, parent_columns in contracts.parents_of(table):
+            same = " AND ".join(f"p.{b} = c.{a}" for a, b in zip(columns, parent_columns, strict=True))
+            parts.append(f"SELECT '{table}', '{check}', count(*) FROM {view} c WHERE NOT EXISTS (SELECT 1 FROM {views[parent]} p WHERE {same})")
+    return " UNION ALL ".join(parts)
+
+
+@query("profile_table", " UNION ALL ".join(
+    f"SELECT '{t}' AS dataset, count(*) AS rows, {len(columns_of(t))} AS columns, coalesce(sum({' + '.join(f'({n} IS NULL)::BIGINT' for n in columns_of(t))}), 0)::BIGINT AS missing_cells FROM {v}"
+    for t, v in RAW_VIEWS.items()))
 def _(d):
-    return union([quality.profile_table(d.dirty_orders, "dirty_orders"), quality.profile_table(d.lines, "lines")])
+    return union([quality.profile_table(df, n) for n, df in d.raw_tables.items()])
 
 
-@query("profile_duplicates", """SELECT 'dirty_orders' AS dataset, 'duplicate_rows' AS "check", (SELECT count(*) FROM dirty)
-      - (SELECT count(*) FROM (SELECT DISTINCT order_id, customer_id, order_date, total_amount FROM dirty)) AS failures
-    UNION ALL SELECT 'lines', 'duplicate_rows', (SELECT count(*) FROM line) - (SELECT count(*) FROM (SELECT DISTINCT * FROM line))""")
+@query("profile_duplicates", " UNION ALL ".join(
+    f"""SELECT '{t}' AS dataset, 'duplicate_rows' AS "check", (SELECT count(*) FROM {v}) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {v})) AS failures""" for t, v in RAW_VIEWS.items()))
 def _(d):
-    return union([quality.duplicates(d.dirty_orders, "dirty_orders", ["order_id", "customer_id", "order_date", "total_amount"], "duplicate_rows"),
-                  quality.duplicates(d.lines, "lines", d.lines.columns, "duplicate_rows")])
+    return union([quality.duplicates(df, n, df.columns, "duplicate_rows") for n, df in d.raw_tables.items()])
 
 
-PK_SQL = """SELECT 'lines' AS dataset, 'pk_duplicate' AS "check", (SELECT count(*) FROM line) - (SELECT count(*) FROM (SELECT DISTINCT order_id, line_number FROM line)) AS failures
-    UNION ALL SELECT 'lines', 'pk_null', (SELECT count(*) FROM line WHERE order_id IS NULL OR line_number IS NULL)
-    UNION ALL SELECT 'dirty_orders', 'pk_duplicate', (SELECT count(*) - count(DISTINCT order_id) FROM dirty)
-    UNION ALL SELECT 'dirty_orders', 'pk_null', 0
-    UNION ALL SELECT 'dirty_channel', 'pk_duplicate', (SELECT count(*) - count(DISTINCT coalesce(order_channel, '?')) FROM dirty)
-    UNION ALL SELECT 'dirty_channel', 'pk_null', (SELECT count(*) FROM dirty WHERE order_channel IS NULL)"""
+PK_SQL = " UNION ALL ".join(
+    f"""SELECT '{t}' AS dataset, 'pk_duplicate' AS "check", (SELECT count(*) FROM {v}) - (SELECT count(*) FROM (SELECT DISTINCT {', '.join(contracts.PRIMARY_KEYS[t])} FROM {v})) AS failures
+    UNION ALL SELECT '{t}', 'pk_null', (SELECT count(*) FROM {v} WHERE {' OR '.join(f'{k} IS NULL' for k in contracts.PRIMARY_KEYS[t])})""" for t, v in RAW_VIEWS.items())
 
 
-@query("check_pk", PK_SQL)
+@query("check_pk", PK_SQL + """
+    UNION ALL SELECT 'dirty_channel', 'pk_duplicate', (SELECT count(*) - count(DISTINCT coalesce(order_channel, '?')) FROM dirty)
+    UNION ALL SELECT 'dirty_channel', 'pk_null', (SELECT count(*) FROM dirty WHERE order_channel IS NULL)""")
 def _(d):
-    return union([quality.check_pk(d.lines, "lines", ["order_id", "line_number"]), quality.check_pk(d.dirty_orders, "dirty_orders", ["order_id"]),
-                  quality.check_pk(d.dirty_orders, "dirty_channel", ["order_channel"])])
+    return union([*(quality.check_pk(df, n, contracts.PRIMARY_KEYS[n]) for n, df in d.raw_tables.items()), quality.check_pk(d.dirty_orders, "dirty_channel", ["order_channel"])])
 
 
 NUMERIC_SQL = """SELECT 'orders' AS dataset, 'invalid_number_total_amount' AS "check",
@@ -285,20 +334,16 @@ def _(d):
     return quality.duplicates(d.lines, "lines", ["order_id", "item_id", "quantity", "unit_price", "line_discount", "line_total"], "duplicate_business_line")
 
 
+shared_view("checks", checks_sql(RAW_VIEWS))
+
+
 def _report(d):
-    return quality.quality_report([
-        quality.check_numeric_parse(d.dirty_orders, "orders", ["total_amount"]),
-        quality.check_date_parse(d.dirty_orders, "orders", ["order_date"]),
-        quality.count_failures(d.dirty_orders, "orders", {"order_date_outside_period": quality.outside("order_date", PERIOD_START, PERIOD_END)}),
-        quality.check_pk(d.lines, "lines", ["order_id", "line_number"]),
-        quality.check_owner_match(d.ratings, d.orders),
-    ])
+    return checks.check_all(d.raw_tables, PERIOD_START, PERIOD_END)
 
 
-shared_view("checks", f"""{NUMERIC_SQL} UNION ALL {DATE_SQL} UNION ALL {PERIOD_SQL}
-    UNION ALL SELECT 'lines', 'pk_duplicate', (SELECT count(*) FROM line) - (SELECT count(*) FROM (SELECT DISTINCT order_id, line_number FROM line))
-    UNION ALL SELECT 'lines', 'pk_null', 0
-    UNION ALL SELECT 'ratings', 'fk_customer_match', (SELECT count(*) FROM rating r LEFT JOIN ord o ON r.order_id = o.order_id WHERE o.customer_id IS DISTINCT FROM r.customer_id)""")
+@query("quality_checks", "SELECT * FROM checks")
+def _(d):
+    return _report(d)
 
 
 @query("quality_report", """SELECT dataset, count(*) AS checks, count(*) FILTER (failures > 0) AS failing_checks, sum(failures)::BIGINT AS total_failures FROM checks GROUP BY 1""")
@@ -306,11 +351,17 @@ def _(d):
     return quality.report_summary(_report(d))
 
 
-@query("quality_pivot", """SELECT dataset, coalesce(sum(failures) FILTER ("check" = 'pk_duplicate'), 0)::BIGINT AS pk_duplicate,
-    coalesce(sum(failures) FILTER ("check" = 'fk_customer_match'), 0)::BIGINT AS fk_customer_match,
-    coalesce(sum(failures) FILTER ("check" = 'order_date_outside_period'), 0)::BIGINT AS order_date_outside_period FROM checks GROUP BY 1""")
+@query("quality_pivot", "SELECT dataset, " + ", ".join(f"""coalesce(sum(failures) FILTER ("check" = '{n}'), 0)::BIGINT AS {n}""" for n in checks.all_checks()) + " FROM checks GROUP BY 1")
+def _(d):
+    return quality.summary_pivot(_report(d), checks.all_checks())
+
+
+@query("quality_violations", " UNION ALL ".join(
+    f"""SELECT '{t}' AS dataset, '{n}' AS "check", '{{' || {" || ',' || ".join(f"""'"{k}":' || coalesce({k + "::VARCHAR" if columns in NUMBERS else "'" + '"' + "' || " + k + " || '" + '"' + "'"}, 'null')""" for k, columns in ((k, next(x.split()[1] for x in contracts.DDL[t].split(", ") if x.split()[0] == k)) for k in contracts.PRIMARY_KEYS[t]))} || '}}' AS key FROM {v} WHERE {p}"""
+    for t, v in RAW_VIEWS.items() for n, p in row_checks_sql(t).items()))
 def _(d):
-    return quality.summary_pivot(_report(d), ["pk_duplicate", "fk_customer_match", "order_date_outside_period"])
+    raw = d.raw_tables
+    return union([checks.violations(df, n, checks.row_rules(n, df.columns, PERIOD_START, PERIOD_END), contracts.PRIMARY_KEYS[n]) for n, df in raw.items()])
 
 
 # ---- cleaning --------------------------------------------------------------
@@ -336,29 +387,47 @@ def _(d):
     return cleaning.dedup_keep_first(d.dirty_orders, ["order_id"], "copy_no")
 
 
-@query("dedup_rows", "SELECT DISTINCT order_id, line_number FROM line")
+@query("dedup_rows", "SELECT DISTINCT * FROM line UNION ALL SELECT NULL, location_id, NULL, NULL, NULL, NULL, NULL, NULL, city_area, NULL FROM (SELECT DISTINCT * FROM dirtyl)")
 def _(d):
-    return d.lines.select("order_id", "line_number").dropDuplicates()
+    """Whole equal rows of the lines, and of the locations in the same shape."""
+    places = d.dirty_locations.dropDuplicates().select(F.col("location_id").alias("line_number"), F.col("city_area").alias("flag"))
+    return d.lines.dropDuplicates().unionByName(places, allowMissingColumns=True)
+
 
+def unknown(view: str, *columns: str) -> str:
+    return f"NOT EXISTS (SELECT 1 FROM good_{view} p WHERE {' AND '.join(f'p.{c} = c.{c}' for c in columns)})"
 
-shared_view("marked_orders", f"""SELECT *, CASE WHEN copy_no > 0 THEN 'Duplicate order_id'
-      WHEN customer_id NOT IN (SELECT customer_id FROM cust) THEN 'Unknown customer_id'
-      WHEN NOT order_date BETWEEN '{PERIOD_START}' AND '{PERIOD_END}' THEN 'order_date outside analysis period'
-      WHEN total_amount < 0 THEN 'No order key or negative amount' END AS quarantine_reason
-    FROM (SELECT order_id, customer_id, copy_no, CASE WHEN try_strptime(order_date, '%Y-%m-%d') IS NULL THEN '' ELSE order_date END AS order_date,
-      coalesce(trim(order_status), '') AS order_status, coalesce(trim(order_channel), '') AS order_channel, try_cast(total_amount AS DOUBLE) AS total_amount FROM dirty)""")
-shared_view("good_orders", "SELECT * FROM marked_orders WHERE quarantine_reason IS NULL")
-shared_view("marked_items", "SELECT *, CASE WHEN base_price <= 0 OR cost_price < 0 OR cost_price > base_price THEN 'Invalid price or cost' END AS quarantine_reason FROM item")
-shared_view("marked_promos", """SELECT *, CASE WHEN NOT discount_percentage BETWEEN 0 AND 100 THEN 'Discount outside 0..100'
-    WHEN end_date < start_date THEN 'End before start' END AS quarantine_reason FROM promo""")
-shared_view("marked_lines", """SELECT l.*, CASE WHEN o.order_id IS NULL THEN 'Unknown order_id' WHEN i.item_id IS NULL THEN 'Unknown item_id'
-    WHEN quantity <= 0 OR unit_price < 0 OR line_total < 0 OR line_discount < 0 THEN 'Invalid quantity, price or total' END AS quarantine_reason
-    FROM line l LEFT JOIN good_orders o ON l.order_id = o.order_id LEFT JOIN (SELECT item_id FROM marked_items WHERE quarantine_reason IS NULL) i ON l.item_id = i.item_id""")
-shared_view("good_lines", "SELECT * FROM marked_lines WHERE quarantine_reason IS NULL")
-shared_view("marked_ratings", """SELECT r.*, CASE WHEN o.customer_id IS NULL THEN 'Unknown order_id'
-    WHEN o.customer_id <> r.customer_id THEN 'Rating customer differs from order customer'
-    WHEN NOT EXISTS (SELECT 1 FROM good_lines l WHERE l.order_id = r.order_id AND l.item_id = r.item_id) THEN 'Rated item is not in the order'
-    WHEN NOT rating BETWEEN 1 AND 5 THEN 'Rating outside 1..5' END AS quarantine_reason FROM rating r LEFT JOIN good_orders o ON r.order_id = o.order_id""")
+
+def marked(table: str, rows: str, *rules: tuple[str, str]) -> None:
+    """Oracle views of a table's rows with their reason, and of the good ones."""
+    cases = " ".join(f"WHEN {p} THEN '{reason.replace(chr(39), chr(39) * 2)}'" for reason, p in rules)
+    shared_view(f"marked_{table}", f"SELECT *, {f'CASE {cases} END' if rules else 'NULL::VARCHAR'} AS quarantine_reason FROM ({rows}) c")
+    shared_view(f"good_{table}", f"SELECT * EXCLUDE (quarantine_reason) FROM marked_{table} WHERE quarantine_reason IS NULL")
+
+
+OUTLET = ("Unknown outlet_id", unknown("outlets", "outlet_id"))
+marked("locations", "SELECT DISTINCT location_id, coalesce(trim(city_area), '') AS city_area FROM dirtyl")
+marked("categories", "SELECT coalesce(trim(category_name), '') AS category_name, category_id FROM cat", ("Blank category_name", "category_name = ''"))
+marked("outlets", "SELECT outlet_id, coalesce(trim(outlet_name), '') AS outlet_name, location_id, coalesce(trim(outlet_type), '') AS outlet_type, copy_no FROM dirtyo",
+       ("Duplicate outlet_id", "copy_no > 0"), ("Unknown location_id", unknown("locations", "location_id")))
+marked("customers", """SELECT customer_id, coalesce(trim(customer_name), '') AS customer_name, outlet_id, coalesce(trim(preferred_channel), '') AS preferred_channel,
+    CASE WHEN try_strptime(registration_date, '%Y-%m-%d') IS NULL THEN '' ELSE registration_date END AS registration_date, copy_no FROM dirtyc""",
+       ("Duplicate customer_id", "copy_no > 0"), OUTLET)
+marked("items", "SELECT * FROM item", OUTLET, ("Unknown category_name", unknown("categories", "category_name")),
+       ("Invalid price or cost", "base_price <= 0 OR cost_price < 0 OR cost_price > base_price"))
+marked("promotions", "SELECT * FROM promo", OUTLET, ("Discount outside 0..100", "NOT discount_percentage BETWEEN 0 AND 100"), ("End before start", "end_date < start_date"))
+marked("orders", """SELECT order_id, customer_id, CASE WHEN try_strptime(order_date, '%Y-%m-%d') IS NULL THEN '' ELSE order_date END AS order_date,
+    coalesce(trim(order_status), '') AS order_status, try_cast(total_amount AS DOUBLE) AS total_amount, coalesce(trim(order_channel), '') AS order_channel, copy_no FROM dirty""",
+       ("Duplicate order_id", "copy_no > 0"), ("Unknown customer_id", unknown("customers", "customer_id")),
+       ("order_date outside analysis period", f"NOT order_date BETWEEN '{PERIOD_START}' AND '{PERIOD_END}'"), ("No order key or negative amount", "order_id IS NULL OR total_amount < 0"))
+marked("lines", "SELECT * FROM line", ("Unknown order_id", unknown("orders", "order_id")), ("Unknown item_id", unknown("items", "item_id")),
+       ("Invalid quantity, price or total", "quantity <= 0 OR unit_price < 0 OR line_total < 0 OR line_discount < 0"))
+marked("ratings", "SELECT * FROM rating", ("Unknown order_id", unknown("orders", "order_id")), ("Rating customer differs from order customer", unknown("orders", "order_id", "customer_id")),
+       ("Rated item is not in the order", unknown("lines", "order_id", "item_id")), ("Rating outside 1..5", "NOT rating BETWEEN 1 AND 5"))
+marked("losses", "SELECT * FROM loss", ("Unknown item_id", unknown("items", "item_id")), ("Item is not the outlet's", unknown("items", "item_id", "outlet_id")),
+       ("Unknown order line", unknown("lines", "order_id", "line_number")), ("Invalid quantity or cost", "quantity_wasted <= 0 OR estimated_cost < 0"))
+marked("stock", "SELECT * FROM stock", ("Unknown brand", unknown("items", "brand")), ("Negative stock", "closing < 0 OR received < 0 OR sold < 0"), ("Stock does not balance", "closing <> opening + received - sold"))
+marked("prices", "SELECT * FROM price", ("Unknown brand", unknown("items", "brand")), ("Invalid price", "new_price <= 0 OR old_price <= 0"))
 
 
 def _all(d):
@@ -367,14 +436,15 @@ def _all(d):
 
 @query("rule_quarantine", "SELECT * FROM marked_orders WHERE quarantine_reason IS NOT NULL")
 def _(d):
-    return cleaning.clean_orders(d.dirty_orders, d.customers, PERIOD_START, PERIOD_END).bad
+    return _all(d)["orders"].bad
 
 
 @query("fk_quarantine", """SELECT order_id, customer_id, copy_no, CASE WHEN customer_id NOT IN (SELECT customer_id FROM cust) THEN 'Unknown customer_id' END AS quarantine_reason
     FROM dirty WHERE customer_id NOT IN (SELECT customer_id FROM cust)""")
 def _(d):
-    rows = cleaning.known(d.dirty_orders.select("order_id", "customer_id", "copy_no"), "customer_id", d.customers, "customer_id", "ok")
-    return cleaning.mark(rows, [("Unknown customer_id", ~F.col("ok"))]).where("quarantine_reason is not null").drop("ok")
+    of_customer = cleaning.Parent("Unknown customer_id", ("customer_id",), "customers", ("customer_id",))
+    rows = of_customer.flag(d.dirty_orders.select("order_id", "customer_id", "copy_no"), d.customers, "ok")
+    return cleaning.mark(rows, [(of_customer.reason, of_customer.fails("ok"))]).where("quarantine_reason is not null").drop("ok")
 
 
 @query("consistency_quarantine", "SELECT * FROM marked_ratings WHERE quarantine_reason IS NOT NULL")
@@ -397,13 +467,13 @@ def _(d):
     return d.promo_orders.select("order_id", raw.alias("raw_id")).withColumn("promotion_id", c.optional_id("raw_id"))
 
 
-BY_REASON = " UNION ALL ".join(
-    f"SELECT '{n}' AS dataset, quarantine_reason, count(*) AS rows FROM {v} WHERE quarantine_reason IS NOT NULL GROUP BY 2"
-    for n, v in (("items", "marked_items"), ("promotions", "marked_promos"), ("orders", "marked_orders"), ("lines", "marked_lines"), ("ratings", "marked_ratings")))
+BY_REASON = " UNION ALL ".join(f"SELECT '{n}' AS dataset, quarantine_reason, count(*) AS rows FROM marked_{n} WHERE quarantine_reason IS NOT NULL GROUP BY 2" for n in RAW_VIEWS)
 SUMMARY = " UNION ALL ".join(
-    f"SELECT '{n}' AS dataset, count(*) AS raw_rows, count(*) FILTER (quarantine_reason IS NULL) AS processed_rows, "
-    f"count(*) FILTER (quarantine_reason IS NOT NULL) AS removed_rows FROM {v}"
-    for n, v in (("items", "marked_items"), ("promotions", "marked_promos"), ("orders", "marked_orders"), ("lines", "marked_lines"), ("ratings", "marked_ratings")))
+    f"SELECT '{n}' AS dataset, (SELECT count(*) FROM {v}) AS raw_rows, count(*) FILTER (quarantine_reason IS NULL) AS processed_rows, "
+    f"(SELECT count(*) FROM {v}) - count(*) FILTER (quarantine_reason IS NULL) AS removed_rows FROM marked_{n}" for n, v in RAW_VIEWS.items())
+BLANKS = " UNION ALL ".join(
+    f"SELECT '{n}', 'retained_blank', count(*), '{column} missing' FROM good_{n} WHERE {column} = '' HAVING count(*) > 0"
+    for n, spec in cleaning.specs(PERIOD_START, PERIOD_END).items() for column in spec.texts + spec.dates)
 
 
 @query("quarantine_table", BY_REASON)
@@ -426,17 +496,13 @@ def _(d):
 
 
 @query("clean_all", f"""SELECT dataset, 'quarantined' AS action, rows AS affected_rows, quarantine_reason AS reason FROM ({BY_REASON})
-    UNION ALL SELECT dataset, 'processed', processed_rows, 'Clean records' FROM ({SUMMARY})""")
+    UNION ALL SELECT dataset, 'processed', processed_rows, 'Clean records' FROM ({SUMMARY})
+    UNION ALL {BLANKS} UNION ALL SELECT 'locations', 'deduplicated', (SELECT count(*) FROM dirtyl) - count(*), 'Equal rows' FROM marked_locations""")
 def _(d):
-    return cleaning.cleaning_log(_all(d))
+    return cleaning.cleaning_log(_all(d), cleaning.specs(PERIOD_START, PERIOD_END))
 
 
-@query("verify_clean", """SELECT * FROM (VALUES ('orders', 'pk_null', 0), ('orders', 'pk_duplicate', 0), ('orders', 'fk_customer_id', 0), ('lines', 'fk_order_id', 0),
-    ('lines', 'fk_item_id', 0), ('ratings', 'fk_customer_match', 0), ('ratings', 'fk_item_in_order', 0)) t(dataset, "check", failures)""")
+@query("verify_clean", checks_sql(GOOD_VIEWS))
 def _(d):
-    s = {n: x.good for n, x in _all(d).items()}
-    return union([
-        quality.check_pk(s["orders"], "orders", ["order_id"]), quality.check_fk(s["orders"], "orders", "customer_id", d.customers, "customer_id"),
-        quality.check_fk(s["lines"], "lines", "order_id", s["orders"], "order_id"), quality.check_fk(s["lines"], "lines", "item_id", s["items"], "item_id"),
-        quality.check_owner_match(s["ratings"], s["orders"]), quality.check_pair_membership(s["ratings"], s["lines"]),
-    ])
+    """Every check again on the cleaned tables."""
+    return checks.check_all({n: x.good for n, x in _all(d).items()}, PERIOD_START, PERIOD_END)

@@ -174,7 +174,9 @@ def _(d):
     UNION ALL SELECT 'churn-risk', 'danger', ' customers at high churn risk', (SELECT count(*) FROM quiet WHERE days_since >= 180)
     UNION ALL SELECT 'quarantine', 'info', ' rows quarantined', (SELECT count(*) FROM marked_orders WHERE quarantine_reason IS NOT NULL)) WHERE n > 0""")
 def _(d):
-    bad = cleaning.clean_orders(d.dirty_orders, d.customers, PERIOD_START, PERIOD_END).bad
+    raw = d.raw_tables
+    cleaned = cleaning.clean_tables({n: raw[n] for n in ("locations", "outlets", "customers", "orders")}, cleaning.specs(PERIOD_START, PERIOD_END))
+    bad = cleaned["orders"].bad
     return reporting.alerts(effects(d), customers.churn_candidates(d.customers, d.orders, PERIOD_END), bad)
 
 

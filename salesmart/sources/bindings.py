@@ -243,6 +243,39 @@ class Dataset:
             F.col("event_id").alias("order_id"), (F.col("user_id") % 25).alias("item_id"), F.col("ts").cast("date").alias("order_date")
         )
 
+    @cached_property
+    def dirty_locations(self) -> DataFrame:
+        """Locations with an equal row."""
+        return self.locations.unionByName(self.locations.where("location_id = 1"))
+
+    @cached_property
+    def dirty_outlets(self) -> DataFrame:
+        """Outlets with a repeated key, padded names and one outlet at an unknown location."""
+        key = F.col("outlet_id")
+        copies = F.when(key == 7, F.sequence(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+        return self.outlets.withColumn("copy_no", F.explode(copies)).select(
+            "outlet_id", F.when(key % 5 == 0, F.concat(F.lit("  "), "outlet_name", F.lit(" "))).otherwise(F.col("outlet_name")).alias("outlet_name"),
+            F.when(key == 12, 99).otherwise(F.col("location_id")).cast("long").alias("location_id"), "outlet_type", F.col("copy_no").cast("long").alias("copy_no"))
+
+    @cached_property
+    def dirty_customers(self) -> DataFrame:
+        """Customers with repeated keys, unreadable dates and missing texts."""
+        key = F.col("customer_id")
+        copies = F.when(key % 59 == 0, F.sequence(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+        return self.customers.withColumn("copy_no", F.explode(copies)).select(
+            "customer_id", F.when(key % 37 == 0, F.lit(None)).otherwise(F.concat(F.lit(" "), "customer_name")).alias("customer_name"), "outlet_id",
+            F.when(key % 41 == 0, F.lit(" ")).otherwise(F.col("preferred_channel")).alias("preferred_channel"),
+            F.when(key % 43 == 0, "not-a-date").otherwise(F.date_format("registration_date", "yyyy-MM-dd")).alias("registration_date"),
+            F.col("copy_no").cast("long").alias("copy_no"))
+
+    @property
+    def raw_tables(self) -> dict[str, DataFrame]:
+        """The twelve tables as they are delivered."""
+        return {
+            "locations": self.dirty_locations, "outlets": self.dirty_outlets, "categories": self.categories, "items": self.items, "customers": self.dirty_customers,
+            "promotions": self.promotions, "orders": self.dirty_orders, "lines": self.lines, "ratings": self.ratings, "losses": self.losses, "stock": self.stock, "prices": self.prices,
+        }
+
     @cached_property
     def dirty_orders(self) -> DataFrame:
         """Orders as untyped text with planted defects, for the quality and cleaning operators."""
@@ -311,6 +344,14 @@ ORACLE_VIEWS = {
     "rating": """SELECT event_id AS rating_id, event_id AS order_id, user_id AS customer_id, user_id % 25 AS item_id,
         least(5, 1 + floor(value / 25))::BIGINT AS rating, ts::DATE AS review_date FROM events WHERE event_type = 'view'""",
     "purchase": """SELECT event_id AS order_id, user_id % 25 AS item_id, ts::DATE AS order_date FROM events WHERE event_type = 'purchase'""",
+    "dirtyl": "SELECT * FROM loc UNION ALL SELECT * FROM loc WHERE location_id = 1",
+    "dirtyo": """SELECT outlet_id, CASE WHEN outlet_id % 5 = 0 THEN '  ' || outlet_name || ' ' ELSE outlet_name END AS outlet_name,
+        CASE WHEN outlet_id = 12 THEN 99 ELSE location_id END::BIGINT AS location_id, outlet_type, c.copy_no
+        FROM outlet, (SELECT unnest([0, 1])::BIGINT AS copy_no) c WHERE c.copy_no = 0 OR outlet_id = 7""",
+    "dirtyc": """SELECT customer_id, CASE WHEN customer_id % 37 = 0 THEN NULL ELSE ' ' || customer_name END AS customer_name, outlet_id,
+        CASE WHEN customer_id % 41 = 0 THEN ' ' ELSE preferred_channel END AS preferred_channel,
+        CASE WHEN customer_id % 43 = 0 THEN 'not-a-date' ELSE strftime(registration_date, '%Y-%m-%d') END AS registration_date, c.copy_no
+        FROM cust, (SELECT unnest([0, 1])::BIGINT AS copy_no) c WHERE c.copy_no = 0 OR customer_id % 59 = 0""",
     "dirty": """SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 89 = 0 THEN o_custkey + 10000000 ELSE o_custkey END AS customer_id,
         CASE WHEN o_orderkey % 83 = 0 THEN '1990-01-01' WHEN o_orderkey % 61 = 0 THEN 'not-a-date' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS order_date,
         CASE WHEN o_orderkey % 7 = 0 THEN '  completed ' ELSE 'Completed' END AS order_status,
