@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from salesmart.functions.quantiles import find_quantiles
 from salesmart.functions.ranking import running_total
 from salesmart.operators.features import CHURN_FEATURES, ITEM_FEATURES, ORDER_FEATURES, ml_split
-from salesmart.sources.files import path_exists
+from salesmart.sources.files import folder_numbers
 from salesmart.storage import materialize
 
 
@@ -186,11 +186,7 @@ def _version_path(root: str, task: str, version: int) -> str:
 
 def latest_version(spark: SparkSession, root: str, task: str) -> int:
     """Highest stored version, 0 when there is none."""
-    if not path_exists(spark, f"{root}/{task}"):
-        return 0
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{task}")
-    names = [s.getPath().getName() for s in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)]
-    return max((int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit()), default=0)
+    return max(folder_numbers(spark, f"{root}/{task}", "v"), default=0)
 
 
 def save_model(spark: SparkSession, root: str, task: Task, family: str, model: PipelineModel, metrics: DataFrame) -> int:

@@ -41,6 +41,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def folder_numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Numbers of the folders below ``path`` named ``prefix`` and a number, ascending."""
+    if not path_exists(spark, path):
+        return []
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [s.getPath().getName() for s in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)]
+    return sorted(int(n[len(prefix) :]) for n in names if n.startswith(prefix) and n[len(prefix) :].isdigit())
+
+
 def schema_drift(spark: SparkSession, found: T.StructType, contract: T.StructType, dataset: str) -> DataFrame:
     """Contract differences by name and type; the rows come from two schemas, not from data."""
     have = {f.name: f.dataType.simpleString() for f in found.fields}

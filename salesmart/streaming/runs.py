@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from threading import Event
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from salesmart.storage import new_path
 
@@ -35,24 +37,25 @@ def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
             spark.conf.set(key, before)
 
 
-def run_append(stream: DataFrame, label: str) -> tuple[DataFrame, StreamingQuery]:
-    """Drain the available input into a Parquet table (append mode) and return it."""
+def run_append(stream: DataFrame, label: str, folder: str | None = None) -> tuple[DataFrame, StreamingQuery]:
+    """Drain the available input into a Parquet table (append mode) and return it.
+
+    With ``folder`` the table and the checkpoint are kept there: a later call goes on where this one ended or failed.
+    """
     spark = stream.sparkSession
-    out = new_path(spark, label)
+    root = folder or new_path(spark, label)
     query = (
-        stream.writeStream.format("parquet").outputMode("append").option("path", out)
-        .option("checkpointLocation", new_path(spark, f"{label}-checkpoint")).trigger(availableNow=True).start()
+        stream.writeStream.format("parquet").outputMode("append").option("path", f"{root}/rows")
+        .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out), query
+    return spark.read.schema(stream.schema).parquet(f"{root}/rows"), query
 
 
-def run_batches(stream: DataFrame, label: str, write: Callable[[DataFrame, int], None], mode: str = "append") -> StreamingQuery:
-    """Drain the available input through ``write(batch, batch_id)``."""
-    query = (
-        stream.writeStream.foreachBatch(write).outputMode(mode)
-        .option("checkpointLocation", new_path(stream.sparkSession, f"{label}-checkpoint")).trigger(availableNow=True).start()
-    )
+def run_batches(stream: DataFrame, label: str, write: Callable[[DataFrame, int], None], mode: str = "append", folder: str | None = None) -> StreamingQuery:
+    """Drain the available input through ``write(batch, batch_id)``; with ``folder`` the checkpoint is kept there, so that runs resume."""
+    root = folder or new_path(stream.sparkSession, label)
+    query = stream.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 
@@ -66,6 +69,11 @@ def replace_batch(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def stored_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All batches that ``replace_batch`` has written, without their numbers."""
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(path).drop("batch")
+
+
 def run_update(stream: DataFrame, label: str, keys: list[str]) -> DataFrame:
     """Drain an update-mode aggregation; the latest state of each key is the result."""
     spark = stream.sparkSession
@@ -74,3 +82,39 @@ def run_update(stream: DataFrame, label: str, keys: list[str]) -> DataFrame:
     stored = spark.read.schema(T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])).parquet(path)
     newest = stored.groupBy(*keys).agg(F.max("batch").alias("batch"))
     return stored.join(newest, [*keys, "batch"]).drop("batch")
+
+
+class LateRows(StreamingQueryListener):
+    """Rows that the watermark dropped, added up by run as batches end: one number a run, however many batches there are."""
+
+    def __init__(self) -> None:
+        self._dropped: dict[str, int] = defaultdict(int)
+        self._ended: dict[str, Event] = defaultdict(Event)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self._dropped[str(event.progress.runId)] += sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended[str(event.runId)].set()
+
+    def total(self, query: StreamingQuery, seconds: float = 60) -> int:
+        """Dropped rows of an ended run; events come in order, so all of its batches are counted when its end is told."""
+        if not self._ended[str(query.runId)].wait(seconds):
+            raise TimeoutError("the end of the streaming run was not told")
+        return self._dropped[str(query.runId)]
+
+
+@contextmanager
+def late_rows(spark: SparkSession) -> Iterator[LateRows]:
+    listener = LateRows()
+    spark.streams.addListener(listener)
+    try:
+        yield listener
+    finally:
+        spark.streams.removeListener(listener)
