@@ -4,8 +4,9 @@ Exact pair counts without a self-join on the order: an item below the pair
 threshold in its outlet cannot be part of a qualifying pair, so it is pruned
 first (lossless); then equal baskets of an outlet collapse to one weighted row,
 and pairs are formed once per distinct basket. With the threshold at a fixed
-share of all orders the surviving items per outlet, and so a basket's length,
-stay bounded however large the data or a single order gets.
+share of all orders the surviving items per outlet stay few however large the data get.
+An order with more surviving items than ``PART`` is cut into parts by item hash, and each
+two parts are one row: no row holds a whole long order, and its pairs spread over tasks.
 """
 
 from __future__ import annotations
@@ -20,6 +21,10 @@ from salesmart.operators.enrich import completed
 from salesmart.storage import materialize
 
 
+#: Items a row of a basket holds about at most.
+PART = 256
+
+
 def order_items(lines: DataFrame, orders: DataFrame, items: DataFrame, item: str = "brand") -> DataFrame:
     """Distinct (outlet_id, order_id, item) of completed orders, stored once.
 
@@ -43,18 +48,43 @@ def chain_orders(bought: DataFrame) -> Column:
     return outlet_orders(bought).agg(F.sum("outlet_orders")).scalar()
 
 
-def pair_counts(bought: DataFrame, min_pairs: int | Column) -> DataFrame:
+def long_pairs(kept: DataFrame, sizes: DataFrame, part: int) -> DataFrame:
+    """One row a pair of the orders in ``sizes`` (outlet_id, order_id, size), formed by two parts of an order at a time."""
+    at = F.pmod(F.xxhash64("item"), F.col("parts")).cast("int").alias("at")
+    dealt = kept.join(sizes.withColumn("parts", F.ceil(F.col("size") / part)), ["outlet_id", "order_id"]).select("outlet_id", "order_id", "item", "parts", at)
+    lists = dealt.groupBy("outlet_id", "order_id", "parts", "at").agg(F.collect_list("item").alias("items"))  # about ``part`` items
+    cells = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1), lambda k: F.struct(F.least(k, F.col("at")).alias("i"), F.greatest(k, F.col("at")).alias("j")))
+    met = lists.select("outlet_id", "order_id", "at", "items", F.explode(cells).alias("cell")).groupBy("outlet_id", "order_id", "cell.i", "cell.j").agg(
+        F.max(F.when(F.col("at") == F.col("i"), F.col("items"))).alias("one"), F.max(F.when(F.col("at") == F.col("j"), F.col("items"))).alias("two"))
+    both = met.select("outlet_id", "i", "j", F.explode("one").alias("a"), "two").select("outlet_id", "i", "j", "a", F.explode("two").alias("b"))
+    pairs = both.where((F.col("i") < F.col("j")) | (F.col("a") < F.col("b")))
+    return pairs.select("outlet_id", F.lit(1).cast("bigint").alias("w"), F.least("a", "b").alias("item_a"), F.greatest("a", "b").alias("item_b"))
+
+
+def pair_counts(bought: DataFrame, min_pairs: int | Column, part: int = PART) -> DataFrame:
     """Orders per (outlet, item_a < item_b) reaching ``min_pairs``."""
     threshold = min_pairs if isinstance(min_pairs, Column) else F.lit(min_pairs)
     frequent = item_counts(bought).where(F.col("n") >= threshold).select("outlet_id", "item")
     kept = bought.join(frequent, ["outlet_id", "item"], "left_semi")
-    baskets = kept.groupBy("outlet_id", "order_id").agg(F.sort_array(F.collect_list("item")).alias("items")).where(F.size("items") > 1)
+    per_order = kept.groupBy("outlet_id", "order_id").agg(F.count("*").alias("size"))
+    long = materialize(per_order.where(F.col("size") > part), "long-orders")
+    several = not long.isEmpty()
+    short = kept.join(long.select("outlet_id", "order_id"), ["outlet_id", "order_id"], "left_anti") if several else kept
+    baskets = short.groupBy("outlet_id", "order_id").agg(F.sort_array(F.collect_list("item")).alias("items")).where(F.size("items") > 1)
     weighted = baskets.groupBy("outlet_id", "items").agg(F.count("*").alias("w"))
     heads = weighted.select("outlet_id", "w", "items", F.posexplode("items").alias("i", "item_a")).where(F.col("i") < F.size("items") - 1)
     pairs = heads.select("outlet_id", "w", "item_a", F.explode(F.slice("items", F.col("i") + 2, F.size("items") - F.col("i") - 1)).alias("item_b"))
+    if several:
+        pairs = pairs.unionByName(long_pairs(kept, long, part))
     return pairs.groupBy("outlet_id", "item_a", "item_b").agg(F.sum("w").alias("pair_orders")).where(F.col("pair_orders") >= threshold)
 
 
+def least_pairs(bought: DataFrame, floor: int, share: float) -> int:
+    """A share of all orders, ``floor`` at least: it grows with the data, so rare items are pruned at every size."""
+    orders = outlet_orders(bought).agg(F.sum("outlet_orders")).first()[0] or 0
+    return max(floor, math.floor(orders * share))
+
+
 def with_frequencies(pairs: DataFrame, bought: DataFrame) -> DataFrame:
     """Attach item and outlet order counts to the qualifying pairs."""
     counts = item_counts(bought)
@@ -63,9 +93,9 @@ def with_frequencies(pairs: DataFrame, bought: DataFrame) -> DataFrame:
     return pairs.join(a, ["outlet_id", "item_a"]).join(b, ["outlet_id", "item_b"]).join(outlet_orders(bought), "outlet_id")
 
 
-def top_item_combos(bought: DataFrame, min_orders: int = 100, k: int = 25) -> DataFrame:
+def top_item_combos(bought: DataFrame, floor: int = 100, share: float = 0.001, k: int = 25) -> DataFrame:
     """Best pairs by lift within their outlet."""
-    full = with_frequencies(pair_counts(bought, min_orders), bought)
+    full = with_frequencies(pair_counts(bought, least_pairs(bought, floor, share)), bought)
     expected = F.col("n_a").cast("double") * F.col("n_b")
     together = F.col("pair_orders") * F.lit(1.0)
     return full.select(
@@ -74,18 +104,17 @@ def top_item_combos(bought: DataFrame, min_orders: int = 100, k: int = 25) -> Da
     ).orderBy(F.desc("lift"), "outlet_id", "item_a", "item_b").limit(k)
 
 
-def market_basket(bought: DataFrame, floor: int = 30, share: float = 0.001, k: int = 200) -> DataFrame:
-    """Support, confidence both ways, lift and chain lift of the best pairs."""
+def market_basket(bought: DataFrame, floor: int = 30, share: float = 0.001) -> DataFrame:
+    """Support, confidence both ways, lift and chain lift of all pairs in enough orders."""
     total = chain_orders(bought)
-    min_pairs = F.greatest(F.lit(floor), F.floor(total * F.lit(share)))
-    full = with_frequencies(pair_counts(bought, min_pairs), bought)
+    full = with_frequencies(pair_counts(bought, least_pairs(bought, floor, share)), bought)
     n = F.col("outlet_orders")
     return (
         full.withColumn("support", F.col("pair_orders") / n).withColumn("p_a", F.col("n_a") / n).withColumn("p_b", F.col("n_b") / n)
         .withColumn("confidence_a_to_b", F.col("support") / F.col("p_a")).withColumn("confidence_b_to_a", F.col("support") / F.col("p_b"))
         .withColumn("lift", F.col("confidence_a_to_b") / F.col("p_b"))
         .withColumn("chain_lift", F.col("pair_orders").cast("double") * total / (F.col("n_a").cast("double") * F.col("n_b")))
-        .drop("n_a", "n_b").orderBy(F.desc("lift"), "outlet_id", "item_a", "item_b").limit(k)
+        .drop("n_a", "n_b")
     )
 
 
@@ -103,3 +132,22 @@ def frequent_itemsets(bought: DataFrame, min_support: float) -> DataFrame:
     share = (min_count - 0.5) / max(baskets.count(), 1)
     sets = FPGrowth(itemsCol="items", minSupport=share).fit(baskets).freqItemsets
     return sets.select(F.sort_array("items").alias("items"), "freq")
+
+
+def association_rules(sets: DataFrame, orders: int, min_confidence: float = 0.0) -> DataFrame:
+    """``antecedent, consequent, freq, support, confidence, lift`` of every rule inside the frequent sets.
+
+    Every part of a frequent set is frequent, so the counts of both sides of a rule are among the sets: a set of k
+    items gives 2^k - 2 rules, one for each proper part, and each meets its sides by two joins on the item array.
+    """
+    stored = materialize(sets.select(F.sort_array("items").alias("items"), "freq"), "itemsets")
+    masks = F.explode(F.sequence(F.lit(1).cast("bigint"), F.expr("shiftleft(1L, size(items)) - 2"))).alias("mask")
+    split = stored.where(F.size("items") > 1).select("items", "freq", masks).select(
+        "freq", F.expr("filter(items, (x, i) -> (shiftright(mask, i) & 1) = 1)").alias("antecedent"), F.expr("filter(items, (x, i) -> (shiftright(mask, i) & 1) = 0)").alias("consequent"))
+    left = stored.select(F.col("items").alias("antecedent"), F.col("freq").alias("freq_a"))
+    right = stored.select(F.col("items").alias("consequent"), F.col("freq").alias("freq_c"))
+    rules = split.join(left, "antecedent").join(right, "consequent")
+    confidence = F.col("freq") / F.col("freq_a")
+    return rules.select(
+        "antecedent", "consequent", "freq", (F.col("freq") / F.lit(orders)).alias("support"), confidence.alias("confidence"),
+        (F.col("freq").cast("double") * F.lit(orders) / (F.col("freq_a").cast("double") * F.col("freq_c"))).alias("lift")).where(F.col("confidence") >= min_confidence)

@@ -85,7 +85,7 @@ def price_elasticity(lines: DataFrame, orders: DataFrame, min_months: int = 4) -
                          (F.col("slope") < -1.0).alias("price_sensitive"))
 
 
-def slow_movers(lines, orders, items, start: str, cutoff: str, days: int = 60, k: int = 200) -> DataFrame:
+def slow_movers(lines, orders, items, start: str, cutoff: str, days: int = 60) -> DataFrame:
     """Items that sold in the first window and stopped, fell or barely move in the last."""
     first_day, last_day = F.lit(start).cast("date"), F.lit(cutoff).cast("date")
     day = F.col("order_date")
@@ -102,6 +102,5 @@ def slow_movers(lines, orders, items, start: str, cutoff: str, days: int = 60, k
     )
     change = (F.col("last_60d") - F.col("first_60d")) / F.col("first_60d") * 100
     slow = q.withColumn("sales_change_percentage", change).withColumn("status", status).where("status <> 'stable'")
-    top = slow.orderBy(F.desc("first_60d"), "item_id").limit(k)
-    return top.join(items.select("item_id", "item_name"), "item_id").select(
+    return slow.join(items.select("item_id", "item_name"), "item_id").select(
         "item_id", "item_name", "first_60d", "last_60d", "mid", "sales_change_percentage", "status")

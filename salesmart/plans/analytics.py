@@ -34,16 +34,16 @@ def _(d):
 
 
 @query("top_item_combos", f"""SELECT item_a, item_b, outlet_id, pair_orders AS orders_with_combo, pair_orders * 1.0::DOUBLE * outlet_orders / (n_a * n_b) AS lift,
-    pair_orders * 1.0::DOUBLE * total / (n_a * n_b) AS chain_lift FROM pairs_full WHERE pair_orders >= {MIN_COMBO}
+    pair_orders * 1.0::DOUBLE * total / (n_a * n_b) AS chain_lift FROM pairs_full WHERE pair_orders >= greatest({MIN_COMBO}, floor(total * 0.001))
     ORDER BY lift DESC, outlet_id, item_a, item_b LIMIT 25""")
 def _(d):
-    return basket.top_item_combos(_bought(d), MIN_COMBO)
+    return basket.top_item_combos(_bought(d), floor=MIN_COMBO)
 
 
 @query("market_basket", f"""SELECT outlet_id, item_a, item_b, pair_orders, outlet_orders, pair_orders / outlet_orders AS support, n_a / outlet_orders AS p_a, n_b / outlet_orders AS p_b,
     (pair_orders / outlet_orders) / (n_a / outlet_orders) AS confidence_a_to_b, (pair_orders / outlet_orders) / (n_b / outlet_orders) AS confidence_b_to_a,
     (pair_orders / outlet_orders) / (n_a / outlet_orders) / (n_b / outlet_orders) AS lift, pair_orders * total / (n_a * n_b) AS chain_lift
-    FROM pairs_full WHERE pair_orders >= greatest({MIN_COMBO}, floor(total * 0.001)) ORDER BY lift DESC, outlet_id, item_a, item_b LIMIT 200""")
+    FROM pairs_full WHERE pair_orders >= greatest({MIN_COMBO}, floor(total * 0.001)) """)
 def _(d):
     return basket.market_basket(_bought(d), floor=MIN_COMBO)
 
@@ -55,6 +55,36 @@ def _(d):
     return sets.select(F.col("items")[0].alias("item_a"), F.col("items")[1].alias("item_b"), "freq")
 
 
+SUPPORT = 0.005
+#: All parts of all baskets, item by item in ascending order; ``parts`` refers to itself.
+PARTS = """WITH RECURSIVE parts AS (SELECT order_id, [item] AS items, item AS last FROM bought
+    UNION ALL SELECT p.order_id, list_append(p.items, b.item), b.item FROM parts p JOIN bought b ON p.order_id = b.order_id AND b.item > p.last)"""
+
+
+def itemsets(d):
+    bought = _bought(d)
+    return basket.frequent_itemsets(bought, SUPPORT), bought.select("order_id").distinct().count()
+
+
+@query("basket_itemsets", f"""{PARTS} SELECT array_to_string(items, '+') AS items, len(items)::INT AS size, freq FROM
+    (SELECT items, count(*) AS freq FROM parts GROUP BY items HAVING count(*) >= ceil({SUPPORT} * (SELECT count(DISTINCT order_id) FROM bought)))""")
+def _(d):
+    """Frequent sets of every size."""
+    return itemsets(d)[0].select(F.array_join("items", "+").alias("items"), F.size("items").alias("size"), "freq")
+
+
+@query("basket_rules", f"""{PARTS}, sets AS (SELECT items, count(*) AS freq FROM parts GROUP BY items HAVING count(*) >= ceil({SUPPORT} * (SELECT count(DISTINCT order_id) FROM bought))),
+    total AS (SELECT count(DISTINCT order_id) AS n FROM bought)
+    SELECT array_to_string(a.items, '+') AS antecedent, array_to_string(c.items, '+') AS consequent, s.freq, s.freq / n AS support, s.freq / a.freq AS confidence,
+      s.freq::DOUBLE * n / (a.freq::DOUBLE * c.freq) AS lift
+    FROM sets s JOIN sets a ON len(a.items) < len(s.items) AND list_has_all(s.items, a.items)
+    JOIN sets c ON len(c.items) = len(s.items) - len(a.items) AND list_has_all(s.items, c.items) AND NOT list_has_any(a.items, c.items), total""")
+def _(d):
+    """All rules inside the frequent sets, with any number of items on both sides."""
+    sets, orders = itemsets(d)
+    return basket.association_rules(sets, orders).withColumns({c: F.array_join(c, "+") for c in ("antecedent", "consequent")})
+
+
 # ---- promotions ------------------------------------------------------------
 
 shared_view("promo_effect", """
@@ -162,7 +192,7 @@ shared_view("slow", """SELECT w.item_id, i.item_name, first_60d, last_60d, mid,
     FROM (SELECT *, CASE WHEN last_60d = 0 THEN 'no_recent_sales' WHEN last_60d < 0.25 * first_60d THEN 'declining'
         WHEN units_both <= (SELECT quantile_cont(units_both, 0.1) FROM started) AND last_60d <= (SELECT quantile_cont(last_60d, 0.1) FROM started) THEN 'low_velocity'
         ELSE 'stable' END AS status FROM started) w JOIN item i ON w.item_id = i.item_id
-    WHERE status <> 'stable' ORDER BY first_60d DESC, w.item_id LIMIT 200""")
+    WHERE status <> 'stable'""")
 
 
 @query("slow_movers", "SELECT * FROM slow")

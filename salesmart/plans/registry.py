@@ -64,8 +64,8 @@ def full_sql(sql: str) -> str:
         return sql.strip()
     ctes = ",\n".join(f"{v} AS ({views[v]})" for v in used)
     body = sql.strip()
-    if re.match(r"WITH\b", body, flags=re.IGNORECASE):
-        return f"WITH {ctes},\n{body[4:].lstrip()}"
+    if head := re.match(r"WITH(\s+RECURSIVE)?\b", body, flags=re.IGNORECASE):
+        return f"{head[0]} {ctes},\n{body[head.end() :].lstrip()}"
     return f"WITH {ctes}\n{body}"
 
 

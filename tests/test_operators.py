@@ -37,6 +37,7 @@ def test_pair_counts_equal_brute_force(spark, seed, threshold):
             want[(outlet, a, b)] += 1
     want = sorted(((*k, n) for k, n in want.items() if n >= threshold), key=repr)
     assert rows(basket.pair_counts(df, threshold)) == want
+    assert rows(basket.pair_counts(df, threshold, part=2)) == want  # nearly every order in parts
 
 
 def test_itemsets_equal_brute_force(spark):
@@ -54,6 +55,41 @@ def test_itemsets_equal_brute_force(spark):
     assert got == want
 
 
+def test_rules_equal_brute_force(spark):
+    data, df = baskets(spark, 6, orders=50)
+    per_order = {}
+    for _, o, i in data:
+        per_order.setdefault(o, set()).add(i)
+    freq = Counter(c for g in per_order.values() for n in range(1, len(g) + 1) for c in itertools.combinations(sorted(g), n))
+    sets = {c: n for c, n in freq.items() if n >= 0.08 * len(per_order)}
+    want = {}
+    for items, n in sets.items():
+        for k in range(1, len(items)):
+            for a in itertools.combinations(items, k):
+                c = tuple(x for x in items if x not in a)
+                want[a, c] = (n, n / len(per_order), n / freq[a], n * len(per_order) / (freq[a] * freq[c]))
+    got = {(tuple(r["antecedent"]), tuple(r["consequent"])): (r["freq"], r["support"], r["confidence"], r["lift"])
+           for r in basket.association_rules(basket.frequent_itemsets(df, 0.08), len(per_order)).collect()}
+    assert max(map(len, sets)) >= 3 and got.keys() == want.keys()
+    assert all(got[k] == pytest.approx(want[k]) for k in want)
+    some = basket.association_rules(basket.frequent_itemsets(df, 0.08), len(per_order), min_confidence=0.5)
+    assert some.count() == sum(v[2] >= 0.5 for v in want.values())
+
+
+def test_a_very_long_order_is_never_one_row(spark):
+    from salesmart.operators.basket import long_pairs
+
+    n = 3000
+    kept = spark.range(n).select(F.lit(1).alias("outlet_id"), F.lit(7).alias("order_id"), F.col("id").alias("item"))
+    sizes = spark.createDataFrame([(1, 7, n)], "outlet_id int, order_id int, size long")
+    pairs = long_pairs(kept, sizes, 100)
+    assert "collect_list" in pairs._jdf.queryExecution().optimizedPlan().toString()
+    found = pairs.groupBy("item_a", "item_b").count()
+    assert (found.count(), found.agg(F.max("count")).first()[0], pairs.where("item_a >= item_b").count()) == (n * (n - 1) // 2, 1, 0)
+    lists = kept.withColumn("at", F.pmod(F.xxhash64("item"), F.lit(30))).groupBy("at").count().agg(F.max("count")).first()[0]
+    assert lists < 200
+
+
 def test_one_order_with_every_item(spark):
     df = spark.createDataFrame([(1, 1, f"i{n:03d}") for n in range(60)], "outlet_id long, order_id long, item string")
     assert basket.pair_counts(df, 1).count() == 60 * 59 // 2
