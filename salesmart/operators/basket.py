@@ -54,7 +54,7 @@ def long_pairs(kept: DataFrame, sizes: DataFrame, part: int) -> DataFrame:
     dealt = kept.join(sizes.withColumn("parts", F.ceil(F.col("size") / part)), ["outlet_id", "order_id"]).select("outlet_id", "order_id", "item", "parts", at)
     lists = dealt.groupBy("outlet_id", "order_id", "parts", "at").agg(F.collect_list("item").alias("items"))  # about ``part`` items
     cells = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1), lambda k: F.struct(F.least(k, F.col("at")).alias("i"), F.greatest(k, F.col("at")).alias("j")))
-    met = lists.select("outlet_id", "order_id", "at", "items", F.explode(cells).alias("cell")).groupBy("outlet_id", "order_id", "cell.i", "cell.j").agg(
+    met = lists.select("outlet_id", "order_id", "at", "items", F.inline(cells)).groupBy("outlet_id", "order_id", "i", "j").agg(
         F.max(F.when(F.col("at") == F.col("i"), F.col("items"))).alias("one"), F.max(F.when(F.col("at") == F.col("j"), F.col("items"))).alias("two"))
     both = met.select("outlet_id", "i", "j", F.explode("one").alias("a"), "two").select("outlet_id", "i", "j", "a", F.explode("two").alias("b"))
     pairs = both.where((F.col("i") < F.col("j")) | (F.col("a") < F.col("b")))
