@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -74,29 +75,26 @@ def rfm_segments(scores: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:
         KMeans(k=k, seed=seed, featuresCol="scaled", predictionCol="cluster"),
     ]
     model = Pipeline(stages=stages).fit(x)
-    names = segment_names([list(map(float, v)) for v in model.stages[-1].clusterCenters()])
-    label = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("cluster") + 1)
+    labels = segment_labels(np.array(model.stages[-1].clusterCenters()))
+    label = F.element_at(F.array(*[F.lit(n) for n in labels]), F.col("cluster") + 1)
     return model.transform(x).select(*scores.columns, "cluster", label.alias("segment"))
 
 
-def segment_names(centres: list[list[float]]) -> list[str]:
-    """Segment per cluster from its k centres (neg_r, log_f, log_m): above or below the medians."""
-
-    def median(v):
-        s = sorted(v)
-        n = len(s)
-        return s[n // 2] if n % 2 else (s[n // 2 - 1] + s[n // 2]) / 2
-
-    recency = [-c0[0] for c0 in centres]
-    frequency = [c0[1] for c0 in centres]
-    r_cut, f_cut = median(recency), median(frequency)
-    recent = [i for i, r in enumerate(recency) if r >= r_cut]
-    best = max(recent, key=lambda i: frequency[i]) if recent else None
-    names = []
-    for i in range(len(centres)):
-        often = frequency[i] >= f_cut
-        if recency[i] >= r_cut:
-            names.append("Champions" if often and i == best else "Loyal Customers" if often else "Potential Loyalist")
-        else:
-            names.append("At Risk - High Value" if often else "Hibernating")
-    return names
+# The five segment labels, by whether a cluster is recent and frequent.
+SEGMENTS = {(True, True): "Loyal Customers", (True, False): "Potential Loyalist", (False, True): "At Risk - High Value", (False, False): "Hibernating"}
+BEST_SEGMENT = "Champions"
+
+
+def segment_labels(centres: np.ndarray) -> list[str]:
+    """Label of each cluster from its centre (age of the last order, log orders, log spend).
+
+    A cluster is recent or frequent when it is not behind the median cluster; the most frequent one
+    of those that are both stands out.
+    """
+    recent = centres[:, 0] <= np.median(centres[:, 0])
+    frequent = centres[:, 1] >= np.median(centres[:, 1])
+    labels = [SEGMENTS[pair] for pair in zip(recent.tolist(), frequent.tolist(), strict=True)]
+    both = recent & frequent
+    if both.any():
+        labels[int(np.where(both, centres[:, 1], -np.inf).argmax())] = BEST_SEGMENT
+    return labels

@@ -152,12 +152,19 @@ def align(cases: DataFrame, a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     return cases.join(left, key, "left").join(right, key, "left")
 
 
-def dual_compare(aligned: DataFrame) -> DataFrame:
-    """Match flag and, for disagreements, a rule-based explanation."""
+# What a task knows about a disagreement: (SQL condition on the aligned row, text).
+AMOUNT_FAR_ABOVE_MEAN = ("far_above", "order is far above the mean of its customer")
+NEAR_THE_QUIET_LIMIT = ("abs(recency_days - 60) <= 15", "last order lies near the limit between quiet and active")
+NEITHER_IS_RIGHT = ("pred_a <> actual AND pred_b <> actual", "item lies between classes: neither model names its class")
+
+
+def dual_compare(aligned: DataFrame, task_rules: list[tuple[str, str]] = ()) -> DataFrame:
+    """Match flag and, for disagreements, an explanation: of all tasks first, then of this one, then by the gap."""
     gap = F.abs(F.col("prob_a") - F.col("prob_b"))
-    why = (
-        F.when(F.abs(F.col("prob_b") - 0.5) < 0.2, "probability near one half").when(gap < 0.15, "probabilities are close").otherwise("models weigh the features differently")
-    )
+    why = F.when(F.abs(F.col("prob_b") - 0.5) < 0.2, "probability near one half")
+    for condition, text in task_rules:
+        why = why.when(F.expr(condition), text)
+    why = why.when(gap < 0.15, "probabilities are close").otherwise("models weigh the features differently")
     return aligned.withColumn("match", F.col("pred_a").eqNullSafe(F.col("pred_b"))).withColumn("explanation", F.when(F.col("match"), "").otherwise(why))
 
 

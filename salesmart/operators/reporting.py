@@ -90,10 +90,11 @@ def sort_columns(sort: str) -> list[Column]:
 
 
 def orders_page(orders: DataFrame, sort: str = "recent", page: int = 1, size: int = 12) -> DataFrame:
-    """One page (at most 100 rows) with totals over the whole filtered set on each row."""
-    size = max(1, min(size, 100))
+    """One page of any size with totals over the whole filtered set on each row."""
+    if page < 1 or size < 1:
+        raise ValueError("pages count from 1 and have a row at least")
     stats = orders.agg(F.count("*").alias("total"), F.coalesce(exact_sum(F.when(c.is_completed(), F.col("total_amount"))), F.lit(0.0)).alias("revenue"))
-    rows = orders.orderBy(*sort_columns(sort)).offset((max(page, 1) - 1) * size).limit(size)
+    rows = orders.orderBy(*sort_columns(sort)).offset((page - 1) * size).limit(size)
     full = rows.withColumn("_s", stats.select(F.struct("*")).scalar())
     pages = F.greatest(F.ceil(F.col("_s.total") / size), F.lit(1)).cast("long")
     return full.select(*orders.columns, F.col("_s.total").alias("total"), pages.alias("pages"), F.col("_s.revenue").alias("revenue"))
@@ -104,15 +105,14 @@ def order_ref(prefix: str = "ORD") -> Column:
     return F.concat(F.lit(f"{prefix}-"), padded)
 
 
-def order_documents(orders: DataFrame, lines: DataFrame, items: DataFrame, size: int = 100) -> DataFrame:
-    """The latest orders as documents: items nested, with a short summary of the first two.
+def order_documents(orders: DataFrame, lines: DataFrame, items: DataFrame) -> DataFrame:
+    """All given orders (filtered or not) as documents: items nested, with a short summary of the first two.
 
-    The page is cut first; lines of its at most 100 orders are found by a semi-join
-    and folded per item before they are nested.
+    Lines are found by a semi-join and folded per item before they are nested, so a document is
+    as long as its order has different items.
     """
-    page = orders.orderBy(*sort_columns("recent")).limit(min(size, 100))
-    ids = F.broadcast(page.select("order_id"))
-    per_item = lines.join(ids, "order_id", "left_semi").groupBy("order_id", "item_id").agg(F.sum(F.col("quantity").cast("long")).alias("quantity"))
+    page = orders
+    per_item = lines.join(page.select("order_id"), "order_id", "left_semi").groupBy("order_id", "item_id").agg(F.sum(F.col("quantity").cast("long")).alias("quantity"))
     entry = F.struct("item_id", "item_name", "quantity")
     nested = per_item.join(items.select("item_id", "item_name"), "item_id").groupBy("order_id").agg(F.sort_array(F.collect_list(entry)).alias("items"))
     shown = F.transform(F.slice("items", 1, 2), lambda x: F.concat(x.quantity.cast("string"), F.lit("x "), x.item_name))
@@ -214,9 +214,9 @@ def item_intelligence(classes: DataFrame, risk: DataFrame) -> DataFrame:
 def alerts(effects: DataFrame, candidates: DataFrame, quarantined: DataFrame) -> DataFrame:
     """Threshold alerts over marts; a rule with nothing to report gives no row."""
     rules = [
-        ("promo-traps", "warn", " promotion traps detected", effects.where("promotion_trap")),
-        ("churn-risk", "danger", " customers at high churn risk", candidates.where("days_since >= 180")),
-        ("quarantine", "info", " rows quarantined", quarantined),
+        ("losing_promotions", "medium", " promotions sell more and earn less", effects.where("promotion_trap")),
+        ("quiet_customers", "high", " customers without an order for half a year", candidates.where("days_since >= 180")),
+        ("held_back_orders", "low", " orders wait for a correction", quarantined),
     ]
     rows = [df.agg(F.count("*").alias("n")).select(F.lit(i).alias("id"), F.lit(level).alias("level"), "n",
             F.concat(F.col("n").cast("string"), F.lit(title)).alias("title")) for i, level, title, df in rules]

@@ -59,6 +59,17 @@ def recommendations(classes, effects, risk, slow, cells, at_risk, ratings) -> Da
     return reduce(DataFrame.unionByName, parts)
 
 
+# What each scenario takes for granted.
+CLASS_ASSUMPTION = "Units answer the price with the mean elasticity of the class; unit cost stays"
+ITEM_ASSUMPTIONS = {
+    "price_change": "Units and cost stay; revenue moves with the price",
+    "discount_change": "Units and cost stay; revenue falls by the discount",
+    "demand_change": "Price and unit cost stay; revenue, contribution and units move together",
+    "wastage_change": "Sales stay; contribution moves against the cost of waste",
+    "remove_item": "Sales of the item are lost and go to no other item",
+}
+
+
 def what_if_class(classes: DataFrame, elasticity: DataFrame) -> DataFrame:
     """Price scenarios per item class: quantity answers with the class's mean elasticity.
 
@@ -80,7 +91,7 @@ def what_if_class(classes: DataFrame, elasticity: DataFrame) -> DataFrame:
     )
     return out.select("scenario", "scope", "price_change_percentage", "affected_items", "baseline_revenue", "baseline_profit", "elasticity",
                       "new_revenue_estimate", "new_profit_estimate", (F.col("new_revenue_estimate") - F.col("baseline_revenue")).alias("revenue_change"),
-                      (F.col("new_profit_estimate") - F.col("baseline_profit")).alias("profit_change"))
+                      (F.col("new_profit_estimate") - F.col("baseline_profit")).alias("profit_change"), F.lit(CLASS_ASSUMPTION).alias("assumption"))
 
 
 def what_if_item(revenue: DataFrame, risk: DataFrame, change_percent: float) -> DataFrame:
@@ -88,6 +99,8 @@ def what_if_item(revenue: DataFrame, risk: DataFrame, change_percent: float) ->
 
     ``revenue`` has item_id, revenue, contribution and units over completed orders.
     """
+    if not -100.0 <= change_percent <= 100.0:
+        raise ValueError("a change lies between -100 and 100 percent")
     rate = F.lit(change_percent / 100.0)
     base = revenue.join(risk.select("item_id", "wastage_cost"), "item_id", "left").withColumn("wastage_cost", zero("wastage_cost"))
     r, k, u = F.col("revenue"), F.col("contribution"), F.col("units")
@@ -101,7 +114,7 @@ def what_if_item(revenue: DataFrame, risk: DataFrame, change_percent: float) ->
         "wastage_change": (r, k - F.col("wastage_cost") * rate, u),
         "remove_item": (r * 0.0, k * 0.0, u * 0.0),
     }
-    table = F.array(*[F.struct(F.lit(n).alias("scenario"), *[e.alias(x) for e, x in zip(estimates[n], ("revenue_estimate", "contribution_estimate", "units_estimate"))])
+    table = F.array(*[F.struct(F.lit(n).alias("scenario"), F.lit(ITEM_ASSUMPTIONS[n]).alias("assumption"), *[e.alias(x) for e, x in zip(estimates[n], ("revenue_estimate", "contribution_estimate", "units_estimate"))])
                       for n in ITEM_SCENARIOS])
-    return base.select("item_id", "revenue", "contribution", "units", F.inline(table)).withColumn(
-        "contribution_change", F.col("contribution_estimate") - F.col("contribution"))
+    return base.select("item_id", "revenue", "contribution", "units", F.inline(table)).withColumns({
+        "contribution_change": F.col("contribution_estimate") - F.col("contribution"), "revenue_change": F.col("revenue_estimate") - F.col("revenue")})

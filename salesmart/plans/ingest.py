@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from salesmart.operators import ingest
+from salesmart.operators import ingest, search
 from salesmart.operators.ingest import Field
 from salesmart.plans.registry import query
+from salesmart.sources import contracts
 
 ORDER_CONTRACT = {
     "order_id": Field("integer", required=True, low=0),
@@ -80,3 +81,23 @@ def _(d):
     hits = d.promotions.where(F.lower("promotion_name").contains("00000001"))
     total = hits.agg(F.count("*")).scalar()
     return hits.orderBy("promotion_id").limit(25).withColumn("total", total)
+
+
+SEARCHED = {"locations": "loc", "outlets": "outlet", "categories": "cat", "items": "item", "customers": "cust", "promotions": "promo", "orders": "ord", "stock": "stock"}
+TERMS = ["Type 2", "steel", "#0", "00012", "a", "high", "1998", "nowhere at all"]
+
+
+def key_sql(table):
+    kinds = dict(x.split()[:2] for x in contracts.DDL[table].split(", "))
+    cells = [f"""'"{k}":' || {f"'\"' || {k} || '\"'" if kinds[k] == "STRING" else f"{k}::VARCHAR"}""" for k in contracts.PRIMARY_KEYS[table]]
+    return "'{' || " + " || ',' || ".join(cells) + " || '}'"
+
+
+@query("keyword_search_all", "SELECT term, dataset, key, string_agg(DISTINCT name, ',' ORDER BY name) AS columns FROM (" + " UNION ALL ".join(
+    f"SELECT '{t}' AS term, '{table}' AS dataset, {key_sql(table)} AS key, '{n}' AS name FROM {view} WHERE contains(lower({n}), '{t.lower()}')"
+    for t in TERMS for table, view in SEARCHED.items() for n in contracts.SEARCHABLE[table]) + ") GROUP BY 1, 2, 3")
+def _(d):
+    """Several terms over all allowed columns of all tables, through the posting index."""
+    frames = {"locations": d.locations, "outlets": d.outlets, "categories": d.categories, "items": d.items, "customers": d.customers, "promotions": d.promotions, "orders": d.orders, "stock": d.stock}
+    index = search.SearchIndex.build(frames, contracts.SEARCHABLE)
+    return index.search(TERMS, frames, contracts.PRIMARY_KEYS)

@@ -88,7 +88,7 @@ def _(d):
 
 @query("order_documents", """SELECT p.order_id, 'ORD-' || CASE WHEN length(p.order_id::VARCHAR) < 4 THEN lpad(p.order_id::VARCHAR, 4, '0') ELSE p.order_id::VARCHAR END AS order_ref,
       p.order_date, p.total_amount, p.order_status, d.item_summary, d.items
-    FROM (SELECT * FROM ord ORDER BY order_date DESC, order_hour DESC, order_id DESC LIMIT 100) p LEFT JOIN (
+    FROM ord p LEFT JOIN (
       SELECT order_id, array_to_string(list_slice(list(q || 'x ' || item_name ORDER BY item_id), 1, 2), ', ') || CASE WHEN count(*) > 2 THEN ', +' || (count(*) - 2) || ' more' ELSE '' END AS item_summary,
         count(*) AS items
       FROM (SELECT l.order_id, l.item_id, i.item_name, sum(l.quantity)::BIGINT AS q FROM line l JOIN item i ON l.item_id = i.item_id GROUP BY 1, 2, 3) GROUP BY 1) d ON p.order_id = d.order_id""")
@@ -170,9 +170,9 @@ def _(d):
 
 
 @query("alerts", """SELECT id, level, n, n || title AS title FROM (
-    SELECT 'promo-traps' AS id, 'warn' AS level, ' promotion traps detected' AS title, (SELECT count(*) FROM promo_effect WHERE promotion_trap) AS n
-    UNION ALL SELECT 'churn-risk', 'danger', ' customers at high churn risk', (SELECT count(*) FROM quiet WHERE days_since >= 180)
-    UNION ALL SELECT 'quarantine', 'info', ' rows quarantined', (SELECT count(*) FROM marked_orders WHERE quarantine_reason IS NOT NULL)) WHERE n > 0""")
+    SELECT 'losing_promotions' AS id, 'medium' AS level, ' promotions sell more and earn less' AS title, (SELECT count(*) FROM promo_effect WHERE promotion_trap) AS n
+    UNION ALL SELECT 'quiet_customers', 'high', ' customers without an order for half a year', (SELECT count(*) FROM quiet WHERE days_since >= 180)
+    UNION ALL SELECT 'held_back_orders', 'low', ' orders wait for a correction', (SELECT count(*) FROM marked_orders WHERE quarantine_reason IS NOT NULL)) WHERE n > 0""")
 def _(d):
     raw = d.raw_tables
     cleaned = cleaning.clean_tables({n: raw[n] for n in ("locations", "outlets", "customers", "orders")}, cleaning.specs(PERIOD_START, PERIOD_END))
@@ -245,7 +245,8 @@ def _(d):
 
 
 @query("what_if_class", """SELECT scenario, scope, price_change_percentage, affected_items, baseline_revenue, baseline_profit, elasticity, new_revenue_estimate, new_profit_estimate,
-      new_revenue_estimate - baseline_revenue AS revenue_change, new_profit_estimate - baseline_profit AS profit_change
+      new_revenue_estimate - baseline_revenue AS revenue_change, new_profit_estimate - baseline_profit AS profit_change,
+      'Units answer the price with the mean elasticity of the class; unit cost stays' AS assumption
     FROM (SELECT *, new_units * (baseline_revenue / units) * (1 + p / 100) AS new_revenue_estimate, new_units * (baseline_revenue / units * (1 + p / 100) - cost / units) AS new_profit_estimate
       FROM (SELECT *, p AS price_change_percentage, units * (1 + elasticity * p / 100) AS new_units
         FROM (SELECT v.scenario, v.scope, v.p::DOUBLE AS p, s.*, CASE WHEN mean_e < 0 THEN mean_e ELSE -1 END AS elasticity
@@ -258,7 +259,10 @@ def _(d):
     return scenario.what_if_class(items.item_business_class(item_frame(d)), items.price_elasticity(d.lines, d.orders))
 
 
-@query("what_if_item", """SELECT item_id, revenue, contribution, units, scenario, contribution_estimate, contribution_estimate - contribution AS contribution_change, revenue_estimate, units_estimate
+@query("what_if_item", """SELECT item_id, revenue, contribution, units, scenario, contribution_estimate, contribution_estimate - contribution AS contribution_change, revenue_estimate, units_estimate,
+      revenue_estimate - revenue AS revenue_change, CASE scenario WHEN 'price_change' THEN 'Units and cost stay; revenue moves with the price' WHEN 'discount_change' THEN 'Units and cost stay; revenue falls by the discount'
+      WHEN 'demand_change' THEN 'Price and unit cost stay; revenue, contribution and units move together' WHEN 'wastage_change' THEN 'Sales stay; contribution moves against the cost of waste'
+      ELSE 'Sales of the item are lost and go to no other item' END AS assumption
     FROM (SELECT *, CASE scenario WHEN 'price_change' THEN revenue * 1.1::DOUBLE WHEN 'discount_change' THEN revenue * 0.9::DOUBLE WHEN 'demand_change' THEN revenue * 1.1::DOUBLE
           WHEN 'wastage_change' THEN revenue ELSE revenue * 0 END AS revenue_estimate,
         CASE scenario WHEN 'price_change' THEN contribution * ((revenue * 1.1::DOUBLE - (revenue - contribution)) / greatest(contribution, 1e-9))

@@ -77,6 +77,12 @@ ROW_RULES = {
 # Columns that make up a business line; equal ones are counted beside the key.
 BUSINESS_LINE = {"lines": ["order_id", "item_id", "quantity", "unit_price", "line_discount", "line_total"]}
 
+# Text columns that a keyword search may look into.
+SEARCHABLE = {
+    "locations": ["city_area"], "outlets": ["outlet_name", "outlet_type"], "categories": ["category_name"], "items": ["item_name", "category_name", "brand"],
+    "customers": ["customer_name", "preferred_channel"], "promotions": ["promotion_name"], "orders": ["order_status", "order_channel"], "stock": ["brand", "month"],
+}
+
 TABLES = list(DDL)
 
 
