@@ -153,12 +153,12 @@ def high_value_flag(orders: DataFrame, share: float = 0.90) -> DataFrame:
     return marked.withColumn("is_high_value_order", F.col("total_amount") >= F.col("threshold")).drop("threshold")
 
 
-def category_codes(rows: DataFrame, column: str, name: str, missing: str = "Unknown") -> DataFrame:
-    """0-based code of the sorted distinct values, blanks coded as ``missing``.
+def category_codes(rows: DataFrame, column: str, name: str, missing: str = "Unknown", among: DataFrame | None = None) -> DataFrame:
+    """0-based code of the sorted distinct values (of ``among``, a leaner frame of the same rows, if given), blanks coded as ``missing``.
 
     For enumerations: the distinct values form one small array, and each row looks
     itself up there. A join on the value would shuffle all rows to a few hot keys.
     """
     value = F.coalesce(c.blank_to_null(column), F.lit(missing))
-    values = rows.groupBy(value.alias("v")).agg(F.lit(1).alias("one")).agg(F.array_sort(F.collect_list("v")))
+    values = (rows if among is None else among).groupBy(value.alias("v")).agg(F.lit(1).alias("one")).agg(F.array_sort(F.collect_list("v")))
     return rows.withColumn(name, (F.array_position(values.scalar(), value) - 1).cast("long"))

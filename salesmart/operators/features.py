@@ -9,7 +9,7 @@ from salesmart.functions import columns as c
 from salesmart.functions.columns import exact_sum, zero, zero_int
 from salesmart.functions.selection import first_share, hash_order
 from salesmart.operators.enrich import category_codes, completed
-from salesmart.operators.marts import customer_category_mix, customer_order_sums, order_basket_agg, weekend_share
+from salesmart.operators.marts import customer_category_mix, customer_order_sums, order_basket_agg, order_category_sums, weekend_share
 from salesmart.storage import materialize
 
 # Feature lists of the three model tasks.
@@ -30,7 +30,7 @@ def order_features(orders: DataFrame, lines: DataFrame) -> DataFrame:
     history = o.groupBy("customer_id").agg(F.count("*").alias("_n"), exact_sum("total_amount").alias("_s"))
     df = o.join(order_basket_agg(lines, orders), "order_id", "left").join(history, "customer_id")
     rest = c.on_grid(F.col("_s") - F.col("total_amount"))
-    coded = category_codes(category_codes(df, "order_channel", "channel_code"), "payment_method", "payment_code")
+    coded = category_codes(category_codes(df, "order_channel", "channel_code", among=o), "payment_method", "payment_code", among=o)
     flag = lambda p: F.when(p, 1).otherwise(0).cast("long")
     return coded.select(
         "order_id", "customer_id", "total_amount", F.coalesce("order_hour", F.lit(-1)).cast("long").alias("order_hour"),
@@ -43,8 +43,10 @@ def order_features(orders: DataFrame, lines: DataFrame) -> DataFrame:
 
 def customer_behaviour(orders, lines, items, cutoff: str) -> DataFrame:
     """Behaviour measures of every customer with a completed order."""
-    sums = customer_order_sums(orders, lines, items)
-    df = sums.join(customer_category_mix(lines, orders, items), "customer_id", "left").join(weekend_share(lines, orders), "customer_id", "left")
+    per_category = materialize(order_category_sums(lines, items), "order-categories")  # the one scan of the lines
+    sums = customer_order_sums(orders, lines, items, per_category)
+    mix, weekend = customer_category_mix(lines, orders, items, per_category), weekend_share(per_category, orders)
+    df = sums.join(mix, "customer_id", "left").join(weekend, "customer_id", "left")
     df = df.withColumns({n: zero(n) for n in ("top_category_share", "total_items_purchased", "weekend_order_share")} | {"unique_categories": zero_int("unique_categories")})
     recency = F.datediff(F.lit(cutoff).cast("date"), "last_order_date").cast("long")
     return df.select(

@@ -13,12 +13,12 @@ from salesmart.operators.marts import item_sales, loss_by_item, with_cost
 from salesmart.storage import materialize
 
 
-def item_frame(lines, orders, items, ratings, losses, order_keys=None) -> DataFrame:
+def item_frame(lines, orders, items, ratings, losses) -> DataFrame:
     """Sales, rating, loss and behaviour measures per sold item, zeros where absent.
 
-    Sales sums and shares come from one pass over the lines, distinct counts from a second over their keys.
+    Sales sums, shares and distinct counts come from one pass over the lines.
     """
-    sales = with_cost(item_sales(lines, orders, order_keys), items).drop("d").withColumn("profit_margin_percentage", c.safe_percent("estimated_profit", "revenue"))
+    sales = with_cost(item_sales(lines, orders), items).drop("d").withColumn("profit_margin_percentage", c.safe_percent("estimated_profit", "revenue"))
     scores = ratings.groupBy("item_id").agg(F.count("rating").alias("rating_count"), (F.sum("rating") / F.count("rating")).alias("average_rating"))
     wasted = loss_by_item(losses).select("item_id", "quantity_wasted")
     df = sales.join(scores, "item_id", "left").join(wasted, "item_id", "left")

@@ -111,9 +111,19 @@ def location_ranking(orders, outlets, locations) -> DataFrame:
     )
 
 
-def customer_order_sums(orders: DataFrame, lines: DataFrame, items: DataFrame) -> DataFrame:
-    """Per customer over completed orders, orders and lines reduced in one shuffle."""
-    facts = completed(orders).join(order_line_sums(lines, items), "order_id", "left")
+def order_category_sums(lines: DataFrame, items: DataFrame) -> DataFrame:
+    """Per order and category: units, gross and profit. Several customer measures derive from it without the lines."""
+    rows = lines.join(items.select("item_id", "category_name", "cost_price"), "item_id")
+    gross = F.col("quantity") * F.col("unit_price")
+    return rows.groupBy("order_id", "category_name").agg(
+        exact_sum("quantity").alias("units"), exact_sum(gross).alias("gross"), exact_sum(gross - F.col("line_discount") - F.col("quantity") * F.col("cost_price")).alias("profit"))
+
+
+def customer_order_sums(orders: DataFrame, lines: DataFrame, items: DataFrame, per_category: DataFrame | None = None) -> DataFrame:
+    """Per customer over completed orders, orders and lines reduced in one shuffle; ``per_category`` are stored ``order_category_sums``."""
+    per_order = order_line_sums(lines, items) if per_category is None else per_category.groupBy("order_id").agg(
+        *[exact_sum(x).alias(x) for x in ("units", "gross", "profit")])
+    facts = completed(orders).join(per_order, "order_id", "left")
     return facts.groupBy("customer_id").agg(
         F.count("*").alias("total_orders"), exact_sum("total_amount").alias("total_spend"), exact_avg("total_amount").alias("average_order_value"),
         exact_sum("discount_amount").alias("total_discount_received"), F.min("order_date").alias("first_order_date"),
@@ -263,13 +273,11 @@ def order_basket_agg(lines, orders) -> DataFrame:
     return per_order.join(completed(orders).select("order_id"), "order_id")
 
 
-def customer_category_mix(lines, orders, items) -> DataFrame:
-    """Largest category share of units and number of categories per customer."""
-    bought = (
-        lines.select("order_id", "item_id", "quantity")
-        .join(completed(orders).select("order_id", "customer_id"), "order_id").join(items.select("item_id", "category_name"), "item_id")
-    )
-    by_category = bought.groupBy("customer_id", "category_name").agg(exact_sum("quantity").alias("q"))
+def customer_category_mix(lines, orders, items, per_category: DataFrame | None = None) -> DataFrame:
+    """Largest category share of units and number of categories per customer; ``per_category`` are stored ``order_category_sums``."""
+    sums = order_category_sums(lines, items) if per_category is None else per_category
+    bought = sums.select("order_id", "category_name", "units").join(completed(orders).select("order_id", "customer_id"), "order_id")
+    by_category = bought.groupBy("customer_id", "category_name").agg(exact_sum("units").alias("q"))
     return by_category.groupBy("customer_id").agg(
         (F.max("q") / F.sum("q")).alias("top_category_share"), F.count("*").alias("unique_categories"))
 
@@ -281,34 +289,32 @@ def weekend_share(lines, orders) -> DataFrame:
     return has_lines.groupBy("customer_id").agg((F.sum(weekend) / F.count("*")).alias("weekend_order_share"))
 
 
-def item_reach(lines, orders) -> DataFrame:
-    """Distinct completed orders and customers per item, from keys only.
-
-    Repeated (order, item) rows fold where the join on order_id has placed them; then
-    (item, customer) rows, then items: no distinct expansion and no measures on the way.
-    """
-    pairs = lines.select("order_id", "item_id").join(completed(orders).select("order_id", "customer_id"), "order_id").distinct()
-    per_customer = pairs.groupBy("item_id", "customer_id").agg(F.count("*").alias("n"))
-    return per_customer.groupBy("item_id").agg(F.count("*").alias("unique_customers"), F.sum("n").alias("order_line_count"))
-
-
-def item_sales(lines, orders, order_keys=None) -> DataFrame:
-    """Per item over completed orders: sales sums, per-line shares, distinct customers and orders.
+def item_sales(lines, orders) -> DataFrame:
+    """Per item over completed orders: sales sums, per-line shares, distinct customers and orders, from one pass over the lines.
 
-    ``order_keys`` may be a leaner frame of the same orders for the distinct counts.
+    Lines fold to (order, item) where the join on order_id has placed them, then to (item, customer), then to
+    items: the rows of a level are the distinct count of the next, and sums on the grid add up exactly.
     """
-    o = completed(orders).select("order_id", (F.col("promotion_id") != "").alias("promo"), c.is_weekend("order_date").alias("weekend"))
-    ones = lambda flag: F.sum(F.when(F.col(flag), 1).otherwise(0))
-    sums = lines.join(o, "order_id").groupBy("item_id").agg(
-        F.count("*").alias("order_lines"), exact_sum("quantity").alias("units_sold"), exact_sum(F.col("quantity") * F.col("unit_price")).alias("revenue"),
-        exact_sum("line_discount").alias("d"), exact_sum("net_revenue").alias("net_revenue"), exact_avg("unit_price", c.PRICE).alias("avg_unit_price"),
-        (ones("promo") / F.count("*")).alias("promo_dependency"), (ones("weekend") / F.count("*")).alias("weekend_order_share"))
-    return sums.join(item_reach(lines, orders if order_keys is None else order_keys), "item_id")
-
-
-def item_behaviour(lines, orders, order_keys=None) -> DataFrame:
+    o = completed(orders).select("order_id", "customer_id", (F.col("promotion_id") != "").cast("int").alias("promo"), c.is_weekend("order_date").cast("int").alias("weekend"))
+    amounts = {"units_sold": F.col("quantity"), "revenue": F.col("quantity") * F.col("unit_price"), "d": F.col("line_discount"), "net_revenue": F.col("net_revenue")}
+    per_order = lines.join(o, "order_id").groupBy("order_id", "item_id", "customer_id", "promo", "weekend").agg(
+        F.count("*").alias("n"), *[exact_sum(x).alias(name) for name, x in amounts.items()], exact_sum("unit_price", c.PRICE).alias("prices"))
+    weighted = lambda flag: F.sum(F.col(flag) * F.col("n"))
+    per_customer = per_order.groupBy("item_id", "customer_id").agg(
+        F.count("*").alias("orders"), F.sum("n").alias("n"), weighted("promo").alias("promo"), weighted("weekend").alias("weekend"),
+        *[exact_sum(name).alias(name) for name in amounts], exact_sum("prices", c.PRICE).alias("prices"))
+    sums = per_customer.groupBy("item_id").agg(
+        F.sum("n").alias("order_lines"), *[exact_sum(name).alias(name) for name in amounts], exact_sum("prices", c.PRICE).alias("prices"),
+        F.sum("promo").alias("promo"), F.sum("weekend").alias("weekend"), F.count("*").alias("unique_customers"), F.sum("orders").alias("order_line_count"))
+    each = lambda name: F.col(name) / F.col("order_lines")
+    return sums.select(
+        "item_id", "order_lines", *amounts, each("prices").alias("avg_unit_price"), each("promo").alias("promo_dependency"), each("weekend").alias("weekend_order_share"),
+        "unique_customers", "order_line_count")
+
+
+def item_behaviour(lines, orders) -> DataFrame:
     """Per item: mean price, promo and weekend shares per line, distinct customers and orders."""
-    return item_sales(lines, orders, order_keys).select("item_id", "avg_unit_price", "promo_dependency", "weekend_order_share", "unique_customers", "order_line_count")
+    return item_sales(lines, orders).select("item_id", "avg_unit_price", "promo_dependency", "weekend_order_share", "unique_customers", "order_line_count")
 
 
 def payment_mix(orders, unlabelled: str = "Unspecified") -> DataFrame:
