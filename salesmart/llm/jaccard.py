@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.llm.components import components
-from salesmart.llm.shared import TextHashes, gram_hashes, mixed, signed, slices
+from salesmart.llm.shared import TextHashes, freed, gram_hashes, mixed, signed, slices
 from salesmart.storage import materialize
 
 NO_ID = -(2**63)
@@ -140,7 +140,7 @@ def offered(docs: DataFrame) -> DataFrame:
                 token, cls = signed(np.concatenate(tokens)), np.repeat(np.array(owners, np.int64), lengths)
                 yield from slices([pa.RecordBatch.from_arrays([pa.array(token), pa.array(cls), pa.nulls(len(token), pa.int32()), pa.nulls(len(token), pa.int64())], names=["token", "cls", "n", "row"])], 100_000)
 
-    return source_rows(docs).mapInArrow(run, ROWS)
+    return source_rows(docs).mapInArrow(freed(run), ROWS)
 
 
 def meetings(dealt: DataFrame) -> DataFrame:
@@ -180,7 +180,7 @@ def meetings(dealt: DataFrame) -> DataFrame:
             if len(given[0]):
                 yield pa.RecordBatch.from_arrays([*map(pa.array, given), pa.nulls(len(given[0]), pa.int32()), pa.nulls(len(given[0]), pa.int64())], names=names)
 
-    return dealt.mapInArrow(run, "token bigint, cls bigint, hub bigint, n int, row bigint")
+    return dealt.mapInArrow(freed(run), "token bigint, cls bigint, hub bigint, n int, row bigint")
 
 
 def sets_of(docs: DataFrame, members: DataFrame, met: DataFrame) -> DataFrame:
@@ -199,7 +199,7 @@ def sets_of(docs: DataFrame, members: DataFrame, met: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["cls", "n", "sketch", "hashes"])
 
     texts = source_rows(docs).join(wanted, ["doc", "row"]).select("cls", "text")
-    return materialize(texts.mapInArrow(run, "cls bigint, n int, sketch binary, hashes binary"), "class-sets")
+    return materialize(texts.mapInArrow(freed(run), "cls bigint, n int, sketch binary, hashes binary"), "class-sets")
 
 
 def near_by_sketch(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -214,7 +214,7 @@ def near_by_sketch(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield out.filter(pa.compute.less_equal(out.column(2), out.column(3)))
 
     most = F.expr(f"({SHARE[1] - SHARE[0]} * (n_a + n_b)) div {SHARE[1] + SHARE[0]}").cast("int").alias("most")
-    return rows.select("a", "b", "sketch_a", "sketch_b", most).mapInArrow(run, "a bigint, b bigint, apart int, most int").select("a", "b", "apart")
+    return rows.select("a", "b", "sketch_a", "sketch_b", most).mapInArrow(freed(run), "a bigint, b bigint, apart int, most int").select("a", "b", "apart")
 
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -231,7 +231,7 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             good = [links(x, y) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a bigint, b bigint").distinct()
+    return pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(freed(run), "a bigint, b bigint").distinct()
 
 
 def by_group(batches, keys: int) -> Iterator[list[np.ndarray]]:
@@ -391,17 +391,18 @@ def near_components(docs: DataFrame) -> DataFrame:
 def without_near_copies(docs: DataFrame) -> DataFrame:
     """The documents, as given, without those that are not ``first`` in their component; repeated rows stay once, but all that are empty stay."""
     judged = materialize(near_components(docs), "near-copies")
-    gone = judged.filter("NOT first").select(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).distinct()
+    gone = judged.filter("NOT first").select(F.col("doc_id").alias("gone_id"), F.col("row").alias("gone_row")).distinct()
     if gone.count() <= BROADCAST_ROWS:
         gone = F.broadcast(gone)
-    here = docs.withColumn("_here", F.xxhash64("text"))
-    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_here") == F.col("_row"))
+    here = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))  # so that no column of theirs meets one of ours
+    here = here.select("doc", F.col("doc.doc_id").cast("bigint").alias("id"), F.xxhash64("doc.text").alias("row"))
+    same = F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("row") == F.col("gone_row"))
     kept = here.join(gone, same, "left_anti")
     repeated = judged.filter("first AND n_shingles > 0").groupBy("doc_id", "row").agg(F.count("*").alias("n")).filter("n > 1")
     if not repeated.isEmpty():
-        twice = repeated.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"))
-        kept = kept.join(twice, same, "left_anti").unionByName(kept.join(twice, same, "left_semi").dropDuplicates(["doc_id", "_here"]))
-    return kept.drop("_here")
+        twice = repeated.select(F.col("doc_id").alias("gone_id"), F.col("row").alias("gone_row"))
+        kept = kept.join(twice, same, "left_anti").unionByName(kept.join(twice, same, "left_semi").dropDuplicates(["id", "row"]))
+    return kept.select("doc.*")
 
 
 def class_roots(docs: DataFrame, members: DataFrame, met: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm.shared import ASCII_LOWER, slices
+from salesmart.llm.shared import ASCII_LOWER, freed, slices
 from salesmart.storage import materialize, new_path
 
 SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -51,7 +51,7 @@ def line_keys(docs: DataFrame, least: int) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["doc", "hi", "lo"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, KEYS)
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(freed(run), KEYS)
 
 
 class LineRuns:
@@ -156,13 +156,13 @@ def dedup_lines(docs: DataFrame, least_chars: int = 20, least_docs: int = 3, bat
     lost = repeated_lines(docs, least_chars, least_docs, batches).groupBy("doc").agg(F.collect_list(F.struct("hi", "lo")).alias("lost"))
     lost = lost.withColumnRenamed("doc", "_id")
     rows = docs.select(F.struct("*").alias("doc"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("_id"))
-    joined = rows.join(lost, "_id", "left").select("doc", "lost", F.col("doc.text").alias("text"))
+    joined = rows.join(lost, "_id", "left").select("doc", "lost")
 
     def run(batches):
         for batch in slices(batches):
-            done = [without_lines(gone, text, least_chars) for gone, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            done = [without_lines(gone, text, least_chars) for gone, text in zip(batch.column(1).to_pylist(), batch.column(0).field("text").to_pylist(), strict=True)]
             n_lines, n_dropped, kept = map(list, zip(*done, strict=True)) if done else ([], [], [])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], names=["doc", "kept_text", "n_lines", "n_dropped"])
 
     schema = joined.select("doc", F.lit("").alias("kept_text"), F.lit(0).cast("bigint").alias("n_lines"), F.lit(0).cast("bigint").alias("n_dropped")).schema
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(freed(run), schema)

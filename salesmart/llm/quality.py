@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.shared import hash_sample, slices
+from salesmart.llm.shared import freed, hash_sample, slices
 from salesmart.storage import materialize
 
 #: By code point (the last entry stands for all above): 1 letter, 2 capital, 4 white space, 8 symbol that does not end a clause.
@@ -100,21 +100,23 @@ def train(docs: DataFrame, labels: DataFrame, most: int = 20_000) -> QualityMode
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], names=["quality", "x"])
 
     docs = docs.select("doc_id", "text")
-    rows = docs.join(small, docs["doc_id"] == small["_id"]).select("_quality", "text").mapInArrow(run, "quality int, x array<double>").collect()
+    rows = docs.join(small, docs["doc_id"] == small["_id"]).select("_quality", "text").mapInArrow(freed(run), "quality int, x array<double>").collect()
     rows.sort(key=lambda r: (r["x"], r["quality"]))
     y = np.array([r["quality"] for r in rows], float)
     return fit(np.array([r["x"] for r in rows]), y) if 0 < y.sum() < len(y) else None
 
 
 def with_evidence(rows: DataFrame, model: QualityModel | None) -> DataFrame:
-    """``rows`` (whose last column is the text) without the text and with ``evidence``."""
-    kept = rows.columns[:-1]
+    """``rows`` with ``evidence``. The text is the column ``text``, which is left out, or a field of ``doc``, so that it travels once."""
+    kept = [c for c in rows.columns if c != "text"]
 
     def run(batches):
         for batch in slices(batches):
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(evidence_of(model, batch.columns[-1].to_pylist()))], names=[*kept, "evidence"])
+            texts = batch.column("text") if "text" in batch.schema.names else batch.column("doc").field("text")
+            evidence = pa.array(evidence_of(model, texts.to_pylist()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), evidence], names=[*kept, "evidence"])
 
-    return rows.mapInArrow(run, rows.select(*kept, F.lit(0.0).alias("evidence")).schema)
+    return rows.mapInArrow(freed(run), rows.select(*kept, F.lit(0.0).alias("evidence")).schema)
 
 
 def shrunk(groups: DataFrame, parent: str, out: str, n: str, s: str, least: float = 1.0, most: float = 1e6) -> DataFrame:
@@ -159,7 +161,7 @@ def classify(docs: DataFrame, labels: DataFrame, cut: float = 0.5, most: int = 2
     model = train(docs, labels, most)
     base = model.base if model else LIMIT
     sites = site_shares(with_evidence(docs.select(host.alias("host"), path.alias("path"), "text"), model), base)
-    scored = with_evidence(docs.select(F.struct("*").alias("doc"), host.alias("host"), path.alias("path"), "text"), model)
+    scored = with_evidence(docs.select(F.struct("*").alias("doc"), host.alias("host"), path.alias("path")), model)
     odds = F.col("evidence") + F.log(F.col("path_share") / (1 - F.col("path_share")))
     p = F.lit(1.0) / (1 + F.exp(-odds))
     return scored.join(sites, ["host", "path"]).select("doc", "evidence", "host_share", "path_share", p.alias("p_good"), (p >= cut).alias("keep"))

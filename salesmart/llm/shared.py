@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
-from collections.abc import Iterable, Iterator
+import sys
+import types
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +47,35 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = 256, size: int = 4 <<
             start += n
 
 
+def freed(run: Callable) -> Callable:
+    """``run`` for ``mapInArrow``; when a task ends, memory its process does not use goes back to the system.
+
+    Python workers live on from stage to stage, so each would else keep the peak of its largest task.
+    """
+
+    def all_of(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU library's
+            if trim:
+                trim(0)
+
+    return all_of
+
+
+def kept(name: str, make: Callable):
+    """An object that a worker process makes once and its later tasks use again.
+
+    Functions travel to workers by value, so a module variable would be new in each task.
+    """
+    store = sys.modules.setdefault("salesmart_worker_objects", types.ModuleType("salesmart_worker_objects")).__dict__
+    if name not in store:
+        store[name] = make()
+    return store[name]
+
+
 class WordHashes(dict):
     """64-bit hash of a word, remembered for a bounded number of words."""
 
@@ -88,9 +120,12 @@ def powers(base: int, n: int) -> np.ndarray:
 class TextHashes:
     """64-bit hashes of the words of a text, all at once: differences of running polynomial sums over its bytes.
 
-    Long texts are taken in pieces that end at white space, so memory follows ``most`` or the longest word.
+    Such sums can agree for different long words of a regular build, so words of more than ``LONG`` bytes are
+    hashed whole. Long texts are taken in pieces that end at white space, so memory follows ``most`` or the longest word.
     """
 
+    LONG = 64
+
     def __init__(self, most: int = 1 << 18):
         self.most = most
         self.up, self.down = powers(BASE, most), powers(pow(BASE, -1, 2**64), most)
@@ -106,7 +141,10 @@ class TextHashes:
         starts, ends = edges[::2], edges[1::2]
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(BYTE_VALUES[data] * up[: len(data)], out=sums[1:])
-        return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+        out = mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+        for k in np.flatnonzero(ends - starts > self.LONG).tolist():
+            out[k] = xxhash.xxh3_64_intdigest(data[starts[k] : ends[k]].tobytes())
+        return out
 
     def of(self, data: bytes) -> np.ndarray:
         out, at = [], 0
