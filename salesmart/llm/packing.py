@@ -3,8 +3,8 @@
 Documents become pieces of at most ``capacity`` tokens. Only the number of pieces
 of each length reaches the driver (at most ``capacity`` numbers). Best-fit
 decreasing runs over these counts: equal lengths are placed together into groups
-of equal sequences. The plan lists slots by (length, rank within that length), and
-pieces take their slots by joining on these two columns.
+of equal sequences. The plan lists ranges of slots by (length, first rank within that length), and
+pieces take their slots by joining on the length and the range their rank lies in.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesmart.llm.shared import slices
+from salesmart.llm.shared import freed, kept, slices
 from salesmart.storage import materialize
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, shard int, shard_rank bigint"
@@ -40,44 +40,73 @@ class WordEncoder:
     its ids are remembered (for a bounded number of stretches) as little-endian bytes.
     """
 
-    def __init__(self, path: str, most: int = 800_000):
+    def __init__(self, path: str, most: int = 700_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known, self.most = Tokenizer.from_file(path), {}, most
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a word
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _learn_parts(self, words: list[str], ids: np.ndarray, ends: np.ndarray, skip: int = 0) -> None:
+        data, bounds = ids.tobytes(), [-4 * skip, *(4 * ends).tolist()]
+        self.known.update((w, data[a + 4 * skip : b]) for w, a, b in zip(words, bounds[:-1], bounds[1:], strict=True))
+
     def _learn_plain(self, words: list[str], together: int = 1000) -> None:
         for start in range(0, len(words), together):
             some = words[start : start + together]
             (ids,) = self._ids([f" {BREAK} ".join(some)])
-            ends = [-4, *(4 * np.flatnonzero(ids == BREAK_ID)).tolist(), 4 * len(ids)]
-            data = ids.tobytes()
-            self.known.update((w, data[a + 4 : b]) for w, a, b in zip(some, ends[:-1], ends[1:], strict=True))
+            self._learn_parts(some, ids, np.append(np.flatnonzero(ids == BREAK_ID), len(ids)), skip=1)
+
+    def _learn_letters(self, words: list[str], together: int = 1000) -> None:
+        """Words of letters alone are one word each to the vocabulary's rule, so they are told apart by word ends."""
+        for start in range(0, len(words), together):
+            some = words[start : start + together]
+            (ids,) = self._ids([" ".join(some)])
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(some):
+                self._learn_parts(some, ids, ends)
+            else:
+                self._learn_plain(some)
 
     def learn(self, words: set[str]) -> None:
-        if len(self.known) + len(words) > self.most:
-            self.known.clear()
-        known, plain, odd, joined = self.known, set(), [], []
+        known, plain, letters, odd, same, joined = self.known, set(), set(), [], [], []
         for w in words:
             if BREAK in w:
                 odd.append(w)
-            elif (m := LETTERS_THEN_MARKS.fullmatch(w)) and not ("\u03a3" in w or "\u0130" in w):
-                joined.append((w, core := m[1].lower(), marks := m[2]))
-                plain.update(x for x in (core, marks) if x not in known)
+            elif not w.isascii() and ("\u03a3" in w or "\u0130" in w):
+                plain.add(w)
+            elif w.isalpha():
+                core = w.lower()
+                if core != w:
+                    same.append((w, core))
+                if core not in known:
+                    letters.add(core)
+            elif m := LETTERS_THEN_MARKS.fullmatch(w):
+                core, marks = m[1].lower(), m[2]
+                joined.append((w, core, marks))
+                if core not in known:
+                    (letters if core.isalpha() else plain).add(core)
+                if marks not in known:
+                    plain.add(marks)
             else:
                 plain.add(w)
         self._learn_plain(list(plain))
+        self._learn_letters(list(letters))
+        known.update((w, known[core]) for w, core in same)
         known.update((w, known[core] + known[marks]) for w, core, marks in joined)
         known.update((w, ids.tobytes()) for w, ids in zip(odd, self._ids(odd), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
         met = set().union(*split)
-        missing = {w for w in met if w not in self.known}
-        self.learn(missing if len(self.known) + len(missing) <= self.most else met)
+        if len(self.known) > self.most:  # the frequent words are among those just met
+            self.known = {w: self.known[w] for w in met.intersection(self.known)}
+        self.learn(met.difference(self.known))
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
 
@@ -86,7 +115,7 @@ def pieces_of(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: in
     last = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        encoder, shard, ranks = WordEncoder(vocabulary), TaskContext.get().partitionId(), defaultdict(int)
+        encoder, shard, ranks = kept(f"words {vocabulary}", lambda: WordEncoder(vocabulary)), TaskContext.get().partitionId(), defaultdict(int)
         for batch in slices(batches):
             rows = []
             for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode([t or "" for t in batch.column(1).to_pylist()]), strict=True):
@@ -100,7 +129,7 @@ def pieces_of(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: in
                 types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32", "shard", "shard_rank"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, PIECES)
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(freed(run), PIECES)
 
 
 def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int]]:
@@ -166,12 +195,12 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 1
     before = Window.partitionBy("length").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     starts = materialize(per_shard.select("length", "shard", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "piece-ranks")
     counts = {r["length"]: r["n"] for r in starts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most ``capacity`` rows
+    # Every group of sequences shrinks by half at least when it is used and three at most come of one, so the plan has
+    # less than 36 * capacity rows of 48 bytes, however many pieces there are.
     slots = spark.createDataFrame(plan(counts, capacity), "length bigint, first_rank bigint, n bigint, each bigint, first_sequence bigint, first_offset bigint")
-    k = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)).alias("k")
-    slots = slots.select("*", k).select(
-        "length", (F.col("first_rank") + F.col("k")).alias("rank"),
-        (F.col("first_sequence") + F.expr("k div each")).alias("sequence_id"),
-        (F.col("first_offset") + F.expr("k % each") * F.col("length")).alias("offset"),
-    )
     ranked = pieces.join(starts.select("length", "shard", "base"), ["length", "shard"]).withColumn("rank", F.col("base") + F.col("shard_rank"))
-    return ranked.join(slots, ["length", "rank"]).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    k = F.col("rank") - F.col("first_rank")
+    placed = ranked.join(F.broadcast(slots), "length").filter((k >= 0) & (k < F.col("n")))
+    sequence = (F.col("first_sequence") + F.expr("(rank - first_rank) div each")).alias("sequence_id")
+    offset = (F.col("first_offset") + k % F.col("each") * F.col("length")).alias("offset")
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", sequence, offset)
