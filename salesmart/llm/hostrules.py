@@ -5,7 +5,8 @@ by host, and each host's failure rate of each rule is pulled toward the corpus r
 the empirical beta prior has the corpus rate as its mean and a strength that follows
 from how much hosts differ beyond chance (analysis of variance of the counts). A host
 whose shrunk rate of failing documents reaches ``block`` loses all its documents; one
-whose rate under a rule's narrow limit reaches ``watch`` is held to that narrow limit.
+whose rate under a rule's narrow limit reaches ``watch`` is held to that narrow limit; both
+only where the rate is twice that of the corpus, so that no host falls for being usual.
 All other documents are held to the wide limits only. Verdicts of hosts are joined
 back: only hosts that are not trusted take part in that join.
 """
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.shared import WORD, slices
+from salesmart.llm.shared import WORD, freed, slices
 from salesmart.storage import materialize
 
 SYMBOLS = "#*$%&|<>"
@@ -97,7 +98,7 @@ def measured(docs: DataFrame, *kept: Column) -> DataFrame:
 
     types = ", ".join(f"{m} bigint" for m in MEASURES)
     schema = docs.sparkSession.createDataFrame([], types).schema
-    return rows.mapInArrow(run, type(schema)([*rows.schema.fields[:-1], *schema.fields]))
+    return rows.mapInArrow(freed(run), type(schema)([*rows.schema.fields[:-1], *schema.fields]))
 
 
 def base_failed(least_words: int = 10, most_repeated: int = 20) -> Column:
@@ -143,13 +144,18 @@ def host_verdicts(rows: DataFrame, block: float = 0.5, watch: float = 0.25, leas
     moments = [x for name in counts for x in (F.sum(name).alias(f"sum{name}"), F.sum(F.col(name).cast("double") ** 2 / n).alias(f"spread{name}"))]
     whole = hosts.agg(F.count("*").alias("hosts"), F.sum("host_docs").alias("rows"), F.sum(n * n).alias("squares"), *moments).first()  # one row
 
+    priors = {name: prior(whole["hosts"], whole["rows"] or 0, whole["squares"] or 0.0, whole[f"sum{name}"] or 0, whole[f"spread{name}"] or 0.0, least, most) for name in counts}
+
     def rate(name: str) -> Column:
-        mean, strength = prior(whole["hosts"], whole["rows"] or 0, whole["squares"] or 0.0, whole[f"sum{name}"] or 0, whole[f"spread{name}"] or 0.0, least, most)
+        mean, strength = priors[name]
         return F.round((F.col(name) + strength * mean) / (n + strength), 9)
 
-    watched = F.filter(F.array(*[F.when(rate(f"_{r.name}") >= watch, F.lit(r.name)) for r in RULES]), lambda x: x.isNotNull())
-    judged = hosts.select("_host", "host_docs", rate("_failed").alias("host_rate"), watched.alias("watched"))
-    verdict = F.when(F.col("host_rate") >= block, "blocked").when(F.size("watched") > 0, "watched").otherwise("trusted")
+    def reaches(name: str, cut: float) -> Column:
+        return rate(name) >= max(cut, 2 * priors[name][0])
+
+    watched = F.filter(F.array(*[F.when(reaches(f"_{r.name}", watch), F.lit(r.name)) for r in RULES]), lambda x: x.isNotNull())
+    judged = hosts.select("_host", "host_docs", rate("_failed").alias("host_rate"), reaches("_failed", block).alias("_blocked"), watched.alias("watched"))
+    verdict = F.when(F.col("_blocked"), "blocked").when(F.size("watched") > 0, "watched").otherwise("trusted")
     return judged.select("_host", "host_docs", "host_rate", verdict.alias("host_verdict"), "watched")
 
 

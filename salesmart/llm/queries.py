@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from salesmart.llm import align, decontaminate, hostrules, html, jaccard, langid, lines, packing, quality, resample, substring, topk, toxicity
 from salesmart.llm.shared import table, tokenizer_file, vocabulary
 
@@ -128,7 +127,7 @@ HOST_PULLS = ", ".join(
     ELSE least(1000.0, greatest(1.0, (msb_{f} + (usual - 1) * msw_{f}) / (msb_{f} - msw_{f}) - 1)) END AS pull_{f}"""
     for f in ("failed", *HOST_RULES)
 )
-HOST_RATES = ", ".join(f"round((h.{f} + pull_{f} * mean_{f}) / (h.n + pull_{f}), 9) AS rate_{f}" for f in ("failed", *HOST_RULES))
+HOST_RATES = ", ".join(f"round((h.{f} + pull_{f} * mean_{f}) / (h.n + pull_{f}), 9) AS rate_{f}, greatest({0.5 if f == 'failed' else 0.25}::DOUBLE, 2 * mean_{f}) AS cut_{f}" for f in ("failed", *HOST_RULES))
 OP11_SQL = rf"""
 WITH w AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS t, {WORDS.format("coalesce(text, '')")} AS words, string_split(coalesce(text, ''), chr(10)) AS lines,
            nullif(lower(regexp_extract(trim(source), '^(?:[A-Za-z][A-Za-z0-9+.-]*://)?(?:[^/@]*@)?([^/:?#]+)', 1)), '') AS host FROM documents),
@@ -147,8 +146,8 @@ p AS (SELECT count(*) AS hosts, sum(n) AS docs, (sum(n) - sum(n * n) / sum(n)) /
 q AS (SELECT {HOST_PULLS} FROM p),
 v AS (SELECT host, {HOST_RATES} FROM h, q)
 SELECT doc_id, host, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       CASE WHEN host IS NULL THEN NULL WHEN rate_failed >= 0.5 THEN 'blocked' WHEN {" OR ".join(f"rate_{n} >= 0.25" for n in HOST_RULES)} THEN 'watched' ELSE 'trusted' END AS host_verdict,
-       NOT base_failed AND NOT outright AND NOT coalesce(rate_failed >= 0.5, false) AND NOT ({" OR ".join(f"(near_{n} AND coalesce(rate_{n} >= 0.25, false))" for n in HOST_RULES)}) AS kept
+       CASE WHEN host IS NULL THEN NULL WHEN rate_failed >= cut_failed THEN 'blocked' WHEN {" OR ".join(f"rate_{n} >= cut_{n}" for n in HOST_RULES)} THEN 'watched' ELSE 'trusted' END AS host_verdict,
+       NOT base_failed AND NOT outright AND NOT coalesce(rate_failed >= cut_failed, false) AND NOT ({" OR ".join(f"(near_{n} AND coalesce(rate_{n} >= cut_{n}, false))" for n in HOST_RULES)}) AS kept
 FROM b LEFT JOIN v USING (host)
 """
 
@@ -199,8 +198,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op11_host_rules": op11_host_rules,
     "op12_resample": op12_resample,
     "op13_align_tokenizers": op13_align_tokenizers,
-    "pipeline": corpus_pipeline.run,
 }
 SQL: dict[str, str] = {"op1_exact_top_k": OP1_SQL, "op2_jaccard_join": OP2_SQL, "op4_substring_dedup": OP4_SQL, "op7_line_dedup": OP7_SQL, "op11_host_rules": OP11_SQL, "op12_resample": OP12_SQL}
-if corpus_pipeline.ORACLE_SQL:
-    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
