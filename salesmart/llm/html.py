@@ -4,10 +4,14 @@ The standard library's streaming parser turns a page into lines, one per block
 element, each with its text and the number of tags met on the way. The text-to-tag
 ratio of the lines is smoothed with a Gaussian and split at a two-means threshold
 into content and the rest. Regions (article, main, section, div, body) that hold
-content lines are selected whole, so their short lines stay. Regions that markup
-itself names as page furniture never count, nor do forms, unless one holds an article or
-main element or most of the page's text; when the page marks an article or main
-element that has text, the selection is made inside it.
+content lines are selected whole, so their short lines stay.
+
+Markup is evidence beside that. Elements that are page furniture by their kind never count.
+Regions that a class or id names as furniture, and forms, go unless they hold an article or main
+element of another kind. Forms and regions whose class has such a name only as a part ("header-fixed") also
+stay when they hold most of the page's text; "no-sidebar" or "has-sidebar" names nothing. The selection is made inside
+articles and main elements when they hold a good part of the content lines: there all regions stay
+that hold a content line or are not made of tags mostly.
 """
 
 from __future__ import annotations
@@ -30,19 +34,35 @@ VOID = frozenset("area base br col embed hr img input link meta source track wbr
 SELF_CLOSING = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 CLOSES_P = BLOCKS - {"br"}
 NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|popup|modal|newsletter|subscribe|sidebar|widget|menu|nav|navbar|navigation|"
-    r"breadcrumbs?|pager|pagination|footer|header|masthead|comments?|commentlist|disqus|replies|share|social|related|recommended|login|signup|search)(?:$|[\s_-])",
+    r"ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|popup|modal|newsletter|subscribe|sidebar|widget|menu|nav|navbar|navigation|"
+    r"breadcrumbs?|pager|pagination|footer|header|masthead|comments?|commentlist|disqus|replies|share|social|related|recommended|login|signup|search",
     re.IGNORECASE,
 )
+#: Parts of a class that speak about furniture without being some.
+ABOUT = frozenset("no not has have with without is layout open closed fixed sticky enabled disabled".split())
+#: Kinds of regions that may go as a whole.
+FORM, PARTLY, NAMED = "form", "partly", "named"
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 
 
+def furniture_name(marked: str) -> str | None:
+    """How far a class or id names furniture: whole, in part, or not."""
+    found = None
+    for token in marked.split():
+        if NAMES.fullmatch(token):
+            return NAMED
+        parts = re.split(r"[_-]+", token.lower())
+        if any(NAMES.fullmatch(part) for part in parts) and ABOUT.isdisjoint(parts):
+            found = PARTLY
+    return found
+
+
 class Lines(HTMLParser):
     """Collects ``[region, text parts, tags]`` lines; region -1 is furniture."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.regions: list[tuple[int, bool, str]] = [(-1, False, "")]  # parent region, inside an article or main element, tag
+        self.regions: list[tuple[int, bool, str, str]] = [(-1, False, "", "")]  # parent region, inside an article or main element, kind if suspect, tag
         self.stack: list[tuple[str, int]] = [("", 0)]
         self.open: dict[str, int] = {}
         self.lines: list[list] = []
@@ -83,10 +103,13 @@ class Lines(HTMLParser):
             named = dict(attrs)
             style = (named.get("style") or "").replace(" ", "").lower()
             marked = f"{named.get('class') or ''} {named.get('id') or ''}"
-            if tag in FURNITURE and tag != "form" or "hidden" in named or "display:none" in style or (named.get("role") or "").lower() in ROLES or tag not in ("html", "body") and NAMES.search(marked):
+            kind = "" if tag in ("html", "body") else furniture_name(marked) or ""
+            if tag == "form" and kind != NAMED:
+                kind = FORM
+            if tag in FURNITURE and tag != "form" or "hidden" in named or "display:none" in style or (named.get("role") or "").lower() in ROLES:
                 region = -1
-            elif tag in REGIONS or tag == "form":
-                self.regions.append((region, self.regions[region][1] or tag in ("article", "main"), tag))
+            elif tag in REGIONS or kind:
+                self.regions.append((region, self.regions[region][1] or tag in ("article", "main"), kind, tag))
                 region = len(self.regions) - 1
         self.stack.append((tag, region))
         self.open[tag] = self.open.get(tag, 0) + 1
@@ -139,53 +162,76 @@ def threshold(values: np.ndarray) -> float:
     return (low + high) / 2
 
 
-def without_forms(lines: list[tuple[int, str, int]], regions: list[tuple[int, bool, str]]) -> list[tuple[int, str, int]]:
-    """The lines outside forms, and those in forms that hold an article or main element or most of the text."""
-    if all(tag != "form" for _, _, tag in regions):
+def without_suspects(lines: list[tuple[int, str, int]], regions: list[tuple[int, bool, str, str]]) -> list[tuple[int, str, int]]:
+    """The lines outside suspect regions, and in those that hold an article or main element that is none itself.
+
+    Forms, and regions that are named in part only, also stay when they hold most of the text.
+    """
+    if not any(kind for _, _, kind, _ in regions):
         return lines
     around: dict[int, list[int]] = {}
     held: dict[int, int] = {}
     whole: set[int] = set()
     for region, text, _ in lines:
         if region not in around:
-            forms, up, article = [], region, False
+            suspects, up, article = [], region, False
             while up >= 0:
-                article = article or regions[up][2] in ("article", "main")
-                if regions[up][2] == "form":
-                    forms.append(up)
+                _, _, kind, tag = regions[up]
+                if kind:
+                    suspects.append(up)
                     if article:
                         whole.add(up)
+                elif tag in ("article", "main"):
+                    article = True
                 up = regions[up][0]
-            around[region] = forms
-        for form in around[region]:
-            held[form] = held.get(form, 0) + len(text)
+            around[region] = suspects
+        for suspect in around[region]:
+            held[suspect] = held.get(suspect, 0) + len(text)
     total = sum(len(text) for _, text, _ in lines)
-    whole.update(form for form, n in held.items() if 2 * n > total)
+    whole.update(suspect for suspect, n in held.items() if 2 * n > total and regions[suspect][2] != NAMED)
     return [x for x in lines if whole.issuperset(around[x[0]])]
 
 
-def main_text(html: str | None, sigma: float = 1.0) -> str:
-    """The main text; blocks are joined by one space, white space runs become one space."""
+def content_lines(lines: list[tuple[int, str, int]], sigma: float) -> np.ndarray:
+    """Which lines are content by their smoothed text-to-tag ratio."""
+    ratio = smoothed(np.array([len(text) / max(1, tags) for _, text, tags in lines]), sigma)
+    return ratio >= min(threshold(ratio), ratio.max())
+
+
+def main_text(html: str | None, sigma: float = 1.0, article_share: float = 0.15, least_ratio: float = 12.0) -> str:
+    """The main text; blocks are joined by one space, white space runs become one space.
+
+    Articles and main elements are chosen when they hold ``article_share`` of the text that is left; inside them
+    a region of ``least_ratio`` characters a tag or more stays also without a content line.
+    """
     parser = Lines()
     parser.feed(html or "")
     parser.close()
+    regions = parser.regions
     lines = [(region, text, tags) for region, parts, tags in parser.lines if (text := " ".join("".join(parts).split()))]
-    lines = without_forms(lines, parser.regions)
-    if any(parser.regions[region][1] for region, _, _ in lines):
-        lines = [x for x in lines if parser.regions[x[0]][1]]
+    lines = without_suspects(lines, regions)
     if not lines:
         return ""
-    ratio = smoothed(np.array([len(text) / max(1, tags) for _, text, tags in lines]), sigma)
-    content = ratio >= min(threshold(ratio), ratio.max())
+    marked = [x for x in lines if regions[x[0]][1]]
+    size = sum(len(text) for _, text, _ in marked)
+    inside = size > 0 and size >= article_share * sum(len(text) for _, text, _ in lines)
+    lines = marked if inside else lines
+    content = content_lines(lines, sigma)
     chosen = {region for (region, _, _), good in zip(lines, content, strict=True) if good}
+    if inside:  # and regions that are text rather than tags
+        told: dict[int, list[int]] = {}
+        for region, text, tags in lines:
+            cell = told.setdefault(region, [0, 0])
+            cell[0], cell[1] = cell[0] + len(text), cell[1] + max(1, tags)
+        chosen |= {region for region, (n, tags) in told.items() if n >= least_ratio * tags}
 
     def kept(region: int) -> bool:
         while region >= 0 and region not in chosen:
-            region = parser.regions[region][0]
+            region = regions[region][0]
         return region >= 0
 
-    inside = {region: parser.regions[region][1] or kept(region) for region in {x[0] for x in lines}}
-    return " ".join(text for region, text, _ in lines if inside[region])
+    keep = {region: region in chosen if inside else kept(region) for region in {x[0] for x in lines}}
+    return " ".join(text for region, text, _ in lines if keep[region])
 
 
 def extract(pages: DataFrame) -> DataFrame:
