@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.shared import slices
+from salesmart.llm.shared import freed, kept, slices
 from salesmart.storage import materialize
 
 CUT = re.compile(r"(?<=[\w!-/:-@\[-`{-~])(?= )")
@@ -180,7 +180,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, block_pairs: int = 4_000_
             yield batch_of([(block, *[None] * 8, codes[start : start + together].astype(np.int64), n[start : start + together])])
 
     def run(batches):
-        aligner, block = Aligner(path_a, path_b), TaskContext.get().partitionId() << 32
+        aligner, block = kept(f"aligner {path_a} {path_b}", lambda: Aligner(path_a, path_b)), TaskContext.get().partitionId() << 32
         met, held = [], 0
         for batch in slices(batches, rows=128, size=1 << 20):
             rows = []
@@ -198,7 +198,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, block_pairs: int = 4_000_
         if met:
             yield from summed(block, met)
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, ALIGNED)
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(freed(run), ALIGNED)
 
 
 def pair_counts(rows: DataFrame) -> DataFrame:
