@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from salesmart.functions.columns import PRICE, exact_avg, exact_sum, month_key, month_start
-from salesmart.sources.files import path_exists
+from salesmart.sources.files import listing, path_exists
 from salesmart.storage import write_table
 
 # The analysis window of the bound data and the day dashboards read.
@@ -22,7 +22,7 @@ PERIOD_END = "2001-08-01"
 AS_OF = "2000-06-30"
 
 
-_SCHEMAS: dict[str, StructType] = {}
+_SCHEMAS: dict[tuple, StructType] = {}
 _DERIVED: dict[tuple, tuple[str, StructType]] = {}
 
 
@@ -35,19 +35,24 @@ class Dataset:
         self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        """A given table. Its schema is inferred once per process, not once per query."""
+        """A given table. Its schema is inferred once per process and state of the folder, not once per query."""
         if name not in self._tables:
-            path = f"{self.path}/{name}.parquet"
+            key = (self.state, name)
             reader = self.spark.read
-            if path in _SCHEMAS:
-                reader = reader.schema(_SCHEMAS[path])
-            self._tables[name] = reader.parquet(path)
-            _SCHEMAS[path] = self._tables[name].schema
+            if key in _SCHEMAS:
+                reader = reader.schema(_SCHEMAS[key])
+            self._tables[name] = reader.parquet(f"{self.path}/{name}.parquet")
+            _SCHEMAS[key] = self._tables[name].schema
         return self._tables[name]
 
+    @cached_property
+    def state(self) -> tuple:
+        """The folder and what lies in it: what is derived from replaced tables is made anew."""
+        return self.path, listing(self.spark, self.path)
+
     def _stored(self, label: str, df: DataFrame) -> DataFrame:
-        """A small derived table, written once per application and data folder."""
-        key = (self.spark.sparkContext.applicationId, self.path, label)
+        """A small derived table, written once per application and state of the data folder."""
+        key = (self.spark.sparkContext.applicationId, self.state, label)
         if key not in _DERIVED or not path_exists(self.spark, _DERIVED[key][0]):
             _DERIVED[key] = write_table(df, label), df.schema
         path, schema = _DERIVED[key]

@@ -41,6 +41,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def listing(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of what lies directly in a folder: it changes when a table there is replaced or gets files."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in found))
+
+
 def folder_numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
     """Numbers of the folders below ``path`` named ``prefix`` and a number, ascending."""
     if not path_exists(spark, path):

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _local_scratch: str | None = None
@@ -36,9 +37,14 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 
 def concurrently(**jobs: Callable[[], object]) -> dict[str, object]:
-    """Run independent builders at the same time, so that their Spark jobs share the cluster."""
+    """Run independent builders at the same time, so that their Spark jobs share the cluster.
+
+    Their threads have the job group, pool and other local properties of the caller.
+    """
+    spark = SparkSession.getActiveSession()
+    inherit = inheritable_thread_target(spark) if spark else (lambda job: job)
     with ThreadPoolExecutor(len(jobs)) as pool:
-        running = {name: pool.submit(job) for name, job in jobs.items()}
+        running = {name: pool.submit(inherit(job)) for name, job in jobs.items()}
         return {name: future.result() for name, future in running.items()}
 
 

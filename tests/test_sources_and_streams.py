@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from salesmart import storage
 from salesmart.operators import models
 from salesmart.sources import contracts, files
+from salesmart.sources.bindings import Dataset
 from salesmart.streaming import kpis
 from salesmart.streaming.runs import read_files, replace_batch, run_append
 
@@ -47,6 +48,22 @@ def test_scratch_follows_the_session_setting():
     assert storage.scratch_root(fake_session("local[2]", {}))
 
 
+def test_replaced_tables_are_seen(spark, tmp_path):
+    folder = str(tmp_path)
+    part = lambda *kinds: spark.createDataFrame([(k, t) for k, t in enumerate(kinds)], "p_partkey long, p_type string").write.mode("overwrite").parquet(f"{folder}/part.parquet")
+    part("a", "b")
+    assert [r["category_name"] for r in Dataset(spark, folder).categories.orderBy("category_id").collect()] == ["a", "b"]
+    part("b", "c", "d")
+    assert [r["category_name"] for r in Dataset(spark, folder).categories.orderBy("category_id").collect()] == ["b", "c", "d"]
+
+
+def test_threads_inherit_the_job_group(spark):
+    spark.sparkContext.setLocalProperty("spark.job.description", "outer")
+    found = storage.concurrently(a=lambda: spark.sparkContext.getLocalProperty("spark.job.description"), b=lambda: spark.sparkContext.getLocalProperty("spark.job.description"))
+    spark.sparkContext.setLocalProperty("spark.job.description", None)
+    assert found == {"a": "outer", "b": "outer"}
+
+
 def test_materialized_frame_is_a_table(spark):
     stored = storage.materialize(spark.range(5).withColumn("x", F.col("id") / 2))
     assert stored.count() == 5 and stored.inputFiles()
