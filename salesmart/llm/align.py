@@ -34,7 +34,8 @@ from salesmart.llm.shared import freed, kept, slices
 from salesmart.storage import materialize
 
 CUT = re.compile(r"(?<=[\w!-/:-@\[-`{-~])(?= )")
-END = re.compile(r"[\w!-/:-@\[-`{-~]\Z")
+#: What CUT looks for besides letters and digits.
+MARKS = frozenset("_" + "".join(map(chr, (*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)))))
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 SPACE = "▁"
 
@@ -68,9 +69,9 @@ def character_starts(text: str) -> np.ndarray:
 
 
 class Aligner:
-    """Aligned stretches of texts; up to ``most`` of them (or ``most`` times 128 bytes) are remembered."""
+    """Aligned stretches of texts; about ``most`` of them (or ``most`` times 128 bytes) are remembered, the latest and so the frequent ones for longer."""
 
-    def __init__(self, path_a: str, path_b: str, most: int = 300_000):
+    def __init__(self, path_a: str, path_b: str, most: int = 500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         import sentencepiece
         from tokenizers import Tokenizer
@@ -84,12 +85,9 @@ class Aligner:
         self.bytes_b = dict(enumerate(bytes([int(m[1], 16)]) if (m := BYTE_PIECE.fullmatch(x)) else x.replace(SPACE, " ").encode() for x in names))
         rule = re.sub(r"\s", "", self.a.to_str()[:4000])
         self.cuttable = '"type":"ByteLevel"' in rule and '"use_regex":true' in rule and not any(SPACE in x.lstrip(SPACE) for x in names)
+        self.said = [str(i) for i in range(max(len(tokens), len(names)))]
         self.most = most
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.results: list[tuple | None] = []
+        self.known: dict[str, tuple | None] = {}
         self.bytes = 0
 
     def tokens(self, text: str) -> tuple | None:
@@ -101,13 +99,13 @@ class Aligner:
         if b"".join(bytes_a) != data or b"".join(bytes_b) != data:
             return None
         spans_a = character_starts(text)[np.fromiter(chain.from_iterable(code.offsets), np.int64, 2 * len(ids_a)).reshape(-1, 2)]
-        spans_b = np.fromiter((x for p in pieces for x in (p.begin, p.end)), np.int64, 2 * len(ids_b)).reshape(-1, 2) + 1  # B adds the space in front by itself and counts from behind it
+        spans_b = np.column_stack([[p.begin for p in pieces], [p.end for p in pieces]]) + 1  # B adds the space in front by itself and counts from behind it
         spans_b[0, 0] = 0
         sizes = (np.fromiter(map(len, x), np.int64, len(x)) for x in (bytes_a, bytes_b))
         return ids_a, ids_b, byte_ends(spans_a, next(sizes)), byte_ends(spans_b, next(sizes))
 
     def aligned(self, stretches: list[str]) -> list[tuple | None]:
-        """For each stretch: A tokens, B tokens, groups, text of the groups, links as A id * 2^16 + B id."""
+        """For each stretch: A tokens, B tokens, groups, text of the groups, links as bytes of A id * 2^16 + B id."""
         found = self.tokens("".join(stretches))
         if found is None:
             half = len(stretches) // 2
@@ -117,7 +115,8 @@ class Aligner:
         to_a, to_b = np.searchsorted(ends_a, cuts) + 1, np.searchsorted(ends_b, cuts) + 1  # tokens up to each cut
         parts = np.union1d(ends_a, ends_b)  # each part between two ends lies in one token of each: a link
         links = np.array(ids_a, np.uint32)[np.searchsorted(ends_a, parts)] << np.uint32(16) | np.array(ids_b, np.uint32)[np.searchsorted(ends_b, parts)]
-        say_a, say_b, groups, x, y = list(map(str, ids_a)), list(map(str, ids_b)), [], 0, 0
+        links = links.astype("<u4").tobytes()
+        say_a, say_b, groups, x, y = list(map(self.said.__getitem__, ids_a)), list(map(self.said.__getitem__, ids_b)), [], 0, 0
         for a, b in zip(to_a.tolist(), to_b.tolist(), strict=True):
             groups.append(f"{say_a[x] if a == x + 1 else ','.join(say_a[x:a])}|{say_b[y] if b == y + 1 else ','.join(say_b[y:b])}")
             x, y = a, b
@@ -127,35 +126,37 @@ class Aligner:
         out, before = [], (0, 0, 0, 0)
         for now in zip(n_a, n_b, (at + 1).tolist(), last_link, strict=True):
             (a0, b0, g0, l0), (a1, b1, g1, l1) = before, now
-            out.append((a1 - a0, b1 - b0, g1 - g0, ";".join(groups[g0:g1]), links[l0:l1].copy()))
+            out.append((a1 - a0, b1 - b0, g1 - g0, ";".join(groups[g0:g1]), links[4 * l0 : 4 * l1]))
             before = now
         return out
 
     def learn(self, stretches: list[str]) -> None:
         # Only behind the signs that CUT names may another stretch follow.
-        joined = [s for s in stretches if END.search(s)]
-        parts = [joined[k : k + 4096] for k in range(0, len(joined), 4096)] + [[s] for s in stretches if not END.search(s)]
+        joined = [s for s in stretches if s[-1] in MARKS or s[-1].isalnum()]
+        parts = [joined[k : k + 4096] for k in range(0, len(joined), 4096)]
+        if len(joined) < len(stretches):
+            parts += [[s] for s in stretches if not (s[-1] in MARKS or s[-1].isalnum())]
         for part in parts:
-            for text, found in zip(part, self.aligned(part), strict=True):
-                self.known[text] = len(self.results)
-                self.results.append(found)
-                self.bytes += 2 * len(text) + (len(found[3]) + found[4].nbytes if found else 0)
+            found = self.aligned(part)
+            self.known.update(zip(part, found, strict=True))
+            self.bytes += sum(2 * len(s) + (len(x[3]) + len(x[4]) if x else 0) for s, x in zip(part, found, strict=True))
 
     def align(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, str, np.ndarray]]:
         """For each text: A tokens, B tokens, groups, digest of the groups, links in order."""
         split = [(CUT.split(f" {t}") if self.cuttable else [f" {t}"]) if t else [] for t in texts]
+        met = set().union(*split)
         if len(self.known) > self.most or self.bytes > 128 * self.most:
-            self.forget()
-        self.learn(sorted({s for stretches in split for s in stretches if s not in self.known}))
+            self.known, self.bytes = {s: self.known[s] for s in met.intersection(self.known)}, 0
+        self.learn(sorted(met.difference(self.known)))
         for stretches in split:
-            parts = [self.results[self.known[s]] for s in stretches]
+            parts = list(map(self.known.__getitem__, stretches))
             if None in parts and len(parts) > 1:  # then the text as a whole decides
                 parts = self.aligned(["".join(stretches)])
             if not parts or None in parts:
                 yield NOTHING
                 continue
             n_a, n_b, n_groups, groups, links = zip(*parts, strict=True)
-            yield sum(n_a), sum(n_b), sum(n_groups), hashlib.sha256(";".join(groups).encode()).hexdigest(), np.concatenate(links)
+            yield sum(n_a), sum(n_b), sum(n_groups), hashlib.sha256(";".join(groups).encode()).hexdigest(), np.frombuffer(b"".join(links), "<u4")
 
 
 NOTHING = (0, 0, 0, "", np.empty(0, np.uint32))
