@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.llm.convnet import ConvNet
-from salesmart.llm.shared import hash_sample, slices
+from salesmart.llm.shared import slices
 
 UNKNOWN = "und"
 
@@ -37,8 +37,23 @@ def windows_of(text: str, window: int) -> np.ndarray:
     return out.reshape(rows, window)
 
 
-def training_windows(docs: DataFrame, chosen: Column, most_docs: int, window: int, each: int) -> list:
-    """(lang, windows as bytes) of about ``most_docs`` labelled documents of the smallest id hashes, ``each`` windows at most of one."""
+def by_language(able: DataFrame, most_docs: int, least_docs: int) -> DataFrame:
+    """About ``most_docs`` rows of the smallest id hashes, and of each language ``least_docs`` at least, or all it has.
+
+    The cuts follow from one count by language, so no language is missed for being rare.
+    """
+    counts = {r["lang"]: r["n"] for r in able.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
+    whole = sum(counts.values())
+    part = {lang: max(most_docs / whole, least_docs / n) for lang, n in counts.items()}
+    cuts = {lang: -(2**63) + int(2**64 * share) for lang, share in part.items() if share < 1}
+    if not cuts:
+        return able
+    cut = F.create_map(*[x for lang, at in cuts.items() for x in (F.lit(lang), F.lit(at))])
+    return able.filter(F.coalesce(F.xxhash64("doc_id") < F.try_element_at(cut, F.col("lang")), F.lit(True)))
+
+
+def training_windows(docs: DataFrame, chosen: Column, most_docs: int, least_docs: int, window: int, each: int) -> list:
+    """(lang, windows as bytes) of a sample of labelled documents, ``each`` windows at most of one."""
 
     def run(batches):
         for batch in slices(batches):
@@ -51,16 +66,17 @@ def training_windows(docs: DataFrame, chosen: Column, most_docs: int, window: in
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.string(), pa.binary(), pa.int64()), strict=True)], names=["lang", "windows", "order"])
 
     able = docs.filter(chosen & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    picked = hash_sample(able, "doc_id", most_docs).select("lang", "text", F.xxhash64("doc_id").alias("order"))
+    picked = by_language(able, most_docs, least_docs).select("lang", "text", F.xxhash64("doc_id").alias("order"))
     return sorted(picked.mapInArrow(run, "lang string, windows binary, order bigint").collect(), key=lambda r: (r["order"], bytes(r["windows"])))
 
 
-def train(docs: DataFrame, chosen: Column, most_docs: int = 3000, window: int = 256, each: int = 3, epochs: int = 4) -> LanguageModel | None:
+def train(docs: DataFrame, chosen: Column, most_docs: int = 3000, least_docs: int = 100, window: int = 256, each: int = 3, epochs: int = 4) -> LanguageModel | None:
     """A model of the documents in ``chosen``; None when none has a text and a language.
 
-    The labelled sample is bounded: ``most_docs`` documents are expected in it, those of the smallest id hashes.
+    The labelled sample is bounded: ``most_docs`` documents are expected in it, those of the smallest id hashes, and
+    ``least_docs`` more at most of a rare language.
     """
-    sample = training_windows(docs, chosen, most_docs, window, each)
+    sample = training_windows(docs, chosen, most_docs, least_docs, window, each)
     if not sample:
         return None
     languages = tuple(sorted({r["lang"] for r in sample}))
@@ -101,7 +117,8 @@ def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     """``doc_id, lang_pred, score`` for every document, from its whole text alone.
 
     A text that is null or has no letter, and any text when there is no model, gives
-    ``und`` with score 0. Repeated rows are answered each, null ids stay null.
+    ``und`` with score 0. Repeated rows are answered each, null ids stay null. Very long texts are read whole, window
+    by window; an empty table gives no rows. Only ``doc_id`` and ``text`` are read, so other columns may have any names.
     """
 
     def run(batches):
