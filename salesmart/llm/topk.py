@@ -85,6 +85,8 @@ def search_block(k: int):
             width = max(map(len, [*items["vector"], *queries["vector"]]))
             lists = SortedLists(items["id"].to_numpy(np.int64), matrix(list(items["vector"]), width))
             asked = matrix(list(queries["vector"]), width)
+            if np.abs(lists.vectors).max(initial=0) * np.abs(asked).sum(1).max(initial=0) >= 2**53:
+                raise ValueError("inner products beyond 53 bits are not exact")
             for own, key, query in zip(queries["id"], queries["query_key"], asked, strict=True):
                 ids, scores = lists.search(query, k, own)
                 out.append(pd.DataFrame({"query_id": own, "query_key": key, "item_id": ids, "score": scores.astype(np.int64)}))
@@ -96,7 +98,9 @@ def search_block(k: int):
 def exact_top_k(queries: DataFrame, items: DataFrame, k: int = 10, item_block: int = 16384, query_block: int = 2048, least_blocks: int = 16) -> DataFrame:
     """``query_id, rank, item_id, score``: the ``k`` items of highest inner product for each query.
 
-    Both inputs have ``id`` and ``vector`` (integers; the products must fit 53 bits).
+    Both inputs have ``id`` and ``vector`` (integers; the products must fit 53 bits, else the search ends with an error).
+    Other columns are not read and may have any names. Vectors without structure cannot be pruned: the bound stays above
+    the k-th score until nearly all items are met, and all are scored.
     An item never answers the query of its own id. Shorter vectors count as padded
     with zeros. Ties go to the smaller id. Repeated item rows each take a place;
     repeated query rows are asked once. Empty inputs give no rows.
