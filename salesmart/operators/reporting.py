@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from salesmart.functions import columns as c
 from salesmart.functions.columns import exact_sum
+from salesmart.functions.dealing import dealt
 from salesmart.functions.ranking import global_rank
 from salesmart.operators.enrich import completed
 from salesmart.operators.marts import share_of_total
@@ -109,12 +110,14 @@ def order_documents(orders: DataFrame, lines: DataFrame, items: DataFrame) -> Da
     """All given orders (filtered or not) as documents: items nested, with a short summary of the first two.
 
     Lines are found by a semi-join and folded per item before they are nested, so a document is
-    as long as its order has different items.
+    as long as its order has different items. Both steps work on tasks of a bounded number of rows.
     """
-    page = orders
-    per_item = lines.join(page.select("order_id"), "order_id", "left_semi").groupBy("order_id", "item_id").agg(F.sum(F.col("quantity").cast("long")).alias("quantity"))
+    page, rows = orders, lines.count()
+    wanted = lines.join(page.select("order_id"), "order_id", "left_semi").select("order_id", "item_id", "quantity")
+    per_item = dealt(wanted, rows, "order_id", "item_id").groupBy("order_id", "item_id").agg(F.sum(F.col("quantity").cast("long")).alias("quantity"))
     entry = F.struct("item_id", "item_name", "quantity")
-    nested = per_item.join(items.select("item_id", "item_name"), "item_id").groupBy("order_id").agg(F.sort_array(F.collect_list(entry)).alias("items"))
+    named = per_item.join(items.select("item_id", "item_name"), "item_id")
+    nested = dealt(named, rows, "order_id").groupBy("order_id").agg(F.sort_array(F.collect_list(entry)).alias("items"))
     shown = F.transform(F.slice("items", 1, 2), lambda x: F.concat(x.quantity.cast("string"), F.lit("x "), x.item_name))
     more = F.when(F.size("items") > 2, F.concat(F.lit(", +"), (F.size("items") - 2).cast("string"), F.lit(" more"))).otherwise("")
     return page.join(nested, "order_id", "left").select(
