@@ -128,7 +128,8 @@ def order_documents(orders: DataFrame, lines: DataFrame, items: DataFrame) -> Da
 def dish_ranking(lines, orders, items, search: str = "", include_all: bool = False) -> DataFrame:
     """Items ranked by net revenue; ``search`` keeps the rank among all items."""
     o = (orders if include_all else completed(orders)).select("order_id")
-    per_order = lines.join(o, "order_id").groupBy("item_id", "order_id").agg(
+    sold = lines.join(o, "order_id").select("item_id", "order_id", "quantity", "net_revenue")
+    per_order = dealt(sold, lines.count(), "item_id", "order_id").groupBy("item_id", "order_id").agg(
         exact_sum("quantity").alias("u"), exact_sum("net_revenue").alias("r"))
     sums = per_order.groupBy("item_id").agg(
         exact_sum("u").alias("units"), exact_sum("r").alias("revenue"), F.count("*").alias("orders"))

@@ -40,3 +40,15 @@ def test_order_documents(monkeypatch, tables):
     got = {r["order_id"]: r["items"] for r in out.collect()}
     assert set(got) == set(range(60))
     assert all([(x["item_id"], x["quantity"]) for x in found or []] == sorted(wanted[order].items()) for order, found in got.items())
+
+
+def test_dish_ranking(monkeypatch, spark, tables):
+    orders, rows, lines, items = tables
+    monkeypatch.setattr(dealing, "TASK_ROWS", 20)
+    plans, write = [], reporting.materialize
+    monkeypatch.setattr(reporting, "materialize", lambda df, label: plans.append(df) or write(df, label))
+    got = {r["item_id"]: (r["units"], r["revenue"], r["orders"]) for r in reporting.dish_ranking(lines, orders, items).collect()}
+    assert dealt_to(plans[0], r"item_id#\w+, order_id#\w+") == [1 + len(rows) // 20]
+    done = {r["order_id"] for r in orders.collect() if r["order_status"].strip().lower() == "completed"}
+    sold = [r for r in rows if r[0] in done and r[1] is not None and r[1] < 12]
+    assert got == {k: (sum(r[2] for r in sold if r[1] == k), sum(r[3] for r in sold if r[1] == k), len({r[0] for r in sold if r[1] == k})) for k in {r[1] for r in sold}}
