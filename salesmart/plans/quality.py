@@ -12,7 +12,7 @@ from salesmart.operators import checks, cleaning, enrich, marts, quality
 from salesmart.plans.registry import query, shared_view
 from salesmart.sources import contracts, files
 from salesmart.sources.bindings import PERIOD_END, PERIOD_START
-from salesmart.storage import new_path
+from salesmart.storage import concurrently, materialize, new_path
 
 
 def union(parts):
@@ -364,7 +364,10 @@ shared_view("checks", checks_sql(RAW_VIEWS))
 
 
 def _report(d):
-    return checks.check_all(d.raw_tables, PERIOD_START, PERIOD_END)
+    """All checks of the delivered tables. Those derived from the lines are read by three checks each, so they are stored first."""
+    raw = d.raw_tables
+    derived = concurrently(**{n: lambda n=n: materialize(raw[n], f"raw-{n}") for n in ("losses", "stock", "prices")})
+    return checks.check_all(raw | derived, PERIOD_START, PERIOD_END)
 
 
 @query("quality_checks", "SELECT * FROM checks")
