@@ -8,7 +8,7 @@ their references, each against the kept rows of its parents.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -110,6 +110,7 @@ class Spec:
     dates: tuple[str, ...] = ()
     numbers: tuple[str, ...] = ()
     texts: tuple[str, ...] = ()
+    derived: tuple[tuple[str, str], ...] = ()  # (column, SQL) that the binding computes from other columns of the row
 
     @property
     def parents(self) -> list[Parent]:
@@ -120,9 +121,10 @@ def clean_table(name: str, spec: Spec, raw: DataFrame, good: dict[str, DataFrame
     """Standardise, de-duplicate and check one table against its cleaned parents.
 
     A table that refers to itself is checked again until no more rows go: each round takes away the children
-    of the rows that went in the round before.
+    of the rows that went in the round before. Derived columns are neither shuffled nor stored: they are computed again.
     """
-    df = raw.dropDuplicates() if spec.exact_rows else raw
+    again = {n: F.expr(sql) for n, sql in spec.derived}
+    df = (raw.dropDuplicates() if spec.exact_rows else raw).drop(*again)
     df = clean_text(clean_numeric(clean_dates(df, list(spec.dates)), list(spec.numbers)), list(spec.texts))
     rules: list[tuple[str, Column]] = []
     if spec.order:
@@ -134,15 +136,17 @@ def clean_table(name: str, spec: Spec, raw: DataFrame, good: dict[str, DataFrame
         elif step.table != name:
             df = step.flag(df, good[step.table], f"_known{k}")
             rules.append((step.reason, step.fails(f"_known{k}")))
-    marked = materialize(mark(df, rules).select(*raw.columns, REASON), f"clean-{name}")
+    stored = [n for n in raw.columns if n not in again]
+    marked = materialize(mark(df.withColumns(again) if again else df, rules).select(*stored, REASON), f"clean-{name}")
+    marked = marked.withColumns(again).select(*raw.columns, REASON) if again else marked
     removed = raw.count() - marked.count() if spec.exact_rows else 0
     for own in (p for p in spec.parents if p.table == name):
         while True:
             split = Split(name, marked, removed)
-            again = own.flag(split.good, split.good, "_known").where(own.fails("_known"))
-            if again.isEmpty():
+            orphans = own.flag(split.good, split.good, "_known").where(own.fails("_known"))
+            if orphans.isEmpty():
                 break
-            gone = again.select(*raw.columns, F.lit(own.reason).alias(REASON))
+            gone = orphans.select(*raw.columns, F.lit(own.reason).alias(REASON))
             kept = own.flag(split.good, split.good, "_known").where(~own.fails("_known")).select(*raw.columns, F.lit(None).cast("string").alias(REASON))
             marked = materialize(split.bad.unionByName(gone).unionByName(kept), f"clean-{name}")
     return Split(name, marked, removed)
@@ -206,7 +210,8 @@ def specs(start: str, end: str) -> dict[str, Spec]:
 
 
 def clean_all(d, start: str, end: str) -> dict[str, Split]:
-    return clean_tables(d.raw_tables, specs(start, end))
+    by_table = {n: replace(spec, derived=tuple(d.derived.get(n, {}).items())) for n, spec in specs(start, end).items()}
+    return clean_tables(d.raw_tables, by_table)
 
 
 def retained_blanks(splits: dict[str, Split], by_table: dict[str, Spec]) -> DataFrame:

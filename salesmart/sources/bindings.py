@@ -273,6 +273,9 @@ class Dataset:
             F.when(key % 43 == 0, "not-a-date").otherwise(F.date_format("registration_date", "yyyy-MM-dd")).alias("registration_date"),
             F.col("copy_no").cast("long").alias("copy_no"))
 
+    #: Columns of a delivered table that the binding computes from others of the same row, to the last bit.
+    derived = {"lines": {"unit_price": "line_total / quantity", "net_revenue": "line_total - line_discount"}}
+
     @property
     def raw_tables(self) -> dict[str, DataFrame]:
         """The twelve tables as they are delivered."""

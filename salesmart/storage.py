@@ -50,7 +50,7 @@ def concurrently(**jobs: Callable[[], object]) -> dict[str, object]:
 
 def write_table(df: DataFrame, label: str) -> str:
     path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression="zstd")
     return path
 
 
