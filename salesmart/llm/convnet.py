@@ -55,6 +55,22 @@ class ConvNet:
         inner = filled[np.arange(rows)[:, None, None], first, :, np.arange(n)].argmax(3)
         return value, np.minimum(first * self.stretch + inner, length - 1)
 
+    def _found(self, ids: np.ndarray, most: int = 1 << 16) -> tuple[np.ndarray, np.ndarray]:
+        """Winners of ``ids``; rows of more than ``most`` symbols together go through in parts that hold whole stretches."""
+        if ids.size <= most or not self.stretch:
+            return self._winners(self._responses(ids))
+        part = max(1, most // (len(ids) * self.stretch)) * self.stretch
+        some = []
+        for start in range(0, ids.shape[1], part):
+            here = ids[:, start : start + part + self.widest - 1]
+            value, best = self._winners(self._responses(here)[:, : min(part, ids.shape[1] - start)])
+            some.append((value, best + start))
+            if len(some) > 1:
+                value, best = (np.concatenate(x, 1) for x in zip(*some, strict=True))
+                order = np.argsort(-value, axis=1, kind="stable")[:, : self.top]
+                some = [(np.take_along_axis(value, order, 1), np.take_along_axis(best, order, 1))]
+        return some[0]
+
     def pooled(self, ids: np.ndarray) -> np.ndarray:
         """The largest responses of every filter, one row per row of ``ids``: (rows, top, filters)."""
         responses = self._responses(ids)
@@ -82,8 +98,7 @@ class ConvNet:
 
     def step(self, ids: np.ndarray, labels: np.ndarray, weight: np.ndarray, rate: float, decay: float) -> None:
         """One Adam step; only the winning positions of the pooling carry gradients."""
-        responses = self._responses(ids)
-        value, best = self._winners(responses)
+        value, best = self._found(ids)
         pooled = np.maximum(value + self.bias, 0)
         error = np.exp(self.log_probabilities(pooled))
         error[np.arange(len(labels)), labels] -= 1

@@ -2,10 +2,12 @@
 
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from salesmart.llm import langid, quality, toxicity
+from salesmart.llm.convnet import ConvNet
 from salesmart.llm.queries import op6_toxicity, op8_language_id, remainder
 
 FOLDER = "/root/testdata/sf0.01"
@@ -62,3 +64,31 @@ def test_empty_tables(spark, documents):
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     assert quality.classify(documents([]), labels).collect() == []
     assert [r["keep"] for r in quality.classify(documents([(1, "a b")]), labels).collect()] == [True]
+
+
+def test_toxicity_learns_from_every_labelled_document(spark, documents):
+    """Each document teaches a word; long ones do too, and several shards come to one network."""
+    rows = [(k, f"{'vile ' if k % 3 == 0 else 'kind '}{' '.join(f'w{(k * 7 + j) % 50}' for j in range(8))} only{k}") for k in range(5000)]
+    rows += [(9000 + k, "plain " * 2000 + ("grim " if k % 2 else "fair ")) for k in range(60)]
+    docs = documents(rows, clash=True)
+    toxic = {i: int("vile" in t or "grim" in t) for i, t in rows}
+    labels = spark.createDataFrame([(i, 0, y) for i, y in toxic.items()] + [(0, 0, 0), (None, 0, 1)], "doc_id bigint, quality int, toxic int")
+    known = toxicity.labelled(docs, labels, F.lit(True))
+    assert known.count() == len(rows) and known.agg(F.max("words")).first()[0] == 2001
+    counts = toxicity.bucket_counts(known).to_pylist()
+    assert sum(r["n"] for r in counts if r["lang"] is None and r["bucket"] < toxicity.BUCKETS) == sum(len(set(t.split())) for _, t in rows)
+    model = toxicity.train(docs, labels, F.lit(True))
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score(docs, model).collect()}
+    assert sum(got[i] == y for i, y in toxic.items()) > 0.98 * len(rows) and sum(got[9000 + k] == k % 2 for k in range(60)) > 50
+
+
+def test_long_rows_train_as_short_ones_do():
+    """A row that goes through the network in parts has the winners that it has as a whole."""
+    rng = np.random.default_rng(2)
+    net = ConvNet(50, 4, (1, 2, 3), 5, 2, top=3, stretch=16)
+    for n in (1, 31, 64, 1000):
+        ids = rng.integers(1, 50, (2, n))
+        responses = net._responses(ids)
+        whole, parts = net._winners(responses), net._found(ids, most=128)
+        real = np.isfinite(whole[0])
+        assert np.allclose(whole[0][real], parts[0][real]) and np.allclose(np.take_along_axis(responses, parts[1], 1)[real], parts[0][real])
