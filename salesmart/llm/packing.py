@@ -12,6 +12,7 @@ from __future__ import annotations
 import bisect
 import os
 import re
+import unicodedata
 import zlib
 from collections import defaultdict
 
@@ -21,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesmart.llm.shared import freed, kept, slices
+from salesmart.llm.shared import freed, kept, slices, uncollected
 from salesmart.storage import materialize
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, shard int, shard_rank bigint"
@@ -31,20 +32,41 @@ BREAK, BREAK_ID = "<|endoftext|>", 49407
 #: Letters and then ASCII marks: the vocabulary's rule cuts between them, and lower case is taken letter by letter
 #: (words with a capital sigma or dotted I, whose lower case depends on their place or length, are left whole).
 LETTERS_THEN_MARKS = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)")
+#: The same marks behind a letter and before a space or the end, found in texts.
+MARKS_AFTER_LETTER = re.compile(r"[!-&(-/:-@\[-`{-~](?<=[^\W\d_].)[!-&(-/:-@\[-`{-~]*(?= |\Z)")
+
+
+def lowered(text: str) -> str:
+    """``text`` in lower case where that cannot change its ids, else as it is.
+
+    The vocabulary composes characters (NFC) before it takes lower case, so a text must be composed before and after.
+    Special tokens are looked for in the text as given.
+    """
+    if "<|" in text or not text.isascii() and ("\u03a3" in text or "\u0130" in text or not unicodedata.is_normalized("NFC", text)):
+        return text
+    low = text.lower()
+    return low if unicodedata.is_normalized("NFC", low) else text
+
+
+def words_of(text: str) -> list[str]:
+    """The stretches of a text between spaces and line ends, marks behind letters apart; empty ones have no ids."""
+    low = lowered(text.replace("\n", " "))
+    return (low if "<|" in low else MARKS_AFTER_LETTER.sub(r" \g<0>", low)).split(" ")
 
 
 class WordEncoder:
     """Token ids of texts for a vocabulary whose tokens never span white space.
 
     Each stretch between spaces or line ends has the same ids wherever it stands, so
-    its ids are remembered (for a bounded number of stretches) as little-endian bytes.
+    its ids are remembered as little-endian bytes, for about ``most`` stretches: those met
+    since the last change of ``older``, and in ``older`` those met before, since the change before it.
     """
 
-    def __init__(self, path: str, most: int = 700_000):
+    def __init__(self, path: str, most: int = 400_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known, self.most = Tokenizer.from_file(path), {}, most
+        self.tokenizer, self.known, self.older, self.most = Tokenizer.from_file(path), {}, {}, most
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a word
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
@@ -102,11 +124,15 @@ class WordEncoder:
         known.update((w, ids.tobytes()) for w, ids in zip(odd, self._ids(odd), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+        split = list(map(words_of, texts))
         met = set().union(*split)
-        if len(self.known) > self.most:  # the frequent words are among those just met
-            self.known = {w: self.known[w] for w in met.intersection(self.known)}
-        self.learn(met.difference(self.known))
+        if len(self.known) > self.most // 2:
+            self.known, self.older = {}, self.known
+        new = met.difference(self.known)
+        back = new.intersection(self.older)
+        self.known.update((w, self.older[w]) for w in back)
+        with uncollected():
+            self.learn(new.difference(back))
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
 

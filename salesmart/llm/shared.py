@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
+import gc
 import os
 import re
 import sys
@@ -65,6 +67,18 @@ def freed(run: Callable) -> Callable:
     return all_of
 
 
+@contextlib.contextmanager
+def uncollected() -> Iterator[None]:
+    """No search for cycles of garbage meanwhile: making many small objects at once would set it off again and again, and find none."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def kept(name: str, make: Callable):
     """An object that a worker process makes once and its later tasks use again.
 

@@ -113,3 +113,23 @@ def test_plan_of_many_equal_pieces_is_a_few_rows():
 
 def test_nothing_to_pack(spark, documents):
     assert packing.pack(documents([]), vocabulary()).collect() == []
+
+
+def test_words_are_remembered_once_and_frequent_ones_for_longer():
+    encoder, learnt = packing.WordEncoder(vocabulary(), most=200), []
+    learn = encoder.learn
+    encoder.learn = lambda words: (learnt.append(set(words)), learn(words))
+    encoder.encode(["Word word, WORD word. Word!"])
+    assert set(encoder.known) - {""} == {"word", ",", ".", "!"}
+    for k in range(40):  # met in every third batch only
+        encoder.encode([f"{'often' if k % 3 == 0 else 'and'} " + " ".join(f"x{k}y{j}" for j in range(20))])
+        assert len(encoder.known) + len(encoder.older) <= 200 + 2 * 21
+    assert sum("often" in x for x in learnt) == 1
+
+
+@pytest.mark.parametrize("text", ["H̱ HE̱L KÅ K", "A<|ENDOFTEXT|>B, <|endoftext|>, C.", "it's, IT'S. 'Tis", "ǅ, ß. ẞ! ΐ; ΐ", "à, À. ², Ⅷ. x_, _y."])
+def test_lower_case_and_marks_leave_the_ids(text):
+    from tokenizers import Tokenizer
+
+    (ids,) = packing.WordEncoder(vocabulary()).encode([text])
+    assert np.frombuffer(ids, "<u4").tolist() == Tokenizer.from_file(vocabulary()).encode(text, add_special_tokens=False).ids
