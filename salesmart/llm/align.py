@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.shared import freed, kept, slices
+from salesmart.llm.shared import freed, kept, slices, uncollected
 from salesmart.storage import materialize
 
 CUT = re.compile(r"(?<=[\w!-/:-@\[-`{-~])(?= )")
@@ -147,7 +147,8 @@ class Aligner:
         met = set().union(*split)
         if len(self.known) > self.most or self.bytes > 128 * self.most:
             self.known, self.bytes = {s: self.known[s] for s in met.intersection(self.known)}, 0
-        self.learn(sorted(met.difference(self.known)))
+        with uncollected():
+            self.learn(sorted(met.difference(self.known)))
         for stretches in split:
             parts = list(map(self.known.__getitem__, stretches))
             if None in parts and len(parts) > 1:  # then the text as a whole decides

@@ -1,5 +1,6 @@
 """Token alignment against a version that compares every pair of byte ranges of a document."""
 
+import gc
 import hashlib
 import random
 from collections import Counter
@@ -84,3 +85,24 @@ def test_corpus_counts_in_blocks(spark, documents, tools, block_pairs):
 
 def test_no_rows(spark, documents):
     assert align.align(documents([]), A, B).collect() == []
+
+
+def test_no_search_for_garbage_while_stretches_are_learnt():
+    aligner, searches = align.Aligner(A, B), []
+
+    def seen(phase, info):
+        searches.append(phase)
+
+    some = [" ".join(f"w{k}x{j}" for j in range(300)) for k in range(30)]
+    learn = aligner.learn
+
+    def watched(stretches):
+        gc.callbacks.append(seen)
+        try:
+            learn(stretches)
+        finally:
+            gc.callbacks.remove(seen)
+
+    aligner.learn = watched
+    assert len(list(aligner.align(some))) == 30 and len(aligner.known) > 8000
+    assert not searches and gc.isenabled()
