@@ -69,9 +69,12 @@ def character_starts(text: str) -> np.ndarray:
 
 
 class Aligner:
-    """Aligned stretches of texts; about ``most`` of them (or ``most`` times 128 bytes) are remembered, the latest and so the frequent ones for longer."""
+    """Aligned stretches of texts; about ``most`` of them (or ``most`` times 128 bytes) are remembered.
 
-    def __init__(self, path_a: str, path_b: str, most: int = 500_000):
+    ``known`` has those met since the last change of ``older``, which has those met between that change and the one before it.
+    """
+
+    def __init__(self, path_a: str, path_b: str, most: int = 700_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         import sentencepiece
         from tokenizers import Tokenizer
@@ -85,24 +88,26 @@ class Aligner:
         self.bytes_b = dict(enumerate(bytes([int(m[1], 16)]) if (m := BYTE_PIECE.fullmatch(x)) else x.replace(SPACE, " ").encode() for x in names))
         rule = re.sub(r"\s", "", self.a.to_str()[:4000])
         self.cuttable = '"type":"ByteLevel"' in rule and '"use_regex":true' in rule and not any(SPACE in x.lstrip(SPACE) for x in names)
-        self.said = [str(i) for i in range(max(len(tokens), len(names)))]
+        self.sizes_a, self.sizes_b = (np.array([len(x.get(i, b"")) for i in range(max(x) + 1)]) for x in (self.bytes_a, self.bytes_b))
+        self.said = [f"{i}{sign}" for i in range(max(len(self.sizes_a), len(self.sizes_b))) for sign in ",|;"]
+        self.said_sizes = np.array(list(map(len, self.said)))
         self.most = most
         self.known: dict[str, tuple | None] = {}
+        self.older: dict[str, tuple | None] = {}
         self.bytes = 0
 
-    def tokens(self, text: str) -> tuple | None:
+    def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
         """Ids and ends in bytes by A and by B, for a text that starts with a space; None when bytes are lost."""
         data, code = text.encode("utf-8", "surrogatepass"), self.a.encode(text, add_special_tokens=False)
         pieces = self.b.encode(text[1:], return_type="proto").pieces
-        ids_a, ids_b = code.ids, [p.id for p in pieces]
-        bytes_a, bytes_b = [self.bytes_a[i] for i in ids_a], [self.bytes_b[i] for i in ids_b]
-        if b"".join(bytes_a) != data or b"".join(bytes_b) != data:
+        ids_a, found_b = np.array(code.ids, np.int64), [(p.id, p.begin, p.end) for p in pieces]
+        found_b = np.fromiter(chain.from_iterable(found_b), np.int64, 3 * len(found_b)).reshape(-1, 3)
+        ids_b, spans_b = found_b[:, 0], found_b[:, 1:] + 1  # B adds the space in front by itself and counts from behind it
+        if b"".join(map(self.bytes_a.__getitem__, code.ids)) != data or b"".join(map(self.bytes_b.__getitem__, ids_b.tolist())) != data:
             return None
         spans_a = character_starts(text)[np.fromiter(chain.from_iterable(code.offsets), np.int64, 2 * len(ids_a)).reshape(-1, 2)]
-        spans_b = np.column_stack([[p.begin for p in pieces], [p.end for p in pieces]]) + 1  # B adds the space in front by itself and counts from behind it
         spans_b[0, 0] = 0
-        sizes = (np.fromiter(map(len, x), np.int64, len(x)) for x in (bytes_a, bytes_b))
-        return ids_a, ids_b, byte_ends(spans_a, next(sizes)), byte_ends(spans_b, next(sizes))
+        return ids_a, ids_b, byte_ends(spans_a, self.sizes_a[ids_a]), byte_ends(spans_b, self.sizes_b[ids_b])
 
     def aligned(self, stretches: list[str]) -> list[tuple | None]:
         """For each stretch: A tokens, B tokens, groups, text of the groups, links as bytes of A id * 2^16 + B id."""
@@ -111,23 +116,29 @@ class Aligner:
             half = len(stretches) // 2
             return [None] if not half else self.aligned(stretches[:half]) + self.aligned(stretches[half:])
         ids_a, ids_b, ends_a, ends_b = found
-        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        ends = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
+        twice = ends[1:] == ends[:-1]
+        cuts, parts = ends[1:][twice], ends[np.append(~twice, True)]
         to_a, to_b = np.searchsorted(ends_a, cuts) + 1, np.searchsorted(ends_b, cuts) + 1  # tokens up to each cut
-        parts = np.union1d(ends_a, ends_b)  # each part between two ends lies in one token of each: a link
-        links = np.array(ids_a, np.uint32)[np.searchsorted(ends_a, parts)] << np.uint32(16) | np.array(ids_b, np.uint32)[np.searchsorted(ends_b, parts)]
+        # Each part between two ends lies in one token of each: a link.
+        links = ids_a.astype(np.uint32)[np.searchsorted(ends_a, parts)] << np.uint32(16) | ids_b.astype(np.uint32)[np.searchsorted(ends_b, parts)]
         links = links.astype("<u4").tobytes()
-        say_a, say_b, groups, x, y = list(map(self.said.__getitem__, ids_a)), list(map(self.said.__getitem__, ids_b)), [], 0, 0
-        for a, b in zip(to_a.tolist(), to_b.tolist(), strict=True):
-            groups.append(f"{say_a[x] if a == x + 1 else ','.join(say_a[x:a])}|{say_b[y] if b == y + 1 else ','.join(say_b[y:b])}")
-            x, y = a, b
+        # Tokens in the order they are said in, each with the sign behind it: those of A in a group, then those of B.
+        say_a, say_b = 3 * ids_a, 3 * ids_b
+        say_a[to_a - 1] += 1
+        say_b[to_b - 1] += 2
+        said = np.empty(len(ids_a) + len(ids_b), np.int64)
+        said[np.arange(len(ids_a)) + np.concatenate([[0], to_b])[np.searchsorted(cuts, ends_a)]] = say_a
+        said[np.arange(len(ids_b)) + to_a[np.searchsorted(cuts, ends_b)]] = say_b
+        groups, said_ends = "".join(map(self.said.__getitem__, said.tolist())), np.cumsum(self.said_sizes[said])
         bounds = np.cumsum([len(s.encode("utf-8", "surrogatepass")) for s in stretches])
         at = np.searchsorted(cuts, bounds)
-        n_a, n_b, last_link = to_a[at].tolist(), to_b[at].tolist(), (np.searchsorted(parts, bounds) + 1).tolist()
-        out, before = [], (0, 0, 0, 0)
-        for now in zip(n_a, n_b, (at + 1).tolist(), last_link, strict=True):
-            (a0, b0, g0, l0), (a1, b1, g1, l1) = before, now
-            out.append((a1 - a0, b1 - b0, g1 - g0, ";".join(groups[g0:g1]), links[4 * l0 : 4 * l1]))
-            before = now
+        n_a, n_b = to_a[at], to_b[at]
+        last_sign, last_link = said_ends[n_a + n_b - 1].tolist(), (4 * np.searchsorted(parts, bounds) + 4).tolist()
+        out, s0, l0 = [], 0, 0
+        for a, b, g, s1, l1 in zip(*(np.diff(x, prepend=0).tolist() for x in (n_a, n_b, at + 1)), last_sign, last_link, strict=True):
+            out.append((a, b, g, groups[s0 : s1 - 1], links[l0:l1]))
+            s0, l0 = s1, l1
         return out
 
     def learn(self, stretches: list[str]) -> None:
@@ -137,18 +148,23 @@ class Aligner:
         if len(joined) < len(stretches):
             parts += [[s] for s in stretches if not (s[-1] in MARKS or s[-1].isalnum())]
         for part in parts:
-            found = self.aligned(part)
-            self.known.update(zip(part, found, strict=True))
-            self.bytes += sum(2 * len(s) + (len(x[3]) + len(x[4]) if x else 0) for s, x in zip(part, found, strict=True))
+            self.remember(dict(zip(part, self.aligned(part), strict=True)))
+
+    def remember(self, found: dict[str, tuple | None]) -> None:
+        self.known.update(found)
+        self.bytes += 2 * sum(map(len, found)) + sum(len(x[3]) + len(x[4]) for x in found.values() if x)
 
     def align(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, str, np.ndarray]]:
         """For each text: A tokens, B tokens, groups, digest of the groups, links in order."""
         split = [(CUT.split(f" {t}") if self.cuttable else [f" {t}"]) if t else [] for t in texts]
         met = set().union(*split)
-        if len(self.known) > self.most or self.bytes > 128 * self.most:
-            self.known, self.bytes = {s: self.known[s] for s in met.intersection(self.known)}, 0
+        if len(self.known) > self.most // 2 or self.bytes > 64 * self.most:
+            self.known, self.older, self.bytes = {}, self.known, 0
+        new = met.difference(self.known)
+        back = new.intersection(self.older)
+        self.remember({s: self.older[s] for s in back})
         with uncollected():
-            self.learn(sorted(met.difference(self.known)))
+            self.learn(sorted(new.difference(back)))
         for stretches in split:
             parts = list(map(self.known.__getitem__, stretches))
             if None in parts and len(parts) > 1:  # then the text as a whole decides
@@ -172,6 +188,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, block_pairs: int = 4_000_
     """
     types = [pa.int64()] * 6 + [pa.string(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
     names = [c.split()[0] for c in ALIGNED.split(", ")]
+    name = f"aligner {path_a} {path_b}"
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
@@ -182,7 +199,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, block_pairs: int = 4_000_
             yield batch_of([(block, *[None] * 8, codes[start : start + together].astype(np.int64), n[start : start + together])])
 
     def run(batches):
-        aligner, block = kept(f"aligner {path_a} {path_b}", lambda: Aligner(path_a, path_b)), TaskContext.get().partitionId() << 32
+        aligner, block = kept(name, lambda: Aligner(path_a, path_b)), TaskContext.get().partitionId() << 32
         met, held = [], 0
         for batch in slices(batches, rows=128, size=1 << 20):
             rows = []
@@ -200,7 +217,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, block_pairs: int = 4_000_
         if met:
             yield from summed(block, met)
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(freed(run), ALIGNED)
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(freed(run, keeps=name), ALIGNED)
 
 
 def pair_counts(rows: DataFrame) -> DataFrame:

@@ -138,10 +138,10 @@ class WordEncoder:
 
 def pieces_of(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 1) -> DataFrame:
     """The pieces of every document, ranked among the pieces of equal length of their task."""
-    last = np.array([end_id], "<u4").tobytes()
+    last, name = np.array([end_id], "<u4").tobytes(), f"words {vocabulary}"
 
     def run(batches):
-        encoder, shard, ranks = kept(f"words {vocabulary}", lambda: WordEncoder(vocabulary)), TaskContext.get().partitionId(), defaultdict(int)
+        encoder, shard, ranks = kept(name, lambda: WordEncoder(vocabulary)), TaskContext.get().partitionId(), defaultdict(int)
         for batch in slices(batches):
             rows = []
             for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode([t or "" for t in batch.column(1).to_pylist()]), strict=True):
@@ -155,7 +155,7 @@ def pieces_of(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: in
                 types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32", "shard", "shard_rank"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(freed(run), PIECES)
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(freed(run, keeps=name), PIECES)
 
 
 def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int]]:

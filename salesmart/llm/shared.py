@@ -49,20 +49,32 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = 256, size: int = 4 <<
             start += n
 
 
-def freed(run: Callable) -> Callable:
+def trim() -> None:
+    """Gives memory that this process does not use back to the system."""
+    pa.default_memory_pool().release_unused()
+    of_heap = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU library's
+    if of_heap:
+        of_heap(0)
+
+
+def freed(run: Callable, keeps: str | None = None) -> Callable:
     """``run`` for ``mapInArrow``; when a task ends, memory its process does not use goes back to the system.
 
-    Python workers live on from stage to stage, so each would else keep the peak of its largest task.
+    Python workers live on from stage to stage, so each would else keep the peak of its largest task, and
+    what earlier stages have :func:`kept` there: all but ``keeps`` is forgotten when a task begins.
     """
 
     def all_of(batches):
+        store = worker_objects()
+        others = [name for name in store if name != keeps]
+        for name in others:
+            del store[name]
+        if others:
+            trim()
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU library's
-            if trim:
-                trim(0)
+            trim()
 
     return all_of
 
@@ -79,12 +91,15 @@ def uncollected() -> Iterator[None]:
             gc.enable()
 
 
-def kept(name: str, make: Callable):
-    """An object that a worker process makes once and its later tasks use again.
+def worker_objects() -> dict:
+    """What :func:`kept` has made in this process. Functions travel to workers by value, so a module variable would be new in each task."""
+    module = sys.modules.setdefault("salesmart_worker_objects", types.ModuleType("salesmart_worker_objects"))
+    return module.__dict__.setdefault("objects", {})
 
-    Functions travel to workers by value, so a module variable would be new in each task.
-    """
-    store = sys.modules.setdefault("salesmart_worker_objects", types.ModuleType("salesmart_worker_objects")).__dict__
+
+def kept(name: str, make: Callable):
+    """An object that a worker process makes once and its later tasks use again."""
+    store = worker_objects()
     if name not in store:
         store[name] = make()
     return store[name]

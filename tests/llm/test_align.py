@@ -106,3 +106,14 @@ def test_no_search_for_garbage_while_stretches_are_learnt():
     aligner.learn = watched
     assert len(list(aligner.align(some))) == 30 and len(aligner.known) > 8000
     assert not searches and gc.isenabled()
+
+
+def test_stretches_met_before_the_last_change_are_not_aligned_again(monkeypatch):
+    small, asked = align.Aligner(A, B, most=8), []
+    tokens = small.tokens
+    monkeypatch.setattr(small, "tokens", lambda text: asked.append(text) or tokens(text))
+    batches = [["aa bb"], [" ".join(f"w{k}" for k in range(9))], ["new"], ["aa bb"]]
+    got = [list(small.align(batch)) for batch in batches]
+    assert [x[:4] for x in got[3]] == [x[:4] for x in got[0]] == [plain(small, "aa bb")[:4]]
+    assert sum("aa" in text for text in asked) == 1
+    assert len(small.known) + len(small.older) <= 8 + 9
