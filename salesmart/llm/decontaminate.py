@@ -50,7 +50,7 @@ def marked(text: Column) -> Column:
 def plain(mark: Column) -> Column:
     """A marked text without its names, and without case."""
     # Upper before lower makes ß and ss equal; side by side, the optimizer would drop the upper.
-    return F.lower(F.translate(F.upper(mark), NAMES + NAME, " "))
+    return F.lower(F.replace(F.replace(F.upper(mark), F.lit(NAMES), F.lit(" ")), F.lit(NAME), F.lit("")))
 
 
 def tokens(text: Column) -> Column:
@@ -81,17 +81,23 @@ def as_template(token: Column) -> Column:
     return F.when(first.isin(NAME, UNIT), first).when(first.rlike(r"\p{Nd}"), NUMBER).otherwise(F.lower(token))
 
 
-def window_hashes(words: Column, size: int | Column, stride: int) -> Column:
-    """Hash of the ``size`` tokens from each ``stride``-th place; empty for short texts."""
+def window_hashes(words: Column, size: int, stride: int) -> Column:
+    """Hash of the ``size`` tokens from each ``stride``-th place; null for shorter texts."""
     starts = F.sequence(F.lit(0), F.size(words) - size, F.lit(stride))
-    return F.when(F.size(words) >= size, F.transform(starts, lambda i: F.xxhash64(F.array_join(F.slice(words, i + 1, size), " "))))
+    return F.when(F.size(words) >= size, F.transform(starts, lambda i: hash_of(words, i, size)))
+
+
+def hash_of(words: Column, start: Column, size: int) -> Column:
+    """Hash of up to ``size`` tokens from ``start``; places behind the end are null, which changes no hash."""
+    return F.xxhash64(*[F.get(words, start + k) for k in range(size)])
 
 
 def benchmark_windows(items: DataFrame, size: int) -> DataFrame:
     """``hash, form, item_id, at, n, size`` of every window of every item that holds a word besides placeholders; a short item is one window."""
     words = templates(items, F.col("item_id")).select("item_id", F.posexplode(F.array("words0", "words1")).alias("form", "words")).withColumn("n", F.size("words")).filter("n > 0")
     words = words.withColumn("size", F.least("n", F.lit(size)))
-    spread = words.select("form", "item_id", "words", "n", "size", F.posexplode(window_hashes(F.col("words"), F.col("size"), 1)).alias("at", "hash"))
+    starts = F.sequence(F.lit(0), F.col("n") - F.col("size"))
+    spread = words.select("form", "item_id", "words", "n", "size", F.explode(starts).alias("at")).withColumn("hash", hash_of(F.col("words"), F.col("at"), size))
     worded = F.exists(F.slice("words", F.col("at") + 1, F.col("size")), lambda w: ~w.isin(NAME, NUMBER, UNIT))
     return materialize(spread.filter(worded).select("hash", "form", "item_id", "at", "n", "size").distinct(), "benchmark-windows")
 

@@ -1,5 +1,7 @@
 """Decontamination of changed, short and re-cased copies."""
 
+from pyspark.sql import functions as F
+
 from salesmart.llm import decontaminate
 
 ITEM = "the farmer named Smith keeps 50 hens in one barn and sells every egg for 3 dollars on each market day of the long year"
@@ -42,3 +44,15 @@ def test_recased_and_rewrapped_copies(spark, documents):
     assert got == {(i, 1): (1.0, 0) for i in range(1, 8)}
     kept = decontaminate.clean(documents(rows + [(8, "der Bauer Schmidt geht heute mit der Kuh nach Hause")]), spark.createDataFrame([(1, item)], "item_id bigint, text string"))
     assert [r["doc_id"] for r in kept.collect()] == [8]
+
+
+def test_windows_are_hashed_without_joining_their_tokens(spark, documents, capsys):
+    words = spark.createDataFrame([(1, list("abcdab")), (2, list("ab")), (3, [])], "id int, words array<string>")
+    found = words.select("id", decontaminate.window_hashes(F.col("words"), 2, 2).alias("h"))
+    got = {r["id"]: r["h"] for r in found.collect()}
+    assert len(set(got[1])) == 2 and got[1][0] == got[1][2] == got[2][0] and got[3] is None
+    # A window of all tokens of a short text has the hash of a window of that size.
+    assert words.filter("id = 2").select(decontaminate.hash_of(F.col("words"), F.lit(0), 8)).first()[0] == got[2][0]
+    decontaminate.templates(documents([(1, ITEM)]), F.col("doc_id")).select(decontaminate.window_hashes(F.col("words1"), 8, 4)).explain()
+    plan = capsys.readouterr().out
+    assert "xxhash64" in plan and not any(f"{step}(" in plan for step in ("array_join", "slice", "translate"))
