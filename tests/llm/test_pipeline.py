@@ -5,7 +5,7 @@ import pytest
 
 import corpus_pipeline
 from salesmart.llm import quality
-from salesmart.llm.shared import vocabulary
+from salesmart.llm.shared import freed, kept, vocabulary
 
 PROSE = "the quiet river ran along the old stone wall while people walked home from market".split()
 
@@ -96,3 +96,23 @@ def test_all_that_is_left_is_packed(stages):
 def test_run_gives_the_last_stage(spark, folder, stages):
     key = lambda df: sorted(((r["doc_id"], r["piece"], r["ids_crc32"]) for r in df.collect()), key=str)
     assert key(corpus_pipeline.run(spark, folder)) == key(stages[5])
+
+
+def test_workers_forget_what_other_steps_have_kept():
+    kept("words", list).append(1)
+    assert kept("words", list) == [1]
+    assert list(freed(lambda batches: iter(kept("words", list)), keeps="words")([])) == [1]
+    assert list(freed(lambda batches: batches)([])) == []
+    assert kept("words", list) == []
+
+
+def test_stages_hand_small_batches_to_workers(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for given, want in ((10_000, 1000), (0, 1000), (50, 50)):
+            spark.conf.set(key, given)
+            corpus_pipeline.in_small_batches(spark)
+            assert int(spark.conf.get(key)) == want
+    finally:
+        spark.conf.set(key, before)
